@@ -111,3 +111,10 @@ def flattener_input(parsed: DataFrame) -> DataFrame:
     """What a custom flattener sees: the envelope columns, ``parsed`` and ``_src``."""
     return parsed.select(*[F.col(f"{SOURCE_STRUCT}.{c}").alias(c) for c in ENVELOPE],
                          F.col(PARSED), F.col(SOURCE_STRUCT))
+
+
+def with_load_date(df: DataFrame, column: str = "audit_load_date", fmt: str = "yyyy-MM-dd",
+                   as_of=None) -> DataFrame:
+    """Append the load-date partition column, fixed for the batch (PRJ-10)."""
+    from ..functions.columns import load_date, resolve_as_of
+    return df.withColumn(column, load_date(resolve_as_of(as_of), fmt))

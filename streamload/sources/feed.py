@@ -105,3 +105,28 @@ def existing_rows_from_events(events: DataFrame, every: int = 5, fmt: str = "yyy
         F.get_json_object("props", "$.k").cast("int").alias("k"),
         F.date_format(F.col("ts"), fmt).alias(partition_column),
     )
+
+
+# The as-of clock and lookback of the example target.
+EXAMPLE_AS_OF = "2024-01-30"
+EXAMPLE_LOOKBACK_DAYS = 2
+EXISTING_EVERY = 5
+
+
+def event_spec(target_path: str, error_path: str | None = None, **changes):
+    """The example ingestion spec over the event document (flagship query)."""
+    import datetime as _dt
+
+    from ..spec import FilterRule, PipelineSpec, Target, mappings_from_groups
+    kw = dict(
+        mappings=mappings_from_groups(EVENT_GROUPS, EVENT_TYPES),
+        primary_keys=["event_id"],
+        target=Target(path=target_path),
+        topic=TOPIC,
+        error_path=error_path,
+        rules=[FilterRule("event_type", "not_equals", "error")],
+        lookback_days=EXAMPLE_LOOKBACK_DAYS,
+        as_of=_dt.datetime.fromisoformat(EXAMPLE_AS_OF),
+    )
+    kw.update(changes)
+    return PipelineSpec(**kw)

@@ -46,3 +46,21 @@ def read_target(spark: SparkSession, target: Target | str, *, schema: T.StructTy
         if _condition(e) in MISSING_PATH_CONDITIONS:
             return None
         raise
+
+
+def read_rows(spark: SparkSession, target: Target | str, partition_column: str = "audit_load_date"
+              ) -> DataFrame | None:
+    """All rows of a target with the load-date column as written (STRING).
+
+    Partition discovery would turn ``yyyy-MM-dd`` values into DATE and
+    ``yyyyMMdd`` into INT; reading with the stored file schema plus a STRING
+    partition column keeps the value exactly as it was formatted.
+    """
+    if isinstance(target, str):
+        target = Target(path=target)
+    df = read_target(spark, target)
+    if df is None or target.is_table:
+        return df
+    fields = [f for f in df.schema.fields if f.name != partition_column]
+    schema = T.StructType(fields + [T.StructField(partition_column, T.StringType(), True)])
+    return spark.read.schema(schema).parquet(target.path)
