@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as _dt
+import functools
 from collections.abc import Sequence
 from functools import reduce
 
@@ -53,3 +54,42 @@ def lookback_dates(as_of: _dt.datetime, days: int, fmt: str) -> list[Column]:
 def any_null(cols: Sequence[str]) -> Column:
     """OR over ``col IS NULL`` for every key (FLT-9)."""
     return reduce(lambda a, b: a | b, [F.col(quote_path(c)).isNull() for c in cols])
+
+
+# Java date-pattern letters that have an exact strftime twin.
+_SIMPLE_PATTERN = {"yyyy": "%Y", "MM": "%m", "dd": "%d", "HH": "%H", "mm": "%M", "ss": "%S"}
+
+
+def _python_format(as_of: _dt.datetime, fmt: str) -> str | None:
+    """Format like Spark's ``date_format`` for plain numeric patterns, else None."""
+    out, i = [], 0
+    while i < len(fmt):
+        for tok, py in _SIMPLE_PATTERN.items():
+            if fmt.startswith(tok, i) and not fmt.startswith(tok + tok[0], i):
+                out.append(as_of.strftime(py))
+                i += len(tok)
+                break
+        else:
+            ch = fmt[i]
+            if ch.isalpha() or ch == "'":
+                return None
+            out.append(ch)
+            i += 1
+    return "".join(out)
+
+
+@functools.lru_cache(maxsize=256)
+def lookback_values(as_of: _dt.datetime, days: int, fmt: str) -> tuple[str, ...]:
+    """The lookback load dates as driver-side strings, newest first.
+
+    Plain numeric patterns are formatted in Python; anything else is
+    formatted by Spark over a one-row local relation.
+    """
+    dates = [as_of - _dt.timedelta(days=i) for i in range(days + 1)]
+    simple = [_python_format(d, fmt) for d in dates]
+    if all(v is not None for v in simple):
+        return tuple(simple)
+    from pyspark.sql import SparkSession
+    spark = SparkSession.getActiveSession()
+    row = spark.createDataFrame([(0,)], "x int").select(*lookback_dates(as_of, days, fmt)).first()
+    return tuple(str(v) for v in row)

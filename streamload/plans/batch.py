@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import any_null, load_date, quote_path, resolve_as_of
+from ..functions.columns import any_null, load_date, lookback_values, quote_path, resolve_as_of
 from ..operators.audit import audit_rows, batch_offsets
 from ..operators.dedup import anti_join_errors, anti_join_existing, dedup_within_batch, existing_keys
 from ..operators.hooks import apply_flattener, apply_transformer
@@ -36,7 +36,7 @@ from ..operators.parse import (PARSE_FAILED, PARSED, SOURCE_STRUCT, flatten_colu
 from ..operators.quality import ERROR_REASON, error_reason, split_bad_records, to_error_rows
 from ..operators.rules import apply_rules, rules_condition
 from ..sinks.files import append_parquet, append_table
-from ..sources.target import read_target
+from ..sources.target import read_partitions, read_target
 from ..spec import JSON_PARSE_FAILURE, NULL_PRIMARY_KEY, PipelineSpec
 
 
@@ -180,15 +180,29 @@ def _target_key_schema(good: DataFrame, spec: PipelineSpec) -> T.StructType:
                         [T.StructField(spec.partition_column, T.StringType(), True)])
 
 
+def lookback_rows(spark, path: str, spec: PipelineSpec, as_of: _dt.datetime, schema: T.StructType
+                  ) -> DataFrame | None:
+    """Rows of a path dataset inside the lookback window, listing only those partitions."""
+    if spec.lookback_days is None:
+        return read_target(spark, path, schema=schema)
+    values = lookback_values(as_of, spec.lookback_days, spec.date_format)
+    return read_partitions(spark, path, spec.partition_column, values, schema=schema)
+
+
 def dedup_against_target(good: DataFrame, spec: PipelineSpec, as_of: _dt.datetime) -> DataFrame:
-    """JN-1 with FLT-10: anti join on the keys against the lookback window of the target."""
+    """JN-1 with FLT-10: anti join on the keys against the lookback window of the target.
+
+    Catalog tables prune partitions through the catalog; Parquet paths are
+    read partition folder by partition folder (:func:`read_partitions`).
+    """
     spark = good.sparkSession
     if spec.target.is_table:
-        target = read_target(spark, spec.target)
+        existing = existing_keys(read_target(spark, spec.target), spec.primary_keys, spec.partition_column,
+                                 spec.lookback_days, as_of, spec.date_format)
     else:
-        target = read_target(spark, spec.target, schema=_target_key_schema(good, spec))
-    existing = existing_keys(target, spec.primary_keys, spec.partition_column, spec.lookback_days, as_of,
-                             spec.date_format)
+        rows = lookback_rows(spark, spec.target.path, spec, as_of, _target_key_schema(good, spec))
+        existing = existing_keys(rows, spec.primary_keys, spec.partition_column, spec.lookback_days, as_of,
+                                 spec.date_format)
     return anti_join_existing(good, existing, spec.primary_keys)
 
 
@@ -213,10 +227,7 @@ def error_rows_plan(bad: DataFrame, spec: PipelineSpec, as_of: _dt.datetime
     if spec.idempotent_errors and spec.error_path:
         schema = T.StructType([bad.schema["topic"], bad.schema["kafka_partition"], bad.schema["kafka_offset"],
                                T.StructField(spec.partition_column, T.StringType(), True)])
-        stored = read_target(bad.sparkSession, spec.error_path, schema=schema)
-        if stored is not None and spec.lookback_days is not None:
-            stored = existing_keys(stored, ["topic", "kafka_partition", "kafka_offset"], spec.partition_column,
-                                   spec.lookback_days, as_of, spec.date_format)
+        stored = lookback_rows(bad.sparkSession, spec.error_path, spec, as_of, schema)
         out = anti_join_errors(bad, stored)
     o = _obs("bad_written")
     return out.observe(o, F.count(F.lit(1)).alias("n")), o

@@ -64,3 +64,42 @@ def read_rows(spark: SparkSession, target: Target | str, partition_column: str =
     fields = [f for f in df.schema.fields if f.name != partition_column]
     schema = T.StructType(fields + [T.StructField(partition_column, T.StringType(), True)])
     return spark.read.schema(schema).parquet(target.path)
+
+
+# Characters Spark escapes (as %XX) in partition directory names.
+_ESCAPED = set('"#%\'*/:=?\\\x7f{[]^') | {chr(i) for i in range(1, 32)}
+_GLOB_SPECIAL = set("{}[]*?\\,")
+
+
+def escape_partition_value(value: str) -> str:
+    """A partition value as Spark writes it into a ``col=value`` directory name."""
+    return "".join(f"%{ord(c):02X}" if c in _ESCAPED else c for c in value)
+
+
+def read_partitions(spark: SparkSession, path: str, partition_column: str, values, *,
+                    schema: T.StructType | None = None) -> DataFrame | None:
+    """Rows of the given partition values of a Parquet directory, listing only those folders.
+
+    A dedup lookback needs 3 of possibly thousands of daily partitions;
+    reading ``path`` itself would list every file of the target on every
+    batch.  Here a brace glob ``col={v1,v2,…}`` under ``basePath`` makes
+    Spark list only the matching folders.  ``None`` when none of them
+    exists (nothing to compare against).  The partition column is read as
+    STRING when ``schema`` says so.
+    """
+    values = list(values)
+    names = [escape_partition_value(v) for v in values]
+    if not names or any(ch in _GLOB_SPECIAL for n in names for ch in n):
+        df = read_target(spark, Target(path=path), schema=schema)
+        return None if df is None else df.filter(df[partition_column].cast("string").isin(values))
+    base = path.rstrip("/")
+    glob = f"{base}/{partition_column}={{{','.join(names)}}}"
+    reader = spark.read.option("basePath", base)
+    if schema is not None:
+        reader = reader.schema(schema)
+    try:
+        return reader.parquet(glob)
+    except AnalysisException as e:
+        if _condition(e) in MISSING_PATH_CONDITIONS:
+            return None
+        raise
