@@ -54,4 +54,4 @@ def test_available_now_micro_batches_and_restart(spark, msgs, workdir):
 
 def test_checkpoint_is_required(spark, msgs, workdir):
     with pytest.raises(ValueError):
-        run_stream(read_replay(spark, f"{workdir}/none"), event_spec("x"), checkpoint="")
+        run_stream(read_replay(spark, workdir), event_spec("x"), checkpoint="")
