@@ -206,10 +206,26 @@ def dedup_against_target(good: DataFrame, spec: PipelineSpec, as_of: _dt.datetim
     return anti_join_existing(good, existing, spec.primary_keys)
 
 
+def _narrow_source(good: DataFrame, spec: PipelineSpec) -> DataFrame:
+    """Keep only the envelope fields the in-batch order needs.
+
+    The good branch never writes the envelope; carrying the raw message text
+    through the dedup shuffle would roughly double its bytes.
+    """
+    if SOURCE_STRUCT not in good.columns:
+        return good
+    prefix = SOURCE_STRUCT + "."
+    fields = [c[len(prefix):] for c in spec.dedup_order if c.startswith(prefix)] if spec.dedup_within_batch else []
+    if not fields:
+        return good.drop(SOURCE_STRUCT)
+    return good.withColumn(SOURCE_STRUCT, F.struct(*[F.col(prefix + f).alias(f) for f in fields]))
+
+
 def good_rows_plan(good: DataFrame, spec: PipelineSpec, as_of: _dt.datetime, *, dedup: bool = True
                    ) -> tuple[DataFrame, dict[str, Observation]]:
     """PIP-2 good branch: rules -> in-batch dedup -> anti join, each stage observed."""
     obs = {k: _obs(k) for k in ("rules", "batch_dedup", "written")}
+    good = _narrow_source(good, spec)
     ruled = apply_rules(good, spec.rules).observe(obs["rules"], F.count(F.lit(1)).alias("n"))
     if spec.dedup_within_batch:
         order = [c for c in spec.dedup_order if not c.startswith(SOURCE_STRUCT) or SOURCE_STRUCT in good.columns]
