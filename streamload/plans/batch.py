@@ -267,6 +267,7 @@ def process_batch(raw: DataFrame, batch_id: int, spec: PipelineSpec, *, persist:
     """
     t0 = time.perf_counter()
     as_of = resolve_as_of(as_of if as_of is not None else spec.as_of)
+    spark = raw.sparkSession
     if raw.isEmpty():  # AGG-2: a LIMIT 1 job; nothing else runs for an empty batch
         return BatchMetrics(batch_id, as_of=as_of, seconds=time.perf_counter() - t0)
     parsed = parse_batch(raw, spec)
@@ -288,6 +289,9 @@ def process_batch(raw: DataFrame, batch_id: int, spec: PipelineSpec, *, persist:
         if spec.audit_path:
             rows = audit_rows(batch_offsets(parsed), _audit_counts(m), app=spec.app_name, batch_id=batch_id,
                               recorded_at=as_of)
+            known = read_target(spark, spec.audit_path)
+            if known is not None:  # a retried batch must not be audited twice
+                rows = anti_join_existing(rows, known.select("app", "topic", "batch_id"), ["app", "topic", "batch_id"])
             append_parquet(rows, spec.audit_path, None, files=1)
     finally:
         if persist:

@@ -1,6 +1,7 @@
 """Structured Streaming entry points."""
 
 from .progress import ProgressRecorder
+from .recovery import starting_offsets_from_audit
 from .runner import make_batch_processor, run_stream
 
-__all__ = ["ProgressRecorder", "make_batch_processor", "run_stream"]
+__all__ = ["ProgressRecorder", "make_batch_processor", "run_stream", "starting_offsets_from_audit"]

@@ -163,3 +163,28 @@ def test_spec_field_list_variant(spark, msgs, workdir):
                         as_of=dt.datetime(2024, 1, 30))
     m = process_batch(msgs, 0, spec)
     assert m.n_written == read_rows(spark, f"{workdir}/t").count() > 0
+
+
+def test_audit_is_idempotent_and_recovery_json(spark, events, msgs, workdir):
+    from streamload.streaming import starting_offsets_from_audit
+    target, errors = seeded(spark, events, workdir)
+    spec = event_spec(target, errors, audit_path=f"{workdir}/audit")
+    assert starting_offsets_from_audit(spark, f"{workdir}/audit", "events") is None
+    process_batch(msgs.filter("partition < 2"), 7, spec)
+    process_batch(msgs.filter("partition < 2"), 7, spec)  # retried batch
+    assert spark.read.parquet(f"{workdir}/audit").count() == 1
+    js = starting_offsets_from_audit(spark, f"{workdir}/audit", "events", partitions=4)
+    import json
+    got = json.loads(js)["events"]
+    assert set(got) == {"0", "1", "2", "3"} and got["2"] == -2 and got["3"] == -2 and got["0"] > 0
+
+
+def test_counts_survive_an_empty_written_set_with_hooks(spark, events, msgs, workdir):
+    target, errors = seeded(spark, events, workdir)
+    spec = event_spec(target, errors, transformer=lambda df: df.filter("user_id > 10"))
+    first = process_batch(msgs, 0, spec)
+    again = process_batch(msgs, 1, spec)  # everything is now a duplicate: AQE prunes the written branch
+    assert again.n_written == 0 and again.n_in == first.n_in
+    assert (again.n_parse_failure, again.n_null_key, again.n_hook_removed, again.n_filtered) == (
+        first.n_parse_failure, first.n_null_key, first.n_hook_removed, first.n_filtered)
+    assert again.n_in == again.n_bad + again.n_hook_removed + again.n_filtered + again.n_duplicate
