@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from streamload import FieldMapping, FilterRule, PipelineSpec, Target, mappings_from_groups  # noqa: E402
-from streamload.operators import (anti_join_errors, anti_join_existing, apply_rules, audit_rows,  # noqa: E402
+from streamload.operators import (anti_join_errors, anti_join_existing, apply_rules,  # noqa: E402
                                   batch_offsets, chain, dedup_within_batch, derive_score, error_summary,
                                   existing_keys, flatten, latest_offsets, mask_columns, parse_messages,
                                   project_envelope, starting_offsets_json, threshold_flattener)
@@ -32,13 +32,12 @@ from streamload.plans.batch import parse_batch, process_batch, transform_batch
 from streamload.sinks import append_parquet, append_table, create_target_table  # noqa: E402
 from streamload.sources import (existing_rows_from_events, messages_from_events, read_replay,  # noqa: E402
                                 read_target, write_replay)
-from streamload.sources.feed import (EVENT_GROUPS, EVENT_TYPES, EXAMPLE_AS_OF, event_spec)  # noqa: E402
+from streamload.sources.feed import EXAMPLE_AS_OF, event_spec  # noqa: E402
 from streamload.sources.target import read_rows  # noqa: E402
 from streamload.streaming import ProgressRecorder, run_stream  # noqa: E402
 from streamload.workspace import fresh_dir  # noqa: E402
 
 AS_OF = _dt.datetime.fromisoformat(EXAMPLE_AS_OF)
-GOOD_COLS = ["event_id", "event_timestamp", "user_id", "event_type", "value", "k", "audit_load_date"]
 
 
 # --------------------------------------------------------------------------- helpers

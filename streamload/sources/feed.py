@@ -58,7 +58,11 @@ def event_document(drop_key: Column | None = None, bad_leaf: Column | None = Non
 
 
 def messages_from_events(events: DataFrame, damage: bool = True, duplicates: bool = True) -> DataFrame:
-    """Kafka-source-shaped rows made from ``events`` (see module docstring)."""
+    """Kafka-source-shaped rows made from ``events`` (see module docstring).
+
+    The re-sent copies come from one ``explode`` over a per-row list of
+    offset shifts, so the table is scanned once.
+    """
     eid = F.col("event_id")
     first = [] if not damage else [
         (eid % TOMBSTONE_MOD == 0, "tomb"),
@@ -69,27 +73,25 @@ def messages_from_events(events: DataFrame, damage: bool = True, duplicates: boo
     kind = F.lit("ok")
     for cond, name in reversed(first):
         kind = F.when(cond, F.lit(name)).otherwise(kind)
-    base = events.select(
-        "event_id", "ts", "user_id", "event_type", "value", "props", kind.alias("_damage"))
+    shifts = F.array(F.lit(0).cast("long"))
+    if duplicates:
+        shifts = F.when(eid % DUPLICATE_MOD == 0, F.array(F.lit(0).cast("long"), F.lit(DUPLICATE_OFFSET).cast("long"))
+                        ).otherwise(shifts)
+    base = events.select("event_id", "ts", "user_id", "event_type", "value", "props",
+                         kind.alias("_damage"), F.explode(shifts).alias("_shift"))
     doc = event_document(drop_key=F.col("_damage") == "nokey", bad_leaf=F.col("_damage") == "badleaf")
     body = (F.when(F.col("_damage") == "tomb", F.lit(None).cast("string"))
             .when(F.col("_damage") == "cut", F.expr(f"substring(_doc, 1, length(_doc) - {TRUNCATE_CHARS})"))
             .otherwise(F.col("_doc")))
-    msgs = base.withColumn("_doc", doc).select(
+    return base.withColumn("_doc", doc).select(
         F.col("event_id").cast("string").cast("binary").alias("key"),
         body.cast("binary").alias("value"),
         F.lit(TOPIC).alias("topic"),
         (F.col("event_id") % PARTITIONS).cast("int").alias("partition"),
-        F.floor(F.col("event_id") / PARTITIONS).cast("long").alias("offset"),
+        (F.floor(F.col("event_id") / PARTITIONS).cast("long") + F.col("_shift")).alias("offset"),
         F.col("ts").cast("timestamp").alias("timestamp"),
         F.lit(0).alias("timestampType"),
     )
-    if duplicates:
-        again = msgs.filter(
-            F.col("key").cast("string").cast("long") % DUPLICATE_MOD == 0
-        ).withColumn("offset", F.col("offset") + DUPLICATE_OFFSET)
-        msgs = msgs.unionByName(again)
-    return msgs
 
 
 def existing_rows_from_events(events: DataFrame, every: int = 5, fmt: str = "yyyy-MM-dd",
