@@ -250,12 +250,21 @@ def error_rows_plan(bad: DataFrame, spec: PipelineSpec, as_of: _dt.datetime
 
 
 def write_good(df: DataFrame, spec: PipelineSpec) -> None:
+    """Append the good rows.
+
+    With in-batch dedup on, the plan already ends in the dedup aggregate's
+    shuffle (hash-partitioned by key, so not skewed; the anti join keeps
+    that partitioning), and AQE sizes those partitions.  A rebalance would
+    shuffle every written row a second time for the same file sizes, so it
+    is only added when no such shuffle exists.
+    """
+    rebalance = not spec.dedup_within_batch
     if spec.target.is_table:
         append_table(df, spec.target.table, files=spec.files_per_write,
-                     max_records_per_file=spec.max_records_per_file)
+                     max_records_per_file=spec.max_records_per_file, rebalance=rebalance)
     else:
         append_parquet(df, spec.target.path, spec.partition_column, files=spec.files_per_write,
-                       max_records_per_file=spec.max_records_per_file)
+                       max_records_per_file=spec.max_records_per_file, rebalance=rebalance)
 
 
 def process_batch(raw: DataFrame, batch_id: int, spec: PipelineSpec, *, persist: bool = True,

@@ -19,15 +19,24 @@ from pyspark.sql import types as T
 from ..functions.columns import quote_path
 
 
-def size_files(df: DataFrame, files: int | None = None) -> DataFrame:
-    """Rebalance before a write: AQE-sized (``None``) or a fixed file count."""
-    return df.hint("rebalance") if files is None else df.hint("rebalance", int(files))
+def size_files(df: DataFrame, files: int | None = None, rebalance: bool = True) -> DataFrame:
+    """Rebalance before a write: AQE-sized (``None``) or a fixed file count.
+
+    ``rebalance=False`` leaves the partitioning as it is.  That is right when
+    the plan already ends in a shuffle that AQE sizes, e.g. the in-batch
+    dedup aggregate: a second exchange would move every written row again
+    for the same file sizes.  A fixed ``files`` count always rebalances.
+    """
+    if files is not None:
+        return df.hint("rebalance", int(files))
+    return df.hint("rebalance") if rebalance else df
 
 
 def append_parquet(df: DataFrame, path: str, partition_column: str | Sequence[str] | None, *,
-                   files: int | None = None, max_records_per_file: int | None = None) -> None:
+                   files: int | None = None, max_records_per_file: int | None = None,
+                   rebalance: bool = True) -> None:
     """Append rows to a (load-date) partitioned Parquet directory (SNK-1, SNK-3)."""
-    w = size_files(df, files).write.mode("append").format("parquet")
+    w = size_files(df, files, rebalance).write.mode("append").format("parquet")
     if partition_column:
         parts = [partition_column] if isinstance(partition_column, str) else list(partition_column)
         w = w.partitionBy(*parts)
@@ -37,7 +46,7 @@ def append_parquet(df: DataFrame, path: str, partition_column: str | Sequence[st
 
 
 def append_table(df: DataFrame, table: str, *, files: int | None = None,
-                 max_records_per_file: int | None = None) -> None:
+                 max_records_per_file: int | None = None, rebalance: bool = True) -> None:
     """Append to an existing catalog table, matching columns **by name** (SNK-2, PRJ-13).
 
     The column list comes from the table itself, so columns a hook added are
@@ -49,7 +58,7 @@ def append_table(df: DataFrame, table: str, *, files: int | None = None,
     missing = [c for c in cols if c not in df.columns]
     if missing:
         raise ValueError(f"rows for {table} lack column(s) {missing}")
-    out = size_files(df.select(*[quote_path(c) for c in cols]), files)
+    out = size_files(df.select(*[quote_path(c) for c in cols]), files, rebalance)
     w = out.write
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", int(max_records_per_file))
