@@ -55,3 +55,13 @@ def test_available_now_micro_batches_and_restart(spark, msgs, workdir):
 def test_checkpoint_is_required(spark, msgs, workdir):
     with pytest.raises(ValueError):
         run_stream(read_replay(spark, workdir), event_spec("x"), checkpoint="")
+
+
+def test_recorder_memory_is_bounded():
+    from streamload.plans.batch import BatchMetrics
+    rec = ProgressRecorder(keep=3)
+    for i in range(10):
+        rec.add_metrics(BatchMetrics(i, n_in=5, n_written=2))
+    assert len(rec.metrics) == 3 and [m.batch_id for m in rec.metrics] == [7, 8, 9]
+    assert rec.batches_seen == 10
+    assert rec.totals()["n_in"] == 50 and rec.totals()["n_written"] == 20
