@@ -235,8 +235,12 @@ class PipelineSpec:
             params=d.get("params", {}),
         )
         for k in ("dedup_within_batch", "dedup_mode", "idempotent_errors", "audit_path", "app_name",
-                  "files_per_write", "max_records_per_file", "strict_json", "on_unknown_type"):
+                  "files_per_write", "max_records_per_file", "strict_json", "on_unknown_type",
+                  "reserialize_null_key_rows"):
             if k in d:
                 kwargs[k] = d[k]
+        if d.get("as_of"):  # ISO text; a fixed clock for backfills and tests
+            as_of = d["as_of"]
+            kwargs["as_of"] = _dt.datetime.fromisoformat(as_of) if isinstance(as_of, str) else as_of
         kwargs.update(extra)
         return PipelineSpec(**kwargs)
