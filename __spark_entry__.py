@@ -27,6 +27,7 @@ from streamload.operators import (anti_join_errors, anti_join_existing, apply_ru
                                   batch_offsets, chain, dedup_within_batch, derive_score, error_summary,
                                   existing_keys, flatten, latest_offsets, mask_columns, parse_messages,
                                   project_envelope, starting_offsets_json, threshold_flattener)
+from streamload.operators.audit import read_audit  # noqa: E402
 from streamload.operators.parse import with_load_date  # noqa: E402
 from streamload.plans.batch import parse_batch, process_batch, transform_batch  # noqa: E402
 from streamload.sinks import append_parquet, append_table, create_target_table  # noqa: E402
@@ -273,19 +274,19 @@ def _audited(spark: SparkSession, sf_dir: str) -> str:
 
 def q_audit_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AUD-1: one audit row per batch and topic with the batch's counts."""
-    audit = spark.read.parquet(_audited(spark, sf_dir))
+    audit = read_audit(spark, _audited(spark, sf_dir))
     return audit.select("app", "topic", "batch_id", "n_in", "n_bad", "n_filtered", "n_duplicate", "n_written",
                         F.size("next_offsets").alias("n_partitions"))
 
 
 def q_latest_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AGG-3 + AUD-2: highest audited next offset per partition."""
-    return latest_offsets(spark.read.parquet(_audited(spark, sf_dir)), "events")
+    return latest_offsets(read_audit(spark, _audited(spark, sf_dir)), "events")
 
 
 def q_starting_offsets_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AUD-3: audited offsets as the Kafka startingOffsets JSON."""
-    return starting_offsets_json(latest_offsets(spark.read.parquet(_audited(spark, sf_dir)), "events"))
+    return starting_offsets_json(latest_offsets(read_audit(spark, _audited(spark, sf_dir)), "events"))
 
 
 def q_hook_mask_and_derive(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import any_null, load_date, lookback_values, quote_path, resolve_as_of
-from ..operators.audit import audit_rows, batch_offsets
+from ..operators.audit import append_audit, audit_rows, batch_offsets
 from ..operators.dedup import anti_join_errors, anti_join_existing, dedup_within_batch, existing_keys
 from ..operators.hooks import apply_flattener, apply_transformer
 from ..operators.parse import (PARSE_FAILED, PARSED, SOURCE_STRUCT, flatten_columns, flattener_input,
@@ -298,10 +298,7 @@ def process_batch(raw: DataFrame, batch_id: int, spec: PipelineSpec, *, persist:
         if spec.audit_path:
             rows = audit_rows(batch_offsets(parsed), _audit_counts(m), app=spec.app_name, batch_id=batch_id,
                               recorded_at=as_of)
-            known = read_target(spark, spec.audit_path)
-            if known is not None:  # a retried batch must not be audited twice
-                rows = anti_join_existing(rows, known.select("app", "topic", "batch_id"), ["app", "topic", "batch_id"])
-            append_parquet(rows, spec.audit_path, None, files=1)
+            append_audit(rows, spec.audit_path)  # a retried batch replaces its own rows
     finally:
         if persist:
             parsed.unpersist()

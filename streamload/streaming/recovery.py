@@ -11,8 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from ..operators.audit import latest_offsets, starting_offsets_json
-from ..sources.target import read_target
+from ..operators.audit import latest_offsets, read_audit, starting_offsets_json
 
 
 def starting_offsets_from_audit(spark: SparkSession, audit_path: str, topic: str, *, app: str | None = None,
@@ -23,7 +22,7 @@ def starting_offsets_from_audit(spark: SparkSession, audit_path: str, topic: str
     audited with ``-2`` (earliest), since Kafka needs every partition
     listed.  One row per partition reaches the driver.
     """
-    audit = read_target(spark, audit_path)
+    audit = read_audit(spark, audit_path)
     if audit is None:
         return None
     latest = latest_offsets(audit, topic, app)
