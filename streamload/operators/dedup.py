@@ -13,6 +13,11 @@ Scale notes
   is forced: AQE broadcasts the existing keys only when their measured size
   is under ``spark.sql.autoBroadcastJoinThreshold`` and otherwise keeps the
   sort-merge join, whose skewed left partitions AQE splits.
+* ``restrict_to_keys`` is the step before it when the lookback holds far
+  more keys than the batch: the batch's keys, whose size was measured, are
+  broadcast and the existing keys are semi-joined against them map-side,
+  so only keys that can match move to the anti join instead of the whole
+  lookback window.
 """
 
 from __future__ import annotations
@@ -104,3 +109,24 @@ def anti_join_errors(errors: DataFrame, existing_errors: DataFrame | None) -> Da
         return errors
     known = existing_errors.filter(F.col("kafka_offset") >= 0).select(*ERROR_KEYS)
     return anti_join_existing(errors, known, ERROR_KEYS)
+
+
+def restrict_to_keys(existing: DataFrame | None, candidates: DataFrame, keys: Sequence[str]) -> DataFrame | None:
+    """Existing keys that also occur in ``candidates`` (broadcast left-semi join).
+
+    Only call this with ``candidates`` of a measured, bounded size (see
+    :func:`streamload.plans.batch.batch_stats`): they are broadcast to every
+    task of the existing-keys scan.  The result is a superset of what an
+    anti join against the batch can match, so following it with
+    :func:`anti_join_existing` gives exactly the same rows while the large
+    side is never shuffled.
+    """
+    if existing is None:
+        return None
+    keys = list(keys)
+    right = candidates.select(*[F.col(quote_path(k)).alias(f"_c{i}") for i, k in enumerate(keys)])
+    cond = None
+    for i, k in enumerate(keys):
+        c = existing[quote_path(k)] == right[f"_c{i}"]
+        cond = c if cond is None else cond & c
+    return existing.join(F.broadcast(right), cond, "left_semi")

@@ -7,11 +7,14 @@ Shape of a non-empty batch::
                                                  │        └─ bad  ───────────────────────► anti join ► WRITE errors
                                                  └─► (audit) offsets per partition ─────────────────► WRITE audit
 
-Two write jobs (plus the audit write when configured) after one cheap
-emptiness test.  The parsed batch is persisted once, so the source is read
-and the JSON parsed once, however many writes follow.  Stage counts come
-from ``Observation``s attached to the plans of the writes themselves, so
-counting costs no extra job.
+Two write jobs (plus the audit write when configured) after one job that
+fills the persisted batch.  That first job also answers "is the batch
+empty?" and measures an upper bound of the batch keys' size, which decides
+whether the existing keys are first cut down by a broadcast semi join
+against the batch keys (see :func:`batch_stats`).  The parsed batch is
+persisted once, so the source is read and the JSON parsed once, however
+many writes follow.  Stage counts come from ``Observation``s attached to
+the plans of the writes themselves, so counting costs no extra job.
 """
 
 from __future__ import annotations
@@ -27,9 +30,11 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import any_null, load_date, lookback_values, quote_path, resolve_as_of
+from ..functions.columns import any_null, load_date, lookback_values, path_col, quote_path, resolve_as_of
+from ..functions.types import resolve_type
 from ..operators.audit import append_audit, audit_rows, batch_offsets
-from ..operators.dedup import anti_join_errors, anti_join_existing, dedup_within_batch, existing_keys
+from ..operators.dedup import (anti_join_errors, anti_join_existing, dedup_within_batch, existing_keys,
+                               restrict_to_keys)
 from ..operators.hooks import apply_flattener, apply_transformer
 from ..operators.parse import (PARSE_FAILED, PARSED, SOURCE_STRUCT, flatten_columns, flattener_input,
                                parse_messages)
@@ -189,11 +194,16 @@ def lookback_rows(spark, path: str, spec: PipelineSpec, as_of: _dt.datetime, sch
     return read_partitions(spark, path, spec.partition_column, values, schema=schema)
 
 
-def dedup_against_target(good: DataFrame, spec: PipelineSpec, as_of: _dt.datetime) -> DataFrame:
+def dedup_against_target(good: DataFrame, spec: PipelineSpec, as_of: _dt.datetime,
+                         candidates: DataFrame | None = None) -> DataFrame:
     """JN-1 with FLT-10: anti join on the keys against the lookback window of the target.
 
     Catalog tables prune partitions through the catalog; Parquet paths are
     read partition folder by partition folder (:func:`read_partitions`).
+    ``candidates`` (keys of the batch, of measured size) first restrict the
+    existing keys by a broadcast semi join, so the lookback window is only
+    scanned, never shuffled; the anti join then moves at most the batch's
+    own keys.
     """
     spark = good.sparkSession
     if spec.target.is_table:
@@ -203,9 +213,86 @@ def dedup_against_target(good: DataFrame, spec: PipelineSpec, as_of: _dt.datetim
         rows = lookback_rows(spark, spec.target.path, spec, as_of, _target_key_schema(good, spec))
         existing = existing_keys(rows, spec.primary_keys, spec.partition_column, spec.lookback_days, as_of,
                                  spec.date_format)
+    if candidates is not None:
+        existing = restrict_to_keys(existing, candidates, spec.primary_keys)
     return anti_join_existing(good, existing, spec.primary_keys)
 
 
+# Bytes per key row of a broadcast hash relation besides the
+# variable-length key data: null bits, one 8-byte slot per key column and
+# the hash map's entry overhead; variable-length values are padded to 8.
+ROW_OVERHEAD = 48
+SLOT = 8
+PAD = 7
+_BYTE_UNITS = {"": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40, "p": 1 << 50}
+
+
+def parse_bytes(text: str) -> int:
+    """A Spark byte-size setting (``10485760``, ``10485760b``, ``10MB``, ``-1``) in bytes."""
+    import re
+    m = re.fullmatch(r"\s*(-?\d+)\s*([kmgtp]?)(?:i?b)?\s*", str(text).lower())
+    if not m:
+        raise ValueError(f"not a byte size: {text!r}")
+    return int(m.group(1)) * _BYTE_UNITS[m.group(2)]
+
+
+def broadcast_threshold(spark) -> int:
+    """``spark.sql.autoBroadcastJoinThreshold`` in bytes; 0 or less means never broadcast."""
+    return parse_bytes(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760"))
+
+
+def _key_columns(spec: PipelineSpec) -> list | None:
+    """Key columns computed straight from the parsed struct, or None when hooks own the keys."""
+    if spec.flattener is not None or spec.transformer is not None:
+        return None
+    by_name = {m.name: m for m in spec.mappings}
+    cols = []
+    for k in spec.primary_keys:
+        m = by_name[k]
+        cols.append((path_col(m.path, PARSED).cast(resolve_type(m.type, spec.on_unknown_type)).alias(k),
+                     resolve_type(m.type, spec.on_unknown_type)))
+    return cols
+
+
+def _key_bytes(cols) -> Any:
+    """Upper bound of one key row's in-memory size, or None for key types not sized here."""
+    width = F.lit(ROW_OVERHEAD + SLOT * len(cols)).cast("long")
+    for c, dtype in cols:
+        if isinstance(dtype, (T.StringType, T.BinaryType)):
+            width = width + F.coalesce(F.octet_length(c), F.lit(0)) + F.lit(PAD)
+        elif isinstance(dtype, T.DecimalType) and dtype.precision > 18:
+            width = width + F.lit(16)
+        elif not isinstance(dtype, (T.NumericType, T.BooleanType, T.DateType, T.TimestampType,
+                                    T.TimestampNTZType)):
+            return None
+    return width
+
+
+def batch_stats(parsed: DataFrame, spec: PipelineSpec) -> tuple[int, int | None]:
+    """Rows of the batch and an upper bound (bytes) of its keys as a broadcast relation.
+
+    One aggregation over the persisted batch, so it also fills the cache
+    the writes read from.  The bound is ``None`` when hooks produce the
+    keys (they are not known before the hooks run).
+    """
+    cols = _key_columns(spec)
+    width = None if cols is None else _key_bytes(cols)
+    aggs = [F.count(F.lit(1)).alias("n")]
+    if width is not None:
+        aggs.append(F.sum(width).alias("key_bytes"))
+    row = parsed.agg(*aggs).first()
+    n = int(row["n"])
+    return n, (int(row["key_bytes"] or 0) if width is not None else None)
+
+
+def candidate_keys(parsed: DataFrame, spec: PipelineSpec) -> DataFrame | None:
+    """Keys of every parsed message with complete keys: a superset of the keys that reach the anti join."""
+    cols = _key_columns(spec)
+    if cols is None:
+        return None
+    return parsed.filter(~F.col(PARSE_FAILED)).select(*[c for c, _ in cols]).filter(~any_null(spec.primary_keys))
+
+
 def _narrow_source(good: DataFrame, spec: PipelineSpec) -> DataFrame:
     """Keep only the envelope fields the in-batch order needs.
 
@@ -221,8 +308,8 @@ def _narrow_source(good: DataFrame, spec: PipelineSpec) -> DataFrame:
     return good.withColumn(SOURCE_STRUCT, F.struct(*[F.col(prefix + f).alias(f) for f in fields]))
 
 
-def good_rows_plan(good: DataFrame, spec: PipelineSpec, as_of: _dt.datetime, *, dedup: bool = True
-                   ) -> tuple[DataFrame, dict[str, Observation]]:
+def good_rows_plan(good: DataFrame, spec: PipelineSpec, as_of: _dt.datetime, *, dedup: bool = True,
+                   candidates: DataFrame | None = None) -> tuple[DataFrame, dict[str, Observation]]:
     """PIP-2 good branch: rules -> in-batch dedup -> anti join, each stage observed."""
     obs = {k: _obs(k) for k in ("rules", "batch_dedup", "written")}
     good = _narrow_source(good, spec)
@@ -231,7 +318,7 @@ def good_rows_plan(good: DataFrame, spec: PipelineSpec, as_of: _dt.datetime, *,
         order = [c for c in spec.dedup_order if not c.startswith(SOURCE_STRUCT) or SOURCE_STRUCT in good.columns]
         ruled = dedup_within_batch(ruled, spec.primary_keys, order)
     ruled = ruled.observe(obs["batch_dedup"], F.count(F.lit(1)).alias("n"))
-    new = dedup_against_target(ruled, spec, as_of) if dedup else ruled
+    new = dedup_against_target(ruled, spec, as_of, candidates) if dedup else ruled
     out = new.drop(SOURCE_STRUCT) if SOURCE_STRUCT in new.columns else new
     return out.observe(obs["written"], F.count(F.lit(1)).alias("n")), obs
 
@@ -277,15 +364,23 @@ def process_batch(raw: DataFrame, batch_id: int, spec: PipelineSpec, *, persist:
     t0 = time.perf_counter()
     as_of = resolve_as_of(as_of if as_of is not None else spec.as_of)
     spark = raw.sparkSession
-    if raw.isEmpty():  # AGG-2: a LIMIT 1 job; nothing else runs for an empty batch
+    dedup = spec.dedup_mode == "always" or reprocess
+    if not persist and raw.isEmpty():  # AGG-2: a LIMIT 1 job; nothing else runs for an empty batch
         return BatchMetrics(batch_id, as_of=as_of, seconds=time.perf_counter() - t0)
     parsed = parse_batch(raw, spec)
     if persist:
         parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        candidates = None
+        if persist:
+            # AGG-2 and the cache fill in one job; the key size decides the semi join.
+            n_in, key_bytes = batch_stats(parsed, spec)
+            if n_in == 0:
+                return BatchMetrics(batch_id, as_of=as_of, seconds=time.perf_counter() - t0)
+            if dedup and key_bytes is not None and 0 < key_bytes <= broadcast_threshold(spark):
+                candidates = candidate_keys(parsed, spec)
         result = transform_batch(parsed, spec, as_of)
-        dedup = spec.dedup_mode == "always" or reprocess
-        good, good_obs = good_rows_plan(result.good, spec, as_of, dedup=dedup)
+        good, good_obs = good_rows_plan(result.good, spec, as_of, dedup=dedup, candidates=candidates)
         write_good(good, spec)
         n_bad_written = 0
         if spec.capture_errors and spec.error_path:
