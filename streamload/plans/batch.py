@@ -23,7 +23,8 @@ import datetime as _dt
 import time
 import uuid
 from dataclasses import asdict, dataclass, field
-from typing import Any
+from functools import reduce
+from typing import Any, NamedTuple
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation
@@ -33,8 +34,8 @@ from pyspark.sql import types as T
 from ..functions.columns import any_null, load_date, lookback_values, path_col, quote_path, resolve_as_of
 from ..functions.types import resolve_type
 from ..operators.audit import append_audit, audit_rows, batch_offsets
-from ..operators.dedup import (anti_join_errors, anti_join_existing, dedup_within_batch, existing_keys,
-                               restrict_to_keys)
+from ..operators.dedup import (ERROR_KEYS, anti_join_errors, anti_join_existing, dedup_within_batch,
+                               existing_keys, restrict_to_keys)
 from ..operators.hooks import apply_flattener, apply_transformer
 from ..operators.parse import (PARSE_FAILED, PARSED, SOURCE_STRUCT, flatten_columns, flattener_input,
                                parse_messages)
@@ -268,21 +269,43 @@ def _key_bytes(cols) -> Any:
     return width
 
 
-def batch_stats(parsed: DataFrame, spec: PipelineSpec) -> tuple[int, int | None]:
-    """Rows of the batch and an upper bound (bytes) of its keys as a broadcast relation.
+class BatchStats(NamedTuple):
+    """What the first job of a batch measures (see :func:`batch_stats`)."""
+
+    n_in: int
+    key_bytes: int | None      # bound of the batch keys as a broadcast relation
+    error_bytes: int | None    # bound of the error rows' (topic, partition, offset) as one
+
+
+def batch_stats(parsed: DataFrame, spec: PipelineSpec) -> BatchStats:
+    """Rows of the batch and upper bounds (bytes) of its keys and error positions as broadcast relations.
 
     One aggregation over the persisted batch, so it also fills the cache
-    the writes read from.  The bound is ``None`` when hooks produce the
+    the writes read from.  The bounds are ``None`` when hooks produce the
     keys (they are not known before the hooks run).
     """
     cols = _key_columns(spec)
     width = None if cols is None else _key_bytes(cols)
     aggs = [F.count(F.lit(1)).alias("n")]
     if width is not None:
-        aggs.append(F.sum(width).alias("key_bytes"))
+        is_error = F.col(PARSE_FAILED) | reduce(lambda a, b: a | b, [c.isNull() for c, _ in cols])
+        pos = (F.lit(ROW_OVERHEAD + SLOT * len(ERROR_KEYS) + PAD)
+               + F.coalesce(F.octet_length(F.col(f"{SOURCE_STRUCT}.topic")), F.lit(0)))
+        aggs += [F.sum(width).alias("key_bytes"),
+                 F.sum(F.when(is_error, pos).otherwise(0)).cast("long").alias("error_bytes")]
     row = parsed.agg(*aggs).first()
-    n = int(row["n"])
-    return n, (int(row["key_bytes"] or 0) if width is not None else None)
+    if width is None:
+        return BatchStats(int(row["n"]), None, None)
+    return BatchStats(int(row["n"]), int(row["key_bytes"] or 0), int(row["error_bytes"] or 0))
+
+
+def error_positions(parsed: DataFrame, spec: PipelineSpec) -> DataFrame | None:
+    """(topic, partition, offset) of every message that becomes an error row (no-hook path)."""
+    cols = _key_columns(spec)
+    if cols is None:
+        return None
+    is_error = F.col(PARSE_FAILED) | reduce(lambda a, b: a | b, [c.isNull() for c, _ in cols])
+    return parsed.filter(is_error).select(*[F.col(f"{SOURCE_STRUCT}.{c}").alias(c) for c in ERROR_KEYS])
 
 
 def candidate_keys(parsed: DataFrame, spec: PipelineSpec) -> DataFrame | None:
@@ -323,14 +346,20 @@ def good_rows_plan(good: DataFrame, spec: PipelineSpec, as_of: _dt.datetime, *,
     return out.observe(obs["written"], F.count(F.lit(1)).alias("n")), obs
 
 
-def error_rows_plan(bad: DataFrame, spec: PipelineSpec, as_of: _dt.datetime
-                    ) -> tuple[DataFrame, Observation]:
-    """PIP-2 bad branch: optional idempotency anti join on the source position (JN-4)."""
+def error_rows_plan(bad: DataFrame, spec: PipelineSpec, as_of: _dt.datetime,
+                    candidates: DataFrame | None = None) -> tuple[DataFrame, Observation]:
+    """PIP-2 bad branch: optional idempotency anti join on the source position (JN-4).
+
+    ``candidates`` (the batch's error positions, of measured size) restrict
+    the stored errors by a broadcast semi join first, as for the target.
+    """
     out = bad
     if spec.idempotent_errors and spec.error_path:
         schema = T.StructType([bad.schema["topic"], bad.schema["kafka_partition"], bad.schema["kafka_offset"],
                                T.StructField(spec.partition_column, T.StringType(), True)])
         stored = lookback_rows(bad.sparkSession, spec.error_path, spec, as_of, schema)
+        if candidates is not None:
+            stored = restrict_to_keys(stored, candidates, ERROR_KEYS)
         out = anti_join_errors(bad, stored)
     o = _obs("bad_written")
     return out.observe(o, F.count(F.lit(1)).alias("n")), o
@@ -371,20 +400,23 @@ def process_batch(raw: DataFrame, batch_id: int, spec: PipelineSpec, *, persist:
     if persist:
         parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        candidates = None
+        candidates = error_candidates = None
         if persist:
-            # AGG-2 and the cache fill in one job; the key size decides the semi join.
-            n_in, key_bytes = batch_stats(parsed, spec)
-            if n_in == 0:
+            # AGG-2 and the cache fill in one job; the measured sizes decide the semi joins.
+            stats = batch_stats(parsed, spec)
+            if stats.n_in == 0:
                 return BatchMetrics(batch_id, as_of=as_of, seconds=time.perf_counter() - t0)
-            if dedup and key_bytes is not None and 0 < key_bytes <= broadcast_threshold(spark):
+            limit = broadcast_threshold(spark)
+            if dedup and stats.key_bytes is not None and 0 < stats.key_bytes <= limit:
                 candidates = candidate_keys(parsed, spec)
+            if stats.error_bytes is not None and 0 < stats.error_bytes <= limit:
+                error_candidates = error_positions(parsed, spec)
         result = transform_batch(parsed, spec, as_of)
         good, good_obs = good_rows_plan(result.good, spec, as_of, dedup=dedup, candidates=candidates)
         write_good(good, spec)
         n_bad_written = 0
         if spec.capture_errors and spec.error_path:
-            bad, bad_obs = error_rows_plan(result.bad, spec, as_of)
+            bad, bad_obs = error_rows_plan(result.bad, spec, as_of, error_candidates)
             append_parquet(bad, spec.error_path, spec.partition_column, files=spec.files_per_write)
             n_bad_written = observed(bad_obs, "n") or 0
         m = _metrics(batch_id, result, good_obs, as_of, spec)

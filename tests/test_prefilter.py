@@ -5,8 +5,8 @@ from pyspark.sql import functions as F
 
 from conftest import SF001
 from streamload.operators import anti_join_existing, restrict_to_keys
-from streamload.plans.batch import (batch_stats, broadcast_threshold, candidate_keys, good_rows_plan, parse_batch,
-                                    parse_bytes, process_batch, transform_batch)
+from streamload.plans.batch import (batch_stats, broadcast_threshold, candidate_keys, error_positions,
+                                    good_rows_plan, parse_batch, parse_bytes, process_batch, transform_batch)
 from streamload.sinks import append_parquet
 from streamload.sources import existing_rows_from_events, messages_from_events
 from streamload.sources.feed import event_spec
@@ -38,12 +38,16 @@ def test_restrict_then_anti_join_equals_anti_join(spark):
 def test_stats_bound_and_hooks(spark, msgs):
     spec = event_spec("unused")
     parsed = parse_batch(msgs, spec)
-    n, key_bytes = batch_stats(parsed, spec)
+    n, key_bytes, error_bytes = batch_stats(parsed, spec)
     assert n == msgs.count()
+    n_err = error_positions(parsed, spec).count()
+    assert n_err == 23 + 12  # FIXTURES.md §4 at sf0.001: parse failures + null keys
+    assert error_bytes >= n_err * (48 + 3 * 8 + len("events"))
     raw_key_bytes = candidate_keys(parsed, spec).agg(F.sum(F.octet_length("event_id"))).first()[0]
     assert key_bytes >= raw_key_bytes + 48 * candidate_keys(parsed, spec).count()
     hooked = event_spec("unused", transformer=lambda df: df)
-    assert batch_stats(parse_batch(msgs, hooked), hooked)[1] is None
+    assert batch_stats(parse_batch(msgs, hooked), hooked)[1:] == (None, None)
+    assert error_positions(parse_batch(msgs, hooked), hooked) is None
     assert candidate_keys(parse_batch(msgs, hooked), hooked) is None
 
 
@@ -71,9 +75,26 @@ def test_same_target_with_and_without_prefilter(spark, msgs, workdir):
                 assert broadcast_threshold(spark) < 0
             root = f"{workdir}/t{i}"
             append_parquet(existing_rows_from_events(events), f"{root}/target", "audit_load_date")
-            m = process_batch(msgs, 0, event_spec(f"{root}/target", f"{root}/errors"))
-            keysets.append((m.n_written, sorted(r[0] for r in read_rows(spark, f"{root}/target")
-                                                .select("event_id").collect())))
+            spec = event_spec(f"{root}/target", f"{root}/errors")
+            for batch_id in (0, 1):  # the retry must add nothing to either dataset
+                m = process_batch(msgs, batch_id, spec)
+            errors = sorted(map(tuple, read_rows(spark, f"{root}/errors").select("kafka_partition", "kafka_offset")
+                                .collect()))
+            keysets.append((m.n_written, m.n_bad_written, errors,
+                            sorted(r[0] for r in read_rows(spark, f"{root}/target").select("event_id").collect())))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert keysets[0] == keysets[1]
+    assert keysets[0][:2] == (0, 0) and len(keysets[0][2]) == 35
+
+
+def test_error_branch_semi_join_in_plan(spark, msgs, workdir):
+    from streamload.plans.batch import error_rows_plan
+    spec = event_spec(f"{workdir}/target", f"{workdir}/errors")
+    parsed = parse_batch(msgs, spec)
+    res = transform_batch(parsed, spec)
+    append_parquet(res.bad, f"{workdir}/errors", "audit_load_date")
+    bad, _ = error_rows_plan(res.bad, spec, spec.as_of, error_positions(parsed, spec))
+    plan = bad._jdf.queryExecution().executedPlan().toString()
+    assert "LeftSemi" in plan and "Exchange hashpartitioning" not in plan
+    assert bad.count() == 0
