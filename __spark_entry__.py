@@ -147,6 +147,11 @@ def q_bad_records_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _bad(spark, sf_dir, spec)
 
 
+def q_split_type_mismatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PRJ-3 with on_type_mismatch="error": a mistyped leaf ("n/a" as a double) is a parse failure."""
+    return _bad(spark, sf_dir, event_spec("unused", on_type_mismatch="error"))
+
+
 def q_bad_record_reserialized(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PRJ-12: null-key rows rebuilt as JSON from the flat columns (NULLs left out)."""
     spec = event_spec("unused", reserialize_null_key_rows=True)
@@ -347,6 +352,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "split_null_keys": q_split_null_keys,
     "bad_records_union": q_bad_records_union,
     "bad_record_reserialized": q_bad_record_reserialized,
+    "split_type_mismatch": q_split_type_mismatch,
     "rule_equals": _rule_query([FilterRule("event_type", "equals", "purchase")]),
     "rule_not_equals": _rule_query([FilterRule("k", "not_equals", "030")]),
     "rule_in": _rule_query([FilterRule("event_type", "in", values=["click", "view"])]),
@@ -469,6 +475,9 @@ ORACLES: dict[str, str] = {
     "bad_records_union": _w(f"SELECT {ERR}, CASE WHEN dmg = 'nokey' THEN 'NULL_PRIMARY_KEY' "
                             "ELSE 'JSON_PARSE_FAILURE' END AS error_reason, audit_load_date "
                             "FROM flat WHERE dmg IN ('tomb', 'cut', 'nokey')"),
+    "split_type_mismatch": _w(f"SELECT {ERR}, CASE WHEN dmg = 'nokey' THEN 'NULL_PRIMARY_KEY' "
+                              "ELSE 'JSON_PARSE_FAILURE' END AS error_reason, audit_load_date "
+                              "FROM flat WHERE dmg IN ('tomb', 'cut', 'nokey', 'badleaf')"),
     "bad_record_reserialized": _w(
         "SELECT '{\"event_timestamp\":\"' || event_timestamp || '\",\"user_id\":' || CAST(user_id AS VARCHAR) "
         "|| ',\"event_type\":\"' || event_type || '\",\"value\":' || CAST(value AS VARCHAR) "

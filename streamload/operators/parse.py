@@ -45,7 +45,7 @@ def project_envelope(df: DataFrame) -> DataFrame:
 
 
 def parse_json_records(df: DataFrame, schema: T.StructType | str, *, column: str = "json_raw",
-                       strict: bool = True) -> DataFrame:
+                       strict: bool = True, on_type_mismatch: str = "keep") -> DataFrame:
     """Add ``parsed`` (struct per ``schema``) and ``parse_failed`` (boolean).
 
     ``from_json`` in PERMISSIVE mode keeps whatever leaves it could read, so
@@ -55,7 +55,15 @@ def parse_json_records(df: DataFrame, schema: T.StructType | str, *, column: str
     single mistyped leaf sets corrupt text too, but the object is complete,
     so the row is kept with that leaf NULL.  ``json_object_keys`` only runs
     on rows the first parse already flagged.
+
+    ``on_type_mismatch="error"`` is the documented reading of "does not
+    match the configured schema": any recorded corrupt text fails the row,
+    so a mistyped leaf (``"amt":"oops"``, an overflow, a scalar where an
+    object is mapped) becomes ``JSON_PARSE_FAILURE`` instead of a good row
+    with that leaf NULL.  It is a superset of the strict rule.
     """
+    if on_type_mismatch not in ("keep", "error"):
+        raise ValueError("on_type_mismatch must be 'keep' or 'error'")
     if isinstance(schema, str):
         schema = T._parse_datatype_string(schema)
     if CORRUPT_FIELD in schema.fieldNames():
@@ -64,8 +72,10 @@ def parse_json_records(df: DataFrame, schema: T.StructType | str, *, column: str
     parsed = F.from_json(F.col(column), with_bad, {
         "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_FIELD})
     out = df.withColumn(PARSED, parsed)
-    if strict:
-        suspect = F.col(f"{PARSED}.{CORRUPT_FIELD}").isNotNull()
+    suspect = F.col(f"{PARSED}.{CORRUPT_FIELD}").isNotNull()
+    if on_type_mismatch == "error":
+        failed = F.col(PARSED).isNull() | suspect
+    elif strict:
         failed = F.col(PARSED).isNull() | (suspect & F.json_object_keys(F.col(column)).isNull())
     else:
         # The reference's rule: only a NULL struct (NULL, empty, blank text).
@@ -95,7 +105,8 @@ def source_struct() -> Column:
 
 
 def parse_messages(df: DataFrame, mappings: Sequence[FieldMapping], *, strict: bool = True,
-                   on_unknown: str = "error", schema: T.StructType | None = None) -> DataFrame:
+                   on_unknown: str = "error", schema: T.StructType | None = None,
+                   on_type_mismatch: str = "keep") -> DataFrame:
     """Envelope + parse in one go: ``_src`` struct, ``parsed``, ``parse_failed``.
 
     ``schema`` replaces the mapping-derived parse schema (e.g. the whole
@@ -103,7 +114,7 @@ def parse_messages(df: DataFrame, mappings: Sequence[FieldMapping], *, strict: b
     """
     env = project_envelope(df)
     schema = schema or schema_from_mappings(mappings, on_unknown)
-    return parse_json_records(env, schema, strict=strict).select(
+    return parse_json_records(env, schema, strict=strict, on_type_mismatch=on_type_mismatch).select(
         source_struct(), F.col(PARSED), F.col(PARSE_FAILED))
 
 

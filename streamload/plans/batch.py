@@ -121,6 +121,7 @@ def parse_batch(raw: DataFrame, spec: PipelineSpec) -> DataFrame:
     if isinstance(schema, str):
         schema = T._parse_datatype_string(schema)
     return parse_messages(raw, spec.mappings, strict=spec.strict_json, on_unknown=spec.on_unknown_type,
+                          on_type_mismatch=spec.on_type_mismatch,
                           schema=schema if spec.flattener is not None else None)
 
 

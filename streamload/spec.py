@@ -160,6 +160,7 @@ class PipelineSpec:
     dedup_mode: str = "always"  # "always" | "reprocess"
     reserialize_null_key_rows: bool = False
     strict_json: bool = True
+    on_type_mismatch: str = "keep"  # "keep" (leaf NULL, row good) | "error" (JSON_PARSE_FAILURE)
     on_unknown_type: str = "error"  # "error" | "string"
     transformer: Callable[..., DataFrame] | None = None
     flattener: Callable[..., DataFrame] | None = None
@@ -188,6 +189,8 @@ class PipelineSpec:
                 raise SpecError(f"primary key(s) {missing} are not mapped columns")
         if self.lookback_days is not None and self.lookback_days < 0:
             raise SpecError("lookback_days must be >= 0 or None")
+        if self.on_type_mismatch not in ("keep", "error"):
+            raise SpecError("on_type_mismatch must be 'keep' or 'error'")
         if self.dedup_mode not in ("always", "reprocess"):
             raise SpecError("dedup_mode must be 'always' or 'reprocess'")
         for r in self.rules:
@@ -235,7 +238,7 @@ class PipelineSpec:
             params=d.get("params", {}),
         )
         for k in ("dedup_within_batch", "dedup_mode", "idempotent_errors", "audit_path", "app_name",
-                  "files_per_write", "max_records_per_file", "strict_json", "on_unknown_type",
+                  "files_per_write", "max_records_per_file", "strict_json", "on_unknown_type", "on_type_mismatch",
                   "reserialize_null_key_rows"):
             if k in d:
                 kwargs[k] = d[k]

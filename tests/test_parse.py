@@ -93,3 +93,21 @@ def test_column_pruning_keeps_only_mapped_paths(spark):
     assert schema.fieldNames() == ["event_id"]
     df = spark.createDataFrame([('{"event_id":"1","big":{"x":[1,2,3]}}',)], "json_raw string")
     assert flatten(parse_json_records(df, schema), ms).columns == ["id"]
+
+
+# Cases where the text is one complete object but a mapped leaf has the wrong JSON type.
+MISTYPED = {"wrong leaf type", "int overflow", "fraction into int", "bad date", "scalar for object",
+            "only field mistyped"}
+
+
+@pytest.mark.parametrize("case,text,failed", [f[:3] for f in FAULTS], ids=[f[0] for f in FAULTS])
+def test_type_mismatch_as_error(spark, case, text, failed):
+    df = spark.createDataFrame([(text,)], "json_raw string")
+    got = parse_json_records(df, schema_from_mappings(MAP), on_type_mismatch="error").first()["parse_failed"]
+    assert got is (failed or case in MISTYPED)
+
+
+def test_type_mismatch_rejects_unknown_mode(spark):
+    df = spark.createDataFrame([("{}",)], "json_raw string")
+    with pytest.raises(ValueError):
+        parse_json_records(df, schema_from_mappings(MAP), on_type_mismatch="maybe")
