@@ -313,6 +313,15 @@ def q_hook_custom_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _good(spark, sf_dir, spec).drop("_src")
 
 
+def q_hook_custom_flatten_variant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """EXT-2 over the whole document as a VARIANT: no schema declared for the flattener."""
+    flattener = threshold_flattener({"event_id": ("event_id", "string"), "user_id": ("actor.user_id", "long"),
+                                     "value": ("measure.value", "double")}, measure="value")
+    spec = event_spec("unused", flattener=flattener, flattener_schema="variant", params={"threshold": "100"},
+                      mappings=[])
+    return _good(spark, sf_dir, spec).drop("_src")
+
+
 def q_stream_available_now(spark: SparkSession, sf_dir: str) -> DataFrame:
     """STR-1..4, STR-6, STR-7: replay files -> availableNow stream of several micro-batches."""
     target, errors = _seeded(spark, sf_dir, "stream")
@@ -382,6 +391,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "starting_offsets_json": q_starting_offsets_json,
     "hook_mask_and_derive": q_hook_mask_and_derive,
     "hook_custom_flatten": q_hook_custom_flatten,
+    "hook_custom_flatten_variant": q_hook_custom_flatten_variant,
     "reprocess_conditional_dedup": q_reprocess_conditional_dedup,
 }
 
@@ -545,6 +555,8 @@ FROM (""" + _OFFSETS + ") o"),
                                "CASE WHEN event_type = 'purchase' THEN 3 WHEN event_type = 'signup' THEN 2 ELSE 1 END "
                                "AS type_score, audit_load_date FROM good"),
     "hook_custom_flatten": _w("SELECT event_id, user_id, value, audit_load_date FROM good WHERE value > 100"),
+    "hook_custom_flatten_variant": _w("SELECT event_id, user_id, value, audit_load_date FROM good "
+                                      "WHERE value > 100"),
     "reprocess_conditional_dedup": _w(f"SELECT {G} FROM seed UNION ALL SELECT DISTINCT {G} FROM good "
                                       "WHERE event_type <> 'error'"),
 }

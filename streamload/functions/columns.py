@@ -20,6 +20,20 @@ def path_col(path: str, root: str | None = None) -> Column:
     return F.col(quote_path(path if root is None else f"{root}.{path}"))
 
 
+def variant_path(path: str) -> str:
+    """A dotted mapping path as a VARIANT path: ``a.b`` -> ``$.a.b``, odd names bracketed."""
+    import re
+    out = "$"
+    for seg in path.split("."):
+        if re.fullmatch(r"[A-Za-z_][A-Za-z0-9_]*", seg):
+            out += "." + seg
+        elif "'" in seg:
+            raise ValueError(f"path segment {seg!r} cannot be addressed in a VARIANT path")
+        else:
+            out += f"['{seg}']"
+    return out
+
+
 def resolve_as_of(as_of: _dt.datetime | _dt.date | str | None) -> _dt.datetime:
     """Fix the batch clock once on the driver (``None`` = now, UTC)."""
     if as_of is None:

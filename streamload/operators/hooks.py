@@ -9,10 +9,11 @@ from __future__ import annotations
 import inspect
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.columns import quote_path
+from ..functions.columns import quote_path, variant_path
 from ..spec import SpecError
 
 
@@ -71,6 +72,16 @@ def apply_flattener(df: DataFrame, fn: Callable[..., DataFrame], keys: Sequence[
     return out
 
 
+def document_field(df: DataFrame, path: str, type_name: str, root: str = "parsed") -> Column:
+    """One typed leaf of the parsed document, whether it is a struct or a VARIANT.
+
+    A leaf of the wrong JSON type is NULL in both cases (permissive).
+    """
+    if isinstance(df.schema[root].dataType, T.VariantType):
+        return F.try_variant_get(F.col(root), variant_path(path), type_name)
+    return F.col(f"{root}." + quote_path(path)).cast(type_name)
+
+
 # ---- ready-made hooks (the documented examples) ---------------------------
 
 def mask_columns(columns: Sequence[str], mask: str = "***MASKED***") -> Callable[..., DataFrame]:
@@ -110,9 +121,10 @@ def threshold_flattener(columns: Mapping[str, tuple[str, str]], measure: str,
                         param: str = "threshold") -> Callable[..., DataFrame]:
     """Flattener selecting ``{name: (path, type)}`` from ``parsed`` and keeping
     rows with ``measure > float(params[param])`` (the documented example).
-    ``_src`` is kept so error rows still carry the original message."""
+    ``_src`` is kept so error rows still carry the original message.
+    ``parsed`` may be a struct or a VARIANT (``flattener_schema="variant"``)."""
     def hook(df: DataFrame, params: Mapping[str, str]) -> DataFrame:
         limit = float(params.get(param, "0"))
-        cols = [F.col("parsed." + quote_path(p)).cast(t).alias(n) for n, (p, t) in columns.items()]
+        cols = [document_field(df, p, t).alias(n) for n, (p, t) in columns.items()]
         return df.select(*cols, F.col("_src")).filter(F.col(quote_path(measure)) > F.lit(limit))
     return hook

@@ -83,6 +83,24 @@ def parse_json_records(df: DataFrame, schema: T.StructType | str, *, column: str
     return out.withColumn(PARSE_FAILED, F.coalesce(failed, F.lit(True)))
 
 
+# A JSON text that parses and starts with "{" (after JSON
+# whitespace) is one object.
+OBJECT_START = r"^[ \t\r\n]*\{"
+
+
+def parse_variant_records(df: DataFrame, *, column: str = "json_raw") -> DataFrame:
+    """Add ``parsed`` as a VARIANT holding the whole document, and ``parse_failed``.
+
+    For flatteners that need fields the mapping does not name (no schema has
+    to be declared).  ``try_parse_json`` gives NULL for text that is not
+    JSON; valid JSON that does not start with ``{`` is not an object.  Unlike
+    ``from_json`` it rejects duplicate keys and single quotes.
+    """
+    parsed = F.try_parse_json(F.col(column))
+    failed = parsed.isNull() | ~F.col(column).rlike(OBJECT_START)
+    return df.withColumn(PARSED, parsed).withColumn(PARSE_FAILED, F.coalesce(failed, F.lit(True)))
+
+
 def flatten_columns(mappings: Sequence[FieldMapping], root: str = PARSED,
                     on_unknown: str = "error") -> list[Column]:
     """One typed column per mapping from the parsed struct (PRJ-5)."""
@@ -106,13 +124,16 @@ def source_struct() -> Column:
 
 def parse_messages(df: DataFrame, mappings: Sequence[FieldMapping], *, strict: bool = True,
                    on_unknown: str = "error", schema: T.StructType | None = None,
-                   on_type_mismatch: str = "keep") -> DataFrame:
+                   on_type_mismatch: str = "keep", variant: bool = False) -> DataFrame:
     """Envelope + parse in one go: ``_src`` struct, ``parsed``, ``parse_failed``.
 
     ``schema`` replaces the mapping-derived parse schema (e.g. the whole
-    document for a custom flattener).
+    document for a custom flattener); ``variant`` parses the whole document
+    into a VARIANT instead.
     """
     env = project_envelope(df)
+    if variant:
+        return parse_variant_records(env).select(source_struct(), F.col(PARSED), F.col(PARSE_FAILED))
     schema = schema or schema_from_mappings(mappings, on_unknown)
     return parse_json_records(env, schema, strict=strict, on_type_mismatch=on_type_mismatch).select(
         source_struct(), F.col(PARSED), F.col(PARSE_FAILED))

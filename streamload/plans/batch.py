@@ -118,6 +118,8 @@ def _count(cond) -> Any:
 def parse_batch(raw: DataFrame, spec: PipelineSpec) -> DataFrame:
     """Envelope + parse with the spec's schema: ``_src``, ``parsed``, ``parse_failed``."""
     schema = spec.flattener_schema
+    if spec.flattener is not None and schema == "variant":
+        return parse_messages(raw, spec.mappings, variant=True)
     if isinstance(schema, str):
         schema = T._parse_datatype_string(schema)
     return parse_messages(raw, spec.mappings, strict=spec.strict_json, on_unknown=spec.on_unknown_type,

@@ -111,3 +111,27 @@ def test_type_mismatch_rejects_unknown_mode(spark):
     df = spark.createDataFrame([("{}",)], "json_raw string")
     with pytest.raises(ValueError):
         parse_json_records(df, schema_from_mappings(MAP), on_type_mismatch="maybe")
+
+
+# (case, text, failed) in VARIANT mode: like the strict rule, except that
+# duplicate keys and single quotes are not JSON for try_parse_json.
+VARIANT_FAILS = {c for c, t, failed, *_ in FAULTS if failed} | {"duplicate key", "single quotes"}
+
+
+@pytest.mark.parametrize("case,text", [f[:2] for f in FAULTS], ids=[f[0] for f in FAULTS])
+def test_variant_parse_failure_rule(spark, case, text):
+    from streamload.operators.parse import parse_variant_records
+    df = spark.createDataFrame([(text,)], "json_raw string")
+    assert parse_variant_records(df).first()["parse_failed"] is (case in VARIANT_FAILS)
+
+
+def test_variant_flattener_reads_any_path(spark):
+    from streamload.operators.hooks import document_field
+    from streamload.operators.parse import parse_variant_records
+    from streamload.functions.columns import variant_path
+    assert variant_path("a.we-ird") == "$.a['we-ird']" and variant_path("a_1.b") == "$.a_1.b"
+    df = spark.createDataFrame([('{"a":{"b":"7","we-ird":"w","n":"x"}}',)], "json_raw string")
+    p = parse_variant_records(df)
+    r = p.select(document_field(p, "a.b", "int").alias("b"), document_field(p, "a.we-ird", "string").alias("w"),
+                 document_field(p, "a.n", "int").alias("n")).first()
+    assert (r["b"], r["w"], r["n"]) == (7, "w", None)
