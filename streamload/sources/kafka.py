@@ -20,7 +20,8 @@ SSL_KEYS = (
 def kafka_options(topic: str, bootstrap_servers: str, *, starting_offsets: str = "earliest",
                   group_id: str | None = None, security_protocol: str = "PLAINTEXT",
                   ssl: Mapping[str, str] | None = None, max_offsets_per_trigger: int | None = None,
-                  fail_on_data_loss: bool = True, options: Mapping[str, str] | None = None) -> dict[str, str]:
+                  fail_on_data_loss: bool = True, min_partitions: int | None = None,
+                  options: Mapping[str, str] | None = None) -> dict[str, str]:
     """Reader options for one topic.
 
     TLS keys are applied only when the protocol name contains ``SSL``
@@ -28,6 +29,9 @@ def kafka_options(topic: str, bootstrap_servers: str, *, starting_offsets: str =
     spec.  ``fail_on_data_loss`` defaults to true: losing data must be a
     choice.  ``starting_offsets`` is ``earliest``/``latest`` or the JSON
     built by :func:`streamload.operators.audit.starting_offsets_json`.
+    ``min_partitions`` (Kafka's ``minPartitions``) splits large offset
+    ranges into several Spark tasks, so a topic partition that carries a
+    third of the traffic is parsed by many tasks instead of one.
     """
     o = {
         "kafka.bootstrap.servers": bootstrap_servers,
@@ -40,6 +44,8 @@ def kafka_options(topic: str, bootstrap_servers: str, *, starting_offsets: str =
         o["kafka.group.id"] = group_id
     if max_offsets_per_trigger:
         o["maxOffsetsPerTrigger"] = str(int(max_offsets_per_trigger))
+    if min_partitions:
+        o["minPartitions"] = str(int(min_partitions))
     if "SSL" in security_protocol.upper():
         for k, v in (ssl or {}).items():
             key = k if k.startswith("kafka.") else f"kafka.ssl.{k}" if not k.startswith("ssl.") else f"kafka.{k}"
@@ -50,8 +56,20 @@ def kafka_options(topic: str, bootstrap_servers: str, *, starting_offsets: str =
     return o
 
 
+def _default_min_partitions(spark: SparkSession, kw: dict) -> None:
+    # One task per topic partition would leave a hot partition to a single
+    # task; by default ask for at least one task per core of the cluster.
+    if "min_partitions" not in kw:
+        kw["min_partitions"] = spark.sparkContext.defaultParallelism
+
+
 def read_kafka(spark: SparkSession, topic: str, bootstrap_servers: str, **kw) -> DataFrame:
-    """Streaming DataFrame over one topic (needs the Kafka connector on the classpath)."""
+    """Streaming DataFrame over one topic (needs the Kafka connector on the classpath).
+
+    ``min_partitions`` defaults to the session's default parallelism; pass
+    ``None`` for Kafka's one task per topic partition.
+    """
+    _default_min_partitions(spark, kw)
     return spark.readStream.format("kafka").options(**kafka_options(topic, bootstrap_servers, **kw)).load()
 
 
@@ -59,6 +77,7 @@ def read_kafka_range(spark: SparkSession, topic: str, bootstrap_servers: str, *,
                      ending_offsets: str = "latest", **kw) -> DataFrame:
     """Bounded read of a topic for backfill / replay (PIP-3)."""
     kw.pop("max_offsets_per_trigger", None)
+    _default_min_partitions(spark, kw)
     opts = kafka_options(topic, bootstrap_servers, **kw)
     opts["endingOffsets"] = ending_offsets
     return spark.read.format("kafka").options(**opts).load()

@@ -25,3 +25,36 @@ def test_unknown_tls_key_rejected():
 def test_starting_offsets_json_passthrough_and_data_loss_choice():
     o = kafka_options("t", "h", starting_offsets='{"t":{"0":12}}', fail_on_data_loss=False)
     assert o["startingOffsets"] == '{"t":{"0":12}}' and o["failOnDataLoss"] == "false"
+
+
+def test_min_partitions_splits_hot_topic_partitions():
+    assert kafka_options("t", "h", min_partitions=64)["minPartitions"] == "64"
+    assert "minPartitions" not in kafka_options("t", "h")
+
+
+def test_reader_defaults_min_partitions_to_parallelism(spark, monkeypatch):
+    from streamload.sources import kafka as K
+    seen = {}
+
+    class Reader:
+        def format(self, f):
+            seen["format"] = f
+            return self
+
+        def options(self, **o):
+            seen.update(o)
+            return self
+
+        def load(self):
+            return "df"
+
+    class FakeSpark:
+        readStream = Reader()
+        read = Reader()
+        sparkContext = spark.sparkContext
+
+    assert K.read_kafka(FakeSpark(), "t", "h") == "df"
+    assert seen["minPartitions"] == str(spark.sparkContext.defaultParallelism)
+    seen.clear()
+    K.read_kafka_range(FakeSpark(), "t", "h", min_partitions=None)
+    assert "minPartitions" not in seen and seen["endingOffsets"] == "latest"
