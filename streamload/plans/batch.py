@@ -403,7 +403,7 @@ def process_batch(raw: DataFrame, batch_id: int, spec: PipelineSpec, *, persist:
     if persist:
         parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        candidates = error_candidates = None
+        candidates = error_candidates = stats = None
         if persist:
             # AGG-2 and the cache fill in one job; the measured sizes decide the semi joins.
             stats = batch_stats(parsed, spec)
@@ -418,7 +418,9 @@ def process_batch(raw: DataFrame, batch_id: int, spec: PipelineSpec, *, persist:
         good, good_obs = good_rows_plan(result.good, spec, as_of, dedup=dedup, candidates=candidates)
         write_good(good, spec)
         n_bad_written = 0
-        if spec.capture_errors and spec.error_path:
+        # A batch measured to have no bad record skips the error branch (its read and its job).
+        clean = stats is not None and stats.error_bytes == 0
+        if spec.capture_errors and spec.error_path and not clean:
             bad, bad_obs = error_rows_plan(result.bad, spec, as_of, error_candidates)
             append_parquet(bad, spec.error_path, spec.partition_column, files=spec.files_per_write)
             n_bad_written = observed(bad_obs, "n") or 0

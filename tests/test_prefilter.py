@@ -98,3 +98,14 @@ def test_error_branch_semi_join_in_plan(spark, msgs, workdir):
     plan = bad._jdf.queryExecution().executedPlan().toString()
     assert "LeftSemi" in plan and "Exchange hashpartitioning" not in plan
     assert bad.count() == 0
+
+
+def test_clean_batch_skips_the_error_branch(spark, workdir):
+    import os
+    events = spark.read.parquet(f"{SF001}/events.parquet")
+    clean = messages_from_events(events, damage=False, duplicates=False)
+    spec = event_spec(f"{workdir}/target", f"{workdir}/errors")
+    m = process_batch(clean, 0, spec)
+    assert m.n_bad == 0 and m.n_bad_written == 0 and m.n_written == events.count() - m.n_filtered
+    local = f"{workdir}/errors"[len("file:"):] if workdir.startswith("file:") else f"{workdir}/errors"
+    assert not os.path.exists(local)
