@@ -109,3 +109,59 @@ def test_clean_batch_skips_the_error_branch(spark, workdir):
     assert m.n_bad == 0 and m.n_bad_written == 0 and m.n_written == events.count() - m.n_filtered
     local = f"{workdir}/errors"[len("file:"):] if workdir.startswith("file:") else f"{workdir}/errors"
     assert not os.path.exists(local)
+
+
+def _targets_with_and_without(spark, make_spec, seed_fn):
+    out = []
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for threshold in ("10MB", "-1"):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+            spec = make_spec(threshold)
+            seed_fn(spec)
+            m = process_batch(msgs_of(spark), 0, spec)
+            out.append((m.n_written, m.n_duplicate_target, spec))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    return out
+
+
+def msgs_of(spark):
+    return messages_from_events(spark.read.parquet(f"{SF001}/events.parquet"))
+
+
+def test_composite_key_same_result_with_and_without_prefilter(spark, workdir):
+    events = spark.read.parquet(f"{SF001}/events.parquet")
+
+    def make(th):
+        return event_spec(f"{workdir}/{th}/target", f"{workdir}/{th}/errors", primary_keys=["event_id", "user_id"])
+
+    def seed(spec):
+        append_parquet(existing_rows_from_events(events), spec.target.path, "audit_load_date")
+
+    (w1, d1, s1), (w2, d2, s2) = _targets_with_and_without(spark, make, seed)
+    assert (w1, d1) == (w2, d2) and d1 > 0
+    rows = [sorted(map(tuple, read_rows(spark, s.target.path).select("event_id", "user_id").collect()))
+            for s in (s1, s2)]
+    assert rows[0] == rows[1]
+
+
+def test_table_target_same_result_with_and_without_prefilter(spark, workdir):
+    import uuid
+    from streamload import Target
+    from streamload.sinks import append_table, create_target_table
+    events = spark.read.parquet(f"{SF001}/events.parquet")
+    seed_rows = existing_rows_from_events(events)
+
+    def make(th):
+        name = f"prefilter_{uuid.uuid4().hex[:8]}"
+        create_target_table(spark, name, seed_rows.schema, "audit_load_date", path=f"{workdir}/{name}")
+        return event_spec("unused", f"{workdir}/{name}_errors").with_(target=Target(table=name))
+
+    def seed(spec):
+        append_table(seed_rows, spec.target.table)
+
+    (w1, d1, s1), (w2, d2, s2) = _targets_with_and_without(spark, make, seed)
+    assert (w1, d1) == (w2, d2) and d1 > 0
+    keys = [sorted(r[0] for r in spark.table(s.target.table).select("event_id").collect()) for s in (s1, s2)]
+    assert keys[0] == keys[1]
