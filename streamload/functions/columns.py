@@ -57,6 +57,9 @@ def load_date(as_of: _dt.datetime, fmt: str) -> Column:
     A literal, so every action of a batch sees the same date even across
     midnight, and Catalyst folds it to a constant.
     """
+    text = _python_format(as_of, fmt)
+    if text is not None:  # plain numeric pattern: the same text, folded on the driver
+        return F.lit(text)
     return F.date_format(as_of_lit(as_of), fmt)
 
 

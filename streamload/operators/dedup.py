@@ -28,7 +28,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import lookback_dates, quote_path
+from ..functions.columns import lookback_values, quote_path
 
 ERROR_KEYS = ("topic", "kafka_partition", "kafka_offset")
 
@@ -74,7 +74,7 @@ def existing_keys(target: DataFrame | None, keys: Sequence[str], partition_colum
     if lookback_days is not None:
         if partition_column is None or as_of is None:
             raise ValueError("a lookback needs partition_column and as_of")
-        dates = lookback_dates(as_of, lookback_days, date_format)
+        dates = [F.lit(v) for v in lookback_values(as_of, lookback_days, date_format)]
         part = F.col(quote_path(partition_column))
         dtype = target.schema[partition_column].dataType.simpleString()
         if dtype != "string":

@@ -280,14 +280,14 @@ class BatchStats(NamedTuple):
     error_bytes: int | None    # bound of the error rows' (topic, partition, offset) as one
 
 
-def batch_stats(parsed: DataFrame, spec: PipelineSpec) -> BatchStats:
+def batch_stats(parsed: DataFrame, spec: PipelineSpec, cols=None) -> BatchStats:
     """Rows of the batch and upper bounds (bytes) of its keys and error positions as broadcast relations.
 
     One aggregation over the persisted batch, so it also fills the cache
     the writes read from.  The bounds are ``None`` when hooks produce the
     keys (they are not known before the hooks run).
     """
-    cols = _key_columns(spec)
+    cols = _key_columns(spec) if cols is None else cols
     width = None if cols is None else _key_bytes(cols)
     aggs = [F.count(F.lit(1)).alias("n")]
     if width is not None:
@@ -302,18 +302,18 @@ def batch_stats(parsed: DataFrame, spec: PipelineSpec) -> BatchStats:
     return BatchStats(int(row["n"]), int(row["key_bytes"] or 0), int(row["error_bytes"] or 0))
 
 
-def error_positions(parsed: DataFrame, spec: PipelineSpec) -> DataFrame | None:
+def error_positions(parsed: DataFrame, spec: PipelineSpec, cols=None) -> DataFrame | None:
     """(topic, partition, offset) of every message that becomes an error row (no-hook path)."""
-    cols = _key_columns(spec)
+    cols = _key_columns(spec) if cols is None else cols
     if cols is None:
         return None
     is_error = F.col(PARSE_FAILED) | reduce(lambda a, b: a | b, [c.isNull() for c, _ in cols])
     return parsed.filter(is_error).select(*[F.col(f"{SOURCE_STRUCT}.{c}").alias(c) for c in ERROR_KEYS])
 
 
-def candidate_keys(parsed: DataFrame, spec: PipelineSpec) -> DataFrame | None:
+def candidate_keys(parsed: DataFrame, spec: PipelineSpec, cols=None) -> DataFrame | None:
     """Keys of every parsed message with complete keys: a superset of the keys that reach the anti join."""
-    cols = _key_columns(spec)
+    cols = _key_columns(spec) if cols is None else cols
     if cols is None:
         return None
     return parsed.filter(~F.col(PARSE_FAILED)).select(*[c for c, _ in cols]).filter(~any_null(spec.primary_keys))
@@ -406,14 +406,15 @@ def process_batch(raw: DataFrame, batch_id: int, spec: PipelineSpec, *, persist:
         candidates = error_candidates = stats = None
         if persist:
             # AGG-2 and the cache fill in one job; the measured sizes decide the semi joins.
-            stats = batch_stats(parsed, spec)
+            key_cols = _key_columns(spec)
+            stats = batch_stats(parsed, spec, key_cols)
             if stats.n_in == 0:
                 return BatchMetrics(batch_id, as_of=as_of, seconds=time.perf_counter() - t0)
             limit = broadcast_threshold(spark)
             if dedup and stats.key_bytes is not None and 0 < stats.key_bytes <= limit:
-                candidates = candidate_keys(parsed, spec)
+                candidates = candidate_keys(parsed, spec, key_cols)
             if stats.error_bytes is not None and 0 < stats.error_bytes <= limit:
-                error_candidates = error_positions(parsed, spec)
+                error_candidates = error_positions(parsed, spec, key_cols)
         result = transform_batch(parsed, spec, as_of)
         good, good_obs = good_rows_plan(result.good, spec, as_of, dedup=dedup, candidates=candidates)
         write_good(good, spec)
