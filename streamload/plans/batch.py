@@ -411,9 +411,10 @@ def process_batch(raw: DataFrame, batch_id: int, spec: PipelineSpec, *, persist:
             if stats.n_in == 0:
                 return BatchMetrics(batch_id, as_of=as_of, seconds=time.perf_counter() - t0)
             limit = broadcast_threshold(spark)
-            if dedup and stats.key_bytes is not None and 0 < stats.key_bytes <= limit:
+            restrict = spec.restrict_existing
+            if restrict and dedup and stats.key_bytes is not None and 0 < stats.key_bytes <= limit:
                 candidates = candidate_keys(parsed, spec, key_cols)
-            if stats.error_bytes is not None and 0 < stats.error_bytes <= limit:
+            if restrict and stats.error_bytes is not None and 0 < stats.error_bytes <= limit:
                 error_candidates = error_positions(parsed, spec, key_cols)
         result = transform_batch(parsed, spec, as_of)
         good, good_obs = good_rows_plan(result.good, spec, as_of, dedup=dedup, candidates=candidates)

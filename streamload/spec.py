@@ -158,6 +158,7 @@ class PipelineSpec:
     dedup_within_batch: bool = True
     dedup_order: tuple[str, ...] = ("_src.kafka_partition", "_src.kafka_offset")
     dedup_mode: str = "always"  # "always" | "reprocess"
+    restrict_existing: bool = True  # semi-join the lookback keys on the measured batch keys first
     reserialize_null_key_rows: bool = False
     strict_json: bool = True
     on_type_mismatch: str = "keep"  # "keep" (leaf NULL, row good) | "error" (JSON_PARSE_FAILURE)
@@ -239,6 +240,7 @@ class PipelineSpec:
         )
         for k in ("dedup_within_batch", "dedup_mode", "idempotent_errors", "audit_path", "app_name",
                   "files_per_write", "max_records_per_file", "strict_json", "on_unknown_type", "on_type_mismatch",
+                  "restrict_existing",
                   "reserialize_null_key_rows"):
             if k in d:
                 kwargs[k] = d[k]
