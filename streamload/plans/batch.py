@@ -442,9 +442,8 @@ def process_batch(raw: DataFrame, batch_id: int, spec: PipelineSpec, *, persist:
 
 
 def _format_date(as_of: _dt.datetime, fmt: str) -> str:
-    # Only used for the metrics record; the data uses Spark's date_format.
-    py = fmt.replace("yyyy", "%Y").replace("MM", "%m").replace("dd", "%d").replace("HH", "%H")
-    return as_of.strftime(py)
+    """The batch's load-date text for the metrics record, formatted like the data column."""
+    return lookback_values(as_of, 0, fmt)[0]
 
 
 def _audit_counts(m: BatchMetrics) -> dict[str, int]:
