@@ -52,7 +52,7 @@ def _msgs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _seeded(spark: SparkSession, sf_dir: str, name: str) -> tuple[str, str]:
-    """Fresh folder with a target already holding every 5th event (load date = day of ts)."""
+    """Fresh folder with a target holding every event before 2024-01-30 (load date = day of ts)."""
     root = fresh_dir(spark, name)
     append_parquet(existing_rows_from_events(_t(spark, sf_dir, "events")), f"{root}/target", "audit_load_date")
     return f"{root}/target", f"{root}/errors"
@@ -189,9 +189,9 @@ def q_dedup_composite_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JN-1 on (conv_id, turn); some stored keys are outside the lookback and do not count."""
     conv = _t(spark, sf_dir, "conversations")
     root = fresh_dir(spark, "conv")
-    stored = conv.filter((F.col("conv_id") + F.col("turn")) % 3 == 0).select(
-        "conv_id", "turn", F.when(F.col("conv_id") % 2 == 0, F.lit("2024-01-30"))
-        .otherwise(F.lit("2024-01-20")).alias("audit_load_date"))
+    # Every turn is stored; user turns were loaded inside the window, the rest ten days earlier.
+    stored = conv.select("conv_id", "turn", F.when(F.col("role") == "user", F.lit("2024-01-30"))
+                         .otherwise(F.lit("2024-01-20")).alias("audit_load_date"))
     append_parquet(stored, f"{root}/target", "audit_load_date")
     existing = existing_keys(read_target(spark, f"{root}/target"), ["conv_id", "turn"], "audit_load_date", 2, AS_OF)
     return anti_join_existing(conv, existing, ["conv_id", "turn"])
@@ -442,7 +442,7 @@ seed AS (
   SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(ts AS VARCHAR) AS event_timestamp, user_id, event_type,
          value, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
          strftime(ts, '%Y-%m-%d') AS audit_load_date
-  FROM events WHERE event_id % 5 = 0
+  FROM events WHERE ts < TIMESTAMP '2024-01-30'
 ),
 window_keys AS (
   SELECT event_id FROM seed WHERE audit_load_date IN ('2024-01-28', '2024-01-29', '2024-01-30')
@@ -509,7 +509,7 @@ ORACLES: dict[str, str] = {
                               "WHERE audit_load_date IN ('2024-01-28', '2024-01-29', '2024-01-30')"),
     "dedup_anti_join": _w(f"SELECT {G} FROM good WHERE event_id NOT IN (SELECT event_id FROM window_keys)"),
     "dedup_composite_key": """SELECT c.* FROM conversations c WHERE NOT EXISTS (
-  SELECT 1 FROM conversations s WHERE (s.conv_id + s.turn) % 3 = 0 AND s.conv_id % 2 = 0
+  SELECT 1 FROM conversations s WHERE s.role = 'user'
     AND s.conv_id = c.conv_id AND s.turn = c.turn)""",
     "dedup_first_run": _w(f"SELECT {G} FROM good"),
     "dedup_within_batch": _w(f"SELECT {G}, kafka_offset FROM good QUALIFY row_number() OVER "

@@ -94,11 +94,17 @@ def messages_from_events(events: DataFrame, damage: bool = True, duplicates: boo
     )
 
 
-def existing_rows_from_events(events: DataFrame, every: int = 5, fmt: str = "yyyy-MM-dd",
+def existing_rows_from_events(events: DataFrame, loaded_before: str = "2024-01-30", fmt: str = "yyyy-MM-dd",
                               partition_column: str = "audit_load_date") -> DataFrame:
-    """Rows already in the target: events with ``event_id % every == 0``,
-    flattened like the pipeline would, loaded on the date of ``ts``."""
-    return events.filter(F.col("event_id") % every == 0).select(
+    """Rows already in the target: what earlier loads stored.
+
+    Every event with ``ts`` before ``loaded_before``, flattened like the
+    pipeline would, loaded on the date of its ``ts``.  With the example
+    clock and a 2-day lookback, the rows loaded on the two days before the
+    batch are inside the dedup window; older ones are outside it and are
+    loaded again, which is what a lookback on load dates means.
+    """
+    return events.filter(F.col("ts") < F.lit(loaded_before).cast("timestamp_ntz")).select(
         F.col("event_id").cast("string").alias("event_id"),
         F.col("ts").cast("string").alias("event_timestamp"),
         F.col("user_id").cast("long").alias("user_id"),
@@ -112,7 +118,6 @@ def existing_rows_from_events(events: DataFrame, every: int = 5, fmt: str = "yyy
 # The as-of clock and lookback of the example target.
 EXAMPLE_AS_OF = "2024-01-30"
 EXAMPLE_LOOKBACK_DAYS = 2
-EXISTING_EVERY = 5
 
 
 def event_spec(target_path: str, error_path: str | None = None, **changes):
