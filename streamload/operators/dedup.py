@@ -103,12 +103,17 @@ def anti_join_existing(df: DataFrame, existing: DataFrame | None, keys: Sequence
 def anti_join_errors(errors: DataFrame, existing_errors: DataFrame | None) -> DataFrame:
     """Error rows whose (topic, partition, offset) is not already stored (JN-4).
 
-    Rebuilt rows without a source position (offset -1) are never matched.
+    Rebuilt rows without a source position (offset -1) are never matched,
+    so they bypass the join: all of them share one key, and a batch where a
+    third of the messages lost their envelope would otherwise send that
+    third to a single join task.
     """
     if existing_errors is None:
         return errors
-    known = existing_errors.filter(F.col("kafka_offset") >= 0).select(*ERROR_KEYS)
-    return anti_join_existing(errors, known, ERROR_KEYS)
+    positioned = F.col("kafka_offset") >= 0
+    known = existing_errors.filter(positioned).select(*ERROR_KEYS)
+    kept = anti_join_existing(errors.filter(positioned), known, ERROR_KEYS)
+    return kept.unionByName(errors.filter(~F.coalesce(positioned, F.lit(False))))
 
 
 def restrict_to_keys(existing: DataFrame | None, candidates: DataFrame, keys: Sequence[str]) -> DataFrame | None:

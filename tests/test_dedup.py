@@ -81,3 +81,16 @@ def test_error_rows_idempotent(spark):
     stored = spark.createDataFrame([("t", 0, 5), ("t", -1, -1)], "topic string, kafka_partition int, kafka_offset long")
     got = sorted(r["kafka_offset"] for r in anti_join_errors(errs, stored).collect())
     assert got == [-1, 6]  # rebuilt rows (offset -1) are never matched
+
+
+def test_error_anti_join_keeps_rebuilt_rows_out_of_the_join(spark):
+    from streamload.operators import anti_join_errors
+    rows = [("t", -1, -1, f"rebuilt{i}") for i in range(300)] + [("t", 0, i, f"m{i}") for i in range(200)]
+    errors = spark.createDataFrame(rows, "topic string, kafka_partition int, kafka_offset long, json_raw string")
+    stored = errors.filter("kafka_offset >= 0 AND kafka_offset < 50").unionByName(errors.limit(0))
+    out = anti_join_errors(errors, stored)
+    got = sorted(r["json_raw"] for r in out.collect())
+    assert got == sorted([f"rebuilt{i}" for i in range(300)] + [f"m{i}" for i in range(50, 200)])
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    # the join input carries only positioned rows
+    assert "Union" in plan and "LeftAnti" in plan
