@@ -219,6 +219,11 @@ def dedup_against_target(good: DataFrame, spec: PipelineSpec, as_of: _dt.datetim
                                  spec.date_format)
     if candidates is not None:
         existing = restrict_to_keys(existing, candidates, spec.primary_keys)
+    elif existing is not None:
+        # Many stored copies of one key (loads outside the lookback, replays) would all meet in one
+        # join task, and AQE cannot split the build side of an anti join.  distinct() collapses them
+        # map-side (partial aggregation), and its hash partitioning is the one the join needs.
+        existing = existing.distinct()
     return anti_join_existing(good, existing, spec.primary_keys)
 
 
