@@ -301,7 +301,7 @@ def batch_stats(parsed: DataFrame, spec: PipelineSpec, cols=None) -> BatchStats:
                + F.coalesce(F.octet_length(F.col(f"{SOURCE_STRUCT}.topic")), F.lit(0)))
         aggs += [F.sum(width).alias("key_bytes"),
                  F.sum(F.when(is_error, pos).otherwise(0)).cast("long").alias("error_bytes")]
-    row = parsed.agg(*aggs).first()
+    row = parsed.agg(*aggs).collect()[0]  # a global aggregate is one row; no LIMIT job
     if width is None:
         return BatchStats(int(row["n"]), None, None)
     return BatchStats(int(row["n"]), int(row["key_bytes"] or 0), int(row["error_bytes"] or 0))
