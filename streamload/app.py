@@ -17,6 +17,7 @@ Run it with ``spark-submit`` (the session, its master and its confs belong
 to the submitter; this module sets none)::
 
     spark-submit --py-files streamload.zip streamload/app.py --config events.json
+    python -m streamload --config events.json       # same, with pyspark on the path
 
 ``source.format`` ``"replay"`` reads Kafka-shaped Parquet files instead
 (backfills, tests).  ``starting_offsets: "audit"`` starts from the offsets
@@ -29,10 +30,14 @@ from __future__ import annotations
 
 import argparse
 import json
+import os
 import sys
 from collections.abc import Mapping, Sequence
 from typing import Any
 
+if __name__ == "__main__" and not __package__:  # run as a script: make the package importable
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
