@@ -19,6 +19,11 @@ to the submitter; this module sets none)::
     spark-submit --py-files streamload.zip streamload/app.py --config events.json
     python -m streamload --config events.json       # same, with pyspark on the path
 
+A job in the reference's own layout (``spark`` / ``kafka`` / ``application``
+/ ``filter`` / ``error`` sections, hyphenated keys, e.g. its HOCON file
+converted to JSON) is accepted as well; custom hook classes become
+``package.module:function`` names of Python callables.
+
 ``source.format`` ``"replay"`` reads Kafka-shaped Parquet files instead
 (backfills, tests).  ``starting_offsets: "audit"`` starts from the offsets
 recorded in ``audit_path`` (only consulted when the checkpoint is new).
@@ -58,8 +63,72 @@ def load_config(path: str) -> dict[str, Any]:
         return json.load(f)
 
 
+def load_callable(name: str):
+    """A hook named ``package.module:function`` (the reference names classes; ours are callables)."""
+    import importlib
+    module, _, attr = name.partition(":")
+    if not module or not attr:
+        raise SpecError(f"hook {name!r} must look like 'package.module:function'")
+    return getattr(importlib.import_module(module), attr)
+
+
+def from_reference_layout(cfg: Mapping[str, Any]) -> dict[str, Any]:
+    """Translate a job written in the reference's config layout into ours.
+
+    The layout has ``spark``, ``kafka``, ``application``, ``filter`` and
+    ``error`` sections with hyphenated keys (e.g. a HOCON file converted
+    to JSON).  A ``source`` or ``stream`` section of ours, when present,
+    overrides what the Kafka and Spark sections say.  Two things stay ours:
+    ``failOnDataLoss`` is true unless ``fail_on_data_loss`` says otherwise,
+    and TLS material comes from ``ssl_file``, not from JVM properties.
+    """
+    sp, kf = cfg.get("spark", {}), cfg.get("kafka", {})
+    app, flt, err = cfg.get("application", {}), cfg.get("filter", {}), cfg.get("error", {})
+    js = app.get("json", {})
+    if sp.get("enable-hive"):
+        db, tbl = app.get("hive-database"), app.get("hive-table")
+        target = {"table": f"{db}.{tbl}" if db else tbl}
+    else:
+        target = {"path": app.get("output-path")}
+    out: dict[str, Any] = {
+        "app_name": sp.get("app-name", "streamload"),
+        "topic": kf.get("topic", ""),
+        "target": target,
+        "partition_column": app.get("partition-column", "audit_load_date"),
+        "date_format": app.get("date-format", "yyyy-MM-dd"),
+        "primary_keys": list(app.get("primary-keys", [])),
+        "lookback_days": app.get("dedup-lookback-days", 2),
+        "json": {k: v for k, v in (("groups", js.get("groups")), ("fields", js.get("fields")),
+                                   ("type_overrides", js.get("type-overrides"))) if v is not None},
+        "rules": list(flt.get("rules", [])),
+        "error_path": err.get("error-path") or None,
+        "capture_errors": bool(err.get("enable-error-capture", True)),
+        "params": dict(app.get("extra-params", {})),
+    }
+    for ours, theirs in (("transformer", "custom-transformer-class"), ("flattener", "custom-flatten-class")):
+        if app.get(theirs):
+            out[ours] = app[theirs]
+    source = {"format": "kafka", "topic": kf.get("topic"), "bootstrap_servers": kf.get("bootstrap-servers"),
+              "starting_offsets": kf.get("starting-offsets", "earliest"),
+              "security_protocol": kf.get("security-protocol", "PLAINTEXT")}
+    if kf.get("group-id"):
+        source["group_id"] = kf["group-id"]
+    stream: dict[str, Any] = {"checkpoint": sp.get("checkpoint-location")}
+    if sp.get("trigger-interval"):
+        stream["trigger"] = {"processingTime": sp["trigger-interval"]}
+    out["source"] = dict(cfg["source"]) if "source" in cfg else source
+    out["stream"] = {**stream, **dict(cfg.get("stream") or {})}
+    return out
+
+
+def is_reference_layout(cfg: Mapping[str, Any]) -> bool:
+    return "application" in cfg and "primary_keys" not in cfg
+
+
 def build_spec(cfg: Mapping[str, Any]) -> PipelineSpec:
-    return PipelineSpec.from_dict({k: v for k, v in cfg.items() if k not in APP_SECTIONS})
+    d = {k: v for k, v in cfg.items() if k not in APP_SECTIONS}
+    hooks = {k: load_callable(d.pop(k)) for k in ("transformer", "flattener") if isinstance(d.get(k), str)}
+    return PipelineSpec.from_dict(d, **hooks)
 
 
 def build_source(spark: SparkSession, cfg: Mapping[str, Any], spec: PipelineSpec) -> DataFrame:
@@ -97,6 +166,8 @@ def log_metrics(m: BatchMetrics) -> None:
 
 def run_app(spark: SparkSession, cfg: Mapping[str, Any], *, on_metrics=log_metrics) -> StreamingQuery:
     """Start the configured stream and return its query (not awaited)."""
+    if is_reference_layout(cfg):
+        cfg = from_reference_layout(cfg)
     spec = build_spec(cfg)
     stream = dict(cfg.get("stream") or {})
     if not stream.get("checkpoint"):

@@ -220,7 +220,7 @@ class PipelineSpec:
         if "fields" in j:
             mappings += mappings_from_fields(j["fields"])
         if "groups" in j:
-            mappings += mappings_from_groups(j["groups"], j.get("type_overrides"))
+            mappings += mappings_from_groups(j["groups"], j.get("type_overrides", j.get("type-overrides")))
         if "path" in d.get("target", {}) or "table" in d.get("target", {}):
             target = Target(path=d["target"].get("path"), table=d["target"].get("table"))
         else:

@@ -91,3 +91,58 @@ def test_bad_configs_fail_before_starting(spark):
     with pytest.raises(SpecError):
         cfg = _job("/x", format="kafka", bootstrap_servers="b:1", starting_offsets="audit")
         app.build_source(spark, cfg, app.build_spec(cfg))
+
+
+def tag_kind(df):
+    """A transformer named in a job file as 'test_app:tag_kind'."""
+    from pyspark.sql import functions as F
+    return df.withColumn("event_type", F.upper("event_type"))
+
+
+def _reference_job(root):
+    return {
+        "spark": {"app-name": "Kafka to table", "enable-hive": False, "trigger-interval": "1 minute",
+                  "checkpoint-location": f"{root}/ckpt"},
+        "kafka": {"bootstrap-servers": "localhost:9092", "topic": "events", "group-id": "g1",
+                  "starting-offsets": "earliest", "security-protocol": "PLAINTEXT"},
+        "application": {
+            "hive-database": "db", "hive-table": "t", "output-path": f"{root}/target",
+            "partition-column": "audit_load_date", "date-format": "yyyy-MM-dd", "primary-keys": ["event_id"],
+            "dedup-lookback-days": 2, "custom-transformer-class": "", "custom-flatten-class": "",
+            "extra-params": {"threshold": "1000"},
+            "json": {"groups": CONFIG["json"]["groups"],
+                     "type-overrides": CONFIG["json"]["type_overrides"]}},
+        "filter": {"rules": [{"field": "event_type", "operator": "not_equals", "value": "error"}]},
+        "error": {"error-path": f"{root}/errors", "enable-error-capture": True},
+    }
+
+
+def test_reference_layout_translation():
+    job = _reference_job("/r")
+    assert app.is_reference_layout(job)
+    cfg = app.from_reference_layout(job)
+    spec = app.build_spec(cfg)
+    assert spec.target.path == "/r/target" and spec.error_path == "/r/errors" and spec.lookback_days == 2
+    assert [m.type for m in spec.mappings if m.name in ("user_id", "value", "k")] == ["long", "double", "int"]
+    assert spec.rules[0].operator == "not_equals" and spec.params == {"threshold": "1000"}
+    assert cfg["source"] == {"format": "kafka", "topic": "events", "bootstrap_servers": "localhost:9092",
+                             "starting_offsets": "earliest", "security_protocol": "PLAINTEXT", "group_id": "g1"}
+    assert cfg["stream"] == {"checkpoint": "/r/ckpt", "trigger": {"processingTime": "1 minute"}}
+    hive = dict(job, spark=dict(job["spark"], **{"enable-hive": True}))
+    assert app.build_spec(app.from_reference_layout(hive)).target.table == "db.t"
+
+
+def test_reference_layout_job_runs_with_a_named_transformer(spark, workdir):
+    events = spark.read.parquet(f"{SF001}/events.parquet")
+    write_replay(messages_from_events(events), f"{workdir}/replay", files=2)
+    job = _reference_job(f"{workdir}/ref")
+    job["application"]["custom-transformer-class"] = "test_app:tag_kind"
+    job["source"] = {"format": "replay", "path": f"{workdir}/replay"}
+    job["stream"] = {"trigger": {"availableNow": True}}
+    q = app.run_app(spark, job, on_metrics=None)
+    q.awaitTermination()
+    assert q.exception() is None
+    kinds = {r[0] for r in read_rows(spark, f"{workdir}/ref/target").select("event_type").distinct().collect()}
+    assert kinds and all(k == k.upper() for k in kinds)
+    with pytest.raises(SpecError):
+        app.load_callable("no_colon_here")
