@@ -16,6 +16,11 @@ def quote_path(path: str) -> str:
     return ".".join("`" + p.replace("`", "``") + "`" for p in path.split("."))
 
 
+def ident(name: str) -> str:
+    """One back-quoted identifier (a flat column name may itself contain dots)."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def path_col(path: str, root: str | None = None) -> Column:
     return F.col(quote_path(path if root is None else f"{root}.{path}"))
 

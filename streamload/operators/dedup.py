@@ -28,7 +28,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import lookback_values, quote_path
+from ..functions.columns import ident, lookback_values, quote_path
 
 ERROR_KEYS = ("topic", "kafka_partition", "kafka_offset")
 
@@ -46,9 +46,18 @@ def dedup_within_batch(df: DataFrame, keys: Sequence[str],
     their column order.
     """
     keys = list(keys)
-    others = [c for c in df.columns if c not in keys]
+    columns = df.columns
+    others = [c for c in columns if c not in keys]
     if not others:
         return df.dropDuplicates(keys)
+    if all(isinstance(c, str) for c in (order_by or [])):
+        # The same plan as below, written as SQL text: a few JVM calls instead of one per column.
+        parts = [f"{quote_path(c)} AS _o{i}" for i, c in enumerate(order_by or [])]
+        parts.append(f"struct({', '.join(quote_path(c) for c in others)}) AS _row")
+        picked = df.groupBy(*[F.expr(quote_path(k)) for k in keys]).agg(
+            F.expr(f"min(struct({', '.join(parts)})) AS _best"))
+        return picked.selectExpr(*[
+            quote_path(c) if c in keys else f"_best._row.{quote_path(c)} AS {ident(c)}" for c in columns])
     order = [_as_col(c).alias(f"_o{i}") for i, c in enumerate(order_by or [])]
     row = F.struct(*[F.col(quote_path(c)) for c in others]).alias("_row")
     best = F.min(F.struct(*order, row)).alias("_best")
@@ -92,11 +101,8 @@ def anti_join_existing(df: DataFrame, existing: DataFrame | None, keys: Sequence
     if existing is None:
         return df
     keys = list(keys)
-    right = existing.select(*[F.col(quote_path(k)).alias(f"_k{i}") for i, k in enumerate(keys)])
-    cond = None
-    for i, k in enumerate(keys):
-        c = df[quote_path(k)] == right[f"_k{i}"]
-        cond = c if cond is None else cond & c
+    right = existing.selectExpr(*[f"{quote_path(k)} AS _k{i}" for i, k in enumerate(keys)])
+    cond = F.expr(" AND ".join(f"{quote_path(k)} = _k{i}" for i, k in enumerate(keys)))
     return df.join(right, cond, "left_anti")
 
 
@@ -129,9 +135,6 @@ def restrict_to_keys(existing: DataFrame | None, candidates: DataFrame, keys: Se
     if existing is None:
         return None
     keys = list(keys)
-    right = candidates.select(*[F.col(quote_path(k)).alias(f"_c{i}") for i, k in enumerate(keys)])
-    cond = None
-    for i, k in enumerate(keys):
-        c = existing[quote_path(k)] == right[f"_c{i}"]
-        cond = c if cond is None else cond & c
+    right = candidates.selectExpr(*[f"{quote_path(k)} AS _c{i}" for i, k in enumerate(keys)])
+    cond = F.expr(" AND ".join(f"{quote_path(k)} = _c{i}" for i, k in enumerate(keys)))
     return existing.join(F.broadcast(right), cond, "left_semi")

@@ -49,7 +49,7 @@ def to_error_rows(df: DataFrame, reason: Column | str, partition_column: str, *,
     """
     reason_col = F.lit(reason) if isinstance(reason, str) else reason
     if SOURCE_STRUCT in df.columns and not reserialize:
-        env = [F.col(f"{SOURCE_STRUCT}.{c}").alias(c) for c in ENVELOPE]
+        env = [F.expr(f"{SOURCE_STRUCT}.{c} AS {c}") for c in ENVELOPE]
     else:
         ts = as_of_lit(as_of).cast("timestamp") if as_of is not None else F.current_timestamp()
         env = [

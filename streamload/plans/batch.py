@@ -294,7 +294,7 @@ def batch_stats(parsed: DataFrame, spec: PipelineSpec, cols=None) -> BatchStats:
     """
     cols = _key_columns(spec) if cols is None else cols
     width = None if cols is None else _key_bytes(cols)
-    aggs = [F.count(F.lit(1)).alias("n")]
+    aggs = [F.expr("count(1) AS n")]
     if width is not None:
         is_error = F.col(PARSE_FAILED) | reduce(lambda a, b: a | b, [c.isNull() for c, _ in cols])
         pos = (F.lit(ROW_OVERHEAD + SLOT * len(ERROR_KEYS) + PAD)
@@ -344,14 +344,14 @@ def good_rows_plan(good: DataFrame, spec: PipelineSpec, as_of: _dt.datetime, *,
     """PIP-2 good branch: rules -> in-batch dedup -> anti join, each stage observed."""
     obs = {k: _obs(k) for k in ("rules", "batch_dedup", "written")}
     good = _narrow_source(good, spec)
-    ruled = apply_rules(good, spec.rules).observe(obs["rules"], F.count(F.lit(1)).alias("n"))
+    ruled = apply_rules(good, spec.rules).observe(obs["rules"], F.expr("count(1) AS n"))
     if spec.dedup_within_batch:
         order = [c for c in spec.dedup_order if not c.startswith(SOURCE_STRUCT) or SOURCE_STRUCT in good.columns]
         ruled = dedup_within_batch(ruled, spec.primary_keys, order)
-    ruled = ruled.observe(obs["batch_dedup"], F.count(F.lit(1)).alias("n"))
+    ruled = ruled.observe(obs["batch_dedup"], F.expr("count(1) AS n"))
     new = dedup_against_target(ruled, spec, as_of, candidates) if dedup else ruled
     out = new.drop(SOURCE_STRUCT) if SOURCE_STRUCT in new.columns else new
-    return out.observe(obs["written"], F.count(F.lit(1)).alias("n")), obs
+    return out.observe(obs["written"], F.expr("count(1) AS n")), obs
 
 
 def error_rows_plan(bad: DataFrame, spec: PipelineSpec, as_of: _dt.datetime,
@@ -370,7 +370,7 @@ def error_rows_plan(bad: DataFrame, spec: PipelineSpec, as_of: _dt.datetime,
             stored = restrict_to_keys(stored, candidates, ERROR_KEYS)
         out = anti_join_errors(bad, stored)
     o = _obs("bad_written")
-    return out.observe(o, F.count(F.lit(1)).alias("n")), o
+    return out.observe(o, F.expr("count(1) AS n")), o
 
 
 def write_good(df: DataFrame, spec: PipelineSpec) -> None:
