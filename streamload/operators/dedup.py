@@ -33,6 +33,13 @@ from ..functions.columns import ident, lookback_values, quote_path
 ERROR_KEYS = ("topic", "kafka_partition", "kafka_offset")
 
 
+def _free_prefix(df: DataFrame, prefix: str) -> str:
+    """A name prefix no column of ``df`` starts with, so renamed join keys resolve by name alone."""
+    while any(c.startswith(prefix) for c in df.columns):
+        prefix = "_" + prefix
+    return prefix
+
+
 def _as_col(c: str | Column) -> Column:
     return F.col(quote_path(c)) if isinstance(c, str) else c
 
@@ -101,8 +108,9 @@ def anti_join_existing(df: DataFrame, existing: DataFrame | None, keys: Sequence
     if existing is None:
         return df
     keys = list(keys)
-    right = existing.selectExpr(*[f"{quote_path(k)} AS _k{i}" for i, k in enumerate(keys)])
-    cond = F.expr(" AND ".join(f"{quote_path(k)} = _k{i}" for i, k in enumerate(keys)))
+    p = _free_prefix(df, "_k")
+    right = existing.selectExpr(*[f"{quote_path(k)} AS {p}{i}" for i, k in enumerate(keys)])
+    cond = F.expr(" AND ".join(f"{quote_path(k)} = {p}{i}" for i, k in enumerate(keys)))
     return df.join(right, cond, "left_anti")
 
 
@@ -135,6 +143,7 @@ def restrict_to_keys(existing: DataFrame | None, candidates: DataFrame, keys: Se
     if existing is None:
         return None
     keys = list(keys)
-    right = candidates.selectExpr(*[f"{quote_path(k)} AS _c{i}" for i, k in enumerate(keys)])
-    cond = F.expr(" AND ".join(f"{quote_path(k)} = _c{i}" for i, k in enumerate(keys)))
+    p = _free_prefix(existing, "_c")
+    right = candidates.selectExpr(*[f"{quote_path(k)} AS {p}{i}" for i, k in enumerate(keys)])
+    cond = F.expr(" AND ".join(f"{quote_path(k)} = {p}{i}" for i, k in enumerate(keys)))
     return existing.join(F.broadcast(right), cond, "left_semi")

@@ -94,3 +94,11 @@ def test_error_anti_join_keeps_rebuilt_rows_out_of_the_join(spark):
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     # the join input carries only positioned rows
     assert "Union" in plan and "LeftAnti" in plan
+
+
+def test_anti_join_with_columns_named_like_the_renamed_keys(spark):
+    from streamload.operators import restrict_to_keys
+    df = spark.createDataFrame([(1, "a", 5), (2, "b", 6)], "id int, _k0 string, _c0 int")
+    existing = spark.createDataFrame([(2, "x", 9)], "id int, _k0 string, _c0 int")
+    assert [r["id"] for r in anti_join_existing(df, existing, ["id"]).collect()] == [1]
+    assert [r["id"] for r in restrict_to_keys(existing, df, ["id"]).collect()] == [2]
