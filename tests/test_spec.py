@@ -46,11 +46,12 @@ def test_schema_nests_paths_in_first_appearance_order():
     ("timestamp", T.TimestampType()), ("decimal(12,2)", T.DecimalType(12, 2)),
     ("array<string>", T.ArrayType(T.StringType())),
 ])
-def test_resolve_type(name, expected):
+def test_resolve_type(spark, name, expected):
+    # DDL type strings are parsed by Spark, so a session must be active.
     assert resolve_type(name) == expected
 
 
-def test_unknown_type_raises_or_falls_back():
+def test_unknown_type_raises_or_falls_back(spark):
     with pytest.raises(SpecError):
         resolve_type("no_such_type")
     assert resolve_type("no_such_type", on_unknown="string") == T.StringType()
@@ -79,3 +80,16 @@ def test_from_dict():
     assert spec.target.path == "/out" and spec.lookback_days == 3
     assert spec.rules[0].values == ("1", "2") and spec.param("threshold") == "5" and spec.param("x", "d") == "d"
     assert [m.type for m in spec.mappings] == ["string", "int"]
+
+
+def test_from_dict_new_keys():
+    import datetime as _dt
+    from streamload import PipelineSpec, SpecError
+    base = {"primary_keys": ["id"], "json": {"groups": [{"path": "", "columns": "id, amt"}],
+                                             "type-overrides": [{"name": "amt", "type": "int"}]},
+            "target": {"path": "/x"}}
+    spec = PipelineSpec.from_dict(dict(base, restrict_existing=False, on_type_mismatch="error", as_of="2024-01-30"))
+    assert spec.restrict_existing is False and spec.on_type_mismatch == "error"
+    assert spec.as_of == _dt.datetime(2024, 1, 30) and [m.type for m in spec.mappings] == ["string", "int"]
+    with pytest.raises(SpecError):
+        PipelineSpec.from_dict(dict(base, on_type_mismatch="sometimes"))
