@@ -75,7 +75,7 @@ def lookback_dates(as_of: _dt.datetime, days: int, fmt: str) -> list[Column]:
 
 def any_null(cols: Sequence[str]) -> Column:
     """OR over ``col IS NULL`` for every key (FLT-9)."""
-    return reduce(lambda a, b: a | b, [F.col(quote_path(c)).isNull() for c in cols])
+    return F.expr(" OR ".join(f"{quote_path(c)} IS NULL" for c in cols))
 
 
 # Java date-pattern letters that have an exact strftime twin.

@@ -31,10 +31,9 @@ def reserialized_json(columns: Sequence[str]) -> Column:
 
 def error_reason(keys: Sequence[str], parse_failed: str | None = PARSE_FAILED) -> Column:
     """``JSON_PARSE_FAILURE`` / ``NULL_PRIMARY_KEY`` / NULL (good), first match wins."""
-    reason = F.when(any_null(keys), F.lit(NULL_PRIMARY_KEY))
-    if parse_failed is not None:
-        reason = F.when(F.col(parse_failed), F.lit(JSON_PARSE_FAILURE)).otherwise(reason)
-    return reason
+    nulls = " OR ".join(f"{quote_path(k)} IS NULL" for k in keys)
+    first = "" if parse_failed is None else f"WHEN {quote_path(parse_failed)} THEN '{JSON_PARSE_FAILURE}' "
+    return F.expr(f"CASE {first}WHEN {nulls} THEN '{NULL_PRIMARY_KEY}' END")
 
 
 def to_error_rows(df: DataFrame, reason: Column | str, partition_column: str, *,

@@ -115,6 +115,11 @@ def _count(cond) -> Any:
     return F.sum(F.when(cond, 1).otherwise(0)).cast("long")
 
 
+def _count_sql(cond: str, name: str) -> Any:
+    """Rows where the SQL condition holds, as one expression (used on every batch)."""
+    return F.expr(f"CAST(SUM(CASE WHEN {cond} THEN 1 ELSE 0 END) AS BIGINT) AS {name}")
+
+
 def parse_batch(raw: DataFrame, spec: PipelineSpec) -> DataFrame:
     """Envelope + parse with the spec's schema: ``_src``, ``parsed``, ``parse_failed``."""
     schema = spec.flattener_schema
@@ -148,9 +153,9 @@ def transform_batch(parsed: DataFrame, spec: PipelineSpec, as_of: _dt.datetime |
         tagged = flat.withColumn(ERROR_REASON, error_reason(keys))
         obs["split"] = _obs("split")
         tagged = tagged.observe(
-            obs["split"], F.count(F.lit(1)).alias("n_in"),
-            _count(F.col(ERROR_REASON) == JSON_PARSE_FAILURE).alias("n_parse_failure"),
-            _count(F.col(ERROR_REASON) == NULL_PRIMARY_KEY).alias("n_null_key"))
+            obs["split"], F.expr("count(1) AS n_in"),
+            _count_sql(f"{ERROR_REASON} = '{JSON_PARSE_FAILURE}'", "n_parse_failure"),
+            _count_sql(f"{ERROR_REASON} = '{NULL_PRIMARY_KEY}'", "n_null_key"))
         good, bad = split_bad_records(tagged, part, data_columns=spec.mapped_columns, topic=spec.topic,
                                       as_of=as_of, reserialize=spec.reserialize_null_key_rows)
         return BatchResult(good, bad, obs, tagged=tagged)
@@ -159,7 +164,7 @@ def transform_batch(parsed: DataFrame, spec: PipelineSpec, as_of: _dt.datetime |
     # run the hooks on the parsed rows, then split on the keys (SET-1 union).
     obs["parse"] = _obs("parse")
     parsed = parsed.observe(obs["parse"], F.count(F.lit(1)).alias("n_in"),
-                            _count(F.col(PARSE_FAILED)).alias("n_parse_failure"))
+                            _count_sql(PARSE_FAILED, "n_parse_failure"))
     ok = parsed.filter(~F.col(PARSE_FAILED))
     reserved = [part, ERROR_REASON]
     if spec.flattener is not None:
@@ -175,7 +180,7 @@ def transform_batch(parsed: DataFrame, spec: PipelineSpec, as_of: _dt.datetime |
     tagged = flat.withColumn(ERROR_REASON, F.when(any_null(keys), F.lit(NULL_PRIMARY_KEY)))
     obs["keys"] = _obs("keys")
     tagged = tagged.observe(obs["keys"], F.count(F.lit(1)).alias("n_flat"),
-                            _count(F.col(ERROR_REASON).isNotNull()).alias("n_null_key"))
+                            _count_sql(f"{ERROR_REASON} IS NOT NULL", "n_null_key"))
     good, key_bad = split_bad_records(tagged, part, data_columns=data_cols, topic=spec.topic, as_of=as_of,
                                       reserialize=spec.reserialize_null_key_rows)
     parse_bad = to_error_rows(parsed.filter(F.col(PARSE_FAILED)).select(F.col(SOURCE_STRUCT), ld),
@@ -477,7 +482,7 @@ def _recount(result: BatchResult, spec: PipelineSpec) -> dict[str, int]:
     out["n_in"] = out["n_flat"]
     if result.parsed is not None:
         p = result.parsed.agg(F.count(F.lit(1)).alias("n_in"),
-                              _count(F.col(PARSE_FAILED)).alias("n_parse_failure")).first()
+                              _count_sql(PARSE_FAILED, "n_parse_failure")).first()
         out["n_in"], out["n_parse_failure"] = int(p["n_in"]), int(p["n_parse_failure"] or 0)
     return out
 
