@@ -163,7 +163,7 @@ def transform_batch(parsed: DataFrame, spec: PipelineSpec, as_of: _dt.datetime |
     # Hooks may change columns and rows: split parse failures first, then
     # run the hooks on the parsed rows, then split on the keys (SET-1 union).
     obs["parse"] = _obs("parse")
-    parsed = parsed.observe(obs["parse"], F.count(F.lit(1)).alias("n_in"),
+    parsed = parsed.observe(obs["parse"], F.expr("count(1) AS n_in"),
                             _count_sql(PARSE_FAILED, "n_parse_failure"))
     ok = parsed.filter(~F.col(PARSE_FAILED))
     reserved = [part, ERROR_REASON]
@@ -179,7 +179,7 @@ def transform_batch(parsed: DataFrame, spec: PipelineSpec, as_of: _dt.datetime |
                        *([F.col(SOURCE_STRUCT)] if SOURCE_STRUCT in flat.columns else []))
     tagged = flat.withColumn(ERROR_REASON, F.when(any_null(keys), F.lit(NULL_PRIMARY_KEY)))
     obs["keys"] = _obs("keys")
-    tagged = tagged.observe(obs["keys"], F.count(F.lit(1)).alias("n_flat"),
+    tagged = tagged.observe(obs["keys"], F.expr("count(1) AS n_flat"),
                             _count_sql(f"{ERROR_REASON} IS NOT NULL", "n_null_key"))
     good, key_bad = split_bad_records(tagged, part, data_columns=data_cols, topic=spec.topic, as_of=as_of,
                                       reserialize=spec.reserialize_null_key_rows)
