@@ -12,6 +12,7 @@ session's shared checkpoint directory.
 from __future__ import annotations
 
 import datetime as _dt
+import importlib
 import os
 import sys
 import uuid
@@ -569,9 +570,29 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_ingest_batch(spark, "/root/testdata/sf0.001")
 
 
+def _optional(module: str):
+    """The module, or None where it (or a package above it) is not there; errors inside it are raised."""
+    try:
+        return importlib.import_module(module)
+    except ModuleNotFoundError as e:
+        if e.name and (module == e.name or module.startswith(f"{e.name}.")):
+            return None
+        raise
+
+
+_training_data = _optional("streamload.llm.queries")
+_pipeline = _optional("corpus_pipeline") if _training_data else None
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(QUERIES)
+    more = dict(_training_data.QUERIES) if _training_data else {}
+    if _pipeline:
+        more["pipeline"] = _pipeline.run
+    return {**QUERIES, **more}
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLES)
+    more = dict(_training_data.ORACLE_SQL) if _training_data else {}
+    if _pipeline and _pipeline.ORACLE_SQL:
+        more["pipeline"] = _pipeline.ORACLE_SQL
+    return {**ORACLES, **more}

@@ -46,10 +46,16 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(E.QUERIES) == set(E.ORACLES)
+    assert set(E.QUERIES) <= set(E.queries()) and set(E.oracle_sql()) <= set(E.queries())
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_optional_modules():
+    assert E._optional("streamload.no_such_package.queries") is None
+    assert E._optional("streamload.workspace") is not None
+
+
+@pytest.mark.parametrize("name", sorted(E.QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF001)
     rows = [tuple(r) for r in df.collect()]
