@@ -1,12 +1,28 @@
-"""The operators' registered queries and their SQL."""
+"""The operators' registered queries, and SQL for those that SQL can express."""
 
 from __future__ import annotations
 
+from .decontamination import op7_benchmark_decontamination
 from .line_dedup import OP10_SQL, op10_line_dedup
+from .packing import op1_sum_of_squares_packing
+from .private_terms import op8_private_terms
 from .quality_classifier import op5_quality_classifier
+from .quality_rules import op2_distribution_divergence
+from .simhash import op9_simhash_near_dedup
+from .substring_dedup import op6_substring_dedup
+from .suffix_dedup import op3_suffix_array_dedup
+from .toxicity import op4_toxicity
 
 QUERIES = {
+    "op1_sum_of_squares_packing": op1_sum_of_squares_packing,
+    "op2_distribution_divergence": op2_distribution_divergence,
+    "op3_suffix_array_dedup": op3_suffix_array_dedup,
+    "op4_toxicity": op4_toxicity,
     "op5_quality_classifier": op5_quality_classifier,
+    "op6_substring_dedup": op6_substring_dedup,
+    "op7_benchmark_decontamination": op7_benchmark_decontamination,
+    "op8_private_terms": op8_private_terms,
+    "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_line_dedup": op10_line_dedup,
 }
 
