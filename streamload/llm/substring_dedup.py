@@ -88,7 +88,7 @@ def _extend(texts: pa.Table, repeated: pa.Table, shards: int) -> pa.Table:
         if not len(a):
             continue
         size = b - a + WINDOW - LEVELS[1]  # an anchor that a run holds twice can repeat inside the run
-        twice = np.add.reduceat(sixteen[ranges(a, size)] == np.repeat(least[a], size), np.cumsum(size) - size) > 1
+        twice = np.add.reduceat((sixteen[ranges(a, size)] == np.repeat(least[a], size)).astype(np.int64), np.cumsum(size) - size) > 1
         size = b - a + more
         data, ends = wide[ranges(a, size)], np.concatenate(([0], np.cumsum(size))) * 8
         names = pa.Array.from_buffers(pa.large_binary(), len(a), [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(data)])
