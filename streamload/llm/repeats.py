@@ -94,20 +94,30 @@ def ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
 
 
-def repeated_anchors(found: DataFrame, total: int, anchor_bytes: int = ANCHOR_BYTES) -> DataFrame:
+def _times(keys: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """For each key: the summed weights of its equals."""
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+    out = np.empty(len(keys), np.int64)
+    out[order] = np.repeat(np.add.reduceat(weight[order], first), np.diff(np.append(first, len(keys))))
+    return out
+
+
+def repeated_anchors(found: DataFrame, total: int, anchor_bytes: int = ANCHOR_BYTES,
+                     parts: tuple[int, ...] = (0xFFFF_FFFF_FFFF_FFFF,)) -> DataFrame:
     """(block, h) of the anchors that occur in several places; ``found`` has (block, h, many), once per block.
 
+    With ``parts``, two anchors are the same if they agree under one of these masks, all of which hold the upper 48 bits.
     A block sends each anchor once, so the most frequent one has a row per block here.
     """
     def run(group: pa.Table) -> pa.Table:
         h, block, many = (group.column(c).to_numpy() for c in ("h", "block", "many"))
-        order = np.argsort(h, kind="stable")
-        h, block, many = h[order], block[order], many[order]
-        first = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1]))) if len(h) else np.zeros(0, int)
-        times = np.repeat(np.add.reduceat(1 + many.astype(np.int64), first), np.diff(np.append(first, len(h)))) \
-            if len(h) else np.zeros(0, int)
-        return pa.table({"block": block[times > 1], "h": h[times > 1]})
-    bucket = F.pmod(F.col("h"), F.lit(total // anchor_bytes + 1)).cast("int")
+        again = np.zeros(len(h), bool)
+        for mask in parts if len(h) else ():
+            again |= _times(h.view(np.uint64) & np.uint64(mask), 1 + many.astype(np.int64)) > 1
+        return pa.table({"block": block[again], "h": h[again]})
+    bucket = F.pmod(F.shiftrightunsigned("h", 16), F.lit(total // anchor_bytes + 1)).cast("int")
     return found.withColumn("bucket", bucket).groupBy("bucket").applyInArrow(run, "block int, h long")
 
 

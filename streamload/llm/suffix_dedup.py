@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import mix, table
+from .common import mix, sliding_min, table
 from .repeats import (SHARD_BYTES, among, anchors, blocks, chunks, per_block, ranges, ranks, raw_texts, repeated_anchors, runs,
                       spans_by_document, valid_windows, with_blocks)
 
@@ -41,23 +41,39 @@ def eight_bytes(text: np.ndarray) -> np.ndarray:
     return ((x[:-4] << np.uint64(32)) | x[4:])[:len(text)]
 
 
-def _grams(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+def _grams(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes, the eight-byte word at each of them, and the hash of the gram that starts there."""
     text = np.frombuffer(b"".join(raw), np.uint8)
     eight = eight_bytes(text)
-    return text, mix(mix(eight[:-8]) ^ eight[8:])[:max(len(text) - GRAM + 1, 0)]
+    return text, eight, mix(mix(eight[:-8]) ^ eight[8:])[:max(len(text) - GRAM + 1, 0)]
+
+
+def _keys(eight: np.ndarray, grams: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """48 bits of the gram, 8 of the 17 bytes before it and 8 of the 17 bytes after it.
+
+    Two places that share a 50-byte window around the gram agree in the gram and, as 34 more bytes agree, in 17 bytes on
+    one side.  (At the ends of a text the side that is not there is not the one that agrees.)
+    """
+    side = (WIDTH - GRAM) // 2
+    padded = np.concatenate([np.zeros(side, np.uint64), eight, np.zeros(2 * WIDTH, np.uint64)])
+    low = np.uint64(255)
+
+    def of(p: np.ndarray) -> np.ndarray:  # the ``side`` bytes from p on
+        return mix(mix(mix(padded[p]) ^ padded[p + 8]) ^ padded[p + side - 8]) & low
+    return (grams[at] & ~np.uint64(0xFFFF)) | (of(at) << np.uint64(8)) | of(at + side + GRAM)
 
 
 def _first_level(texts: pa.Table) -> pa.Table:
-    """Anchors of a block; ``many`` if several of its documents have one."""
+    """Keys of a block's anchors; ``many`` if several of its documents have one."""
     raw = raw_texts(texts)
     seen, docs = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
     sizes = np.fromiter(map(len, raw), np.int64, len(raw))
     for a, b in chunks(sizes):
-        text, grams = _grams(raw[a:b])
+        text, eight, grams = _grams(raw[a:b])
         if len(text) >= WIDTH:
             valid, _ = valid_windows(sizes[a:b], WIDTH)
             at = anchors(grams, valid, WIDTH - GRAM + 1)[1]
-            seen.append(grams[at])
+            seen.append(_keys(eight, grams, at))
             docs.append(a + np.searchsorted(np.cumsum(sizes[a:b]), at, "right"))
     h, doc = np.concatenate(seen), np.concatenate(docs)
     order = np.lexsort((doc, h))
@@ -80,17 +96,21 @@ def _surroundings(texts: pa.Table, repeated: pa.Table, shards: int) -> pa.Table:
     sizes = np.fromiter(map(len, raw), np.int64, len(raw))
     cols: dict[str, list] = {k: [] for k in ("h", "doc", "start", "part")}
     for first, last in chunks(sizes) if len(known) else ():
-        text, grams = _grams(raw[first:last])
+        text, eight, grams = _grams(raw[first:last])
         if len(text) < WIDTH:
             continue
         valid, owner = valid_windows(sizes[first:last], WIDTH)
-        least = anchors(grams, valid, WIDTH - GRAM + 1)[0]
-        a, b = runs(least, valid & among(least, known), owner)
+        least, at = anchors(grams, valid, WIDTH - GRAM + 1)
+        open_at = np.full(len(grams), ~np.uint64(0))
+        at = at[among(_keys(eight, grams, at), known)]
+        open_at[at] = grams[at]
+        a, b = runs(least, valid & (least == sliding_min(open_at, WIDTH - GRAM + 1)), owner)
         if not len(a):
             continue
         size = b - a + WIDTH - 1
         data, ends = text[ranges(a, size)], np.concatenate(([0], np.cumsum(size)))
-        part = pa.Array.from_buffers(pa.large_binary(), len(a), [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(data)])
+        buffers = [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(data)]
+        part = pa.Array.from_buffers(pa.large_binary(), len(a), buffers)
         cols["h"].append(least[a])
         cols["doc"].append((first + owner[a]).astype(np.int32))
         cols["start"].append((a - (np.cumsum(sizes[first:last]) - sizes[first:last])[owner[a]]).astype(np.int32))
@@ -144,7 +164,8 @@ def suffix_order(text: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     rest = rest[np.argsort(by_next(rest), kind="stable")]
     sampled = np.concatenate([one, two])
     sampled = sampled[np.argsort(names[sampled], kind="stable")]
-    place = np.arange(len(rest)) + np.searchsorted(by_next(one), by_next(rest)) + np.searchsorted(by_second(two), by_second(rest))
+    place = (np.arange(len(rest)) + np.searchsorted(by_next(one), by_next(rest))
+             + np.searchsorted(by_second(two), by_second(rest)))
     merged = np.empty(len(wanted), np.int64)
     taken = np.zeros(len(wanted), bool)
     place = np.maximum.accumulate(place - np.arange(len(rest))) + np.arange(len(rest)) if len(rest) else place
@@ -230,7 +251,9 @@ def drop_repeated_bytes(docs: DataFrame) -> DataFrame:
     dealt, total = blocks(docs)
     shards = total // SHARD_BYTES + 1
     found = per_block(dealt, _first_level, "block int, h long, many boolean")
-    parts = with_blocks(dealt, repeated_anchors(found, total), lambda t, r: _surroundings(t, r, shards), _DDL)
+    # a key occurs elsewhere if its gram does with the same bytes before it or after it
+    again = repeated_anchors(found, total, parts=(0xFFFF_FFFF_FFFF_FF00, 0xFFFF_FFFF_FFFF_00FF))
+    parts = with_blocks(dealt, again, lambda t, r: _surroundings(t, r, shards), _DDL)
     windows = parts.groupBy("bucket").applyInArrow(_decide, "block int, doc int, start int, stop int")
     kind = docs.schema["doc_id"].dataType.simpleString()
     return with_blocks(dealt, windows, _without,
