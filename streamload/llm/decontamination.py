@@ -169,17 +169,20 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERR
     return out
 
 
+def _holds(shared: Broadcast, error_rate: float):
+    """An Arrow function: does a text hold a passage of the block's items?"""
+    @F.pandas_udf(T.BooleanType())
+    def holds(texts: pd.Series) -> pd.Series:
+        matcher = _matcher(shared, error_rate)
+        return texts.map(lambda t: next(matcher.matches(normalise(t)), None) is not None).astype(bool)
+    return holds
+
+
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_RATE,
                       min_chars: int = MIN_CHARS, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """``docs`` without the documents that hold a passage of an item."""
     for items in _blocks(benchmark, min_chars, block_chars):
-        shared = docs.sparkSession.sparkContext.broadcast(items)
-
-        @F.pandas_udf(T.BooleanType())
-        def holds(texts: pd.Series, shared=shared) -> pd.Series:
-            matcher = _matcher(shared, error_rate)
-            return texts.map(lambda t: next(matcher.matches(normalise(t)), None) is not None).astype(bool)
-        docs = docs.where(~holds(whole_text(docs)))
+        docs = docs.where(~_holds(docs.sparkSession.sparkContext.broadcast(items), error_rate)(whole_text(docs)))
     return docs
 
 

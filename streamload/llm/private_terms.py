@@ -35,22 +35,50 @@ CONTEXT_CHARS, SUPPORT, DISCLOSURE, MIN_TERM = 48, 3, 0.8, 3
 _SPANS = "array<struct<start:int,rank:int,end:int,value:string>>"
 
 
-def _lengths(parts: Column) -> Column:
-    return F.aggregate(parts, F.lit(0), lambda a, x: a + F.length(x))
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, whatever the body does with it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _sum(numbers: Column) -> Column:
+    return F.aggregate(numbers, F.lit(0), lambda a, x: a + x)
+
+
+def _before(numbers: Column, group: int = 64) -> Column:
+    """Sum of the numbers before each; in groups, so that many numbers cost little more than their count."""
+    def of_groups(parts: Column) -> Column:
+        return _let(F.transform(parts, _sum), lambda sums: F.flatten(F.transform(parts, lambda x, k: _let(
+            _sum(F.slice(sums, F.lit(1), k)),
+            lambda base: F.transform(x, lambda y, i: base + _sum(F.slice(x, F.lit(1), i)))))))
+    return _let(numbers, lambda every: _let(F.transform(
+        F.sequence(F.lit(0), F.floor((F.size(every) - 1) / group).cast("int")),
+        lambda k: F.slice(every, k * group + 1, group)), of_groups))
 
 
 def _spans(text: Column, pattern: str, kind: int) -> Column:
     """Matches of the pattern as spans: what lies between the matches tells where they start."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    between = F.split(text, pattern)
-    step = lambda acc, x: F.struct(
-        (acc["at"] + F.length(x["between"]) + F.length(x["value"])).alias("at"),
-        F.concat(acc["out"], F.array(F.struct(
-            (acc["at"] + F.length(x["between"])).alias("start"), F.lit(kind).alias("rank"),
-            (acc["at"] + F.length(x["between"]) + F.length(x["value"])).alias("end"), x["value"].alias("value")))).alias("out"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(_SPANS).alias("out"))
-    pairs = F.zip_with(found, F.slice(between, F.lit(1), F.size(found)), lambda v, b: F.struct(b.alias("between"), v.alias("value")))
-    return F.when(F.size(found) > 0, F.aggregate(pairs, start, step, lambda acc: acc["out"])).otherwise(F.array().cast(_SPANS))
+    def placed(pairs: Column) -> Column:
+        lengths = F.transform(pairs, lambda p: F.length(p["between"]) + F.length(p["value"]))
+        return F.zip_with(pairs, _before(lengths), lambda p, at: F.struct(
+            (at + F.length(p["between"])).alias("start"), F.lit(kind).alias("rank"),
+            (at + F.length(p["between"]) + F.length(p["value"])).alias("end"), p["value"].alias("value")))
+
+    def found(t: Column) -> Column:
+        pairs = _let(F.regexp_extract_all(t, F.lit(pattern), F.lit(0)), lambda values: F.zip_with(
+            values, F.slice(F.split(t, pattern), F.lit(1), F.size(values)),
+            lambda v, b: F.struct(b.alias("between"), v.alias("value"))))
+        return F.when(t.rlike(pattern), _let(pairs, placed)).otherwise(F.array().cast(_SPANS))
+    return _let(text, found)
+
+
+def _blanked(text: Column, spans: Column) -> Column:
+    """The text with blanks in place of the spans (which are in order and do not overlap)."""
+    def of(t: Column, s: Column) -> Column:
+        end = lambda k: F.coalesce(F.get(s, k)["end"], F.lit(0))
+        parts = F.transform(s, lambda x, k: F.concat(F.substring(t, end(k - 1) + 1, x["start"] - end(k - 1)),
+                                                     F.repeat(F.lit(" "), x["end"] - x["start"])))
+        return F.concat(F.array_join(parts, ""), F.substring(t, end(F.size(s) - 1) + 1, F.length(t)))
+    return _let(text, lambda t: _let(spans, lambda s: of(t, s)))
 
 
 def _digits(value: Column) -> Column:
@@ -72,15 +100,23 @@ def _valid(kind: str, value: Column) -> Column:
     return n.between(10, 15) if kind == "phone" else F.lit(True)
 
 
+def _keeps(kind: str):
+    return lambda span: _valid(kind, span["value"])
+
+
 def base_spans(docs: DataFrame) -> DataFrame:
     """doc_id, key (hash of the text), text, spans (valid ones of all base kinds by start and kind)."""
     text = whole_text(docs)
     found = docs.select("doc_id", F.xxhash64(text).alias("key"), text.alias("text"), *[
         _spans(text, p, KINDS.index(kind)).alias(f"s_{kind}") for kind, p in PATTERNS.items()])
-    valid = [F.filter(f"s_{kind}", lambda s, kind=kind: _valid(kind, s["value"])) for kind in PATTERNS]
+    valid = [F.filter(f"s_{kind}", _keeps(kind)) for kind in PATTERNS]
     return found.select("doc_id", "key", "text", F.sort_array(F.concat(*valid)).alias("spans"))
 
 
+def _of_kind(rank: int):
+    return lambda span: span["rank"] == rank
+
+
 def _words_at(text: Column, base: Column) -> Column:
     """Words of a piece of text that starts at ``base``, with their place."""
     return F.transform(_spans(text, r"[^\x20\x09-\x0D]++", KINDS.index("term")), lambda s: F.struct(
@@ -93,22 +129,31 @@ def _term(value: Column) -> Column:
 
 
 def contexts(with_spans: DataFrame) -> DataFrame:
-    """One row per span and word wholly inside ``CONTEXT_CHARS`` code points on either side of it."""
-    spans = with_spans.where(F.size("spans") > 0).select("doc_id", "key", "text", "spans", F.explode("spans").alias("s"))
-    left_at = F.greatest(F.col("s.start") - CONTEXT_CHARS, F.lit(0))
-    left = F.substring("text", left_at + 1, F.col("s.start") - left_at)
-    right = F.substring("text", F.col("s.end") + 1, F.lit(CONTEXT_CHARS))
-    # a word that the edge of the context cuts is left out
-    left = F.when(left_at > 0, F.concat(F.repeat(F.lit(" "), F.length(F.regexp_extract(left, r"^[^\x20\x09-\x0D]*", 0))),
-                                        F.regexp_replace(left, r"^[^\x20\x09-\x0D]*", ""))).otherwise(left)
-    right = F.when(F.length(right) == CONTEXT_CHARS, F.regexp_replace(right, r"[^\x20\x09-\x0D]*$", "")).otherwise(right)
-    near = spans.select("doc_id", "key", "spans", F.col("s.value").alias("entity"),
-                        F.xxhash64(_term(left), _term(right)).alias("context"),
-                        F.concat(_words_at(left, left_at), _words_at(right, F.col("s.end"))).alias("words"))
-    words = near.select("doc_id", "key", "entity", "context", "spans", F.explode("words").alias("w"))
-    free = ~F.exists("spans", lambda s: (s["start"] < F.col("w.end")) & (F.col("w.start") < s["end"]))
-    return words.where(free).select("doc_id", "key", "entity", "context", _term(F.col("w.value")).alias("term"),
-                                    F.col("w.start").alias("start"), F.col("w.end").alias("end")) \
+    """One row per span and word wholly inside ``CONTEXT_CHARS`` code points on either side of it.
+
+    Personal data of any kind is blanked first, so that only other words are terms.
+    """
+    found = with_spans.where(F.size("spans") > 0)
+    for kind in range(len(PATTERNS)):
+        found = found.withColumn("text", _blanked(F.col("text"), F.filter("spans", _of_kind(kind))))
+
+    def around(text: Column, s: Column) -> Column:
+        at = F.greatest(s["start"] - CONTEXT_CHARS, F.lit(0))
+        # a word that the edge of the context cuts is blanked on the left, cut off on the right
+        left = _let(F.substring(text, at + 1, s["start"] - at), lambda x: _let(
+            F.when(at > 0, F.length(F.regexp_extract(x, r"^[^\x20\x09-\x0D]*", 0))).otherwise(F.lit(0)),
+            lambda cut: F.concat(F.repeat(F.lit(" "), cut), F.substring(x, cut + 1, F.length(x)))))
+        right = _let(F.substring(text, s["end"] + 1, F.lit(CONTEXT_CHARS)), lambda x: F.when(
+            F.length(x) == CONTEXT_CHARS, F.regexp_replace(x, r"[^\x20\x09-\x0D]*$", "")).otherwise(x))
+        return _let(left, lambda a: _let(right, lambda b: F.struct(
+            s["value"].alias("entity"), F.xxhash64(_term(a), _term(b)).alias("context"),
+            F.concat(_words_at(a, at), _words_at(b, s["end"])).alias("words"))))
+    near = found.select("doc_id", "key", _let(F.col("text"), lambda t: F.transform(
+        "spans", lambda s: around(t, s))).alias("near")) \
+        .select("doc_id", "key", F.explode("near").alias("n")) \
+        .select("doc_id", "key", "n.entity", "n.context", F.explode("n.words").alias("w"))
+    return near.select("doc_id", "key", "entity", "context", _term(F.col("w.value")).alias("term"),
+                       F.col("w.start").alias("start"), F.col("w.end").alias("end")) \
         .where((F.length("term") >= MIN_TERM) & F.col("term").rlike(r"\p{L}"))
 
 
@@ -132,8 +177,9 @@ def revealing_terms(docs: DataFrame, near: DataFrame, support: int = SUPPORT, di
 def find_private(docs: DataFrame, support: int = SUPPORT, disclosure: float = DISCLOSURE) -> DataFrame:
     """doc_id, key, base (spans of the base kinds) and spans (with the method's terms), one row per input row."""
     found = base_spans(docs)
-    spans = materialize(found.select("doc_id", "key", F.transform("spans", lambda s: F.struct(
-        s["start"].alias("start"), s["rank"].alias("rank"), s["end"].alias("end"))).alias("base")), "private-spans")
+    found = materialize(found.withColumn("text", F.when(F.size("spans") > 0, F.col("text"))), "private-spans")
+    spans = found.select("doc_id", "key", F.transform("spans", lambda s: F.struct(
+        s["start"].alias("start"), s["rank"].alias("rank"), s["end"].alias("end"))).alias("base"))
     near = materialize(contexts(found).dropDuplicates(["doc_id", "key", "entity", "term", "start"]), "private-contexts")
     terms = near.join(revealing_terms(docs, near, support, disclosure), ["entity", "term"])
     by_doc = terms.groupBy(F.col("doc_id").alias("t_doc"), F.col("key").alias("t_key")).agg(

@@ -93,10 +93,9 @@ def _distance(p: Column, q: Column) -> Column:
     """Jensen-Shannon distance of two count arrays of one length; null if either is all zero."""
     total = lambda x: F.aggregate(x, F.lit(0.0), lambda a, b: a + b)
     part = lambda a, b: F.when(a > 0, a * F.log2(2 * a / (a + b))).otherwise(0.0)
-    parts = F.zip_with(F.transform(p, lambda x: x / F.nullif(total(p), F.lit(0.0))),
-                       F.transform(q, lambda x: x / F.nullif(total(q), F.lit(0.0))),
-                       lambda a, b: (part(a, b) + part(b, a)) / 2)
-    return F.sqrt(F.greatest(total(parts), F.lit(0.0)))
+    share = lambda x: _let(total(x), lambda n: F.transform(x, lambda y: y / n))
+    parts = F.zip_with(share(p), share(q), lambda a, b: (part(a, b) + part(b, a)) / 2)
+    return F.when((total(p) > 0) & (total(q) > 0), F.sqrt(F.greatest(total(parts), F.lit(0.0))))
 
 
 def references(counts: DataFrame) -> DataFrame:

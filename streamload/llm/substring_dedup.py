@@ -88,10 +88,12 @@ def _extend(texts: pa.Table, repeated: pa.Table, shards: int) -> pa.Table:
         if not len(a):
             continue
         size = b - a + WINDOW - LEVELS[1]  # an anchor that a run holds twice can repeat inside the run
-        twice = np.add.reduceat((sixteen[ranges(a, size)] == np.repeat(least[a], size)).astype(np.int64), np.cumsum(size) - size) > 1
+        same = (sixteen[ranges(a, size)] == np.repeat(least[a], size)).astype(np.int64)
+        twice = np.add.reduceat(same, np.cumsum(size) - size) > 1
         size = b - a + more
         data, ends = wide[ranges(a, size)], np.concatenate(([0], np.cumsum(size))) * 8
-        names = pa.Array.from_buffers(pa.large_binary(), len(a), [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(data)])
+        buffers = [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(data)]
+        names = pa.Array.from_buffers(pa.large_binary(), len(a), buffers)
         cols["a"].append(least[a])
         cols["inner"].append(twice)
         cols["doc"].append((first + owner[a]).astype(np.int32))
@@ -99,8 +101,8 @@ def _extend(texts: pa.Table, repeated: pa.Table, shards: int) -> pa.Table:
         cols["names"].append(names.cast(pa.binary()))
     if not cols["a"]:
         return pa.table({c.split()[0]: [] for c in _ROWS.split(", ")}, pa.schema(
-            [("bucket", pa.int32()), ("known", pa.bool_()), ("many", pa.bool_()), ("inner", pa.bool_()), ("a", pa.int64()), ("block", pa.int32()),
-             ("doc", pa.int32()), ("start", pa.int32()), ("names", pa.binary())]))
+            [("bucket", pa.int32()), ("known", pa.bool_()), ("many", pa.bool_()), ("inner", pa.bool_()), ("a", pa.int64()),
+             ("block", pa.int32()), ("doc", pa.int32()), ("start", pa.int32()), ("names", pa.binary())]))
     a, doc, start, inner = (np.concatenate(cols[k]) for k in ("a", "doc", "start", "inner"))
     names = pa.chunked_array(cols["names"]).combine_chunks()
     block = texts.column("block")[0].as_py()
@@ -113,8 +115,8 @@ def _extend(texts: pa.Table, repeated: pa.Table, shards: int) -> pa.Table:
     witness = np.empty(len(a), bool)
     witness[order] = new
     bucket = np.where(witness, a % np.uint64(shards), (doc.astype(np.uint64) + np.uint64(block)) % np.uint64(shards))
-    return pa.table({"bucket": bucket.astype(np.int32), "known": ~witness, "many": alike > 1, "inner": inner, "a": a.view(np.int64),
-                     "block": np.full(len(a), block, np.int32), "doc": doc, "start": start, "names": names})
+    return pa.table({"bucket": bucket.astype(np.int32), "known": ~witness, "many": alike > 1, "inner": inner,
+                     "a": a.view(np.int64), "block": np.full(len(a), block, np.int32), "doc": doc, "start": start, "names": names})
 
 
 def _last_level(group: pa.Table) -> pa.Table:
