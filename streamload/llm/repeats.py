@@ -22,17 +22,17 @@ from pyspark.sql import functions as F
 
 from .common import sliding_min, whole_text
 
-BLOCK_BYTES, CHUNK = 16 << 20, 1 << 20
-#: Bytes of text per bucket of anchors and per shard of candidate windows.
-ANCHOR_BYTES, SHARD_BYTES = 32 << 20, 8 << 20
+CHUNK = 1 << 20
+#: Bytes of text per bucket of anchors.
+ANCHOR_BYTES = 32 << 20
 _LAST = np.iinfo(np.int64).max
 
 
-def blocks(docs: DataFrame) -> tuple[DataFrame, int]:
+def blocks(docs: DataFrame, block_bytes: int) -> tuple[DataFrame, int]:
     """(block, doc_id, text) and the bytes of all texts."""
     text = whole_text(docs)
     total = docs.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()[0]
-    block = F.pmod(F.xxhash64(docs["doc_id"], text), F.lit(total // BLOCK_BYTES + 1)).cast("int")
+    block = F.pmod(F.xxhash64(docs["doc_id"], text), F.lit(total // block_bytes + 1)).cast("int")
     return docs.select(block.alias("block"), docs["doc_id"], text.alias("text")), total
 
 
@@ -108,7 +108,7 @@ def repeated_anchors(found: DataFrame, total: int, anchor_bytes: int = ANCHOR_BY
                      parts: tuple[int, ...] = (0xFFFF_FFFF_FFFF_FFFF,)) -> DataFrame:
     """(block, h) of the anchors that occur in several places; ``found`` has (block, h, many), once per block.
 
-    With ``parts``, two anchors are the same if they agree under one of these masks, all of which hold the upper 48 bits.
+    With ``parts``, two anchors are the same if they agree under one of these masks, all of which hold the upper 32 bits.
     A block sends each anchor once, so the most frequent one has a row per block here.
     """
     def run(group: pa.Table) -> pa.Table:
@@ -117,7 +117,7 @@ def repeated_anchors(found: DataFrame, total: int, anchor_bytes: int = ANCHOR_BY
         for mask in parts if len(h) else ():
             again |= _times(h.view(np.uint64) & np.uint64(mask), 1 + many.astype(np.int64)) > 1
         return pa.table({"block": block[again], "h": h[again]})
-    bucket = F.pmod(F.shiftrightunsigned("h", 16), F.lit(total // anchor_bytes + 1)).cast("int")
+    bucket = F.pmod(F.shiftrightunsigned("h", 32), F.lit(total // anchor_bytes + 1)).cast("int")
     return found.withColumn("bucket", bucket).groupBy("bucket").applyInArrow(run, "block int, h long")
 
 

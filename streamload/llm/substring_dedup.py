@@ -24,11 +24,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import pair, table
-from .repeats import (SHARD_BYTES, among, anchors, blocks, chunks, per_block, ranges, raw_texts, repeated_anchors, runs,
+from .repeats import (among, anchors, blocks, chunks, per_block, ranges, raw_texts, repeated_anchors, runs,
                       spans_by_document, valid_windows, with_blocks)
 
 WINDOW, LEVELS = 35, (8, 16, 32)
-ANCHOR_BYTES = 128 << 20
+#: Bytes of text per block, per bucket of anchors and per shard of candidate windows.
+BLOCK_BYTES, ANCHOR_BYTES, SHARD_BYTES = 16 << 20, 128 << 20, 8 << 20
 
 
 class _WordHashes(dict):
@@ -160,7 +161,7 @@ def _without(texts: pa.Table, found: pa.Table) -> pa.Table:
 
 def drop_repeated_windows(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, n_removed and text (the words that stay, joined by one blank), one row per input row."""
-    dealt, total = blocks(docs)
+    dealt, total = blocks(docs, BLOCK_BYTES)
     shards = total // SHARD_BYTES + 1
     found = per_block(dealt, _first_level, "block int, h long, many boolean")
     candidates = with_blocks(dealt, repeated_anchors(found, total, ANCHOR_BYTES), lambda t, r: _extend(t, r, shards), _ROWS)

@@ -27,10 +27,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import mix, sliding_min, table
-from .repeats import (SHARD_BYTES, among, anchors, blocks, chunks, per_block, ranges, ranks, raw_texts, repeated_anchors, runs,
+from .repeats import (among, anchors, blocks, chunks, per_block, ranges, ranks, raw_texts, repeated_anchors, runs,
                       spans_by_document, valid_windows, with_blocks)
 
-WIDTH, GRAM = 50, 16
+WIDTH, GRAM = 50, 8
+#: Bytes of text per block and per shard, and units that numpy works on at once.
+BLOCK_BYTES, SHARD_BYTES, CHUNK = 8 << 20, 3 << 20, 1 << 18
 
 
 def eight_bytes(text: np.ndarray) -> np.ndarray:
@@ -45,22 +47,22 @@ def _grams(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The bytes, the eight-byte word at each of them, and the hash of the gram that starts there."""
     text = np.frombuffer(b"".join(raw), np.uint8)
     eight = eight_bytes(text)
-    return text, eight, mix(mix(eight[:-8]) ^ eight[8:])[:max(len(text) - GRAM + 1, 0)]
+    return text, eight, mix(eight)[:max(len(text) - GRAM + 1, 0)]
 
 
 def _keys(eight: np.ndarray, grams: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """48 bits of the gram, 8 of the 17 bytes before it and 8 of the 17 bytes after it.
+    """32 bits of the gram, 16 of the 21 bytes before it and 16 of the 21 bytes after it.
 
-    Two places that share a 50-byte window around the gram agree in the gram and, as 34 more bytes agree, in 17 bytes on
+    Two places that share a 50-byte window around the gram agree in the gram and, as 42 more bytes agree, in 21 bytes on
     one side.  (At the ends of a text the side that is not there is not the one that agrees.)
     """
     side = (WIDTH - GRAM) // 2
     padded = np.concatenate([np.zeros(side, np.uint64), eight, np.zeros(2 * WIDTH, np.uint64)])
-    low = np.uint64(255)
+    low = np.uint64(0xFFFF)
 
     def of(p: np.ndarray) -> np.ndarray:  # the ``side`` bytes from p on
         return mix(mix(mix(padded[p]) ^ padded[p + 8]) ^ padded[p + side - 8]) & low
-    return (grams[at] & ~np.uint64(0xFFFF)) | (of(at) << np.uint64(8)) | of(at + side + GRAM)
+    return (grams[at] & ~np.uint64(0xFFFF_FFFF)) | (of(at) << np.uint64(16)) | of(at + side + GRAM)
 
 
 def _first_level(texts: pa.Table) -> pa.Table:
@@ -68,7 +70,7 @@ def _first_level(texts: pa.Table) -> pa.Table:
     raw = raw_texts(texts)
     seen, docs = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
     sizes = np.fromiter(map(len, raw), np.int64, len(raw))
-    for a, b in chunks(sizes):
+    for a, b in chunks(sizes, CHUNK):
         text, eight, grams = _grams(raw[a:b])
         if len(text) >= WIDTH:
             valid, _ = valid_windows(sizes[a:b], WIDTH)
@@ -95,7 +97,7 @@ def _surroundings(texts: pa.Table, repeated: pa.Table, shards: int) -> pa.Table:
     raw = raw_texts(texts)
     sizes = np.fromiter(map(len, raw), np.int64, len(raw))
     cols: dict[str, list] = {k: [] for k in ("h", "doc", "start", "part")}
-    for first, last in chunks(sizes) if len(known) else ():
+    for first, last in chunks(sizes, CHUNK) if len(known) else ():
         text, eight, grams = _grams(raw[first:last])
         if len(text) < WIDTH:
             continue
@@ -248,11 +250,11 @@ def _without(texts: pa.Table, found: pa.Table) -> pa.Table:
 
 def drop_repeated_bytes(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, kept (the bytes that stay) and spans (maximal removed runs), one row per input row."""
-    dealt, total = blocks(docs)
+    dealt, total = blocks(docs, BLOCK_BYTES)
     shards = total // SHARD_BYTES + 1
     found = per_block(dealt, _first_level, "block int, h long, many boolean")
     # a key occurs elsewhere if its gram does with the same bytes before it or after it
-    again = repeated_anchors(found, total, parts=(0xFFFF_FFFF_FFFF_FF00, 0xFFFF_FFFF_FFFF_00FF))
+    again = repeated_anchors(found, total, parts=(0xFFFF_FFFF_FFFF_0000, 0xFFFF_FFFF_0000_FFFF))
     parts = with_blocks(dealt, again, lambda t, r: _surroundings(t, r, shards), _DDL)
     windows = parts.groupBy("bucket").applyInArrow(_decide, "block int, doc int, start int, stop int")
     kind = docs.schema["doc_id"].dataType.simpleString()

@@ -93,10 +93,9 @@ def test_substring_dedup(table, request):
 
 
 def test_blocks_and_shards_do_not_change_results(edge, monkeypatch):
-    from streamload.llm import repeats
     docs, rows = edge
-    monkeypatch.setattr(repeats, "BLOCK_BYTES", 4000)
     for module in (suffix_dedup, substring_dedup):
+        monkeypatch.setattr(module, "BLOCK_BYTES", 4000)
         monkeypatch.setattr(module, "SHARD_BYTES", 5000)
     out = substring_dedup.drop_repeated_windows(docs).select("doc_id", "n_words", "n_removed", F.sha2("text", 256))
     assert rows_of(out) == sorted(brute.substring_words(rows), key=repr)
