@@ -32,6 +32,8 @@ from .quality_classifier import labelled_sample
 
 MAX_TRAIN, MAX_TERMS, MAX_EXCEPTIONS = 20_000, 2_000, 2_000
 THRESHOLD = 0.3
+#: Least likelihood ratio statistic of a term: beyond what the best of some ten thousand chance terms reaches.
+MIN_EVIDENCE = 24.0
 
 # Letters of other scripts that look like Latin ones, and signs that stand for letters.
 _LOOKALIKES = dict(zip("авекмнорстухіјѕԁɡһԛԝαβγεηικνορτυχωıłøđ", "abekmhopctyxijsdghqwabyenikvoptuxwilod"))
@@ -126,8 +128,8 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Tox
         if not n1 or not n0:
             return ToxicityModel(weights=(500.0 if n1 else -500.0, 0.0, 0.0))
         terms = _weighted(folded.select("y", "sig", F.explode(F.array_distinct("words")).alias("term")), n1, n0) \
-            .where((F.col("d1") >= 4) & (F.col("odds") > 1.5) & (F.col("odds") > 3 * F.col("error"))) \
-            .orderBy(F.desc(F.col("odds") / F.col("error")), "term").limit(MAX_TERMS).collect()
+            .where((F.col("odds") > 1) & (F.col("evidence") >= MIN_EVIDENCE)) \
+            .orderBy(F.desc("evidence"), "term").limit(MAX_TERMS).collect()
         lexicon = {r.term: r.odds for r in terms}
         pairs = folded.select("y", "sig", F.explode(F.array_distinct(F.arrays_zip(
             F.col("words").alias("a"), F.expr("slice(words, 2, greatest(size(words) - 1, 0))").alias("b")))).alias("p"))
@@ -146,10 +148,12 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Tox
 
 
 def _weighted(rows: DataFrame, n1: int, n0: int) -> DataFrame:
-    """term, documents of either label (copies once), log-odds and their standard error."""
+    """term, documents of either label (copies once), log-odds, and the likelihood ratio statistic of its share."""
+    both = F.col("d1") + F.col("d0")
+    gain = lambda d, n: F.when(d > 0, 2 * d * F.log(d * (n1 + n0) / (both * n))).otherwise(0.0)
     return rows.distinct().groupBy("term").agg(F.sum("y").alias("d1"), F.sum(1 - F.col("y")).alias("d0")).select(
         "term", "d1", "d0", (F.log((F.col("d1") + 0.5) / (n1 + 1)) - F.log((F.col("d0") + 0.5) / (n0 + 1))).alias("odds"),
-        F.sqrt(1 / (F.col("d1") + 0.5) + 1 / (F.col("d0") + 0.5)).alias("error"))
+        (gain(F.col("d1"), n1) + gain(F.col("d0"), n0)).alias("evidence"))
 
 
 _FEATURES = T.StructType([T.StructField("hits", T.DoubleType()), T.StructField("dense", T.DoubleType())])
