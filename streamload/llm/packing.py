@@ -16,6 +16,7 @@ doc_id are packed like any other; an empty table has no pieces.
 from __future__ import annotations
 
 import struct
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -27,16 +28,27 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import table, whole_text
 
 WINDOW, END_ID, TOKENIZER = 2048, 1, "word_bpe_49k.json"
-#: Bound on the words whose ids a worker keeps.
-CACHE_WORDS = 300_000
+#: Bound on the words whose ids a worker keeps (in each of two generations).
+CACHE_WORDS = 400_000
 _TASK_BITS = 40
+_TRAILING = b".,;:!?"
 
 
-class WordIds:
-    """Token ids of a text as little-endian unsigned 32-bit bytes.
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary: printable ones for themselves, the rest from 256 on."""
+    own = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(256 + k) for k, b in enumerate(others)}
 
-    The tokenizer's normaliser and splitter never join characters across ASCII white space, so a text's
-    ids are those of its blank-separated words, and frequent words are encoded once.
+
+class WordIds(dict):
+    """Word (UTF-8, ASCII letters lower case) to its token ids as little-endian unsigned 32-bit bytes.
+
+    The tokenizer's normaliser and splitter never join characters across ASCII white space, lower-case everything but
+    the two special tokens, and always cut between a letter or digit and the punctuation after it.  So a text's ids are
+    those of its lower-case words, each without and with the signs that trail it.  A word of letters alone is one unit to
+    the splitter and goes to the tokenizer's BPE model as it is; any other word takes the tokenizer's whole way.
+    Two generations of words are kept: what the current one does not use again is forgotten with the old.
     """
 
     def __init__(self, path: str | None):
@@ -44,23 +56,38 @@ class WordIds:
         if path is None:
             import public_tokenizers
             path = public_tokenizers.path(TOKENIZER)
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
-
-    def encode(self, texts: list[bytes]) -> Iterator[bytes]:
-        split = [t.split() for t in texts]
-        new = list(set().union(*split).difference(self.known))
-        if len(self.known) + len(new) > CACHE_WORDS:
-            self.known = {}
-            new = list(set().union(*split))
-        for k in range(0, len(new), 50_000):
-            part = new[k:k + 50_000]
-            for word, got in zip(part, self.tokenizer.encode_batch_fast([w.decode() for w in part],
-                                                                        add_special_tokens=False)):
-                self.known[word] = struct.pack(f"<{len(got.ids)}I", *got.ids)
-        get = self.known.__getitem__
-        for words in split:
-            yield b"".join(map(get, words))
+        self.model = self.tokenizer.model
+        self.letters = _byte_letters()
+        self.packed = [struct.pack("<I", k) for k in range(self.tokenizer.get_vocab_size())]
+        self.old: dict[bytes, bytes] = {}
+
+    def encode(self, text: bytes) -> bytes:
+        if len(self) > CACHE_WORDS:
+            self.old = dict(self)
+            self.clear()
+        return b"".join(map(self.__getitem__, (text if b"<|" in text else text.lower()).split()))
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self.old.get(word)
+        if ids is None:
+            core = word.rstrip(_TRAILING)
+            if core and len(core) < len(word) and core.decode()[-1].isalnum():
+                ids = self[core] + self[word[len(core):]]
+            else:
+                ids = self._tokenized(word)
+        self[word] = ids
+        return ids
+
+    def _tokenized(self, word: bytes) -> bytes:
+        letters = word.decode()
+        if not (word.isalpha() and word.islower()):  # not small ASCII letters alone
+            letters = unicodedata.normalize("NFC", letters).lower()
+            if not letters.isalpha() or "\u03c2" in letters:  # a final sigma depends on its place
+                return b"".join([self.packed[k] for k in self.tokenizer.encode(word.decode(), add_special_tokens=False).ids])
+            letters = letters.encode().decode("latin-1").translate(self.letters)
+        return b"".join([self.packed[t.id] for t in self.model.tokenize(letters)])
 
 
 Piece = tuple[object, int, bytes, int]  # doc_id, start, ids, doc_tokens
@@ -141,7 +168,7 @@ def pack(docs: DataFrame, window: int = WINDOW, tokenizer_path: str | None = Non
         for batch in batches:
             id_type = batch.column(0).type
             texts = batch.column(1).cast(pa.binary()).to_pylist()
-            for doc, ids in zip(batch.column(0).to_pylist(), ids_of.encode(texts)):
+            for doc, ids in zip(batch.column(0).to_pylist(), map(ids_of.encode, texts)):
                 ids += end
                 total = len(ids) // 4
                 whole = total - total % window
