@@ -30,7 +30,9 @@ from streamload.operators import (anti_join_errors, anti_join_existing, apply_ru
                                   project_envelope, starting_offsets_json, threshold_flattener)
 from streamload.operators.audit import read_audit  # noqa: E402
 from streamload.operators.parse import with_load_date  # noqa: E402
-from streamload.plans.batch import parse_batch, process_batch, transform_batch  # noqa: E402
+from streamload.functions.columns import resolve_as_of  # noqa: E402
+from streamload.plans.batch import (dedup_against_target, parse_batch, process_batch, run_batch,  # noqa: E402
+                                   run_slices, transform_batch)
 from streamload.sinks import append_parquet, append_table, create_target_table  # noqa: E402
 from streamload.sources import (existing_rows_from_events, messages_from_events, read_replay,  # noqa: E402
                                 read_target, write_replay)
@@ -48,6 +50,11 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _files(spark: SparkSession, sf_dir: str, name: str) -> int:
+    """Replay files in proportion to the table: eight for each partition of its scan."""
+    return 8 * max(1, _t(spark, sf_dir, name).rdd.getNumPartitions())
+
+
 def _msgs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return messages_from_events(_t(spark, sf_dir, "events"))
 
@@ -271,8 +278,8 @@ def _audited(spark: SparkSession, sf_dir: str) -> str:
     audit = target.rsplit("/", 1)[0] + "/audit"
     spec = event_spec(target, errors, audit_path=audit, app_name="events_loader")
     msgs = _msgs(spark, sf_dir)
-    first = msgs.filter(F.col("offset") < 1_000_000)
-    again = msgs.filter(F.col("offset") >= 1_000_000)
+    first = msgs.filter(F.col("offset") % 2 == 0)
+    again = msgs.filter(F.col("offset") % 2 == 1)
     process_batch(first, 0, spec)
     process_batch(again, 1, spec)
     return audit
@@ -327,7 +334,7 @@ def q_stream_available_now(spark: SparkSession, sf_dir: str) -> DataFrame:
     """STR-1..4, STR-6, STR-7: replay files -> availableNow stream of several micro-batches."""
     target, errors = _seeded(spark, sf_dir, "stream")
     root = target.rsplit("/", 1)[0]
-    write_replay(_msgs(spark, sf_dir), f"{root}/replay", files=8)
+    write_replay(_msgs(spark, sf_dir), f"{root}/replay", files=_files(spark, sf_dir, "events"))
     rec = ProgressRecorder()
     spark.streams.addListener(rec)
     try:
@@ -349,7 +356,140 @@ def q_reprocess_conditional_dedup(spark: SparkSession, sf_dir: str) -> DataFrame
     return read_rows(spark, target)
 
 
+def q_dedup_stored_key_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JN-1 where the target stores the key in a narrower type than the batch has."""
+    root = fresh_dir(spark, "keytype")
+    seed = existing_rows_from_events(_t(spark, sf_dir, "events"))
+    append_parquet(seed.withColumn("event_id", F.col("event_id").cast("int")), f"{root}/target", "audit_load_date")
+    spec = event_spec(f"{root}/target")
+    good = _good(spark, sf_dir, spec).drop("_src").withColumn("event_id", F.col("event_id").cast("long"))
+    return dedup_against_target(good, spec, AS_OF)
+
+
+def q_audit_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AUD-1, AUD-2: two runs with equal batch ids keep both their offsets."""
+    target, errors = _seeded(spark, sf_dir, "tworuns")
+    audit = target.rsplit("/", 1)[0] + "/audit"
+    spec = event_spec(target, errors, audit_path=audit, app_name="events_loader")
+    msgs = _msgs(spark, sf_dir)
+    run_batch(msgs.filter("partition < 2"), spec)
+    run_batch(msgs.filter("partition >= 2"), spec)
+    return latest_offsets(read_audit(spark, audit), "events")
+
+
+def q_recovery_from_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AUD-2..4: a batch whose audit was never written is read again by a new run and stored once."""
+    target, errors = _seeded(spark, sf_dir, "recover")
+    audit = target.rsplit("/", 1)[0] + "/audit"
+    spec = event_spec(target, errors, audit_path=audit, app_name="events_loader", dedup_mode="reprocess")
+    msgs = _msgs(spark, sf_dir)
+    process_batch(msgs.filter("partition < 2"), 0, spec, run_id="first", reprocess=True)
+    process_batch(msgs.filter("partition >= 2"), 1, spec.with_(audit_path=None), run_id="first", reprocess=True)
+    done = latest_offsets(read_audit(spark, audit), "events").select(
+        F.col("kafka_partition").alias("partition"), "next_offset")
+    left = msgs.join(done, "partition", "left").filter("next_offset IS NULL OR offset >= next_offset").drop("next_offset")
+    process_batch(left, 0, spec, run_id="second", reprocess=True)
+    return read_rows(spark, target)
+
+
+def q_dedup_within_batch_map_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JN-3 over rows with a map column, which has no order."""
+    good = _good(spark, sf_dir).withColumn("kafka_offset", F.col("_src.kafka_offset")) \
+        .withColumn("by_type", F.create_map("event_type", "user_id"))
+    one = dedup_within_batch(good, ["event_id"], ["_src.kafka_partition", "_src.kafka_offset"])
+    return one.select("event_id", "kafka_offset", "event_type", F.col("by_type")[F.col("event_type")].alias("by_type_user"))
+
+
+def q_rule_typed_literals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FLT-1..4 over DATE, DECIMAL and TIMESTAMP columns; Spark casts the literals."""
+    at = F.to_timestamp("event_timestamp")
+    good = _good(spark, sf_dir).select("event_id", at.cast("date").alias("day"), at.alias("at"),
+                                       F.col("value").cast("decimal(12,2)").alias("amount"))
+    rules = [FilterRule("day", "not_in", values=["2024-01-05", "2024-1-6"]), FilterRule("amount", "not_equals", "1e1"),
+             FilterRule("at", "not_equals", "2024-01-07T00:00:00")]
+    return apply_rules(good, rules).select("event_id", "amount")
+
+
+def q_split_trailing_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PRJ-3, FLT-8: a second object in one message makes it a parse failure, by struct and by VARIANT."""
+    more = F.when(F.col("key").cast("string").cast("long") % 71 == 0, F.lit('{"event_id": "x"}')).otherwise(F.lit(""))
+    msgs = _msgs(spark, sf_dir).withColumn("value", F.concat(F.col("value").cast("string"), more).cast("binary"))
+    spec = event_spec("unused")
+    forms = [parse_batch(msgs, spec), parse_messages(msgs, spec.mappings, variant=True)]
+    bad = [p.filter("parse_failed").select("_src.json_raw", "_src.kafka_partition", "_src.kafka_offset",
+                                           F.lit(name).alias("form")) for p, name in zip(forms, ("struct", "variant"))]
+    return bad[0].unionByName(bad[1])
+
+
+def q_load_date_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PRJ-10, FLT-10: the clock is the session zone's, whatever the pattern, and the lookback finds those rows."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    root = fresh_dir(spark, "zone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        as_of = resolve_as_of("2024-01-30T03:00:00+00:00")
+        rows = _t(spark, sf_dir, "events").select(F.col("event_id").cast("string").alias("event_id"))
+        rows = with_load_date(with_load_date(rows, "load_day", "yyyyMMdd", as_of), "load_text", "yyyy-MM-dd EEE", as_of)
+        append_parquet(rows, f"{root}/t", "load_text")
+        stored = read_rows(spark, f"{root}/t", "load_text")
+        return existing_keys(stored, ["event_id", "load_day", "load_text"], "load_text", 0, as_of, "yyyy-MM-dd EEE")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def q_errors_replay_reserialized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JN-4: rebuilt error rows of a batch that is run twice are stored once."""
+    target, errors = _seeded(spark, sf_dir, "rebuilt")
+    spec = event_spec(target, errors, reserialize_null_key_rows=True)
+    for batch in (0, 1):
+        process_batch(_msgs(spark, sf_dir), batch, spec)
+    return read_rows(spark, errors).select("json_raw", "kafka_offset", "error_reason", "audit_load_date").distinct() \
+        .join(read_rows(spark, errors).groupBy("error_reason").agg(F.count("*").alias("n_stored")), "error_reason")
+
+
+def q_sink_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-4: batches without messages, or without rows that the rules keep, leave the target as it was."""
+    target, errors = _seeded(spark, sf_dir, "empty")
+    msgs = _msgs(spark, sf_dir)
+    spec = event_spec(target, errors)
+    process_batch(msgs.filter("false"), 0, spec)
+    process_batch(msgs, 1, spec.with_(rules=(FilterRule("event_type", "in", values=[]),)))
+    return read_rows(spark, target)
+
+
+def q_progress_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR-6: the recorder's totals over the micro-batches of a stream."""
+    target, errors = _seeded(spark, sf_dir, "progress")
+    root = target.rsplit("/", 1)[0]
+    write_replay(_msgs(spark, sf_dir), f"{root}/replay", files=_files(spark, sf_dir, "events"))
+    rec = ProgressRecorder()
+    run_stream(read_replay(spark, f"{root}/replay", max_files_per_trigger=2), event_spec(target, errors),
+               checkpoint=f"{root}/checkpoint", trigger={"availableNow": True}, on_metrics=rec.add_metrics,
+               await_termination=True)
+    names = ["n_in", "n_parse_failure", "n_null_key", "n_filtered", "n_written", "n_bad_written"]
+    totals = rec.totals()
+    return spark.createDataFrame([tuple(int(totals[n]) for n in names)], ", ".join(f"{n} long" for n in names))
+
+
+def q_backfill_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PIP-3: a backfill in offset slices leaves the target as one batch does."""
+    target, errors = _seeded(spark, sf_dir, "slices")
+    run_slices(_msgs(spark, sf_dir), event_spec(target, errors), 3)
+    return read_rows(spark, target)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "dedup_stored_key_type": q_dedup_stored_key_type,
+    "audit_two_runs": q_audit_two_runs,
+    "recovery_from_audit": q_recovery_from_audit,
+    "dedup_within_batch_map_column": q_dedup_within_batch_map_column,
+    "rule_typed_literals": q_rule_typed_literals,
+    "split_trailing_text": q_split_trailing_text,
+    "load_date_zone": q_load_date_zone,
+    "errors_replay_reserialized": q_errors_replay_reserialized,
+    "sink_empty": q_sink_empty,
+    "progress_totals": q_progress_totals,
+    "backfill_sliced": q_backfill_sliced,
     "ingest_batch": q_ingest_batch,
     "replay_idempotent": q_replay_idempotent,
     "stream_available_now": q_stream_available_now,
@@ -410,7 +550,7 @@ ev AS (
 copies AS (
   SELECT ev.*, CAST(0 AS BIGINT) AS extra FROM ev
   UNION ALL
-  SELECT ev.*, CAST(1000000 AS BIGINT) AS extra FROM ev WHERE event_id % 73 = 0
+  SELECT ev.*, CAST(1 AS BIGINT) AS extra FROM ev WHERE event_id % 73 = 0
 ),
 docs AS (
   SELECT *,
@@ -425,7 +565,7 @@ env AS (
   SELECT CASE WHEN dmg = 'tomb' THEN NULL WHEN dmg = 'cut' THEN substr(doc, 1, length(doc) - 5) ELSE doc END
            AS json_raw,
          'events' AS topic, CAST(event_id % 4 AS INTEGER) AS kafka_partition,
-         CAST(event_id // 4 AS BIGINT) + extra AS kafka_offset, ts AS kafka_timestamp,
+         2 * CAST(event_id // 4 AS BIGINT) + extra AS kafka_offset, ts AS kafka_timestamp,
          event_id AS eid, ts, user_id AS uid, event_type AS etype, value AS val, props, dmg
   FROM docs
 ),
@@ -467,6 +607,37 @@ _OFFSETS = """SELECT 'events' AS topic, kafka_partition, MAX(kafka_offset) + 1 A
 FROM env GROUP BY kafka_partition"""
 
 ORACLES: dict[str, str] = {
+    "dedup_stored_key_type": _w("SELECT CAST(event_id AS BIGINT) AS event_id, event_timestamp, user_id, event_type, value, k, "
+                                "audit_load_date FROM good WHERE event_id NOT IN (SELECT event_id FROM window_keys)"),
+    "audit_two_runs": _w(_OFFSETS),
+    "recovery_from_audit": _TARGET_AFTER,
+    "dedup_within_batch_map_column": _w("SELECT event_id, kafka_offset, event_type, user_id AS by_type_user FROM good "
+                                        "QUALIFY row_number() OVER (PARTITION BY event_id "
+                                        "ORDER BY kafka_partition, kafka_offset) = 1"),
+    "rule_typed_literals": _w("SELECT event_id, CAST(value AS DECIMAL(12,2)) AS amount FROM good "
+                              "WHERE CAST(ts AS DATE) NOT IN (DATE '2024-01-05', DATE '2024-01-06') "
+                              "AND CAST(value AS DECIMAL(12,2)) <> 10 AND ts <> TIMESTAMP '2024-01-07 00:00:00'"),
+    "split_trailing_text": _w("""SELECT json_raw || CASE WHEN eid % 71 = 0 THEN '{"event_id": "x"}' ELSE '' END AS json_raw,
+  kafka_partition, kafka_offset, form
+FROM env, (SELECT unnest(['struct', 'variant']) AS form) WHERE dmg IN ('tomb', 'cut') OR eid % 71 = 0"""),
+    "load_date_zone": "SELECT CAST(event_id AS VARCHAR) AS event_id, '20240129' AS load_day, '2024-01-29 Mon' AS load_text "
+                      "FROM events",
+    "errors_replay_reserialized": _w(
+        "SELECT DISTINCT e.json_raw, e.kafka_offset, e.error_reason, '2024-01-30' AS audit_load_date, "
+        "count(*) OVER (PARTITION BY e.error_reason) AS n_stored FROM ("
+        "SELECT json_raw, kafka_offset, 'JSON_PARSE_FAILURE' AS error_reason FROM flat WHERE dmg IN ('tomb', 'cut') UNION ALL "
+        "SELECT '{\"event_timestamp\":\"' || event_timestamp || '\",\"user_id\":' || CAST(user_id AS VARCHAR) "
+        "|| ',\"event_type\":\"' || event_type || '\",\"value\":' || CAST(value AS VARCHAR) "
+        "|| ',\"k\":' || CAST(k AS VARCHAR) || '}' AS json_raw, CAST(-1 AS BIGINT) AS kafka_offset, "
+        "'NULL_PRIMARY_KEY' AS error_reason FROM flat WHERE dmg = 'nokey') e"),
+    "sink_empty": _w(f"SELECT {G} FROM seed"),
+    "progress_totals": _w("""SELECT (SELECT COUNT(*) FROM env) AS n_in,
+  (SELECT COUNT(*) FROM env WHERE dmg IN ('tomb', 'cut')) AS n_parse_failure,
+  (SELECT COUNT(*) FROM env WHERE dmg = 'nokey') AS n_null_key,
+  (SELECT COUNT(*) FROM good WHERE event_type = 'error') AS n_filtered,
+  (SELECT COUNT(*) FROM new_rows) AS n_written,
+  (SELECT COUNT(*) FROM env WHERE dmg IN ('tomb', 'cut', 'nokey')) AS n_bad_written"""),
+    "backfill_sliced": _TARGET_AFTER,
     "ingest_batch": _TARGET_AFTER,
     "replay_idempotent": _TARGET_AFTER,
     "stream_available_now": _TARGET_AFTER,
@@ -543,8 +714,8 @@ ORACLES: dict[str, str] = {
   COUNT(*) FILTER (WHERE dmg IN ('ok', 'badleaf') AND etype <> 'error') - COUNT(*) FILTER (WHERE written)
     AS n_duplicate,
   COUNT(*) FILTER (WHERE written) AS n_written, CAST(COUNT(DISTINCT kafka_partition) AS INTEGER) AS n_partitions
-FROM (SELECT env.*, CASE WHEN kafka_offset < 1000000 THEN 0 ELSE 1 END AS b,
-        kafka_offset < 1000000 AND dmg IN ('ok', 'badleaf') AND etype <> 'error'
+FROM (SELECT env.*, kafka_offset % 2 AS b,
+        kafka_offset % 2 = 0 AND dmg IN ('ok', 'badleaf') AND etype <> 'error'
         AND CAST(eid AS VARCHAR) NOT IN (SELECT event_id FROM window_keys) AS written
       FROM env) x
 GROUP BY b"""),

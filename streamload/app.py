@@ -173,8 +173,22 @@ def run_app(spark: SparkSession, cfg: Mapping[str, Any], *, on_metrics=log_metri
     if not stream.get("checkpoint"):
         raise SpecError("stream.checkpoint is required")
     source = build_source(spark, cfg, spec)
+    if spec.target.is_table and not spark.catalog.tableExists(spec.target.table):
+        raise SpecError(f"table {spec.target.table} does not exist for this session; create it first, and start the "
+                        "session with the catalog that holds it (a Hive catalog: spark.sql.catalogImplementation=hive)")
+    from_audit = (cfg.get("source") or {}).get("starting_offsets") == "audit"
+    reprocess = bool(stream.get("reprocess", from_audit or checkpoint_is_new(spark, stream["checkpoint"])))
     return run_stream(source, spec, checkpoint=stream["checkpoint"], trigger=stream.get("trigger"),
-                      query_name=stream.get("query_name") or spec.app_name, on_metrics=on_metrics)
+                      query_name=stream.get("query_name") or spec.app_name, on_metrics=on_metrics, reprocess=reprocess)
+
+
+def checkpoint_is_new(spark: SparkSession, checkpoint: str) -> bool:
+    """Whether no query has started from this checkpoint (a query writes its id there first).
+
+    Batches may then repeat what the target already has, so a ``dedup_mode="reprocess"`` job compares with it.
+    """
+    from .sources.target import path_exists
+    return not path_exists(spark, f"{checkpoint.rstrip('/')}/metadata")
 
 
 def main(argv: Sequence[str] | None = None) -> int:

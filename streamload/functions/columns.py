@@ -6,6 +6,7 @@ import datetime as _dt
 import functools
 from collections.abc import Sequence
 from functools import reduce
+from zoneinfo import ZoneInfo, ZoneInfoNotFoundError
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -40,20 +41,37 @@ def variant_path(path: str) -> str:
 
 
 def resolve_as_of(as_of: _dt.datetime | _dt.date | str | None) -> _dt.datetime:
-    """Fix the batch clock once on the driver (``None`` = now, UTC)."""
+    """Fix the batch clock once on the driver: wall-clock time of the session's time zone.
+
+    ``None`` is now; a value with a zone is converted to the session's; one without is taken as it is.
+    """
     if as_of is None:
-        return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+        as_of = _dt.datetime.now(_dt.timezone.utc)
     if isinstance(as_of, str):
         as_of = _dt.datetime.fromisoformat(as_of)
     if isinstance(as_of, _dt.datetime):
-        return as_of.replace(tzinfo=None) if as_of.tzinfo is None else as_of.astimezone(
-            _dt.timezone.utc).replace(tzinfo=None)
+        return as_of if as_of.tzinfo is None else as_of.astimezone(_session_zone()).replace(tzinfo=None)
     return _dt.datetime(as_of.year, as_of.month, as_of.day)
 
 
+def _session_zone() -> _dt.tzinfo:
+    from pyspark.sql import SparkSession
+    spark = SparkSession.getActiveSession()
+    return _dt.timezone.utc if spark is None else _zone(spark.conf.get("spark.sql.session.timeZone"))
+
+
+def _zone(name: str) -> _dt.tzinfo:
+    """A session time zone: a region, ``UTC`` / ``Z``, or an offset such as ``+02:00``."""
+    try:
+        return ZoneInfo(name)
+    except (ZoneInfoNotFoundError, ValueError):
+        text = name.removeprefix("UTC").removeprefix("GMT") or "+00:00"
+        return _dt.datetime.strptime(text, "%z").tzinfo or _dt.timezone.utc
+
+
 def as_of_lit(as_of: _dt.datetime) -> Column:
-    """The batch clock as a wall-clock timestamp literal (no session-zone shift)."""
-    return F.lit(as_of).cast("timestamp_ntz")
+    """The batch clock as a wall-clock timestamp literal: text, so no zone shifts it."""
+    return F.expr(f"TIMESTAMP_NTZ '{as_of.isoformat(sep=' ')}'")
 
 
 def load_date(as_of: _dt.datetime, fmt: str) -> Column:
@@ -62,9 +80,6 @@ def load_date(as_of: _dt.datetime, fmt: str) -> Column:
     A literal, so every action of a batch sees the same date even across
     midnight, and Catalyst folds it to a constant.
     """
-    text = _python_format(as_of, fmt)
-    if text is not None:  # plain numeric pattern: the same text, folded on the driver
-        return F.lit(text)
     return F.date_format(as_of_lit(as_of), fmt)
 
 
@@ -78,40 +93,16 @@ def any_null(cols: Sequence[str]) -> Column:
     return F.expr(" OR ".join(f"{quote_path(c)} IS NULL" for c in cols))
 
 
-# Java date-pattern letters that have an exact strftime twin.
-_SIMPLE_PATTERN = {"yyyy": "%Y", "MM": "%m", "dd": "%d", "HH": "%H", "mm": "%M", "ss": "%S"}
-
-
-def _python_format(as_of: _dt.datetime, fmt: str) -> str | None:
-    """Format like Spark's ``date_format`` for plain numeric patterns, else None."""
-    out, i = [], 0
-    while i < len(fmt):
-        for tok, py in _SIMPLE_PATTERN.items():
-            if fmt.startswith(tok, i) and not fmt.startswith(tok + tok[0], i):
-                out.append(as_of.strftime(py))
-                i += len(tok)
-                break
-        else:
-            ch = fmt[i]
-            if ch.isalpha() or ch == "'":
-                return None
-            out.append(ch)
-            i += 1
-    return "".join(out)
-
-
 @functools.lru_cache(maxsize=256)
 def lookback_values(as_of: _dt.datetime, days: int, fmt: str) -> tuple[str, ...]:
     """The lookback load dates as driver-side strings, newest first.
 
-    Plain numeric patterns are formatted in Python; anything else is
-    formatted by Spark over a one-row local relation.
+    Spark formats them, by the same expression as the stored column, over one constant row (folded, so no job runs).
     """
-    dates = [as_of - _dt.timedelta(days=i) for i in range(days + 1)]
-    simple = [_python_format(d, fmt) for d in dates]
-    if all(v is not None for v in simple):
-        return tuple(simple)
+    return tuple(str(v) for v in constants(*lookback_dates(as_of, days, fmt)))
+
+
+def constants(*cols: Column) -> tuple:
+    """Values of constant expressions, evaluated by the optimizer."""
     from pyspark.sql import SparkSession
-    spark = SparkSession.getActiveSession()
-    row = spark.createDataFrame([(0,)], "x int").select(*lookback_dates(as_of, days, fmt)).first()
-    return tuple(str(v) for v in row)
+    return tuple(SparkSession.getActiveSession().sql("SELECT 1 AS one").select(*cols).first())

@@ -4,11 +4,11 @@ Every aggregation here is keyed by (topic, Kafka partition), so its output
 is bounded by the number of topic partitions, not by the data; the
 ``collect_list`` calls gather at most one entry per partition.
 
-The audit dataset is partitioned by ``(app, batch_id)`` and appended with
-dynamic partition overwrite: writing a batch replaces only that batch's
-folder.  A retried batch therefore leaves one row per (app, topic, batch)
-without reading the audit history, so the cost per batch stays constant
-however many batches a stream has run.
+The audit dataset is append-only and partitioned by ``(app, audit_date)``.  A
+batch is known by its run id and its batch id, since the batch ids of a
+query with a new checkpoint start again at 0.  A batch that is run again
+adds its rows once more, and the reader keeps the last ones, so writing
+never reads the history and nothing is ever overwritten.
 """
 
 from __future__ import annotations
@@ -20,9 +20,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.columns import as_of_lit
+
 AUDIT_SCHEMA = T.StructType([
     T.StructField("app", T.StringType()),
     T.StructField("topic", T.StringType()),
+    T.StructField("run_id", T.StringType()),
     T.StructField("batch_id", T.LongType()),
     T.StructField("next_offsets", T.MapType(T.IntegerType(), T.LongType())),
     T.StructField("n_in", T.LongType()),
@@ -31,30 +34,39 @@ AUDIT_SCHEMA = T.StructType([
     T.StructField("n_duplicate", T.LongType()),
     T.StructField("n_written", T.LongType()),
     T.StructField("recorded_at", T.TimestampType()),
+    T.StructField("audit_date", T.StringType()),
 ])
 
 
 # Folder levels of the audit dataset.
-AUDIT_PARTITIONS = ("app", "batch_id")
+AUDIT_PARTITIONS = ("app", "audit_date")
 
 
 def append_audit(rows: DataFrame, path: str) -> None:
-    """Store one batch's audit rows (AUD-1); a retry replaces them instead of adding more.
-
-    Only the ``app=…/batch_id=…`` folders present in ``rows`` are
-    overwritten (``partitionOverwriteMode=dynamic`` for this write only);
-    every other batch's rows are left alone.
-    """
+    """Store one batch's audit rows (AUD-1): one file in the folder of its app and date."""
     (rows.select(*[f.name for f in AUDIT_SCHEMA.fields]).hint("rebalance", 1)
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*AUDIT_PARTITIONS).parquet(path))
+     .write.mode("append").partitionBy(*AUDIT_PARTITIONS).parquet(path))
 
 
-def read_audit(spark: SparkSession, path: str) -> DataFrame | None:
-    """The audit dataset with its fixed column types, or ``None`` before the first batch."""
-    from ..sources.target import read_target
-    df = read_target(spark, path, schema=AUDIT_SCHEMA)
-    return None if df is None else df.select(*[f.name for f in AUDIT_SCHEMA.fields])
+def read_audit(spark: SparkSession, path: str, app: str | None = None, dates=None) -> DataFrame | None:
+    """The audit rows, or ``None`` before the first batch: of each (app, run, batch, topic) the last recorded.
+
+    With ``app`` and ``dates`` only those folders are listed and read.
+    """
+    from ..sources.target import escape_partition_value, read_partitions, read_target
+    if app is None or dates is None:
+        df = read_target(spark, path, schema=AUDIT_SCHEMA)
+    else:
+        schema = T.StructType([f for f in AUDIT_SCHEMA.fields if f.name != "app"])
+        df = read_partitions(spark, f"{path.rstrip('/')}/app={escape_partition_value(app)}", "audit_date", dates, schema=schema)
+        df = None if df is None else df.withColumn("app", F.lit(app))
+    if df is None:
+        return None
+    keys = ("app", "topic", "run_id", "batch_id")
+    rest = [f.name for f in AUDIT_SCHEMA.fields if f.name not in keys]
+    last = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct("recorded_at", "n_in", "n_written")).alias("last"))
+    return last.select(*[F.col(f.name) if f.name in keys else F.col(f"last.{f.name}").alias(f.name)
+                         for f in AUDIT_SCHEMA.fields])
 
 
 def _envelope_cols(df: DataFrame) -> tuple[str, str, str]:
@@ -79,15 +91,17 @@ def offsets_map(offsets: DataFrame) -> DataFrame:
 
 
 def audit_rows(offsets: DataFrame, metrics: Mapping[str, int], *, app: str, batch_id: int,
-               recorded_at: _dt.datetime) -> DataFrame:
+               recorded_at: _dt.datetime, run_id: str = "") -> DataFrame:
     """One audit row per topic of the batch (AUD-1): offsets + stage counts."""
     m = offsets_map(offsets)
     return m.select(
-        F.lit(app).alias("app"), F.col("topic"), F.lit(int(batch_id)).cast("long").alias("batch_id"),
+        F.lit(app).alias("app"), F.col("topic"), F.lit(run_id).alias("run_id"),
+        F.lit(int(batch_id)).cast("long").alias("batch_id"),
         F.col("next_offsets"),
         *[F.lit(int(metrics.get(k, 0))).cast("long").alias(k)
           for k in ("n_in", "n_bad", "n_filtered", "n_duplicate", "n_written")],
-        F.lit(recorded_at).cast("timestamp").alias("recorded_at"),
+        as_of_lit(recorded_at).cast("timestamp").alias("recorded_at"),
+        F.lit(recorded_at.date().isoformat()).alias("audit_date"),
     )
 
 

@@ -2,11 +2,11 @@
 
 Scale notes
 -----------
-* ``dedup_within_batch`` is a ``groupBy(keys)`` with ``min`` over a struct
-  ``(order columns…, row)``.  Spark runs it as a partial aggregation before
-  the shuffle, so a hot key that holds a third of the batch is collapsed to
-  one row per map task before anything moves; a ``row_number`` window would
-  instead pull every copy of that key into one task.
+* ``dedup_within_batch`` is ``row_number() = 1`` over the keys.  Spark plans a
+  partial group limit before the exchange, so a hot key that holds a third of
+  the batch is cut to one row per map task before anything moves.  (It needs
+  ``spark.sql.optimizer.windowGroupLimitThreshold`` of at least 1, the
+  default is 1000.)
 * ``anti_join_existing`` is a plain equi left-anti join on the keys.  The
   existing side is pruned to the lookback partitions and to the key
   columns at the scan (``PartitionFilters`` / ``ReadSchema``).  No broadcast
@@ -25,12 +25,16 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.columns import ident, lookback_values, quote_path
+from ..spec import SpecError
 
 ERROR_KEYS = ("topic", "kafka_partition", "kafka_offset")
+#: What tells error rows without a source position apart.
+REBUILT_KEYS = ("error_reason", "json_raw")
 
 
 def _free_prefix(df: DataFrame, prefix: str) -> str:
@@ -48,31 +52,27 @@ def dedup_within_batch(df: DataFrame, keys: Sequence[str],
                        order_by: Sequence[str | Column] | None = None) -> DataFrame:
     """Keep one row per key: the first by ``order_by`` (JN-3).
 
-    Ties on ``order_by`` are broken by the whole row, so the result is
-    deterministic.  ``order_by=None`` orders by the row alone.  Rows keep
-    their column order.
+    Ties on ``order_by`` are broken by the other columns, so the result is
+    deterministic.  Columns that have no order (maps, VARIANT) break ties by
+    their JSON text.  Rows keep their column order.
     """
     keys = list(keys)
-    columns = df.columns
-    others = [c for c in columns if c not in keys]
+    others = [f for f in df.schema.fields if f.name not in keys]
     if not others:
         return df.dropDuplicates(keys)
-    if all(isinstance(c, str) for c in (order_by or [])):
-        # The same plan as below, written as SQL text: a few JVM calls instead of one per column.
-        parts = [f"{quote_path(c)} AS _o{i}" for i, c in enumerate(order_by or [])]
-        parts.append(f"struct({', '.join(quote_path(c) for c in others)}) AS _row")
-        picked = df.groupBy(*[F.expr(quote_path(k)) for k in keys]).agg(
-            F.expr(f"min(struct({', '.join(parts)})) AS _best"))
-        return picked.selectExpr(*[
-            quote_path(c) if c in keys else f"_best._row.{quote_path(c)} AS {ident(c)}" for c in columns])
-    order = [_as_col(c).alias(f"_o{i}") for i, c in enumerate(order_by or [])]
-    row = F.struct(*[F.col(quote_path(c)) for c in others]).alias("_row")
-    best = F.min(F.struct(*order, row)).alias("_best")
-    picked = df.groupBy(*[F.col(quote_path(k)) for k in keys]).agg(best)
-    return picked.select(*[
-        F.col(quote_path(c)) if c in keys else F.col(f"_best._row.{quote_path(c)}").alias(c)
-        for c in df.columns
-    ])
+    order = [_as_col(c) for c in order_by or []]
+    order += [F.col(ident(f.name)) if _orderable(f.dataType) else F.to_json(F.struct(F.col(ident(f.name)))) for f in others]
+    rank = _free_prefix(df, "_rank")
+    first = Window.partitionBy(*[F.col(quote_path(k)) for k in keys]).orderBy(*order)
+    return df.withColumn(rank, F.row_number().over(first)).filter(F.col(rank) == 1).drop(rank)
+
+
+def _orderable(dtype: T.DataType) -> bool:
+    if isinstance(dtype, T.StructType):
+        return all(_orderable(f.dataType) for f in dtype.fields)
+    if isinstance(dtype, T.ArrayType):
+        return _orderable(dtype.elementType)
+    return not isinstance(dtype, (T.MapType, T.VariantType))
 
 
 def existing_keys(target: DataFrame | None, keys: Sequence[str], partition_column: str | None = None,
@@ -96,7 +96,30 @@ def existing_keys(target: DataFrame | None, keys: Sequence[str], partition_colum
         if dtype != "string":
             dates = [d.cast(dtype) for d in dates]
         target = target.filter(part.isin(*dates))
-    return target.select(*[F.col(quote_path(k)) for k in keys])
+    return target.select(*[never_null(F.col(quote_path(k)), f"stored key {k}").alias(k) for k in keys])
+
+
+def never_null(c: Column, what: str) -> Column:
+    """The column, or an error at run time if it is NULL.
+
+    Keys are never stored as NULL, so one means that a file of the window lacks the column.
+    """
+    return F.coalesce(c, F.raise_error(F.lit(f"{what} is NULL: a stored file lacks it, so duplicates would be missed")))
+
+
+def comparable(stored: T.DataType, batch: T.DataType) -> bool:
+    """Whether equality of the two key types means what it says (no text is cast to a number)."""
+    numbers = (T.IntegralType, T.DecimalType)
+    times = (T.DateType, T.TimestampType, T.TimestampNTZType)
+    return stored == batch or any(isinstance(stored, k) and isinstance(batch, k) for k in (numbers, times))
+
+
+def check_key_types(existing: DataFrame, df: DataFrame, keys: Sequence[str]) -> None:
+    """Raise where a stored key's type cannot be compared with the batch's."""
+    for k in keys:
+        stored, batch = existing.schema[k].dataType, df.schema[k].dataType
+        if not comparable(stored, batch):
+            raise SpecError(f"key {k!r} is stored as {stored.simpleString()}, the batch has {batch.simpleString()}")
 
 
 def anti_join_existing(df: DataFrame, existing: DataFrame | None, keys: Sequence[str]) -> DataFrame:
@@ -114,20 +137,27 @@ def anti_join_existing(df: DataFrame, existing: DataFrame | None, keys: Sequence
     return df.join(right, cond, "left_anti")
 
 
-def anti_join_errors(errors: DataFrame, existing_errors: DataFrame | None) -> DataFrame:
+def anti_join_errors(errors: DataFrame, existing_errors: DataFrame | None,
+                     existing_texts: DataFrame | None = None) -> DataFrame:
     """Error rows whose (topic, partition, offset) is not already stored (JN-4).
 
+    ``existing_texts`` has the (reason, text) of stored rows without a position; rows of the batch without one whose
+    reason and text are among them are known too.
+
     Rebuilt rows without a source position (offset -1) are never matched,
     so they bypass the join: all of them share one key, and a batch where a
     third of the messages lost their envelope would otherwise send that
     third to a single join task.
     """
-    if existing_errors is None:
+    if existing_errors is None and existing_texts is None:
         return errors
     positioned = F.col("kafka_offset") >= 0
-    known = existing_errors.filter(positioned).select(*ERROR_KEYS)
-    kept = anti_join_existing(errors.filter(positioned), known, ERROR_KEYS)
-    return kept.unionByName(errors.filter(~F.coalesce(positioned, F.lit(False))))
+    # distinct: many stored copies of one position would meet in one join task
+    known = None if existing_errors is None else existing_errors.filter(positioned).select(*ERROR_KEYS).distinct()
+    rebuilt = errors.filter(~F.coalesce(positioned, F.lit(False)))
+    if existing_texts is not None:
+        rebuilt = anti_join_existing(rebuilt, existing_texts.select(*REBUILT_KEYS).distinct(), REBUILT_KEYS)
+    return anti_join_existing(errors.filter(positioned), known, ERROR_KEYS).unionByName(rebuilt)
 
 
 def restrict_to_keys(existing: DataFrame | None, candidates: DataFrame, keys: Sequence[str]) -> DataFrame | None:

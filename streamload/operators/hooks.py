@@ -36,11 +36,11 @@ def check_contract(df: DataFrame, keys: Sequence[str], expected: Sequence[str] =
     if missing_keys or missing or clash:
         parts = []
         if missing_keys:
-            parts.append(f"dropped primary key column(s): {', '.join(missing_keys)} (dedup joins on them)")
+            parts.append(f"gives no {', '.join(missing_keys)}, which dedup joins on")
         if missing:
-            parts.append(f"dropped mapped column(s): {', '.join(missing)}")
+            parts.append(f"gives no {', '.join(missing)}, which the mapping names")
         if clash:
-            parts.append(f"must not produce column(s): {', '.join(clash)} (added by the pipeline)")
+            parts.append(f"gives {', '.join(clash)}, which the pipeline adds itself")
         raise ContractError(f"{hook} " + "; ".join(parts))
 
 
@@ -84,7 +84,7 @@ def document_field(df: DataFrame, path: str, type_name: str, root: str = "parsed
 
 # ---- ready-made hooks (the documented examples) ---------------------------
 
-def mask_columns(columns: Sequence[str], mask: str = "***MASKED***") -> Callable[..., DataFrame]:
+def mask_columns(columns: Sequence[str], mask: str = "[hidden]") -> Callable[..., DataFrame]:
     """Transformer replacing the values of ``columns`` with a constant (PII masking).
 
     ``params["mask"]`` overrides the mask text per pipeline.

@@ -51,7 +51,8 @@ def parse_json_records(df: DataFrame, schema: T.StructType | str, *, column: str
     ``from_json`` in PERMISSIVE mode keeps whatever leaves it could read, so
     ``parsed IS NULL`` alone misses most broken input.  With ``strict`` the
     rule is: NULL/blank input, or the parser recorded corrupt text *and* the
-    text is not one complete JSON object (``json_object_keys`` is NULL).  A
+    text is not one complete JSON object (``json_object_keys`` is NULL), or
+    anything but white space follows the first object (:func:`one_value`).  A
     single mistyped leaf sets corrupt text too, but the object is complete,
     so the row is kept with that leaf NULL.  ``json_object_keys`` only runs
     on rows the first parse already flagged.
@@ -74,15 +75,27 @@ def parse_json_records(df: DataFrame, schema: T.StructType | str, *, column: str
     out = df.withColumn(PARSED, parsed)
     suspect = F.col(f"{PARSED}.{CORRUPT_FIELD}").isNotNull()
     if on_type_mismatch == "error":
-        failed = F.col(PARSED).isNull() | suspect
+        failed = F.col(PARSED).isNull() | suspect | ~one_value(column)
     elif strict:
-        failed = F.col(PARSED).isNull() | (suspect & F.json_object_keys(F.col(column)).isNull())
+        failed = F.col(PARSED).isNull() | (suspect & F.json_object_keys(F.col(column)).isNull()) | ~one_value(column)
     else:
         # The reference's rule: only a NULL struct (NULL, empty, blank text).
         failed = F.col(PARSED).isNull()
     return out.withColumn(PARSE_FAILED, F.coalesce(failed, F.lit(True)))
 
 
+def one_value(column: str) -> Column:
+    """Whether the text is one JSON value and nothing else.
+
+    The parsers stop after the first value, so the text is looked at inside
+    an array, which must have one element.  Text that closes that array itself
+    (``{…}]``) is caught inside an object; only text with a ``]`` is looked at twice.
+    """
+    text = quote_path(column)
+    return F.expr(f"coalesce(json_array_length(concat('[', {text}, ']')) = 1, false) AND (NOT contains({text}, ']') "
+                  f"OR json_object_keys(concat('{{\"x\":', {text}, '}}')) IS NOT NULL)")
+
+
 # A JSON text that parses and starts with "{" (after JSON
 # whitespace) is one object.
 OBJECT_START = r"^[ \t\r\n]*\{"
@@ -97,7 +110,7 @@ def parse_variant_records(df: DataFrame, *, column: str = "json_raw") -> DataFra
     ``from_json`` it rejects duplicate keys and single quotes.
     """
     parsed = F.try_parse_json(F.col(column))
-    failed = parsed.isNull() | ~F.col(column).rlike(OBJECT_START)
+    failed = parsed.isNull() | ~F.col(column).rlike(OBJECT_START) | ~one_value(column)
     return df.withColumn(PARSED, parsed).withColumn(PARSE_FAILED, F.coalesce(failed, F.lit(True)))
 
 
@@ -148,7 +161,7 @@ def parse_messages(df: DataFrame, mappings: Sequence[FieldMapping], *, strict: b
         return parse_variant_records(env).select(source_struct(), F.col(PARSED), F.col(PARSE_FAILED))
     schema = schema or schema_from_mappings(mappings, on_unknown)
     return parse_json_records(env, schema, strict=strict, on_type_mismatch=on_type_mismatch).select(
-        source_struct(), F.col(PARSED), F.col(PARSE_FAILED))
+        source_struct(), F.col(PARSED).dropFields(CORRUPT_FIELD).alias(PARSED), F.col(PARSE_FAILED))
 
 
 def flattener_input(parsed: DataFrame) -> DataFrame:

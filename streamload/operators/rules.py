@@ -2,14 +2,15 @@
 
 Each rule becomes one Column predicate; all rules are AND-ed into a single
 ``filter`` that Catalyst pushes as far down as it can.  Rule literals are
-cast to the column's type when the condition is built (with ``try_cast``
-semantics), so ``"30"`` matches an INT 30 whether ANSI mode is on or off,
-and a literal that cannot be cast is a spec error instead of a silent
-no-match.
+cast to the column's type when the condition is built, by Spark's own
+``try_cast``, so ``"30"`` matches an INT 30 whether ANSI mode is on or off,
+and a literal for which that gives NULL is a spec error instead of a rule that
+matches nothing (or, negated, drops every row).
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 from functools import reduce
 
@@ -17,8 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import quote_path
-from ..spec import FilterRule, SpecError
+from ..functions.columns import constants, quote_path
+from ..spec import RULE_OPERATORS, FilterRule, SpecError
 
 
 def _field_type(schema: T.StructType | None, field: str) -> T.DataType | None:
@@ -32,40 +33,28 @@ def _field_type(schema: T.StructType | None, field: str) -> T.DataType | None:
     return node
 
 
-def _literal_ok(text: str, dtype: T.DataType) -> bool:
-    """Driver-side check that Spark's cast of ``text`` to ``dtype`` is not NULL."""
-    import datetime as _dt
-    t = text.strip()
-    try:
-        if isinstance(dtype, T.IntegralType):
-            bits = {T.ByteType: 8, T.ShortType: 16, T.IntegerType: 32, T.LongType: 64}[type(dtype)]
-            v = int(t)
-            return -(2 ** (bits - 1)) <= v < 2 ** (bits - 1)
-        if isinstance(dtype, (T.FloatType, T.DoubleType, T.DecimalType)):
-            float(t)
-            return True
-        if isinstance(dtype, T.BooleanType):
-            return t.lower() in ("true", "false", "t", "f", "yes", "no", "y", "n", "1", "0")
-        if isinstance(dtype, T.DateType):
-            _dt.date.fromisoformat(t[:10])
-            return True
-        if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-            _dt.datetime.fromisoformat(t.replace("Z", "+00:00"))
-            return True
-    except (ValueError, KeyError):
-        return False
-    return True
-
-
-def _typed_literal(value, dtype: T.DataType | None, rule: FilterRule) -> Column:
+@functools.lru_cache(maxsize=1024)
+def _castable(literals: tuple[tuple[str, str], ...]) -> tuple[bool, ...]:
+    """Whether Spark's ``try_cast`` of each (text, type) gives a value; one constant row, no job."""
+    return constants(*[F.lit(text).try_cast(dtype).isNotNull() for text, dtype in literals])
+
+
+def _texts(values, dtype: T.DataType, rule: FilterRule) -> list[str]:
+    """The literals of a rule as text, all of them valid for the column's type."""
+    if any(v is None for v in values):
+        raise SpecError(f"rule {rule!r}: a NULL literal can match nothing; is_null / is_not_null test for NULL")
+    texts = [str(v).lower() if isinstance(v, bool) else str(v) for v in values]
+    ddl = dtype.simpleString()
+    for value, ok in zip(values, _castable(tuple((t, ddl) for t in texts)) if texts else ()):
+        if not ok:
+            raise SpecError(f"rule {rule!r}: {value!r} does not cast to {ddl}")
+    return texts
+
+
+def _typed_literals(values, dtype: T.DataType | None, rule: FilterRule) -> list[Column]:
     if dtype is None or isinstance(dtype, T.StringType):
-        return F.lit(value if value is None or isinstance(value, str) else str(value))
-    if value is None:
-        raise SpecError(f"rule {rule!r}: NULL literal never matches; use is_null / is_not_null")
-    text = str(value).lower() if isinstance(value, bool) else str(value)
-    if not _literal_ok(text, dtype):
-        raise SpecError(f"rule {rule!r}: literal {value!r} is not a valid {dtype.simpleString()}")
-    return F.lit(text).try_cast(dtype)
+        return [F.lit(v if v is None or isinstance(v, str) else str(v)) for v in values]
+    return [F.lit(t).try_cast(dtype) for t in _texts(values, dtype, rule)]
 
 
 def build_condition(rule: FilterRule, schema: T.StructType | None = None) -> Column:
@@ -80,13 +69,13 @@ def build_condition(rule: FilterRule, schema: T.StructType | None = None) -> Col
     dtype = _field_type(schema, rule.field)
     if op in ("equals", "not_equals"):
         if rule.value is None:
-            raise SpecError(f"'{op}' requires 'value' for field: {rule.field}")
-        lit = _typed_literal(rule.value, dtype, rule)
+            raise SpecError(f"rule on {rule.field!r}: {op} compares with one value, set value")
+        (lit,) = _typed_literals([rule.value], dtype, rule)
         return c == lit if op == "equals" else c != lit
     if op in ("in", "not_in"):
         if rule.values is None:
-            raise SpecError(f"'{op}' requires 'values' for field: {rule.field}")
-        lits = [_typed_literal(v, dtype, rule) for v in rule.values]
+            raise SpecError(f"rule on {rule.field!r}: {op} compares with a list, set values (it may be empty)")
+        lits = _typed_literals(rule.values, dtype, rule)
         if not lits:
             return F.lit(False) if op == "in" else c.isNotNull()
         member = c.isin(*lits)
@@ -95,7 +84,7 @@ def build_condition(rule: FilterRule, schema: T.StructType | None = None) -> Col
         return c.isNotNull()
     if op == "is_null":
         return c.isNull()
-    raise SpecError(f"Unsupported filter operator: {rule.operator} for field: {rule.field}")
+    raise SpecError(f"rule on {rule.field!r}: {rule.operator!r} is none of {', '.join(RULE_OPERATORS)}")
 
 
 def rules_condition(rules: Sequence[FilterRule], schema: T.StructType | None = None) -> Column | None:

@@ -13,8 +13,8 @@ empty?" and measures an upper bound of the batch keys' size, which decides
 whether the existing keys are first cut down by a broadcast semi join
 against the batch keys (see :func:`batch_stats`).  The parsed batch is
 persisted once, so the source is read and the JSON parsed once, however
-many writes follow.  Stage counts come from ``Observation``s attached to
-the plans of the writes themselves, so counting costs no extra job.
+many writes follow.  That job counts the stages up to the rules as well; what
+the writes leave and write is counted by ``Observation``s on their plans.
 """
 
 from __future__ import annotations
@@ -23,7 +23,6 @@ import datetime as _dt
 import time
 import uuid
 from dataclasses import asdict, dataclass, field
-from functools import reduce
 from typing import Any, NamedTuple
 
 from pyspark import StorageLevel
@@ -31,18 +30,17 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import any_null, load_date, lookback_values, path_col, quote_path, resolve_as_of
-from ..functions.types import resolve_type
+from ..functions.columns import any_null, ident, load_date, lookback_values, quote_path, resolve_as_of
 from ..operators.audit import append_audit, audit_rows, batch_offsets
-from ..operators.dedup import (ERROR_KEYS, anti_join_errors, anti_join_existing, dedup_within_batch,
-                               existing_keys, restrict_to_keys)
+from ..operators.dedup import (ERROR_KEYS, REBUILT_KEYS, anti_join_errors, anti_join_existing, check_key_types,
+                               dedup_within_batch, existing_keys, restrict_to_keys)
 from ..operators.hooks import apply_flattener, apply_transformer
 from ..operators.parse import (PARSE_FAILED, PARSED, SOURCE_STRUCT, flatten_columns, flattener_input,
                                parse_messages)
 from ..operators.quality import ERROR_REASON, error_reason, split_bad_records, to_error_rows
 from ..operators.rules import apply_rules, rules_condition
 from ..sinks.files import append_parquet, append_table
-from ..sources.target import read_partitions, read_target
+from ..sources.target import read_stored, read_target
 from ..spec import JSON_PARSE_FAILURE, NULL_PRIMARY_KEY, PipelineSpec
 
 
@@ -132,9 +130,12 @@ def parse_batch(raw: DataFrame, spec: PipelineSpec) -> DataFrame:
                           schema=schema if spec.flattener is not None else None)
 
 
-def transform_batch(parsed: DataFrame, spec: PipelineSpec, as_of: _dt.datetime | None = None) -> BatchResult:
+def transform_batch(parsed: DataFrame, spec: PipelineSpec, as_of: _dt.datetime | None = None, *,
+                    observe: bool = True) -> BatchResult:
     """PIP-1: parsed messages -> (good rows, error rows), both lazy.
 
+    ``observe=False`` leaves out the counting (a persisted batch is counted by :func:`batch_stats`).
+
     ``parsed`` is the output of :func:`parse_batch` (persisted or not).  Good
     rows carry the mapped columns (or the hooks' columns), the load-date
     column last, plus ``_src`` for ordering and error rows; error rows have
@@ -151,20 +152,22 @@ def transform_batch(parsed: DataFrame, spec: PipelineSpec, as_of: _dt.datetime |
         flat = parsed.select(*flatten_columns(spec.mappings, on_unknown=spec.on_unknown_type), ld,
                              F.col(SOURCE_STRUCT), F.col(PARSE_FAILED))
         tagged = flat.withColumn(ERROR_REASON, error_reason(keys))
-        obs["split"] = _obs("split")
-        tagged = tagged.observe(
-            obs["split"], F.expr("count(1) AS n_in"),
-            _count_sql(f"{ERROR_REASON} = '{JSON_PARSE_FAILURE}'", "n_parse_failure"),
-            _count_sql(f"{ERROR_REASON} = '{NULL_PRIMARY_KEY}'", "n_null_key"))
+        if observe:
+            obs["split"] = _obs("split")
+            tagged = tagged.observe(
+                obs["split"], F.expr("count(1) AS n_in"),
+                _count_sql(f"{ERROR_REASON} = '{JSON_PARSE_FAILURE}'", "n_parse_failure"),
+                _count_sql(f"{ERROR_REASON} = '{NULL_PRIMARY_KEY}'", "n_null_key"))
         good, bad = split_bad_records(tagged, part, data_columns=spec.mapped_columns, topic=spec.topic,
                                       as_of=as_of, reserialize=spec.reserialize_null_key_rows)
         return BatchResult(good, bad, obs, tagged=tagged)
 
     # Hooks may change columns and rows: split parse failures first, then
     # run the hooks on the parsed rows, then split on the keys (SET-1 union).
-    obs["parse"] = _obs("parse")
-    parsed = parsed.observe(obs["parse"], F.expr("count(1) AS n_in"),
-                            _count_sql(PARSE_FAILED, "n_parse_failure"))
+    if observe:
+        obs["parse"] = _obs("parse")
+        parsed = parsed.observe(obs["parse"], F.expr("count(1) AS n_in"),
+                                _count_sql(PARSE_FAILED, "n_parse_failure"))
     ok = parsed.filter(~F.col(PARSE_FAILED))
     reserved = [part, ERROR_REASON]
     if spec.flattener is not None:
@@ -178,9 +181,10 @@ def transform_batch(parsed: DataFrame, spec: PipelineSpec, as_of: _dt.datetime |
     flat = flat.select(*[F.col(quote_path(c)) for c in data_cols], ld,
                        *([F.col(SOURCE_STRUCT)] if SOURCE_STRUCT in flat.columns else []))
     tagged = flat.withColumn(ERROR_REASON, F.when(any_null(keys), F.lit(NULL_PRIMARY_KEY)))
-    obs["keys"] = _obs("keys")
-    tagged = tagged.observe(obs["keys"], F.expr("count(1) AS n_flat"),
-                            _count_sql(f"{ERROR_REASON} IS NOT NULL", "n_null_key"))
+    if observe:
+        obs["keys"] = _obs("keys")
+        tagged = tagged.observe(obs["keys"], F.expr("count(1) AS n_flat"),
+                                _count_sql(f"{ERROR_REASON} IS NOT NULL", "n_null_key"))
     good, key_bad = split_bad_records(tagged, part, data_columns=data_cols, topic=spec.topic, as_of=as_of,
                                       reserialize=spec.reserialize_null_key_rows)
     parse_bad = to_error_rows(parsed.filter(F.col(PARSE_FAILED)).select(F.col(SOURCE_STRUCT), ld),
@@ -188,19 +192,10 @@ def transform_batch(parsed: DataFrame, spec: PipelineSpec, as_of: _dt.datetime |
     return BatchResult(good, parse_bad.unionByName(key_bad), obs, tagged=tagged, parsed=parsed)
 
 
-def _target_key_schema(good: DataFrame, spec: PipelineSpec) -> T.StructType:
-    fields = [good.schema[k] for k in spec.primary_keys]
-    return T.StructType([T.StructField(f.name, f.dataType, True) for f in fields] +
-                        [T.StructField(spec.partition_column, T.StringType(), True)])
-
-
-def lookback_rows(spark, path: str, spec: PipelineSpec, as_of: _dt.datetime, schema: T.StructType
-                  ) -> DataFrame | None:
-    """Rows of a path dataset inside the lookback window, listing only those partitions."""
-    if spec.lookback_days is None:
-        return read_target(spark, path, schema=schema)
-    values = lookback_values(as_of, spec.lookback_days, spec.date_format)
-    return read_partitions(spark, path, spec.partition_column, values, schema=schema)
+def lookback_rows(spark, path: str, spec: PipelineSpec, as_of: _dt.datetime, columns) -> DataFrame | None:
+    """``columns`` of a path dataset inside the lookback window, listing only those partitions."""
+    values = None if spec.lookback_days is None else lookback_values(as_of, spec.lookback_days, spec.date_format)
+    return read_stored(spark, path, columns, spec.partition_column, values)
 
 
 def dedup_against_target(good: DataFrame, spec: PipelineSpec, as_of: _dt.datetime,
@@ -219,16 +214,18 @@ def dedup_against_target(good: DataFrame, spec: PipelineSpec, as_of: _dt.datetim
         existing = existing_keys(read_target(spark, spec.target), spec.primary_keys, spec.partition_column,
                                  spec.lookback_days, as_of, spec.date_format)
     else:
-        rows = lookback_rows(spark, spec.target.path, spec, as_of, _target_key_schema(good, spec))
+        rows = lookback_rows(spark, spec.target.path, spec, as_of, spec.primary_keys)
         existing = existing_keys(rows, spec.primary_keys, spec.partition_column, spec.lookback_days, as_of,
                                  spec.date_format)
+    if existing is None:
+        return good
+    check_key_types(existing, good, spec.primary_keys)
     if candidates is not None:
         existing = restrict_to_keys(existing, candidates, spec.primary_keys)
-    elif existing is not None:
-        # Many stored copies of one key (loads outside the lookback, replays) would all meet in one
-        # join task, and AQE cannot split the build side of an anti join.  distinct() collapses them
-        # map-side (partial aggregation), and its hash partitioning is the one the join needs.
-        existing = existing.distinct()
+    # Many stored copies of one key (loads outside the lookback, replays) would all meet in one
+    # join task, and AQE cannot split the build side of an anti join.  distinct() collapses them
+    # map-side (partial aggregation), and its hash partitioning is the one the join needs.
+    existing = existing.distinct()
     return anti_join_existing(good, existing, spec.primary_keys)
 
 
@@ -255,19 +252,6 @@ def broadcast_threshold(spark) -> int:
     return parse_bytes(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760"))
 
 
-def _key_columns(spec: PipelineSpec) -> list | None:
-    """Key columns computed straight from the parsed struct, or None when hooks own the keys."""
-    if spec.flattener is not None or spec.transformer is not None:
-        return None
-    by_name = {m.name: m for m in spec.mappings}
-    cols = []
-    for k in spec.primary_keys:
-        m = by_name[k]
-        cols.append((path_col(m.path, PARSED).cast(resolve_type(m.type, spec.on_unknown_type)).alias(k),
-                     resolve_type(m.type, spec.on_unknown_type)))
-    return cols
-
-
 def _key_bytes(cols) -> Any:
     """Upper bound of one key row's in-memory size, or None for key types not sized here."""
     width = F.lit(ROW_OVERHEAD + SLOT * len(cols)).cast("long")
@@ -286,47 +270,64 @@ class BatchStats(NamedTuple):
     """What the first job of a batch measures (see :func:`batch_stats`)."""
 
     n_in: int
-    key_bytes: int | None      # bound of the batch keys as a broadcast relation
-    error_bytes: int | None    # bound of the error rows' (topic, partition, offset) as one
+    n_parse_failure: int
+    n_flat: int                # rows that were tagged: after the hooks, where there are any
+    n_null_key: int
+    n_rules: int               # good rows that every rule keeps
+    key_bytes: int | None      # bound of the good keys as a broadcast relation; None for key types not sized here
+    error_bytes: int | None    # bound of the error rows' (topic, partition, offset) as one; None if a hook dropped them
+
 
+def _position_bytes() -> Any:
+    return (F.lit(ROW_OVERHEAD + SLOT * len(ERROR_KEYS) + PAD)
+            + F.coalesce(F.octet_length(F.col(f"{SOURCE_STRUCT}.topic")), F.lit(0)))
 
-def batch_stats(parsed: DataFrame, spec: PipelineSpec, cols=None) -> BatchStats:
-    """Rows of the batch and upper bounds (bytes) of its keys and error positions as broadcast relations.
 
-    One aggregation over the persisted batch, so it also fills the cache
-    the writes read from.  The bounds are ``None`` when hooks produce the
-    keys (they are not known before the hooks run).
+def batch_stats(result: BatchResult, spec: PipelineSpec) -> BatchStats:
+    """Stage counts of a persisted batch and upper bounds (bytes) of its keys and error positions as broadcast relations.
+
+    One aggregation over the tagged rows (with hooks: the rows that they give, and one over the parsed ones), so it also
+    fills the cache the writes read from.  Its value is the job's result, so tasks that run again after a lost executor
+    count once, which an observation below a shuffle does not promise.
     """
-    cols = _key_columns(spec) if cols is None else cols
-    width = None if cols is None else _key_bytes(cols)
-    aggs = [F.expr("count(1) AS n")]
-    if width is not None:
-        is_error = F.col(PARSE_FAILED) | reduce(lambda a, b: a | b, [c.isNull() for c, _ in cols])
-        pos = (F.lit(ROW_OVERHEAD + SLOT * len(ERROR_KEYS) + PAD)
-               + F.coalesce(F.octet_length(F.col(f"{SOURCE_STRUCT}.topic")), F.lit(0)))
-        aggs += [F.sum(width).alias("key_bytes"),
-                 F.sum(F.when(is_error, pos).otherwise(0)).cast("long").alias("error_bytes")]
-    row = parsed.agg(*aggs).collect()[0]  # a global aggregate is one row; no LIMIT job
-    if width is None:
-        return BatchStats(int(row["n"]), None, None)
-    return BatchStats(int(row["n"]), int(row["key_bytes"] or 0), int(row["error_bytes"] or 0))
-
-
-def error_positions(parsed: DataFrame, spec: PipelineSpec, cols=None) -> DataFrame | None:
-    """(topic, partition, offset) of every message that becomes an error row (no-hook path)."""
-    cols = _key_columns(spec) if cols is None else cols
-    if cols is None:
+    tagged = result.tagged
+    reason, good = F.col(ERROR_REASON), F.col(ERROR_REASON).isNull()
+    rules = rules_condition(spec.rules, tagged.drop(ERROR_REASON).schema)
+    kept = good if rules is None else good & F.coalesce(rules, F.lit(False))
+    width = _key_bytes([(F.col(ident(k)), tagged.schema[k].dataType) for k in spec.primary_keys])
+    aggs = [F.expr("count(1) AS n_flat"), _count(reason == JSON_PARSE_FAILURE).alias("n_parse_failure"),
+            _count(reason == NULL_PRIMARY_KEY).alias("n_null_key"), _count(kept).alias("n_rules"),
+            (F.lit(None).cast("long") if width is None else F.sum(F.when(good, width).otherwise(0))).alias("key_bytes")]
+    if SOURCE_STRUCT in tagged.columns:
+        aggs.append(F.sum(F.when(reason.isNotNull(), _position_bytes()).otherwise(0)).cast("long").alias("error_bytes"))
+    row = tagged.agg(*aggs).collect()[0].asDict()  # a global aggregate is one row; no LIMIT job
+    got = {k: None if v is None and k == "key_bytes" and width is None else int(v or 0) for k, v in row.items()}
+    got.setdefault("error_bytes", None)
+    if result.parsed is None:
+        return BatchStats(n_in=got["n_flat"], **got)
+    failed = F.col(PARSE_FAILED)
+    p = result.parsed.agg(F.count(F.lit(1)).alias("n"), _count(failed).alias("bad"),
+                          F.sum(F.when(failed, _position_bytes()).otherwise(0)).alias("bytes")).collect()[0]
+    got["n_parse_failure"] = int(p["bad"] or 0)
+    if got["error_bytes"] is not None:
+        got["error_bytes"] += int(p["bytes"] or 0)
+    return BatchStats(n_in=int(p["n"]), **got)
+
+
+def error_positions(result: BatchResult) -> DataFrame | None:
+    """(topic, partition, offset) of every message that becomes an error row; None if a hook dropped them."""
+    if SOURCE_STRUCT not in result.tagged.columns:
         return None
-    is_error = F.col(PARSE_FAILED) | reduce(lambda a, b: a | b, [c.isNull() for c, _ in cols])
-    return parsed.filter(is_error).select(*[F.col(f"{SOURCE_STRUCT}.{c}").alias(c) for c in ERROR_KEYS])
+    position = [F.col(f"{SOURCE_STRUCT}.{c}").alias(c) for c in ERROR_KEYS]
+    out = result.tagged.filter(F.col(ERROR_REASON).isNotNull()).select(*position)
+    if result.parsed is not None:
+        out = out.unionByName(result.parsed.filter(F.col(PARSE_FAILED)).select(*position))
+    return out
 
 
-def candidate_keys(parsed: DataFrame, spec: PipelineSpec, cols=None) -> DataFrame | None:
-    """Keys of every parsed message with complete keys: a superset of the keys that reach the anti join."""
-    cols = _key_columns(spec) if cols is None else cols
-    if cols is None:
-        return None
-    return parsed.filter(~F.col(PARSE_FAILED)).select(*[c for c, _ in cols]).filter(~any_null(spec.primary_keys))
+def candidate_keys(result: BatchResult, spec: PipelineSpec) -> DataFrame:
+    """Keys of every good row: a superset of the keys that reach the anti join."""
+    return result.tagged.filter(F.col(ERROR_REASON).isNull()).select(*[F.col(ident(k)) for k in spec.primary_keys])
 
 
 def _narrow_source(good: DataFrame, spec: PipelineSpec) -> DataFrame:
@@ -368,12 +369,15 @@ def error_rows_plan(bad: DataFrame, spec: PipelineSpec, as_of: _dt.datetime,
     """
     out = bad
     if spec.idempotent_errors and spec.error_path:
-        schema = T.StructType([bad.schema["topic"], bad.schema["kafka_partition"], bad.schema["kafka_offset"],
-                               T.StructField(spec.partition_column, T.StringType(), True)])
-        stored = lookback_rows(bad.sparkSession, spec.error_path, spec, as_of, schema)
+        # rows rebuilt from columns have no position: they are known by what they say
+        rebuilt = spec.reserialize_null_key_rows or spec.transformer is not None or spec.flattener is not None
+        columns = [*ERROR_KEYS, *REBUILT_KEYS] if rebuilt else ERROR_KEYS
+        stored = lookback_rows(bad.sparkSession, spec.error_path, spec, as_of, columns)
+        known = None if stored is None else stored.filter("kafka_offset >= 0").select(*ERROR_KEYS)
         if candidates is not None:
-            stored = restrict_to_keys(stored, candidates, ERROR_KEYS)
-        out = anti_join_errors(bad, stored)
+            known = restrict_to_keys(known, candidates, ERROR_KEYS)
+        texts = stored.filter("kafka_offset < 0").select(*REBUILT_KEYS) if rebuilt and stored is not None else None
+        out = anti_join_errors(bad, known, texts)
     o = _obs("bad_written")
     return out.observe(o, F.expr("count(1) AS n")), o
 
@@ -397,9 +401,12 @@ def write_good(df: DataFrame, spec: PipelineSpec) -> None:
 
 
 def process_batch(raw: DataFrame, batch_id: int, spec: PipelineSpec, *, persist: bool = True,
-                  reprocess: bool = False, as_of: _dt.datetime | None = None) -> BatchMetrics:
+                  reprocess: bool = False, as_of: _dt.datetime | None = None, run_id: str = "") -> BatchMetrics:
     """PIP-2: one (micro-)batch of Kafka-shaped rows -> target + error path (+ audit).
 
+    ``run_id`` tells runs apart whose batch ids start again at 0 (a stream's query id, a backfill's own id): in the
+    audit a batch is known by both.
+
     ``dedup_mode="reprocess"`` runs the target anti join only when
     ``reprocess`` is true (AUD-4); ``"always"`` runs it on every batch.
     """
@@ -414,35 +421,34 @@ def process_batch(raw: DataFrame, batch_id: int, spec: PipelineSpec, *, persist:
         parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         candidates = error_candidates = stats = None
+        result = transform_batch(parsed, spec, as_of, observe=not persist)
         if persist:
-            # AGG-2 and the cache fill in one job; the measured sizes decide the semi joins.
-            key_cols = _key_columns(spec)
-            stats = batch_stats(parsed, spec, key_cols)
+            # AGG-2, the counts and the cache fill in one job; the measured sizes decide the semi joins.
+            stats = batch_stats(result, spec)
             if stats.n_in == 0:
                 return BatchMetrics(batch_id, as_of=as_of, seconds=time.perf_counter() - t0)
             limit = broadcast_threshold(spark)
             restrict = spec.restrict_existing
             if restrict and dedup and stats.key_bytes is not None and 0 < stats.key_bytes <= limit:
-                candidates = candidate_keys(parsed, spec, key_cols)
+                candidates = candidate_keys(result, spec)
             if restrict and stats.error_bytes is not None and 0 < stats.error_bytes <= limit:
-                error_candidates = error_positions(parsed, spec, key_cols)
-        result = transform_batch(parsed, spec, as_of)
+                error_candidates = error_positions(result)
         good, good_obs = good_rows_plan(result.good, spec, as_of, dedup=dedup, candidates=candidates)
         write_good(good, spec)
         n_bad_written = 0
         # A batch measured to have no bad record skips the error branch (its read and its job).
-        clean = stats is not None and stats.error_bytes == 0
+        clean = stats is not None and stats.n_parse_failure + stats.n_null_key == 0
         if spec.capture_errors and spec.error_path and not clean:
             bad, bad_obs = error_rows_plan(result.bad, spec, as_of, error_candidates)
             append_parquet(bad, spec.error_path, spec.partition_column, files=spec.files_per_write)
             n_bad_written = observed(bad_obs, "n") or 0
-        m = _metrics(batch_id, result, good_obs, as_of, spec)
+        m = _metrics(batch_id, result, good_obs, as_of, spec, stats)
         m.n_bad_written = n_bad_written
         m.dedup_applied = dedup
         if spec.audit_path:
             rows = audit_rows(batch_offsets(parsed), _audit_counts(m), app=spec.app_name, batch_id=batch_id,
-                              recorded_at=as_of)
-            append_audit(rows, spec.audit_path)  # a retried batch replaces its own rows
+                              recorded_at=as_of, run_id=run_id)
+            append_audit(rows, spec.audit_path)  # of a batch that is run again, the reader takes the last rows
     finally:
         if persist:
             parsed.unpersist()
@@ -488,10 +494,16 @@ def _recount(result: BatchResult, spec: PipelineSpec) -> dict[str, int]:
 
 
 def _metrics(batch_id: int, result: BatchResult, good_obs: dict[str, Observation], as_of: _dt.datetime,
-             spec: PipelineSpec) -> BatchMetrics:
+             spec: PipelineSpec, stats: BatchStats | None = None) -> BatchMetrics:
     m = BatchMetrics(batch_id, as_of=as_of)
     written = observed(good_obs["written"], "n")
-    if written is None:
+    n_batch = observed(good_obs["batch_dedup"], "n") if written is not None else None
+    if stats is not None:
+        m.n_in, m.n_parse_failure, m.n_null_key = stats.n_in, stats.n_parse_failure, stats.n_null_key
+        n_flat, n_rules, m.n_written = stats.n_flat, stats.n_rules, written or 0
+        if n_batch is None:
+            n_batch = _recount(result, spec)["n_batch"]
+    elif written is None:
         c = _recount(result, spec)
         m.n_in, m.n_parse_failure, m.n_null_key = c["n_in"], c["n_parse_failure"], c["n_null_key"]
         n_flat, n_rules, n_batch, m.n_written = c["n_flat"], c["n_rules"], c["n_batch"], 0
@@ -499,13 +511,13 @@ def _metrics(batch_id: int, result: BatchResult, good_obs: dict[str, Observation
         s = result.observations["split"]
         m.n_in, m.n_parse_failure = observed(s, "n_in"), observed(s, "n_parse_failure")
         m.n_null_key, n_flat = observed(s, "n_null_key"), observed(s, "n_in")
-        n_rules, n_batch = observed(good_obs["rules"], "n"), observed(good_obs["batch_dedup"], "n")
+        n_rules = observed(good_obs["rules"], "n")
         m.n_written = written
     else:
         p, k = result.observations["parse"], result.observations["keys"]
         m.n_in, m.n_parse_failure = observed(p, "n_in"), observed(p, "n_parse_failure")
         m.n_null_key, n_flat = observed(k, "n_null_key"), observed(k, "n_flat")
-        n_rules, n_batch = observed(good_obs["rules"], "n"), observed(good_obs["batch_dedup"], "n")
+        n_rules = observed(good_obs["rules"], "n")
         m.n_written = written
     if result.parsed is not None:
         m.n_hook_removed = m.n_in - m.n_parse_failure - n_flat
@@ -518,6 +530,25 @@ def _metrics(batch_id: int, result: BatchResult, good_obs: dict[str, Observation
     return m
 
 
-def run_batch(raw: DataFrame, spec: PipelineSpec, *, batch_id: int = 0, **kw) -> BatchMetrics:
-    """PIP-3: the same processing over a bounded input (replay, backfill)."""
-    return process_batch(raw, batch_id, spec, **kw)
+def run_batch(raw: DataFrame, spec: PipelineSpec, *, batch_id: int = 0, run_id: str | None = None, **kw) -> BatchMetrics:
+    """PIP-3: the same processing over a bounded input (replay, backfill), as a run of its own."""
+    return process_batch(raw, batch_id, spec, run_id=run_id or uuid.uuid4().hex, **kw)
+
+
+def run_slices(raw: DataFrame, spec: PipelineSpec, slices: int, *, run_id: str | None = None, **kw) -> list[BatchMetrics]:
+    """PIP-3 for a range too large to persist at once: ascending offset ranges, one batch each, all of them loaded.
+
+    The ranges come from one aggregation over the offsets.  A key that an earlier slice has written is found in the
+    target, so slices after the first always compare with it.
+    """
+    run_id = run_id or uuid.uuid4().hex
+    offset = F.col("kafka_offset" if "kafka_offset" in raw.columns else "offset")
+    cuts = raw.agg(F.percentile_approx(offset, [k / slices for k in range(1, slices)], 10_000)).first()[0] if slices > 1 else []
+    bounds = [None, *sorted(set(cuts or [])), None]
+    out = []
+    for k, (low, high) in enumerate(zip(bounds, bounds[1:])):
+        part = raw if low is None else raw.filter(offset > low)
+        part = part if high is None else part.filter(offset <= high)
+        again = {"reprocess": True} if k else {}
+        out.append(process_batch(part, k, spec, run_id=run_id, **{**kw, **again}))
+    return out

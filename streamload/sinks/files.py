@@ -46,18 +46,23 @@ def append_parquet(df: DataFrame, path: str, partition_column: str | Sequence[st
 
 
 def append_table(df: DataFrame, table: str, *, files: int | None = None,
-                 max_records_per_file: int | None = None, rebalance: bool = True) -> None:
+                 max_records_per_file: int | None = None, rebalance: bool = True,
+                 extra_columns: str = "raise") -> None:
     """Append to an existing catalog table, matching columns **by name** (SNK-2, PRJ-13).
 
     The column list comes from the table itself, so columns a hook added are
-    kept when the table has them and a missing one is a clear error; the
-    positional insert then gets the table's order (partition column last).
+    kept when the table has them; a missing one is an error, and so is one
+    that the table lacks unless ``extra_columns="drop"``.  The positional
+    insert then gets the table's order (partition column last).
     """
     spark = df.sparkSession
     cols = spark.table(table).columns
     missing = [c for c in cols if c not in df.columns]
     if missing:
         raise ValueError(f"rows for {table} lack column(s) {missing}")
+    extra = [c for c in df.columns if c not in cols]
+    if extra and extra_columns != "drop":
+        raise ValueError(f"table {table} lacks column(s) {extra}; extra_columns='drop' leaves them out")
     out = size_files(df.select(*[quote_path(c) for c in cols]), files, rebalance)
     w = out.write
     if max_records_per_file:

@@ -20,8 +20,7 @@ TOMBSTONE_MOD = 97        # value is NULL            -> JSON_PARSE_FAILURE
 TRUNCATE_MOD = 89         # last 5 characters cut    -> JSON_PARSE_FAILURE
 DROP_KEY_MOD = 83         # event_id left out        -> NULL_PRIMARY_KEY
 BAD_LEAF_MOD = 79         # measure.value is "n/a"   -> good, value NULL
-DUPLICATE_MOD = 73        # message sent twice (offset + DUPLICATE_OFFSET)
-DUPLICATE_OFFSET = 1_000_000
+DUPLICATE_MOD = 73        # message sent twice: offsets 2 * (event_id // PARTITIONS) and the next one
 TRUNCATE_CHARS = 5
 PARTITIONS = 4
 TOPIC = "events"
@@ -75,7 +74,7 @@ def messages_from_events(events: DataFrame, damage: bool = True, duplicates: boo
         kind = F.when(cond, F.lit(name)).otherwise(kind)
     shifts = F.array(F.lit(0).cast("long"))
     if duplicates:
-        shifts = F.when(eid % DUPLICATE_MOD == 0, F.array(F.lit(0).cast("long"), F.lit(DUPLICATE_OFFSET).cast("long"))
+        shifts = F.when(eid % DUPLICATE_MOD == 0, F.array(F.lit(0).cast("long"), F.lit(1).cast("long"))
                         ).otherwise(shifts)
     base = events.select("event_id", "ts", "user_id", "event_type", "value", "props",
                          kind.alias("_damage"), F.explode(shifts).alias("_shift"))
@@ -88,7 +87,7 @@ def messages_from_events(events: DataFrame, damage: bool = True, duplicates: boo
         body.cast("binary").alias("value"),
         F.lit(TOPIC).alias("topic"),
         (F.col("event_id") % PARTITIONS).cast("int").alias("partition"),
-        (F.floor(F.col("event_id") / PARTITIONS).cast("long") + F.col("_shift")).alias("offset"),
+        (2 * F.floor(F.col("event_id") / PARTITIONS).cast("long") + F.col("_shift")).alias("offset"),
         F.col("ts").cast("timestamp").alias("timestamp"),
         F.lit(0).alias("timestampType"),
     )

@@ -6,7 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from ..spec import Target
+from ..spec import SpecError, Target
 
 # Error conditions that mean "nothing has been written yet".
 MISSING_PATH_CONDITIONS = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
@@ -23,6 +23,17 @@ def _condition(e: AnalysisException) -> str | None:
     return None
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether Spark can find the path (a glob too)."""
+    try:
+        spark.read.text(path)
+        return True
+    except AnalysisException as e:
+        if _condition(e) in MISSING_PATH_CONDITIONS:
+            return False
+        raise
+
+
 def read_target(spark: SparkSession, target: Target | str, *, schema: T.StructType | None = None
                 ) -> DataFrame | None:
     """The target as a DataFrame, or ``None`` when it does not exist yet.
@@ -48,6 +59,25 @@ def read_target(spark: SparkSession, target: Target | str, *, schema: T.StructTy
         raise
 
 
+def read_stored(spark: SparkSession, path: str, columns, partition_column: str, values=None) -> DataFrame | None:
+    """``columns`` of a Parquet target as they are stored, plus the load date as STRING; ``None`` before the first write.
+
+    ``values`` limits the read to those load dates.  A column that the stored files do not have raises: reading it with
+    an imposed schema would give NULL for every row, and an anti join would then match nothing.
+    """
+    def read(schema):
+        return read_target(spark, path, schema=schema) if values is None else \
+            read_partitions(spark, path, partition_column, values, schema=schema)
+    seen = read(None)
+    if seen is None:
+        return None
+    stored = {f.name: f for f in seen.schema.fields}
+    missing = [c for c in columns if c not in stored]
+    if missing:
+        raise SpecError(f"{path} has no column(s) {', '.join(missing)}; it has {', '.join(stored)}")
+    return read(T.StructType([stored[c] for c in columns] + [T.StructField(partition_column, T.StringType(), True)]))
+
+
 def read_rows(spark: SparkSession, target: Target | str, partition_column: str = "audit_load_date"
               ) -> DataFrame | None:
     """All rows of a target with the load-date column as written (STRING).

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Callable, Iterable, Mapping, Sequence
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, field, fields, replace
 from typing import Any
 
 from pyspark.sql import DataFrame
@@ -183,6 +183,8 @@ class PipelineSpec:
             check_mappings(self.mappings, self.partition_column)
         if not self.primary_keys:
             raise SpecError("at least one primary key is required")
+        if any("." in k for k in self.primary_keys):
+            raise SpecError(f"a primary key with a dot cannot be told from a nested path: {self.primary_keys}")
         names = {m.name for m in self.mappings}
         if self.flattener is None and self.transformer is None:
             missing = [k for k in self.primary_keys if k not in names]
@@ -196,7 +198,7 @@ class PipelineSpec:
             raise SpecError("dedup_mode must be 'always' or 'reprocess'")
         for r in self.rules:
             if r.operator.lower() not in RULE_OPERATORS:
-                raise SpecError(f"Unsupported filter operator: {r.operator} for field: {r.field}")
+                raise SpecError(f"rule on {r.field!r}: {r.operator!r} is none of {', '.join(RULE_OPERATORS)}")
 
     @property
     def mapped_columns(self) -> list[str]:
@@ -225,25 +227,13 @@ class PipelineSpec:
             target = Target(path=d["target"].get("path"), table=d["target"].get("table"))
         else:
             target = Target(path=d.get("output_path"), table=d.get("table"))
-        kwargs = dict(
-            mappings=mappings,
-            primary_keys=d["primary_keys"],
-            target=target,
-            topic=d.get("topic", ""),
-            partition_column=d.get("partition_column", "audit_load_date"),
-            date_format=d.get("date_format", "yyyy-MM-dd"),
-            lookback_days=d.get("lookback_days", 2),
-            rules=[FilterRule.from_dict(r) for r in d.get("rules", [])],
-            error_path=d.get("error_path"),
-            capture_errors=d.get("capture_errors", True),
-            params=d.get("params", {}),
-        )
-        for k in ("dedup_within_batch", "dedup_mode", "idempotent_errors", "audit_path", "app_name",
-                  "files_per_write", "max_records_per_file", "strict_json", "on_unknown_type", "on_type_mismatch",
-                  "restrict_existing",
-                  "reserialize_null_key_rows"):
-            if k in d:
-                kwargs[k] = d[k]
+        shaped = {"json", "target", "output_path", "table", "rules", "as_of"}
+        plain = {f.name for f in fields(PipelineSpec)} - {"mappings"} - shaped
+        unknown = sorted(set(d) - plain - shaped)
+        if unknown:
+            raise SpecError(f"unknown setting(s) {', '.join(unknown)}; known are {', '.join(sorted(plain | shaped))}")
+        kwargs = {"mappings": mappings, "target": target, "rules": [FilterRule.from_dict(r) for r in d.get("rules", [])]}
+        kwargs |= {k: v for k, v in d.items() if k in plain}
         if d.get("as_of"):  # ISO text; a fixed clock for backfills and tests
             as_of = d["as_of"]
             kwargs["as_of"] = _dt.datetime.fromisoformat(as_of) if isinstance(as_of, str) else as_of

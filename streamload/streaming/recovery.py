@@ -9,8 +9,11 @@ audit append replays one batch, and only the anti join makes that safe.
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import SparkSession
 
+from ..functions.columns import resolve_as_of
 from ..operators.audit import latest_offsets, read_audit, starting_offsets_json
 
 
@@ -21,8 +24,20 @@ def starting_offsets_from_audit(spark: SparkSession, audit_path: str, topic: str
     ``partitions`` (the topic's partition count) fills partitions never
     audited with ``-2`` (earliest), since Kafka needs every partition
     listed.  One row per partition reaches the driver.
+
+    Where ``app`` and ``partitions`` are given, the newest dates are read first (a day, a week, a quarter), until every
+    partition has been seen; only a partition silent for longer needs the whole dataset.
     """
-    audit = read_audit(spark, audit_path)
+    audit = None
+    if app is not None and partitions is not None:
+        today = resolve_as_of(None).date()
+        for days in (1, 7, 90):
+            dates = [(today - _dt.timedelta(days=k)).isoformat() for k in range(-1, days)]
+            recent = read_audit(spark, audit_path, app, dates)
+            if recent is not None and latest_offsets(recent, topic, app).count() >= partitions:
+                audit = recent
+                break
+    audit = audit if audit is not None else read_audit(spark, audit_path)
     if audit is None:
         return None
     latest = latest_offsets(audit, topic, app)

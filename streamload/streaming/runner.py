@@ -26,7 +26,9 @@ def make_batch_processor(spec: PipelineSpec, *, on_metrics: Callable[[BatchMetri
     """
     def fn(df: DataFrame, batch_id: int) -> None:
         rp = reprocess(batch_id) if callable(reprocess) else reprocess
-        m = process_batch(df, batch_id, spec, persist=persist, reprocess=rp)
+        # the id of the query, which stays with its checkpoint
+        run = df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or ""
+        m = process_batch(df, batch_id, spec, persist=persist, reprocess=rp, run_id=run)
         if on_metrics is not None:
             on_metrics(m)
     return fn

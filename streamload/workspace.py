@@ -23,6 +23,8 @@ def shared_dir(spark: SparkSession) -> str:
         return current
     conf = sc.getConf().get("spark.checkpoint.dir", None)
     if not conf:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         conf = tempfile.mkdtemp(prefix="streamload-ckpt-")
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf

@@ -32,7 +32,10 @@ FAULTS = [
     ("json null key", '{"event_id":null,"c":{"id":"z"}}', False, None, "z", None, None),
     ("duplicate key", '{"event_id":"E12","event_id":"E13"}', False, "E13", None, None, None),
     ("single quotes", "{'event_id':'E14'}", False, "E14", None, None, None),
-    ("text after object", '{"event_id":"E9"} junk', False, "E9", None, None, None),
+    ("text after object", '{"event_id":"E9"} junk', True, None, None, None, None),
+    ("second object", '{"event_id":"E9"}{"event_id":"E10"}', True, None, None, None, None),
+    ("bracket after object", '{"event_id":"E9"}]', True, None, None, None, None),
+    ("list of objects", '{"event_id":"E9"},{"event_id":"E10"}', True, None, None, None, None),
     ("key case", '{"EVENT_ID":"E11"}', False, None, None, None, None),
 ]
 

@@ -38,17 +38,31 @@ def test_restrict_then_anti_join_equals_anti_join(spark):
 def test_stats_bound_and_hooks(spark, msgs):
     spec = event_spec("unused")
     parsed = parse_batch(msgs, spec)
-    n, key_bytes, error_bytes = batch_stats(parsed, spec)
-    assert n == msgs.count()
-    n_err = error_positions(parsed, spec).count()
+    result = transform_batch(parsed, spec)
+    stats = batch_stats(result, spec)
+    assert stats.n_in == stats.n_flat == msgs.count()
+    assert (stats.n_parse_failure, stats.n_null_key) == (23, 12)
+    n_err = error_positions(result).count()
     assert n_err == 23 + 12  # FIXTURES.md §4 at sf0.001: parse failures + null keys
-    assert error_bytes >= n_err * (48 + 3 * 8 + len("events"))
-    raw_key_bytes = candidate_keys(parsed, spec).agg(F.sum(F.octet_length("event_id"))).first()[0]
-    assert key_bytes >= raw_key_bytes + 48 * candidate_keys(parsed, spec).count()
+    assert stats.error_bytes >= n_err * (48 + 3 * 8 + len("events"))
+    raw_key_bytes = candidate_keys(result, spec).agg(F.sum(F.octet_length("event_id"))).first()[0]
+    assert stats.key_bytes >= raw_key_bytes + 48 * candidate_keys(result, spec).count()
     hooked = event_spec("unused", transformer=lambda df: df)
-    assert batch_stats(parse_batch(msgs, hooked), hooked)[1:] == (None, None)
-    assert error_positions(parse_batch(msgs, hooked), hooked) is None
-    assert candidate_keys(parse_batch(msgs, hooked), hooked) is None
+    through = transform_batch(parse_batch(msgs, hooked), hooked)
+    assert batch_stats(through, hooked) == stats._replace(n_flat=stats.n_in - stats.n_parse_failure)
+    assert error_positions(through).count() == n_err
+    bare = event_spec("unused", transformer=lambda df: df.drop("_src"))
+    assert error_positions(transform_batch(parse_batch(msgs, bare), bare)) is None
+
+
+def test_masking_hook_gets_the_semi_join(spark, msgs, workdir):
+    events = spark.read.parquet(f"{SF001}/events.parquet")
+    append_parquet(existing_rows_from_events(events), f"{workdir}/target", "audit_load_date")
+    spec = event_spec(f"{workdir}/target", transformer=lambda df: df.withColumn("event_timestamp", F.lit("x")))
+    res = transform_batch(parse_batch(msgs, spec), spec)
+    good, _ = good_rows_plan(res.good, spec, spec.as_of, candidates=candidate_keys(res, spec))
+    plan = good._jdf.queryExecution().executedPlan().toString()
+    assert plan.rindex("Exchange hashpartitioning") < plan.index("LeftSemi")
 
 
 def test_semi_join_is_in_the_plan_and_scan_not_shuffled(spark, msgs, workdir):
@@ -57,11 +71,12 @@ def test_semi_join_is_in_the_plan_and_scan_not_shuffled(spark, msgs, workdir):
     spec = event_spec(f"{workdir}/target")
     parsed = parse_batch(msgs, spec)
     res = transform_batch(parsed, spec)
-    good, _ = good_rows_plan(res.good, spec, spec.as_of, candidates=candidate_keys(parsed, spec))
+    good, _ = good_rows_plan(res.good, spec, spec.as_of, candidates=candidate_keys(res, spec))
     plan = good._jdf.queryExecution().executedPlan().toString()
     assert "LeftSemi" in plan
-    # the only hash exchange is the in-batch dedup's
-    assert plan.count("Exchange hashpartitioning") == 1
+    # the exchanges are the in-batch dedup's and, above the semi join, that of the keys it left
+    assert plan.count("Exchange hashpartitioning") == 2
+    assert plan.rindex("Exchange hashpartitioning") < plan.index("LeftSemi")
 
 
 def test_same_target_with_and_without_prefilter(spark, msgs, workdir):
@@ -94,9 +109,9 @@ def test_error_branch_semi_join_in_plan(spark, msgs, workdir):
     parsed = parse_batch(msgs, spec)
     res = transform_batch(parsed, spec)
     append_parquet(res.bad, f"{workdir}/errors", "audit_load_date")
-    bad, _ = error_rows_plan(res.bad, spec, spec.as_of, error_positions(parsed, spec))
+    bad, _ = error_rows_plan(res.bad, spec, spec.as_of, error_positions(res))
     plan = bad._jdf.queryExecution().executedPlan().toString()
-    assert "LeftSemi" in plan and "Exchange hashpartitioning" not in plan
+    assert "LeftSemi" in plan and "Exchange hashpartitioning" not in plan[plan.index("LeftSemi"):]
     assert bad.count() == 0
 
 
