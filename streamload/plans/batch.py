@@ -35,7 +35,7 @@ from ..operators.audit import append_audit, audit_rows, batch_offsets
 from ..operators.dedup import (ERROR_KEYS, REBUILT_KEYS, anti_join_errors, anti_join_existing, check_key_types,
                                dedup_within_batch, existing_keys, restrict_to_keys)
 from ..operators.hooks import apply_flattener, apply_transformer
-from ..operators.parse import (PARSE_FAILED, PARSED, SOURCE_STRUCT, flatten_columns, flattener_input,
+from ..operators.parse import (ENVELOPE, PARSE_FAILED, SOURCE_STRUCT, flatten_columns, flattener_input,
                                parse_messages)
 from ..operators.quality import ERROR_REASON, error_reason, split_bad_records, to_error_rows
 from ..operators.rules import apply_rules, rules_condition
@@ -53,6 +53,7 @@ class BatchResult:
     observations: dict[str, Observation] = field(default_factory=dict)
     tagged: DataFrame | None = None   # flat rows with error_reason, before the split
     parsed: DataFrame | None = None   # parsed messages (hook path only)
+    cached: DataFrame | None = None   # what holds the batch's rows with their positions, persisted or not
 
 
 @dataclass
@@ -130,11 +131,21 @@ def parse_batch(raw: DataFrame, spec: PipelineSpec) -> DataFrame:
                           schema=schema if spec.flattener is not None else None)
 
 
+def _slim(tagged: DataFrame, spec: PipelineSpec) -> DataFrame:
+    """Tagged rows whose message text is kept for error rows only: nothing else reads it again."""
+    if any(c in (SOURCE_STRUCT, f"{SOURCE_STRUCT}.json_raw") for c in spec.dedup_order):
+        return tagged
+    fields = [f"IF({ERROR_REASON} IS NULL, NULL, {SOURCE_STRUCT}.{c}) AS {c}" if c == "json_raw" else f"{SOURCE_STRUCT}.{c}"
+              for c in ENVELOPE]
+    return tagged.withColumn(SOURCE_STRUCT, F.expr(f"struct({', '.join(fields)})"))
+
+
 def transform_batch(parsed: DataFrame, spec: PipelineSpec, as_of: _dt.datetime | None = None, *,
-                    observe: bool = True) -> BatchResult:
+                    observe: bool = True, persist: bool = False) -> BatchResult:
     """PIP-1: parsed messages -> (good rows, error rows), both lazy.
 
-    ``observe=False`` leaves out the counting (a persisted batch is counted by :func:`batch_stats`).
+    ``observe=False`` leaves out the counting (a persisted batch is counted by :func:`batch_stats`).  ``persist``
+    keeps what both branches start from: the tagged flat rows, or with hooks the parsed messages.
 
     ``parsed`` is the output of :func:`parse_batch` (persisted or not).  Good
     rows carry the mapped columns (or the hooks' columns), the load-date
@@ -152,6 +163,7 @@ def transform_batch(parsed: DataFrame, spec: PipelineSpec, as_of: _dt.datetime |
         flat = parsed.select(*flatten_columns(spec.mappings, on_unknown=spec.on_unknown_type), ld,
                              F.col(SOURCE_STRUCT), F.col(PARSE_FAILED))
         tagged = flat.withColumn(ERROR_REASON, error_reason(keys))
+        cached = tagged = _slim(tagged, spec).persist(StorageLevel.MEMORY_AND_DISK) if persist else tagged
         if observe:
             obs["split"] = _obs("split")
             tagged = tagged.observe(
@@ -160,10 +172,11 @@ def transform_batch(parsed: DataFrame, spec: PipelineSpec, as_of: _dt.datetime |
                 _count_sql(f"{ERROR_REASON} = '{NULL_PRIMARY_KEY}'", "n_null_key"))
         good, bad = split_bad_records(tagged, part, data_columns=spec.mapped_columns, topic=spec.topic,
                                       as_of=as_of, reserialize=spec.reserialize_null_key_rows)
-        return BatchResult(good, bad, obs, tagged=tagged)
+        return BatchResult(good, bad, obs, tagged=tagged, cached=cached)
 
     # Hooks may change columns and rows: split parse failures first, then
     # run the hooks on the parsed rows, then split on the keys (SET-1 union).
+    cached = parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK) if persist else parsed
     if observe:
         obs["parse"] = _obs("parse")
         parsed = parsed.observe(obs["parse"], F.expr("count(1) AS n_in"),
@@ -189,7 +202,7 @@ def transform_batch(parsed: DataFrame, spec: PipelineSpec, as_of: _dt.datetime |
                                       reserialize=spec.reserialize_null_key_rows)
     parse_bad = to_error_rows(parsed.filter(F.col(PARSE_FAILED)).select(F.col(SOURCE_STRUCT), ld),
                               JSON_PARSE_FAILURE, part)
-    return BatchResult(good, parse_bad.unionByName(key_bad), obs, tagged=tagged, parsed=parsed)
+    return BatchResult(good, parse_bad.unionByName(key_bad), obs, tagged=tagged, parsed=parsed, cached=cached)
 
 
 def lookback_rows(spark, path: str, spec: PipelineSpec, as_of: _dt.datetime, columns) -> DataFrame | None:
@@ -417,11 +430,9 @@ def process_batch(raw: DataFrame, batch_id: int, spec: PipelineSpec, *, persist:
     if not persist and raw.isEmpty():  # AGG-2: a LIMIT 1 job; nothing else runs for an empty batch
         return BatchMetrics(batch_id, as_of=as_of, seconds=time.perf_counter() - t0)
     parsed = parse_batch(raw, spec)
-    if persist:
-        parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
+    result = transform_batch(parsed, spec, as_of, observe=not persist, persist=persist)
     try:
         candidates = error_candidates = stats = None
-        result = transform_batch(parsed, spec, as_of, observe=not persist)
         if persist:
             # AGG-2, the counts and the cache fill in one job; the measured sizes decide the semi joins.
             stats = batch_stats(result, spec)
@@ -446,12 +457,12 @@ def process_batch(raw: DataFrame, batch_id: int, spec: PipelineSpec, *, persist:
         m.n_bad_written = n_bad_written
         m.dedup_applied = dedup
         if spec.audit_path:
-            rows = audit_rows(batch_offsets(parsed), _audit_counts(m), app=spec.app_name, batch_id=batch_id,
+            rows = audit_rows(batch_offsets(result.cached), _audit_counts(m), app=spec.app_name, batch_id=batch_id,
                               recorded_at=as_of, run_id=run_id)
             append_audit(rows, spec.audit_path)  # of a batch that is run again, the reader takes the last rows
     finally:
         if persist:
-            parsed.unpersist()
+            result.cached.unpersist()
     m.load_date = _format_date(as_of, spec.date_format)
     m.seconds = time.perf_counter() - t0
     return m

@@ -21,8 +21,9 @@ class ProgressRecorder(StreamingQueryListener):
 
     Register with ``spark.streams.addListener(rec)``; pass ``rec.add_metrics``
     as ``on_metrics`` to :func:`run_stream`.  A stream may run for months, so
-    only the last ``keep`` entries of each kind stay on the driver; the
-    totals are running sums over every batch seen.
+    only the last ``keep`` entries of each kind stay on the driver, older
+    ones are forgotten; the totals are running sums over every batch seen.
+    The full record of all batches is the audit dataset (``audit_path``).
     """
 
     def __init__(self, keep: int = 1000):
