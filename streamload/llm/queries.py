@@ -9,8 +9,8 @@ from .private_terms import op8_private_terms
 from .quality_classifier import op5_quality_classifier
 from .quality_rules import op2_distribution_divergence
 from .simhash import op9_simhash_near_dedup
-from .substring_dedup import op6_substring_dedup
-from .suffix_dedup import op3_suffix_array_dedup
+from .substring_dedup import OP6_SQL, op6_substring_dedup
+from .suffix_dedup import OP3_SQL, op3_suffix_array_dedup
 from .toxicity import op4_toxicity
 
 QUERIES = {
@@ -27,5 +27,7 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op3_suffix_array_dedup": OP3_SQL,
+    "op6_substring_dedup": OP6_SQL,
     "op10_line_dedup": OP10_SQL,
 }

@@ -173,3 +173,16 @@ def drop_repeated_windows(docs: DataFrame) -> DataFrame:
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return drop_repeated_windows(docs).select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+OP6_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+w AS (SELECT r, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM d),
+g AS (SELECT r, i, array_to_string(words[i:i + 34], ' ') AS s FROM (SELECT r, words, unnest(range(1, len(words) - 33)) AS i FROM d)),
+hit AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY s) AS n FROM g) WHERE n > 1),
+m AS (SELECT w.r, w.i, w.word, max(hit.i) OVER (PARTITION BY w.r ORDER BY w.i ROWS 34 PRECEDING) IS NOT NULL AS gone
+      FROM w LEFT JOIN hit ON w.r = hit.r AND w.i = hit.i),
+k AS (SELECT r, count(*) FILTER (WHERE gone) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (WHERE NOT gone) AS kept FROM m GROUP BY r)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (r)
+"""

@@ -267,3 +267,23 @@ def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_repeated_bytes(docs).select(
         "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
         F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP3_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(doc_id, 9223372036854775807) AS rank, doc_id,
+                  hex(encode(coalesce(text, ''))) AS h FROM documents),
+p AS (SELECT r, rank, o, len(h) // 2 AS n, substr(h, 2 * o + 1, 2098) AS part
+      FROM (SELECT r, rank, h, unnest(range(0, len(h) // 2, 1000)) AS o FROM d)),
+b AS (SELECT r, rank, o + j AS i, substr(part, 2 * j + 1, 2) AS c, CASE WHEN o + j + 50 <= n THEN substr(part, 2 * j + 1, 100) END AS s
+      FROM (SELECT *, unnest(range(least(1000, n - o))) AS j FROM p)),
+f AS (SELECT s, min(rank) AS first FROM b WHERE s IS NOT NULL GROUP BY s HAVING count(*) > 1),
+hit AS (SELECT r, i FROM b JOIN f USING (s) WHERE first < rank),
+m AS (SELECT b.r, b.i, b.c, max(hit.i) OVER (PARTITION BY b.r ORDER BY b.i ROWS 49 PRECEDING) IS NOT NULL AS gone
+      FROM b LEFT JOIN hit ON b.r = hit.r AND b.i = hit.i),
+e AS (SELECT r, i, c, gone, coalesce(lag(gone) OVER (PARTITION BY r ORDER BY i), FALSE) AS before FROM m),
+k AS (SELECT r, count(*) AS n_bytes, count(*) FILTER (WHERE gone) AS n_removed, count(*) FILTER (WHERE gone AND NOT before) AS n_spans,
+             string_agg(c, '' ORDER BY i) FILTER (WHERE NOT gone) AS kept FROM e GROUP BY r)
+SELECT doc_id, coalesce(n_bytes, 0) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM d LEFT JOIN k USING (r)
+"""
