@@ -182,7 +182,9 @@ def q_lookback_keys_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     append_table(rows, name)
     keys = existing_keys(read_target(spark, Target(table=name)), ["event_id", "audit_load_date"],
                          "audit_load_date", 2, AS_OF)
-    return keys
+    keys.write.parquet(f"{root}/keys")
+    spark.sql(f"DROP TABLE {name}")
+    return spark.read.schema(keys.schema).parquet(f"{root}/keys")
 
 
 def q_dedup_anti_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -265,7 +267,8 @@ def q_sink_table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     good = _good(spark, sf_dir).drop("_src")
     create_target_table(spark, name, good.schema, "audit_load_date", path=f"{root}/t")
     append_table(good.select(*reversed(good.columns)), name)
-    return spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # an external table: its files stay
+    return read_rows(spark, f"{root}/t")
 
 
 def q_batch_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
