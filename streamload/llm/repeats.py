@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import sliding_min, whole_text
+from .common import materialize, sliding_min, whole_text
 
 CHUNK = 1 << 20
 #: Bytes of text per bucket of anchors.
@@ -28,12 +28,33 @@ ANCHOR_BYTES = 32 << 20
 _LAST = np.iinfo(np.int64).max
 
 
-def blocks(docs: DataFrame, block_bytes: int) -> tuple[DataFrame, int]:
-    """(block, doc_id, text) and the bytes of all texts."""
+def blocks(docs: DataFrame, block_bytes: int, copies_together: bool = False) -> tuple[DataFrame, int]:
+    """(block, doc_id, text) and the bytes of all texts.
+
+    ``copies_together`` deals equal texts to one block, or to several if they fill more than half a block: the few texts
+    of so many copies are counted first, and Spark decides by their size how to join them.
+    """
     text = whole_text(docs)
     total = docs.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()[0]
-    block = F.pmod(F.xxhash64(docs["doc_id"], text), F.lit(total // block_bytes + 1)).cast("int")
-    return docs.select(block.alias("block"), docs["doc_id"], text.alias("text")), total
+    n = F.lit(total // block_bytes + 1)
+    base = docs.select(docs["doc_id"], text.alias("text"))
+    if not copies_together:
+        return base.select(F.pmod(F.xxhash64("doc_id", "text"), n).cast("int").alias("block"), "doc_id", "text"), total
+    size = F.sum(F.octet_length("text"))
+    many = materialize(base.groupBy(F.xxhash64("text").alias("copy")).agg(F.ceil(2 * size / block_bytes).cast("int").alias("parts"))
+                       .where("parts > 1"), "copies")
+    dealt = base.withColumn("copy", F.xxhash64("text")).join(many, "copy", "left")
+    part = F.pmod(F.xxhash64("doc_id"), F.coalesce("parts", F.lit(1)))
+    return dealt.select(F.pmod(F.xxhash64("copy", part), n).cast("int").alias("block"), "doc_id", "text"), total
+
+
+def later_copies(table: pa.Table) -> np.ndarray:
+    """Which texts of a block also belong to a document that comes before theirs."""
+    code = pc.dictionary_encode(table.column("text").combine_chunks()).indices.to_numpy() if table.num_rows else np.zeros(0, int)
+    rank = ranks(table)
+    least = np.full(int(code.max()) + 1 if len(code) else 0, _LAST)
+    np.minimum.at(least, code, rank)
+    return rank > least[code]
 
 
 def in_order(table: pa.Table) -> pa.Table:

@@ -11,6 +11,7 @@ equal 50-byte strings meet in one shard.  Each shard sorts its suffixes by the d
    others by the same comparison;
 4. adjacent suffixes whose first 50 bytes agree form a class, whose least doc_id decides.
 
+Equal texts are dealt to one block (many of them to several), where all but the smallest document's go as a whole.
 Equal surroundings inside a block, and then inside a shard, are one string with the least of their doc_ids, so a
 passage in a third of all documents is sorted once.
 
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import mix, sliding_min, table
-from .repeats import (among, anchors, blocks, chunks, per_block, ranges, ranks, raw_texts, repeated_anchors, runs,
+from .repeats import (among, anchors, blocks, chunks, later_copies, per_block, ranges, ranks, raw_texts, repeated_anchors, runs,
                       spans_by_document, valid_windows, with_blocks)
 
 WIDTH, GRAM = 50, 8
@@ -65,9 +66,14 @@ def _keys(eight: np.ndarray, grams: np.ndarray, at: np.ndarray) -> np.ndarray:
     return (grams[at] & ~np.uint64(0xFFFF_FFFF)) | (of(at) << np.uint64(16)) | of(at + side + GRAM)
 
 
+def _without_copies(texts: pa.Table) -> list[bytes]:
+    """The texts of a block, empty for copies of a smaller document's text: those go as a whole."""
+    return [b"" if copy else text for text, copy in zip(raw_texts(texts), later_copies(texts))]
+
+
 def _first_level(texts: pa.Table) -> pa.Table:
     """Keys of a block's anchors; ``many`` if several of its documents have one."""
-    raw = raw_texts(texts)
+    raw = _without_copies(texts)
     seen, docs = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
     sizes = np.fromiter(map(len, raw), np.int64, len(raw))
     for a, b in chunks(sizes, CHUNK):
@@ -94,7 +100,7 @@ _DDL = "bucket int, known boolean, block int, doc int, start int, rank long, par
 def _surroundings(texts: pa.Table, repeated: pa.Table, shards: int) -> pa.Table:
     """Runs of windows of one repeated anchor, with the bytes that they cover."""
     known = np.sort(repeated.column("h").to_numpy().view(np.uint64))
-    raw = raw_texts(texts)
+    raw = _without_copies(texts)
     sizes = np.fromiter(map(len, raw), np.int64, len(raw))
     cols: dict[str, list] = {k: [] for k in ("h", "doc", "start", "part")}
     for first, last in chunks(sizes, CHUNK) if len(known) else ():
@@ -235,7 +241,9 @@ def _decide(group: pa.Table) -> pa.Table:
 
 def _without(texts: pa.Table, found: pa.Table) -> pa.Table:
     raw = raw_texts(texts)
-    kept, all_spans = [], spans_by_document(found, len(raw), WIDTH)
+    all_spans = [[(0, len(t))] if copy and len(t) >= WIDTH else spans for t, copy, spans in
+                 zip(raw, later_copies(texts), spans_by_document(found, len(raw), WIDTH))]
+    kept = []
     for text, spans in zip(raw, all_spans):
         parts, end = [], 0
         for a, b in spans:
@@ -250,7 +258,7 @@ def _without(texts: pa.Table, found: pa.Table) -> pa.Table:
 
 def drop_repeated_bytes(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, kept (the bytes that stay) and spans (maximal removed runs), one row per input row."""
-    dealt, total = blocks(docs, BLOCK_BYTES)
+    dealt, total = blocks(docs, BLOCK_BYTES, copies_together=True)
     shards = total // SHARD_BYTES + 1
     found = per_block(dealt, _first_level, "block int, h long, many boolean")
     # a key occurs elsewhere if its gram does with the same bytes before it or after it
