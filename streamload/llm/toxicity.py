@@ -2,8 +2,8 @@
 
 Texts are folded: lower case, compatibility forms and accents removed, homoglyphs of other scripts and
 digits or signs that stand for letters inside a word mapped to Latin letters (l, i and 1 become one letter).
-The lexicon and its weights are log-odds of terms over a bounded sample of labelled documents; a term
-must be spread over texts that share no passage, so that copies of one document cannot make it.  Phrases in which a lexicon
+The lexicon and its weights are log-odds of terms over a bounded sample of labelled documents; families of near
+copies (by min-hash bands) count once, so that copies of one document cannot make a term.  Phrases in which a lexicon
 word is harmless are exceptions.  One Aho-Corasick pass finds both; hits inside an exception phrase do not count.
 The score is a logistic function of the weighted hits, plain and normalised by length.
 
@@ -27,11 +27,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import table, whole_text
+from .common import materialize, mix, pair, table, whole_text
 from .quality_classifier import labelled_sample
 
 MAX_TRAIN, MAX_TERMS, MAX_EXCEPTIONS = 20_000, 2_000, 2_000
 THRESHOLD = 0.3
+#: Letters of a stem: a term that ends in * stands for all longer words that begin with it.
+STEM = 7
 #: Least likelihood ratio statistic of a term: beyond what the best of some ten thousand chance terms reaches.
 MIN_EVIDENCE = 24.0
 
@@ -64,9 +66,10 @@ class ToxicityModel:
     def automaton(self):
         found = ahocorasick.Automaton()
         for term, weight in self.terms.items():
-            found.add_word(f" {term} ", (len(term), term, weight))
+            pattern = f" {term[:-1]}" if term.endswith("*") else f" {term} "
+            found.add_word(pattern, (len(pattern) - 1, term, weight))
         for phrase in self.exceptions:
-            found.add_word(f" {phrase} ", (len(phrase), None, 0.0))
+            found.add_word(f" {phrase} ", (len(phrase) + 1, None, 0.0))
         found.make_automaton()
         return found
 
@@ -78,7 +81,7 @@ class ToxicityModel:
             hits = list(automaton.iter(folded)) if len(automaton) else []
             if not hits:
                 continue
-            safe = [(end - size, end) for end, (size, term, _) in hits if term is None]
+            safe = [(end - size, end) for end, (size, term, _) in hits if term is None]  # with the blanks around
             times: dict[str, int] = {}
             total = 0.0
             for end, (size, term, weight) in hits:
@@ -105,41 +108,71 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> tuple[float,
     return tuple(map(float, w))
 
 
-def _signature(words: list[str]) -> int:
-    """Least hash of the three-word shingles: near copies share it, other texts do not."""
-    grams = map(" ".join, zip(words, words[1:], words[2:])) if len(words) > 2 else [" ".join(words)]
-    return xxhash.xxh64_intdigest(min(grams, key=xxhash.xxh64_intdigest)) >> 1
+#: Near copies are told by min-hashes of five-word shingles: this many bands of two each.
+BANDS = 8
 
 
-@F.pandas_udf(T.StructType([T.StructField("sig", T.LongType()), T.StructField("words", T.ArrayType(T.StringType()))]))
+def _bands(words: list[str]) -> list[int]:
+    """One number per band; texts of similar shingles share some, others (almost) none."""
+    grams = map(" ".join, zip(*(words[k:] for k in range(5)))) if len(words) > 4 else [" ".join(words)]
+    hashes = np.fromiter(set(map(xxhash.xxh64_intdigest, grams)), np.uint64)
+    least = [mix(hashes ^ mix(np.uint64([k]))).min() for k in range(2 * BANDS)]
+    return [int(x) for x in pair(pair(np.array(least[::2]), np.array(least[1::2])), np.arange(BANDS, dtype=np.uint64)).view(np.int64)]
+
+
+@F.pandas_udf(T.StructType([T.StructField("bands", T.ArrayType(T.LongType())), T.StructField("words", T.ArrayType(T.StringType()))]))
 def _folded_words(texts: pd.Series) -> pd.DataFrame:
     words = [fold(t).split() for t in texts]
-    return pd.DataFrame({"sig": [_signature(w) for w in words], "words": words})
+    return pd.DataFrame({"bands": [_bands(w) for w in words], "words": words})
+
+
+def _families(bands: list[list[int]]) -> list[int]:
+    """For each text of the (bounded) sample the first one that it is connected to by shared bands."""
+    label = list(range(len(bands)))
+
+    def find(x: int) -> int:
+        while label[x] != x:
+            label[x] = label[label[x]]
+            x = label[x]
+        return x
+    first: dict[int, int] = {}
+    for k, row in enumerate(bands):
+        for band in row:
+            x, y = find(first.setdefault(band, k)), find(k)
+            label[max(x, y)] = min(x, y)
+    return [find(k) for k in range(len(bands))]
 
 
 def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> ToxicityModel:
     """Fit on at most ``max_train`` labelled documents of the training folds; terms are counted by Spark."""
     ids = labelled_sample(labels, "toxic", 4, 2, max_train)
     sample = docs.select("doc_id", whole_text(docs).alias("text")).join(F.broadcast(ids), "doc_id").select("y", "text")
-    folded = sample.select("y", _folded_words("text").alias("f")).select("y", "f.sig", "f.words").cache()
-    try:
-        n = dict(folded.groupBy("y").agg(F.countDistinct("sig")).collect())
-        n1, n0 = n.get(1.0, 0), n.get(0.0, 0)
-        if not n1 or not n0:
-            return ToxicityModel(weights=(500.0 if n1 else -500.0, 0.0, 0.0))
-        terms = _weighted(folded.select("y", "sig", F.explode(F.array_distinct("words")).alias("term")), n1, n0) \
-            .where((F.col("odds") > 1) & (F.col("evidence") >= MIN_EVIDENCE)) \
-            .orderBy(F.desc("evidence"), "term").limit(MAX_TERMS).collect()
-        lexicon = {r.term: r.odds for r in terms}
-        pairs = folded.select("y", "sig", F.explode(F.array_distinct(F.arrays_zip(
-            F.col("words").alias("a"), F.expr("slice(words, 2, greatest(size(words) - 1, 0))").alias("b")))).alias("p"))
-        near = pairs.where(F.col("p.a").isin(list(lexicon)) | F.col("p.b").isin(list(lexicon))) \
-            .where(F.col("p.a").isNotNull() & F.col("p.b").isNotNull()) \
-            .select("y", "sig", F.concat_ws(" ", "p.a", "p.b").alias("term"))
-        harmless = _weighted(near, n1, n0).where((F.col("d0") >= 3) & (F.col("odds") < 0)) \
-            .orderBy(F.desc("d0"), "term").limit(MAX_EXCEPTIONS).collect() if lexicon else []
-    finally:
-        folded.unpersist()
+    folded = sample.select("y", _folded_words("text").alias("f")).select("y", "f.bands", "f.words").limit(2 * max_train)
+    folded = materialize(folded, "toxicity-sample")
+    bands = sorted(map(list, {tuple(r.bands) for r in folded.select("bands").collect()}))
+    family = docs.sparkSession.createDataFrame(list(zip(bands, _families(bands))), "bands array<long>, sig long")
+    # one text per family: a toxic one if it has any
+    folded = materialize(folded.join(F.broadcast(family), "bands").groupBy("sig").agg(F.max(F.struct("y", "words")).alias("t"))
+                         .select("t.y", "t.words"), "toxicity-families")
+    n = dict(folded.groupBy("y").count().collect())
+    n1, n0 = n.get(1.0, 0), n.get(0.0, 0)
+    if not n1 or not n0:
+        return ToxicityModel(weights=(500.0 if n1 else -500.0, 0.0, 0.0))
+    stems = F.transform(F.filter("words", lambda w: F.length(w) > STEM), lambda w: F.concat(F.left(w, F.lit(STEM)), F.lit("*")))
+    terms = _weighted(folded.select("y", F.explode(F.array_distinct(F.concat("words", stems))).alias("term")), n1, n0) \
+        .where((F.col("odds") > 1) & (F.col("evidence") >= MIN_EVIDENCE)) \
+        .orderBy(F.desc("evidence"), "term").limit(MAX_TERMS).collect()
+    found = {r.term: r for r in terms}
+    # a word goes where its stem says more
+    lexicon = {t: r.odds for t, r in found.items() if t.endswith("*") or (s := found.get(f"{t[:STEM]}*")) is None
+               or len(t) <= STEM or s.evidence < r.evidence}
+    pairs = folded.select("y", F.explode(F.array_distinct(F.arrays_zip(
+        F.col("words").alias("a"), F.expr("slice(words, 2, greatest(size(words) - 1, 0))").alias("b")))).alias("p"))
+    listed = lambda c: F.col(c).isin(list(lexicon)) | F.concat(F.left(c, F.lit(STEM)), F.lit("*")).isin(list(lexicon))
+    near = pairs.where(F.col("p.a").isNotNull() & F.col("p.b").isNotNull() & (listed("p.a") | listed("p.b"))) \
+        .select("y", F.concat_ws(" ", "p.a", "p.b").alias("term"))
+    harmless = _weighted(near, n1, n0).where((F.col("d0") >= 3) & (F.col("odds") < 0)) \
+        .orderBy(F.desc("d0"), "term").limit(MAX_EXCEPTIONS).collect() if lexicon else []
     model = ToxicityModel(lexicon, tuple(r.term for r in harmless))
     rows = sample.select("y", _features_of(model)("text").alias("f")).select("y", "f.*").limit(2 * max_train).toPandas()
     rows = rows.sort_values(["y", "hits", "dense"], ignore_index=True)
@@ -148,10 +181,10 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Tox
 
 
 def _weighted(rows: DataFrame, n1: int, n0: int) -> DataFrame:
-    """term, documents of either label (copies once), log-odds, and the likelihood ratio statistic of its share."""
+    """term, texts of either label, log-odds, and the likelihood ratio statistic of its share; a row per text and term."""
     both = F.col("d1") + F.col("d0")
     gain = lambda d, n: F.when(d > 0, 2 * d * F.log(d * (n1 + n0) / (both * n))).otherwise(0.0)
-    return rows.distinct().groupBy("term").agg(F.sum("y").alias("d1"), F.sum(1 - F.col("y")).alias("d0")).select(
+    return rows.groupBy("term").agg(F.sum("y").alias("d1"), F.sum(1 - F.col("y")).alias("d0")).select(
         "term", "d1", "d0", (F.log((F.col("d1") + 0.5) / (n1 + 1)) - F.log((F.col("d0") + 0.5) / (n0 + 1))).alias("odds"),
         (gain(F.col("d1"), n1) + gain(F.col("d0"), n0)).alias("evidence"))
 
