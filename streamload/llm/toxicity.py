@@ -166,11 +166,11 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Tox
     # a word goes where its stem says more
     lexicon = {t: r.odds for t, r in found.items() if t.endswith("*") or (s := found.get(f"{t[:STEM]}*")) is None
                or len(t) <= STEM or s.evidence < r.evidence}
-    pairs = folded.select("y", F.explode(F.array_distinct(F.arrays_zip(
-        F.col("words").alias("a"), F.expr("slice(words, 2, greatest(size(words) - 1, 0))").alias("b")))).alias("p"))
-    listed = lambda c: F.col(c).isin(list(lexicon)) | F.concat(F.left(c, F.lit(STEM)), F.lit("*")).isin(list(lexicon))
-    near = pairs.where(F.col("p.a").isNotNull() & F.col("p.b").isNotNull() & (listed("p.a") | listed("p.b"))) \
-        .select("y", F.concat_ws(" ", "p.a", "p.b").alias("term"))
+    listed = lambda w: w.isin(list(lexicon)) | F.concat(F.left(w, F.lit(STEM)), F.lit("*")).isin(list(lexicon))
+    following = F.expr("slice(words, 2, greatest(size(words) - 1, 0))")
+    near = folded.select("y", F.explode(F.array_distinct(F.filter(F.zip_with(
+        "words", following, lambda a, b: F.when(b.isNotNull() & (listed(a) | listed(b)), F.concat(a, F.lit(" "), b))),
+        lambda p: p.isNotNull()))).alias("term"))
     harmless = _weighted(near, n1, n0).where((F.col("d0") >= 3) & (F.col("odds") < 0)) \
         .orderBy(F.desc("d0"), "term").limit(MAX_EXCEPTIONS).collect() if lexicon else []
     model = ToxicityModel(lexicon, tuple(r.term for r in harmless))
