@@ -150,10 +150,10 @@ def build_source(spark: SparkSession, cfg: Mapping[str, Any], spec: PipelineSpec
     partitions = src.pop("partitions", None)
     start = src.pop("starting_offsets", "earliest")
     if start == "audit":
-        if not spec.audit_path:
-            raise SpecError('starting_offsets "audit" needs audit_path')
-        start = starting_offsets_from_audit(spark, spec.audit_path, topic, app=spec.app_name,
-                                            partitions=partitions) or "earliest"
+        if not (spec.audit_path or spec.audit_table):
+            raise SpecError('starting_offsets "audit" needs audit_path or audit_table')
+        start = starting_offsets_from_audit(spark, spec.audit_path, topic, app=spec.app_name, partitions=partitions,
+                                            audit_table=spec.audit_table) or "earliest"
     return read_kafka(spark, topic, servers, starting_offsets=start, ssl=ssl or None, **src)
 
 

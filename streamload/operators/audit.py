@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import as_of_lit
+from ..spec import Target
 
 AUDIT_SCHEMA = T.StructType([
     T.StructField("app", T.StringType()),
@@ -42,19 +43,28 @@ AUDIT_SCHEMA = T.StructType([
 AUDIT_PARTITIONS = ("app", "audit_date")
 
 
-def append_audit(rows: DataFrame, path: str) -> None:
-    """Store one batch's audit rows (AUD-1): one file in the folder of its app and date."""
-    (rows.select(*[f.name for f in AUDIT_SCHEMA.fields]).hint("rebalance", 1)
-     .write.mode("append").partitionBy(*AUDIT_PARTITIONS).parquet(path))
+def append_audit(rows: DataFrame, path: str | None = None, *, table: str | None = None) -> None:
+    """Store one batch's audit rows (AUD-1): one file in the folder of its app and date, of a path or a catalog table."""
+    w = (rows.select(*[f.name for f in AUDIT_SCHEMA.fields]).hint("rebalance", 1)
+         .write.mode("append").format("parquet").partitionBy(*AUDIT_PARTITIONS))
+    if table is not None:
+        w.saveAsTable(table)
+    else:
+        w.save(path)
 
 
-def read_audit(spark: SparkSession, path: str, app: str | None = None, dates=None) -> DataFrame | None:
+def read_audit(spark: SparkSession, path: str | None = None, app: str | None = None, dates=None, *,
+               table: str | None = None) -> DataFrame | None:
     """The audit rows, or ``None`` before the first batch: of each (app, run, batch, topic) the last recorded.
 
     With ``app`` and ``dates`` only those folders are listed and read.
     """
     from ..sources.target import escape_partition_value, read_partitions, read_target
-    if app is None or dates is None:
+    if table is not None:
+        df = read_target(spark, Target(table=table))
+        if df is not None and app is not None and dates is not None:
+            df = df.filter((F.col("app") == app) & F.col("audit_date").isin(list(dates)))
+    elif app is None or dates is None:
         df = read_target(spark, path, schema=AUDIT_SCHEMA)
     else:
         schema = T.StructType([f for f in AUDIT_SCHEMA.fields if f.name != "app"])

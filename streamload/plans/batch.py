@@ -456,10 +456,10 @@ def process_batch(raw: DataFrame, batch_id: int, spec: PipelineSpec, *, persist:
         m = _metrics(batch_id, result, good_obs, as_of, spec, stats)
         m.n_bad_written = n_bad_written
         m.dedup_applied = dedup
-        if spec.audit_path:
+        if spec.audit_path or spec.audit_table:
             rows = audit_rows(batch_offsets(result.cached), _audit_counts(m), app=spec.app_name, batch_id=batch_id,
                               recorded_at=as_of, run_id=run_id)
-            append_audit(rows, spec.audit_path)  # of a batch that is run again, the reader takes the last rows
+            append_audit(rows, spec.audit_path, table=spec.audit_table)  # of a batch that is run again, the reader takes the last rows
     finally:
         if persist:
             result.cached.unpersist()

@@ -170,6 +170,7 @@ class PipelineSpec:
     files_per_write: int | None = None  # None = let AQE size files after a rebalance
     max_records_per_file: int | None = None
     audit_path: str | None = None
+    audit_table: str | None = None  # a catalog table instead of a path
     app_name: str = "streamload"
     as_of: _dt.datetime | _dt.date | None = None  # fixed clock; None = now per batch
 
@@ -194,6 +195,8 @@ class PipelineSpec:
             raise SpecError("lookback_days must be >= 0 or None")
         if self.on_type_mismatch not in ("keep", "error"):
             raise SpecError("on_type_mismatch must be 'keep' or 'error'")
+        if self.audit_path and self.audit_table:
+            raise SpecError("audit rows go to audit_path or to audit_table, not to both")
         if self.dedup_mode not in ("always", "reprocess"):
             raise SpecError("dedup_mode must be 'always' or 'reprocess'")
         for r in self.rules:

@@ -17,8 +17,8 @@ from ..functions.columns import resolve_as_of
 from ..operators.audit import latest_offsets, read_audit, starting_offsets_json
 
 
-def starting_offsets_from_audit(spark: SparkSession, audit_path: str, topic: str, *, app: str | None = None,
-                                partitions: int | None = None) -> str | None:
+def starting_offsets_from_audit(spark: SparkSession, audit_path: str | None, topic: str, *, app: str | None = None,
+                                partitions: int | None = None, audit_table: str | None = None) -> str | None:
     """``startingOffsets`` JSON for ``topic`` from the audit, or None when nothing is audited.
 
     ``partitions`` (the topic's partition count) fills partitions never
@@ -33,11 +33,11 @@ def starting_offsets_from_audit(spark: SparkSession, audit_path: str, topic: str
         today = resolve_as_of(None).date()
         for days in (1, 7, 90):
             dates = [(today - _dt.timedelta(days=k)).isoformat() for k in range(-1, days)]
-            recent = read_audit(spark, audit_path, app, dates)
+            recent = read_audit(spark, audit_path, app, dates, table=audit_table)
             if recent is not None and latest_offsets(recent, topic, app).count() >= partitions:
                 audit = recent
                 break
-    audit = audit if audit is not None else read_audit(spark, audit_path)
+    audit = audit if audit is not None else read_audit(spark, audit_path, table=audit_table)
     if audit is None:
         return None
     latest = latest_offsets(audit, topic, app)

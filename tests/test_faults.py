@@ -97,3 +97,17 @@ def test_rebuilt_error_rows_are_stored_once(spark, msgs, workdir):
 def test_corrupt_text_is_not_part_of_the_parsed_struct(spark, msgs):
     from streamload.plans.batch import parse_batch
     assert "_corrupt_record" not in parse_batch(msgs, event_spec("unused")).schema["parsed"].dataType.fieldNames()
+
+
+def test_audit_into_a_catalog_table(spark, msgs, workdir):
+    from streamload.streaming import starting_offsets_from_audit
+    spec = event_spec(f"{workdir}/t", audit_table="streamload_audit_test", app_name="a")
+    assert starting_offsets_from_audit(spark, None, "events", audit_table=spec.audit_table) is None
+    try:
+        run_batch(msgs.filter("partition < 2"), spec)
+        run_batch(msgs.filter("partition >= 2"), spec)
+        text = starting_offsets_from_audit(spark, None, "events", app="a", partitions=4, audit_table=spec.audit_table)
+        assert '"-2"' not in text and text.count(":") == 5
+        assert read_audit(spark, table=spec.audit_table).count() == 2
+    finally:
+        spark.sql("DROP TABLE IF EXISTS streamload_audit_test")
