@@ -65,7 +65,7 @@ def _first_level(texts: pa.Table) -> pa.Table:
             seen.append(names[anchors(names, valid, WINDOW - LEVELS[0] + 1)[1]])
     h, times = np.unique(np.concatenate(seen), return_counts=True)
     block = texts.column("block")[0].as_py()
-    return pa.table({"block": pa.array(np.full(len(h), block, np.int32)), "h": h.view(np.int64), "many": times > 1})
+    return pa.table({"block": pa.array(np.full(len(h), block, np.int32)), "h": h.view(np.int64), "n": times.astype(np.int32)})
 
 
 _ROWS = "bucket int, known boolean, many boolean, inner boolean, a long, block int, doc int, start int, names binary"
@@ -163,7 +163,7 @@ def drop_repeated_windows(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, n_removed and text (the words that stay, joined by one blank), one row per input row."""
     dealt, total = blocks(docs, BLOCK_BYTES)
     shards = total // SHARD_BYTES + 1
-    found = per_block(dealt, _first_level, "block int, h long, many boolean")
+    found = per_block(dealt, _first_level, "block int, h long, n int")
     candidates = with_blocks(dealt, repeated_anchors(found, total, ANCHOR_BYTES), lambda t, r: _extend(t, r, shards), _ROWS)
     windows = candidates.groupBy("bucket").applyInArrow(_last_level, "block int, doc int, start int, stop int")
     kind = docs.schema["doc_id"].dataType.simpleString()

@@ -3,7 +3,10 @@
 A byte goes if a 50-byte string that covers it also starts in a document of smaller doc_id.
 
 Texts are first reduced to surroundings that can repeat (``repeats``), which are dealt by their anchor, so that
-equal 50-byte strings meet in one shard.  Each shard sorts its suffixes by the difference cover {1, 2} modulo 3:
+equal 50-byte strings meet in one shard.  Windows of a frequent anchor are dealt by it and the 21 bytes on that side of it
+which lies wholly inside the window, and if those are frequent too, by their own 50 bytes: each of these is a function of
+the window's bytes alone, so equal strings still meet, and no key has more than ``FREQUENT`` surroundings, or one
+window a block.  Each shard sorts its suffixes by the difference cover {1, 2} modulo 3:
 
 1. the suffixes at positions 1 and 2 modulo 3 are sorted by triples of eight-byte characters, which names them;
 2. triples of names are sorted in turn (one recursion reaches 72 bytes, more than the 50 that matter);
@@ -34,6 +37,11 @@ from .repeats import (among, anchors, blocks, chunks, later_copies, per_block, r
 WIDTH, GRAM = 50, 8
 #: Bytes of text per block and per shard, and units that numpy works on at once.
 BLOCK_BYTES, SHARD_BYTES, CHUNK = 8 << 20, 3 << 20, 1 << 18
+#: Documents of one key beyond which its windows are dealt by more of their bytes: surroundings of them fill a shard.
+FREQUENT = SHARD_BYTES // (2 * WIDTH - GRAM)
+SIDE = (WIDTH - GRAM) // 2
+#: What two anchors have in common whose windows are equal: the gram with the bytes before it, or with those after it.
+GRAM_MASK, BEFORE_MASK, AFTER_MASK = 0xFFFF_FFFF_0000_0000, 0xFFFF_FFFF_FFFF_0000, 0xFFFF_FFFF_0000_FFFF
 
 
 def eight_bytes(text: np.ndarray) -> np.ndarray:
@@ -57,13 +65,50 @@ def _keys(eight: np.ndarray, grams: np.ndarray, at: np.ndarray) -> np.ndarray:
     Two places that share a 50-byte window around the gram agree in the gram and, as 42 more bytes agree, in 21 bytes on
     one side.  (At the ends of a text the side that is not there is not the one that agrees.)
     """
-    side = (WIDTH - GRAM) // 2
-    padded = np.concatenate([np.zeros(side, np.uint64), eight, np.zeros(2 * WIDTH, np.uint64)])
+    padded = np.concatenate([np.zeros(SIDE, np.uint64), eight, np.zeros(2 * WIDTH, np.uint64)])
     low = np.uint64(0xFFFF)
+    before, after = _hash(padded, at, SIDE) & low, _hash(padded, at + SIDE + GRAM, SIDE) & low
+    return (grams[at] & np.uint64(GRAM_MASK)) | (before << np.uint64(16)) | after
 
-    def of(p: np.ndarray) -> np.ndarray:  # the ``side`` bytes from p on
-        return mix(mix(mix(padded[p]) ^ padded[p + 8]) ^ padded[p + side - 8]) & low
-    return (grams[at] & ~np.uint64(0xFFFF_FFFF)) | (of(at) << np.uint64(16)) | of(at + side + GRAM)
+
+def _hash(eight: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+    """Hash of the ``size`` bytes from each place on."""
+    out = mix(eight[at])
+    for k in (*range(8, size - 8, 8), size - 8):
+        out = mix(out ^ eight[at + k])
+    return out
+
+
+def _dealt(eight: np.ndarray, grams: np.ndarray, places: np.ndarray, least: np.ndarray, ok: np.ndarray, known: np.ndarray,
+           frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hash that each window is dealt by, key of the run that it may be in); windows found not to repeat leave ``ok``.
+
+    ``places`` are all anchors; ``frequent`` tells of each known key if its gram is (1), with the bytes before it (2) or
+    after it (4).  All that decides is inside the window: the first place of its anchor, and the side with the more bytes.
+    """
+    deal, run = least.copy(), least.copy()
+    grams_of = np.unique(known[frequent & 1 > 0] & np.uint64(GRAM_MASK))
+    s = np.flatnonzero(ok)
+    s = s[among(least[s] & np.uint64(GRAM_MASK), grams_of)]
+    if not len(s):
+        return deal, run
+    k = np.searchsorted(places, s)
+    while len(behind := np.flatnonzero(grams[places[k]] != least[s])):
+        k[behind] += 1
+    at = places[k]
+    keys = _keys(eight, grams, at)
+    again = among(keys, known)  # equal windows agree in the first place of their anchor too
+    ok[s[~again]] = False
+    s, at, keys = s[again], at[again], keys[again]
+    flags = frequent[np.searchsorted(known, keys)]
+    padded = np.concatenate([np.zeros(SIDE, np.uint64), eight, np.zeros(2 * WIDTH, np.uint64)])
+    left = at - s >= SIDE
+    deal[s] = mix(grams[at] ^ _hash(padded, np.where(left, at, at + SIDE + GRAM), SIDE) ^ left.astype(np.uint64))
+    run[s] = mix((2 * at + left).astype(np.uint64))
+    s = s[np.where(left, flags & 2, flags & 4) > 0]
+    deal[s] = _hash(padded, s + SIDE, WIDTH)
+    run[s] = mix(~s.astype(np.uint64))
+    return deal, run
 
 
 def _without_copies(texts: pa.Table) -> list[bytes]:
@@ -72,7 +117,7 @@ def _without_copies(texts: pa.Table) -> list[bytes]:
 
 
 def _first_level(texts: pa.Table) -> pa.Table:
-    """Keys of a block's anchors; ``many`` if several of its documents have one."""
+    """Keys of a block's anchors, and how many of its documents have each."""
     raw = _without_copies(texts)
     seen, docs = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
     sizes = np.fromiter(map(len, raw), np.int64, len(raw))
@@ -89,7 +134,7 @@ def _first_level(texts: pa.Table) -> pa.Table:
     once = np.concatenate(([True], (h[1:] != h[:-1]) | (doc[1:] != doc[:-1]))) if len(h) else np.zeros(0, bool)
     h, times = np.unique(h[once], return_counts=True)
     block = texts.column("block")[0].as_py()
-    return pa.table({"block": np.full(len(h), block, np.int32), "h": h.view(np.int64), "many": times > 1})
+    return pa.table({"block": np.full(len(h), block, np.int32), "h": h.view(np.int64), "n": times.astype(np.int32)})
 
 
 _ROWS = pa.schema([("bucket", pa.int32()), ("known", pa.bool_()), ("block", pa.int32()), ("doc", pa.int32()),
@@ -99,7 +144,10 @@ _DDL = "bucket int, known boolean, block int, doc int, start int, rank long, par
 
 def _surroundings(texts: pa.Table, repeated: pa.Table, shards: int) -> pa.Table:
     """Runs of windows of one repeated anchor, with the bytes that they cover."""
-    known = np.sort(repeated.column("h").to_numpy().view(np.uint64))
+    known, frequent = (repeated.column(c).to_numpy() for c in ("h", "frequent"))
+    known = known.view(np.uint64)
+    order = np.argsort(known)
+    known, frequent = known[order], frequent[order]
     raw = _without_copies(texts)
     sizes = np.fromiter(map(len, raw), np.int64, len(raw))
     cols: dict[str, list] = {k: [] for k in ("h", "doc", "start", "part")}
@@ -108,18 +156,20 @@ def _surroundings(texts: pa.Table, repeated: pa.Table, shards: int) -> pa.Table:
         if len(text) < WIDTH:
             continue
         valid, owner = valid_windows(sizes[first:last], WIDTH)
-        least, at = anchors(grams, valid, WIDTH - GRAM + 1)
+        least, places = anchors(grams, valid, WIDTH - GRAM + 1)
         open_at = np.full(len(grams), ~np.uint64(0))
-        at = at[among(_keys(eight, grams, at), known)]
+        at = places[among(_keys(eight, grams, places), known)]
         open_at[at] = grams[at]
-        a, b = runs(least, valid & (least == sliding_min(open_at, WIDTH - GRAM + 1)), owner)
+        ok = valid & (least == sliding_min(open_at, WIDTH - GRAM + 1))
+        deal, run = _dealt(eight, grams, places, least, ok, known, frequent)
+        a, b = runs(run, ok, owner)
         if not len(a):
             continue
         size = b - a + WIDTH - 1
         data, ends = text[ranges(a, size)], np.concatenate(([0], np.cumsum(size)))
         buffers = [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(data)]
         part = pa.Array.from_buffers(pa.large_binary(), len(a), buffers)
-        cols["h"].append(least[a])
+        cols["h"].append(deal[a])
         cols["doc"].append((first + owner[a]).astype(np.int32))
         cols["start"].append((a - (np.cumsum(sizes[first:last]) - sizes[first:last])[owner[a]]).astype(np.int32))
         cols["part"].append(part.cast(pa.binary()))
@@ -133,12 +183,20 @@ def _surroundings(texts: pa.Table, repeated: pa.Table, shards: int) -> pa.Table:
     np.minimum.at(least_rank, code, rank)
     sure = rank > least_rank[code]
     block = texts.column("block")[0].as_py()
-    bucket = np.where(sure, (doc.astype(np.uint64) + np.uint64(block)) % np.uint64(shards), h % np.uint64(shards))
     size = pc.binary_length(part).to_numpy() - WIDTH + 1
-    # what is known to go needs its size only
-    part = pc.if_else(pa.array(sure), pa.array(size.astype("<i4").view("S4").astype(object), pa.binary()), part)
-    return pa.table({"bucket": bucket.astype(np.int32), "known": sure, "block": np.full(len(h), block, np.int32), "doc": doc,
-                     "start": start, "rank": rank, "part": part}, _ROWS)
+    asked = pa.table({"bucket": (h % np.uint64(shards)).astype(np.int32), "known": sure, "block": np.full(len(h), block, np.int32),
+                      "doc": doc, "start": start, "rank": rank, "part": part}, _ROWS).filter(pa.array(~sure))
+    # what is known to go needs its size only, and goes as one range where it is adjacent
+    doc, start, size, rank = doc[sure], start[sure], size[sure], rank[sure]
+    order = np.lexsort((start, doc))
+    doc, start, size, rank = doc[order], start[order], size[order], rank[order]
+    new = np.flatnonzero(np.concatenate(([True], (doc[1:] != doc[:-1]) | (start[1:] != (start + size)[:-1])))[:len(doc)])
+    doc, start, rank, size = doc[new], start[new], rank[new], np.add.reduceat(size, new) if len(new) else size
+    bucket = (doc.astype(np.uint64) + np.uint64(block)) % np.uint64(shards)
+    gone = pa.table({"bucket": bucket.astype(np.int32), "known": np.ones(len(doc), bool), "block": np.full(len(doc), block, np.int32),
+                     "doc": doc, "start": start, "rank": rank,
+                     "part": pa.array([x.to_bytes(4, "little") for x in size.tolist()], pa.binary())}, _ROWS)
+    return pa.concat_tables([asked, gone]).combine_chunks()
 
 
 def _names(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -256,13 +314,14 @@ def _without(texts: pa.Table, found: pa.Table) -> pa.Table:
                                        pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))})
 
 
-def drop_repeated_bytes(docs: DataFrame) -> DataFrame:
+def drop_repeated_bytes(docs: DataFrame, frequent: int = FREQUENT) -> DataFrame:
     """doc_id, n_bytes, kept (the bytes that stay) and spans (maximal removed runs), one row per input row."""
     dealt, total = blocks(docs, BLOCK_BYTES, copies_together=True)
     shards = total // SHARD_BYTES + 1
-    found = per_block(dealt, _first_level, "block int, h long, many boolean")
+    found = per_block(dealt, _first_level, "block int, h long, n int")
     # a key occurs elsewhere if its gram does with the same bytes before it or after it
-    again = repeated_anchors(found, total, parts=(0xFFFF_FFFF_FFFF_0000, 0xFFFF_FFFF_0000_FFFF))
+    again = repeated_anchors(found, total, parts=(BEFORE_MASK, AFTER_MASK),
+                             over=(frequent, (GRAM_MASK, BEFORE_MASK, AFTER_MASK)))
     parts = with_blocks(dealt, again, lambda t, r: _surroundings(t, r, shards), _DDL)
     windows = parts.groupBy("bucket").applyInArrow(_decide, "block int, doc int, start int, stop int")
     kind = docs.schema["doc_id"].dataType.simpleString()

@@ -11,8 +11,8 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from streamload.llm import (decontamination, line_dedup, packing, private_terms, quality_classifier, quality_rules, simhash,
-                            substring_dedup, suffix_dedup, toxicity)
+from streamload.llm import (decontamination, line_dedup, packing, private_terms, quality_classifier, quality_rules, repeats,
+                            simhash, substring_dedup, suffix_dedup, toxicity)
 from streamload.llm.queries import ORACLE_SQL, QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -73,6 +73,40 @@ def test_suffix_dedup(table, request):
     assert rows_of(out) == sorted(brute.substring_bytes(rows), key=repr)
 
 
+def own_and_shared(n):
+    """Texts that share two passages (of bytes and of words), each between words of its own."""
+    shared = [prose(901, 14), prose(902, 60)]
+    return [(k, " ".join([prose(1000 + k, 30), shared[0], prose(5000 + k, 40), shared[1], prose(9000 + k, 30)])) for k in range(n)]
+
+
+@pytest.mark.parametrize("table", ["edge", "small", "shared"])
+def test_suffix_dedup_with_frequent_anchors(table, request, spark):
+    """All levels of dealing give the same result."""
+    rows = own_and_shared(30)
+    docs, rows = request.getfixturevalue(table) if table != "shared" else (spark.createDataFrame(rows, "doc_id long, text string"), rows)
+    out = suffix_dedup.drop_repeated_bytes(docs, 2).select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")), F.size("spans"), F.sha2("kept", 256))
+    assert rows_of(out) == sorted(brute.substring_bytes(rows), key=repr)
+
+
+def test_suffix_dedup_bounds_what_one_key_deals(spark):
+    """The edges of a passage in every document, which differ in each, do not go to one shard."""
+    import numpy as np
+    import pyarrow as pa
+    n = 300
+    rows = own_and_shared(n)
+    texts = pa.table({"block": pa.array([0] * n, pa.int32()), "doc_id": [k for k, _ in rows], "text": [t for _, t in rows]})
+    found = spark.createDataFrame(suffix_dedup._first_level(texts).to_pandas(), "block int, h long, n int")
+    masks = (suffix_dedup.BEFORE_MASK, suffix_dedup.AFTER_MASK)
+
+    def most(frequent):
+        again = repeats.repeated_anchors(found, 1, parts=masks, over=(frequent, (suffix_dedup.GRAM_MASK, *masks))).toArrow()
+        out = suffix_dedup._surroundings(texts, again, 1 << 20)
+        bucket = out.filter(pa.array(~out["known"].to_numpy()))["bucket"].to_numpy()
+        return np.unique(bucket, return_counts=True)[1].max()
+    assert most(8) <= 16 and most(n) > n // 2
+
+
 def test_suffix_order_is_lexicographic():
     import numpy as np
     r = random.Random(4)
