@@ -3,11 +3,12 @@
 Word windows are compared at 8 words, and only windows of repeated ones are extended to 16, to 32 and at
 last to 35 words.  A window's name at twice the length is the hash of the two names of half the length, and
 the 35 words are two overlapping windows of 32.  The eight-word level looks at the anchors of ``repeats``; the
-candidates that are left are dealt by the sixteen-word anchor of their surroundings, so that equal windows
-meet, and are extended there.
+candidates that are left are dealt by their eight-word and sixteen-word anchors, so that equal windows meet, and are
+extended there.  Candidates whose eight-word anchor is in more than ``FREQUENT`` places (as at the edges of a passage in a
+third of all documents, which reach into different words in each) are dealt one by one, by the name of their 35 words.
 
-Copies of one surrounding inside a block are known to repeat without asking further: one of them goes on as
-the witness for other blocks.  So a passage in a third of all documents gives a row per block.
+Copies of one surrounding, or of one such window, inside a block are known to repeat without asking further: one of them
+goes on as the witness for other blocks.  So no key is dealt more than ``FREQUENT`` surroundings, or one window a block.
 
 Defined results: null and empty text have no words; texts shorter than a window lose nothing; every row is a
 text of its own, so repeated rows (equal doc_id too) are copies of each other and lose all windows;
@@ -23,13 +24,15 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import pair, table
+from .common import mix, pair, table
 from .repeats import (among, anchors, blocks, chunks, per_block, ranges, raw_texts, repeated_anchors, runs,
                       spans_by_document, valid_windows, with_blocks)
 
 WINDOW, LEVELS = 35, (8, 16, 32)
 #: Bytes of text per block, per bucket of anchors and per shard of candidate windows.
 BLOCK_BYTES, ANCHOR_BYTES, SHARD_BYTES = 16 << 20, 128 << 20, 8 << 20
+#: Places of an eight-word anchor beyond which its windows are dealt by their names: its names fill a quarter of a shard.
+FREQUENT = 1 << 14
 
 
 class _WordHashes(dict):
@@ -68,24 +71,30 @@ def _first_level(texts: pa.Table) -> pa.Table:
     return pa.table({"block": pa.array(np.full(len(h), block, np.int32)), "h": h.view(np.int64), "n": times.astype(np.int32)})
 
 
-_ROWS = "bucket int, known boolean, many boolean, inner boolean, a long, block int, doc int, start int, names binary"
+_ROWS = "bucket int, known boolean, many boolean, inner boolean, a long, block int, doc int, start int, size int, names binary"
 
 
 def _extend(texts: pa.Table, repeated: pa.Table, shards: int) -> pa.Table:
-    """Candidate windows in runs of one sixteen-word anchor, with the 32-word names that they need."""
-    known = np.sort(repeated.column("h").to_numpy().view(np.uint64))
+    """Candidate windows in runs of one pair of anchors, or alone, with the 32-word names that they need."""
+    known = repeated.column("h").to_numpy().view(np.uint64)
+    frequent = np.sort(known[repeated.column("frequent").to_numpy() > 0])
+    known = np.sort(known)
     more = WINDOW - LEVELS[2]
-    cols: dict[str, list] = {k: [] for k in ("a", "doc", "start", "names", "inner")}
+    cols: dict[str, list] = {k: [] for k in ("a", "deal", "doc", "start", "size", "names", "inner")}
     for first, sizes, words in _words(raw_texts(texts)) if len(known) else ():
         if len(words) < WINDOW:
             continue
         valid, owner = valid_windows(sizes, WINDOW)
         eight = _doubled(words, 3)
-        ok = valid & among(anchors(eight, valid, WINDOW - LEVELS[0] + 1)[0], known)
+        first_anchor = anchors(eight, valid, WINDOW - LEVELS[0] + 1)[0]
+        ok = valid & among(first_anchor, known)
         sixteen = _doubled(eight, 1, 8)
         wide = _doubled(sixteen, 1, 16)
         least = anchors(sixteen, valid, WINDOW - LEVELS[1] + 1)[0]
-        a, b = runs(least, ok, owner)
+        both = pair(first_anchor, least)
+        alone = among(first_anchor, frequent)
+        deal = np.where(alone, pair(wide[:-more], wide[more:]), both)
+        a, b = runs(np.where(alone, mix(np.arange(len(both), dtype=np.uint64)), both), ok, owner)
         if not len(a):
             continue
         size = b - a + WINDOW - LEVELS[1]  # an anchor that a run holds twice can repeat inside the run
@@ -95,7 +104,9 @@ def _extend(texts: pa.Table, repeated: pa.Table, shards: int) -> pa.Table:
         data, ends = wide[ranges(a, size)], np.concatenate(([0], np.cumsum(size))) * 8
         buffers = [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(data)]
         names = pa.Array.from_buffers(pa.large_binary(), len(a), buffers)
-        cols["a"].append(least[a])
+        cols["a"].append(both[a])
+        cols["deal"].append(deal[a])
+        cols["size"].append((b - a).astype(np.int32))
         cols["inner"].append(twice)
         cols["doc"].append((first + owner[a]).astype(np.int32))
         cols["start"].append((a - (np.cumsum(sizes) - sizes)[owner[a]]).astype(np.int32))
@@ -103,8 +114,8 @@ def _extend(texts: pa.Table, repeated: pa.Table, shards: int) -> pa.Table:
     if not cols["a"]:
         return pa.table({c.split()[0]: [] for c in _ROWS.split(", ")}, pa.schema(
             [("bucket", pa.int32()), ("known", pa.bool_()), ("many", pa.bool_()), ("inner", pa.bool_()), ("a", pa.int64()),
-             ("block", pa.int32()), ("doc", pa.int32()), ("start", pa.int32()), ("names", pa.binary())]))
-    a, doc, start, inner = (np.concatenate(cols[k]) for k in ("a", "doc", "start", "inner"))
+             ("block", pa.int32()), ("doc", pa.int32()), ("start", pa.int32()), ("size", pa.int32()), ("names", pa.binary())]))
+    a, deal, doc, start, size, inner = (np.concatenate(cols[k]) for k in ("a", "deal", "doc", "start", "size", "inner"))
     names = pa.chunked_array(cols["names"]).combine_chunks()
     block = texts.column("block")[0].as_py()
     code = pc.dictionary_encode(names).indices.to_numpy()
@@ -115,9 +126,21 @@ def _extend(texts: pa.Table, repeated: pa.Table, shards: int) -> pa.Table:
     alike[order] = np.bincount(group)[group]
     witness = np.empty(len(a), bool)
     witness[order] = new
-    bucket = np.where(witness, a % np.uint64(shards), (doc.astype(np.uint64) + np.uint64(block)) % np.uint64(shards))
-    return pa.table({"bucket": bucket.astype(np.int32), "known": ~witness, "many": alike > 1, "inner": inner,
-                     "a": a.view(np.int64), "block": np.full(len(a), block, np.int32), "doc": doc, "start": start, "names": names})
+    asked = pa.table({"bucket": (deal % np.uint64(shards)).astype(np.int32), "known": ~witness, "many": alike > 1, "inner": inner,
+                      "a": a.view(np.int64), "block": np.full(len(a), block, np.int32), "doc": doc, "start": start, "size": size,
+                      "names": names}).filter(pa.array(witness))
+    # what is known to repeat needs no names, and goes as one range where it is adjacent
+    doc, start, size = doc[~witness], start[~witness], size[~witness]
+    order = np.lexsort((start, doc))
+    doc, start, size = doc[order], start[order], size[order]
+    new = np.flatnonzero(np.concatenate(([True], (doc[1:] != doc[:-1]) | (start[1:] != (start + size)[:-1])))[:len(doc)])
+    doc, start, size = doc[new], start[new], np.add.reduceat(size, new) if len(new) else size
+    bucket = (doc.astype(np.uint64) + np.uint64(block)) % np.uint64(shards)
+    yes, no = np.ones(len(doc), bool), np.zeros(len(doc), bool)
+    sure = pa.table({"bucket": bucket.astype(np.int32), "known": yes, "many": no, "inner": no, "a": np.zeros(len(doc), np.int64),
+                     "block": np.full(len(doc), block, np.int32), "doc": doc, "start": start, "size": size.astype(np.int32),
+                     "names": pa.array([b""] * len(doc), pa.binary())})
+    return pa.concat_tables([asked, sure]).combine_chunks()
 
 
 def _last_level(group: pa.Table) -> pa.Table:
@@ -125,7 +148,7 @@ def _last_level(group: pa.Table) -> pa.Table:
     known, many, inner = (group.column(c).to_numpy() for c in ("known", "many", "inner"))
     a = group.column("a").to_numpy().view(np.uint64)
     block, doc, start = (group.column(c).to_numpy() for c in ("block", "doc", "start"))
-    sizes = pc.binary_length(group.column("names")).to_numpy() // 8 - (WINDOW - LEVELS[2])
+    sizes = group.column("size").to_numpy()
     sure = known | many
     out = [(block[sure], doc[sure], start[sure], start[sure] + sizes[sure])]
     # sixteen words: an anchor in one place ends here; the others are extended to 32 and 35
@@ -159,12 +182,13 @@ def _without(texts: pa.Table, found: pa.Table) -> pa.Table:
                      "text": pa.array([t for _, t in kept], pa.binary()).cast(pa.string())})
 
 
-def drop_repeated_windows(docs: DataFrame) -> DataFrame:
+def drop_repeated_windows(docs: DataFrame, frequent: int = FREQUENT) -> DataFrame:
     """doc_id, n_words, n_removed and text (the words that stay, joined by one blank), one row per input row."""
     dealt, total = blocks(docs, BLOCK_BYTES)
     shards = total // SHARD_BYTES + 1
     found = per_block(dealt, _first_level, "block int, h long, n int")
-    candidates = with_blocks(dealt, repeated_anchors(found, total, ANCHOR_BYTES), lambda t, r: _extend(t, r, shards), _ROWS)
+    again = repeated_anchors(found, total, ANCHOR_BYTES, over=(frequent, (0xFFFF_FFFF_FFFF_FFFF,)))
+    candidates = with_blocks(dealt, again, lambda t, r: _extend(t, r, shards), _ROWS)
     windows = candidates.groupBy("bucket").applyInArrow(_last_level, "block int, doc int, start int, stop int")
     kind = docs.schema["doc_id"].dataType.simpleString()
     return with_blocks(dealt, windows, _without, f"doc_id {kind}, n_words long, n_removed long, text string")

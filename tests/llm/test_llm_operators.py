@@ -126,6 +126,32 @@ def test_substring_dedup(table, request):
     assert rows_of(out) == sorted(brute.substring_words(rows), key=repr)
 
 
+@pytest.mark.parametrize("table", ["edge", "small", "shared"])
+def test_substring_dedup_with_frequent_anchors(table, request, spark):
+    """Windows dealt alone give the same result."""
+    rows = own_and_shared(30)
+    docs, rows = request.getfixturevalue(table) if table != "shared" else (spark.createDataFrame(rows, "doc_id long, text string"), rows)
+    out = substring_dedup.drop_repeated_windows(docs, 2).select("doc_id", "n_words", "n_removed", F.sha2("text", 256))
+    assert rows_of(out) == sorted(brute.substring_words(rows), key=repr)
+
+
+def test_substring_dedup_bounds_what_one_key_deals(spark):
+    """The edges of a passage in every document, which differ in each, do not go to one bucket."""
+    import numpy as np
+    import pyarrow as pa
+    n = 300
+    rows = own_and_shared(n)
+    texts = pa.table({"block": pa.array([0] * n, pa.int32()), "doc_id": [k for k, _ in rows], "text": [t for _, t in rows]})
+    found = spark.createDataFrame(substring_dedup._first_level(texts).to_pandas(), "block int, h long, n int")
+
+    def most(frequent):
+        again = repeats.repeated_anchors(found, 1, over=(frequent, (0xFFFF_FFFF_FFFF_FFFF,))).toArrow()
+        out = substring_dedup._extend(texts, again, 1 << 20)
+        bucket = out.filter(pa.array(~out["known"].to_numpy()))["bucket"].to_numpy()
+        return np.unique(bucket, return_counts=True)[1].max()
+    assert most(8) <= 16 and most(n) > n // 2
+
+
 def test_blocks_and_shards_do_not_change_results(edge, monkeypatch):
     docs, rows = edge
     for module in (suffix_dedup, substring_dedup):
