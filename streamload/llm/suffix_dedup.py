@@ -5,8 +5,10 @@ A byte goes if a 50-byte string that covers it also starts in a document of smal
 Texts are first reduced to surroundings that can repeat (``repeats``), which are dealt by their anchor, so that
 equal 50-byte strings meet in one shard.  Windows of a frequent anchor are dealt by it and the 21 bytes on that side of it
 which lies wholly inside the window, and if those are frequent too, by their own 50 bytes: each of these is a function of
-the window's bytes alone, so equal strings still meet, and no key has more than ``FREQUENT`` surroundings, or one
-window a block.  Each shard sorts its suffixes by the difference cover {1, 2} modulo 3:
+the window's bytes alone, so equal strings still meet.  Counted are documents with a gram and its 21 bytes on either
+side: a document that has them several times counts once, and its equal windows (or those of rows of equal doc_id, or
+without one) are not merged in a block.  Apart from these, no key has more than ``FREQUENT`` surroundings, or one window a
+block.  Each shard sorts its suffixes by the difference cover {1, 2} modulo 3:
 
 1. the suffixes at positions 1 and 2 modulo 3 are sorted by triples of eight-byte characters, which names them;
 2. triples of names are sorted in turn (one recursion reaches 72 bytes, more than the 50 that matter);
