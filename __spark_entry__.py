@@ -12,6 +12,7 @@ session's shared checkpoint directory.
 from __future__ import annotations
 
 import datetime as _dt
+import functools
 import importlib
 import os
 import sys
@@ -20,6 +21,7 @@ from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from pyspark.errors import StreamingQueryException  # noqa: E402
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
@@ -29,10 +31,12 @@ from streamload.operators import (anti_join_errors, anti_join_existing, apply_ru
                                   existing_keys, flatten, latest_offsets, mask_columns, parse_messages,
                                   project_envelope, starting_offsets_json, threshold_flattener)
 from streamload.operators.audit import read_audit  # noqa: E402
+from streamload.operators.ledger import latest_entries, read_ledger  # noqa: E402
+from streamload.operators.quality import IDENTITY  # noqa: E402
 from streamload.operators.parse import with_load_date  # noqa: E402
 from streamload.functions.columns import resolve_as_of  # noqa: E402
-from streamload.plans.batch import (dedup_against_target, parse_batch, process_batch, run_batch,  # noqa: E402
-                                   run_slices, transform_batch)
+from streamload.plans.batch import (dedup_against_target, parse_batch, process_batch, read_committed,  # noqa: E402
+                                   run_batch, run_slices, transform_batch)
 from streamload.sinks import append_parquet, append_table, create_target_table  # noqa: E402
 from streamload.sources import (existing_rows_from_events, messages_from_events, read_replay,  # noqa: E402
                                 read_target, write_replay)
@@ -163,7 +167,7 @@ def q_split_type_mismatch(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_bad_record_reserialized(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PRJ-12: null-key rows rebuilt as JSON from the flat columns (NULLs left out)."""
     spec = event_spec("unused", reserialize_null_key_rows=True)
-    return _bad(spark, sf_dir, spec).filter(F.col("error_reason") == "NULL_PRIMARY_KEY")
+    return _bad(spark, sf_dir, spec).filter(F.col("error_reason") == "NULL_PRIMARY_KEY").drop(*IDENTITY)
 
 
 def q_lookback_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -481,7 +485,129 @@ def q_backfill_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_rows(spark, target)
 
 
+class _Stop(Exception):
+    """What a stopped driver looks like from inside a batch."""
+
+
+def _stop_at(step: str, batch: int = 1) -> Callable[[str], None]:
+    """An ``on_step`` observer that stops the run when the step of that batch has been done and is not yet noted."""
+    seen = []
+
+    def on_step(done: str) -> None:
+        seen.append(done)
+        if done == step and seen.count(step) > batch:
+            raise _Stop(step)
+    return on_step
+
+
+def q_restart_same_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AUD-4, STR-7: a stream that stops after the append of its second batch, and before its commit, starts again with its
+    checkpoint; in each dedup mode, with and without a ledger, every row is stored once."""
+    root = fresh_dir(spark, "restart")
+    n = _files(spark, sf_dir, "events")
+    write_replay(_msgs(spark, sf_dir), f"{root}/replay", files=n)
+    out = None
+    for mode, ledger in (("reprocess", False), ("reprocess", True), ("always", True)):
+        target, errors = _seeded(spark, sf_dir, "restarted")
+        base = target.rsplit("/", 1)[0]
+        spec = event_spec(target, errors, dedup_mode=mode, ledger_path=f"{base}/ledger" if ledger else None)
+
+        def start(**more):
+            run_stream(read_replay(spark, f"{root}/replay", max_files_per_trigger=-(-n // 2)), spec, checkpoint=f"{base}/checkpoint",
+                       trigger={"availableNow": True}, await_termination=True, **more)
+        try:
+            start(reprocess=True, on_step=_stop_at("data"))
+            raise RuntimeError("the stream did not stop")
+        except StreamingQueryException:
+            pass
+        start()
+        rows = read_rows(spark, target).withColumn("form", F.lit(f"{mode}, {'ledger' if ledger else 'first batch'}"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def q_ledger_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AUD-4: a batch that stops after each of its steps in turn, and is run again each time: rows, errors, audit and ledger."""
+    target, errors = _seeded(spark, sf_dir, "ledger")
+    base = target.rsplit("/", 1)[0]
+    spec = event_spec(target, errors, dedup_mode="reprocess", ledger_path=f"{base}/ledger", audit_path=f"{base}/audit")
+    for step in ("begun", "data", "errors", "audited", None, "audited"):
+        try:
+            process_batch(_msgs(spark, sf_dir), 0, spec, run_id="run", reprocess=True, on_step=_stop_at(step, 0) if step else None)
+        except _Stop:
+            pass
+    counts = [read_rows(spark, target).select(F.lit("data").alias("kind")), read_rows(spark, errors).select(F.lit("errors").alias("kind")),
+              read_audit(spark, f"{base}/audit").select(F.lit("audit").alias("kind")),
+              latest_entries(read_ledger(spark, f"{base}/ledger")).select("step").withColumnRenamed("step", "kind")]
+    return functools.reduce(lambda a, b: a.unionByName(b), counts).groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
+
+
+def q_commit_all_or_none(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-1, SNK-3, AUD-1: what readers see of atomic batches after a stop at each step, and after the batch has run again."""
+    target, errors = _seeded(spark, sf_dir, "atomic")
+    base = target.rsplit("/", 1)[0]
+    spec = event_spec(target, errors, ledger_path=f"{base}/ledger", audit_path=f"{base}/audit", atomic=True)
+    msgs = _msgs(spark, sf_dir)
+    process_batch(msgs.filter("partition < 2"), 0, spec, run_id="run")
+    out = None
+    for k, step in enumerate(("begun", "data", "errors", "audited", None)):
+        try:
+            process_batch(msgs.filter("partition >= 2"), 1, spec, run_id="run", on_step=_stop_at(step, 0) if step else None)
+        except _Stop:
+            pass
+        audit = read_audit(spark, spec.audit_path, ledger_path=spec.ledger_path)
+        seen = [read_committed(spark, spec).select("event_id", F.lit("data").alias("kind")),
+                read_committed(spark, spec, "errors").select(F.concat_ws(":", "topic", "kafka_partition", "kafka_offset").alias("event_id"),
+                                                             F.lit("errors").alias("kind")),
+                audit.select(F.concat_ws(":", F.lit("batch"), "batch_id").alias("event_id"), F.lit("audit").alias("kind"))]
+        rows = functools.reduce(lambda a, b: a.unionByName(b), seen).withColumn("stopped_at", F.lit(step or "not"))
+        # counted and named now: the next attempt goes on in the same folders
+        rows = rows.groupBy("stopped_at", "kind").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("event_id").alias("n_distinct"))
+        rows.write.mode("append").parquet(f"{base}/seen")
+    return spark.read.parquet(f"{base}/seen")
+
+
+def q_errors_same_text_two_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JN-4: every message without a key arrives twice under one text, at two positions, once in one batch and once in two,
+    and all of it again as a replay: two rebuilt rows each, whatever the batches."""
+    twice = _msgs(spark, sf_dir)
+    twice = twice.unionByName(twice.withColumn("offset", F.col("offset") + 1_000_000_000))
+    out = None
+    for form, cuts in (("one batch", ["true"]), ("two batches", ["offset < 1000000000", "offset >= 1000000000"])):
+        target, errors = _seeded(spark, sf_dir, "twice")
+        spec = event_spec(target, errors, reserialize_null_key_rows=True)
+        for batch, cut in enumerate([*cuts, "true"]):
+            process_batch(twice.filter(cut), batch, spec)
+        rows = read_rows(spark, errors).filter("error_reason = 'NULL_PRIMARY_KEY'") \
+            .select("json_raw", "kafka_offset", "src_topic", "src_partition", "src_offset", F.lit(form).alias("form"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def q_backfill_sliced_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PIP-3: copies of a key, with another event type, lie in other partitions at far offsets, and some messages have no
+    offset; a backfill in slices of the keys leaves the target that one batch leaves."""
+    msgs = _msgs(spark, sf_dir)
+    copies = msgs.filter("offset % 3 = 0").withColumns({
+        "partition": (F.col("partition") + 1) % 4, "offset": F.col("offset") + 7_000_000,
+        "value": F.regexp_replace(F.col("value").cast("string"), '"kind": "', '"kind": "copy-').cast("binary")})
+    spread = msgs.withColumn("offset", F.when(F.col("offset") % 11 != 5, F.col("offset"))).unionByName(copies)
+    target, errors = _seeded(spark, sf_dir, "spread")
+    spec = event_spec(target, errors)
+    run_slices(spread, spec, 4)
+    whole, whole_errors = _seeded(spark, sf_dir, "whole")
+    process_batch(spread, 0, spec.with_(target=Target(path=whole), error_path=whole_errors))
+    forms = [("sliced", target, errors), ("one batch", whole, whole_errors)]
+    out = [read_rows(spark, t).withColumn("form", F.lit(f)) for f, t, _ in forms]
+    return out[0].unionByName(out[1])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "restart_same_checkpoint": q_restart_same_checkpoint,
+    "ledger_resume": q_ledger_resume,
+    "commit_all_or_none": q_commit_all_or_none,
+    "errors_same_text_two_batches": q_errors_same_text_two_batches,
+    "backfill_sliced_spread": q_backfill_sliced_spread,
     "dedup_stored_key_type": q_dedup_stored_key_type,
     "audit_two_runs": q_audit_two_runs,
     "recovery_from_audit": q_recovery_from_audit,
@@ -609,7 +735,38 @@ _TARGET_AFTER = _w(f"SELECT {G} FROM seed UNION ALL SELECT {G} FROM new_rows")
 _OFFSETS = """SELECT 'events' AS topic, kafka_partition, MAX(kafka_offset) + 1 AS next_offset
 FROM env GROUP BY kafka_partition"""
 
+#: The event id of every message of the batches 0 (partitions 0 and 1) and 1, as atomic batches publish them.
+_PUBLISHED = """
+SELECT 'data' AS kind, event_id, CAST(0 AS INTEGER) AS batch FROM seed UNION ALL
+SELECT 'data', event_id, CAST(CAST(event_id AS BIGINT) % 4 >= 2 AS INTEGER) FROM new_rows UNION ALL
+SELECT 'errors', kafka_partition || ':' || kafka_offset, CAST(kafka_partition >= 2 AS INTEGER) FROM flat WHERE dmg IN ('tomb', 'cut', 'nokey')
+UNION ALL SELECT 'audit', 'batch:0', 0 UNION ALL SELECT 'audit', 'batch:1', 1"""
+
 ORACLES: dict[str, str] = {
+    "restart_same_checkpoint": _w(f"SELECT {G}, form FROM (SELECT {G} FROM seed UNION ALL SELECT {G} FROM new_rows), "
+                                  "(SELECT unnest(['reprocess, first batch', 'reprocess, ledger', 'always, ledger']) AS form)"),
+    "ledger_resume": _w("SELECT 'data' AS kind, (SELECT count(*) FROM seed) + (SELECT count(*) FROM new_rows) AS n UNION ALL "
+                        "SELECT 'errors', count(*) FROM flat WHERE dmg IN ('tomb', 'cut', 'nokey') UNION ALL "
+                        "SELECT 'audit', 1 UNION ALL SELECT 'audited', 1"),
+    "commit_all_or_none": _w(f"SELECT stopped_at, kind, count(*) AS n, count(DISTINCT event_id) AS n_distinct FROM ({_PUBLISHED}), "
+                             "(SELECT unnest(['begun', 'data', 'errors', 'audited', 'not']) AS stopped_at) "
+                             "WHERE batch = 0 OR stopped_at = 'not' GROUP BY 1, 2"),
+    "errors_same_text_two_batches": _w(
+        "SELECT '{\"event_timestamp\":\"' || event_timestamp || '\",\"user_id\":' || CAST(user_id AS VARCHAR) "
+        "|| ',\"event_type\":\"' || event_type || '\",\"value\":' || CAST(value AS VARCHAR) "
+        "|| ',\"k\":' || CAST(k AS VARCHAR) || '}' AS json_raw, CAST(-1 AS BIGINT) AS kafka_offset, 'events' AS src_topic, "
+        "kafka_partition AS src_partition, kafka_offset + shift AS src_offset, form FROM flat, "
+        "(SELECT unnest([0, 1000000000]) AS shift), (SELECT unnest(['one batch', 'two batches']) AS form) WHERE dmg = 'nokey'"),
+    "backfill_sliced_spread": _w(f"""SELECT {G}, form FROM (
+  SELECT {G} FROM seed UNION ALL
+  SELECT {G} FROM (
+    SELECT {G}, kafka_partition AS p, CASE WHEN kafka_offset % 11 <> 5 THEN kafka_offset END AS o FROM good
+    UNION ALL
+    SELECT event_id, event_timestamp, user_id, 'copy-' || event_type, value, k, audit_load_date, (kafka_partition + 1) % 4, kafka_offset + 7000000
+    FROM good WHERE kafka_offset % 3 = 0)
+  WHERE event_type <> 'error' AND event_id NOT IN (SELECT event_id FROM window_keys)
+  QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY p NULLS FIRST, o NULLS FIRST) = 1),
+  (SELECT unnest(['sliced', 'one batch']) AS form)"""),
     "dedup_stored_key_type": _w("SELECT CAST(event_id AS BIGINT) AS event_id, event_timestamp, user_id, event_type, value, k, "
                                 "audit_load_date FROM good WHERE event_id NOT IN (SELECT event_id FROM window_keys)"),
     "audit_two_runs": _w(_OFFSETS),

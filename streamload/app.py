@@ -51,7 +51,7 @@ from streamload.sources.kafka import read_kafka
 from streamload.sources.replay import read_replay
 from streamload.spec import PipelineSpec, SpecError
 from streamload.streaming.recovery import starting_offsets_from_audit
-from streamload.streaming.runner import run_stream
+from streamload.streaming.runner import FIRST, run_stream
 
 # Top-level config sections that are not part of the pipeline spec.
 APP_SECTIONS = ("source", "stream")
@@ -153,7 +153,8 @@ def build_source(spark: SparkSession, cfg: Mapping[str, Any], spec: PipelineSpec
         if not (spec.audit_path or spec.audit_table):
             raise SpecError('starting_offsets "audit" needs audit_path or audit_table')
         start = starting_offsets_from_audit(spark, spec.audit_path, topic, app=spec.app_name, partitions=partitions,
-                                            audit_table=spec.audit_table) or "earliest"
+                                            audit_table=spec.audit_table,
+                                            ledger_path=spec.ledger_path if spec.atomic else None) or "earliest"
     return read_kafka(spark, topic, servers, starting_offsets=start, ssl=ssl or None, **src)
 
 
@@ -177,7 +178,8 @@ def run_app(spark: SparkSession, cfg: Mapping[str, Any], *, on_metrics=log_metri
         raise SpecError(f"table {spec.target.table} does not exist for this session; create it first, and start the "
                         "session with the catalog that holds it (a Hive catalog: spark.sql.catalogImplementation=hive)")
     from_audit = (cfg.get("source") or {}).get("starting_offsets") == "audit"
-    reprocess = bool(stream.get("reprocess", from_audit or checkpoint_is_new(spark, stream["checkpoint"])))
+    # a new checkpoint, or one started from the audit, may repeat anything; an old one, the batch it stopped in
+    reprocess = stream.get("reprocess", from_audit or checkpoint_is_new(spark, stream["checkpoint"]) or FIRST)
     return run_stream(source, spec, checkpoint=stream["checkpoint"], trigger=stream.get("trigger"),
                       query_name=stream.get("query_name") or spec.app_name, on_metrics=on_metrics, reprocess=reprocess)
 

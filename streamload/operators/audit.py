@@ -54,10 +54,11 @@ def append_audit(rows: DataFrame, path: str | None = None, *, table: str | None
 
 
 def read_audit(spark: SparkSession, path: str | None = None, app: str | None = None, dates=None, *,
-               table: str | None = None) -> DataFrame | None:
+               table: str | None = None, ledger_path: str | None = None) -> DataFrame | None:
     """The audit rows, or ``None`` before the first batch: of each (app, run, batch, topic) the last recorded.
 
-    With ``app`` and ``dates`` only those folders are listed and read.
+    With ``app`` and ``dates`` only those folders are listed and read.  ``ledger_path`` leaves out batches that have
+    begun and are not committed; the ledger is read after the audit, so it names every batch that the audit has.
     """
     from ..sources.target import escape_partition_value, read_partitions, read_target
     if table is not None:
@@ -72,6 +73,12 @@ def read_audit(spark: SparkSession, path: str | None = None, app: str | None = N
         df = None if df is None else df.withColumn("app", F.lit(app))
     if df is None:
         return None
+    if ledger_path is not None:
+        from .ledger import AUDITED, latest_entries, read_ledger
+        ledger = read_ledger(spark, ledger_path)
+        if ledger is not None:
+            open_batches = latest_entries(ledger).filter(F.col("step") != AUDITED).select("app", "run_id", "batch_id")
+            df = df.join(open_batches, ["app", "run_id", "batch_id"], "left_anti")
     keys = ("app", "topic", "run_id", "batch_id")
     rest = [f.name for f in AUDIT_SCHEMA.fields if f.name not in keys]
     last = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct("recorded_at", "n_in", "n_written")).alias("last"))

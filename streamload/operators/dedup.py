@@ -33,11 +33,9 @@ from ..functions.columns import ident, lookback_values, quote_path
 from ..spec import SpecError
 
 ERROR_KEYS = ("topic", "kafka_partition", "kafka_offset")
-#: What tells error rows without a source position apart.
-REBUILT_KEYS = ("error_reason", "json_raw")
 
 
-def _free_prefix(df: DataFrame, prefix: str) -> str:
+def free_prefix(df: DataFrame, prefix: str) -> str:
     """A name prefix no column of ``df`` starts with, so renamed join keys resolve by name alone."""
     while any(c.startswith(prefix) for c in df.columns):
         prefix = "_" + prefix
@@ -62,7 +60,7 @@ def dedup_within_batch(df: DataFrame, keys: Sequence[str],
         return df.dropDuplicates(keys)
     order = [_as_col(c) for c in order_by or []]
     order += [F.col(ident(f.name)) if _orderable(f.dataType) else F.to_json(F.struct(F.col(ident(f.name)))) for f in others]
-    rank = _free_prefix(df, "_rank")
+    rank = free_prefix(df, "_rank")
     first = Window.partitionBy(*[F.col(quote_path(k)) for k in keys]).orderBy(*order)
     return df.withColumn(rank, F.row_number().over(first)).filter(F.col(rank) == 1).drop(rank)
 
@@ -131,33 +129,29 @@ def anti_join_existing(df: DataFrame, existing: DataFrame | None, keys: Sequence
     if existing is None:
         return df
     keys = list(keys)
-    p = _free_prefix(df, "_k")
+    p = free_prefix(df, "_k")
     right = existing.selectExpr(*[f"{quote_path(k)} AS {p}{i}" for i, k in enumerate(keys)])
     cond = F.expr(" AND ".join(f"{quote_path(k)} = {p}{i}" for i, k in enumerate(keys)))
     return df.join(right, cond, "left_anti")
 
 
-def anti_join_errors(errors: DataFrame, existing_errors: DataFrame | None,
-                     existing_texts: DataFrame | None = None) -> DataFrame:
-    """Error rows whose (topic, partition, offset) is not already stored (JN-4).
+def anti_join_errors(errors: DataFrame, existing_errors: DataFrame | None, identity: Sequence[str] = ERROR_KEYS) -> DataFrame:
+    """Error rows whose message (topic, partition, offset) is not already stored (JN-4).
 
-    ``existing_texts`` has the (reason, text) of stored rows without a position; rows of the batch without one whose
-    reason and text are among them are known too.
+    ``identity`` names the three columns of ``errors`` that hold it: the envelope's, or beside a rebuilt envelope the
+    ``IDENTITY`` columns.  ``existing_errors`` has them under the envelope's names.
 
-    Rebuilt rows without a source position (offset -1) are never matched,
-    so they bypass the join: all of them share one key, and a batch where a
-    third of the messages lost their envelope would otherwise send that
+    Rows without a source position are never matched (two messages of one text are two errors), so they bypass the join:
+    all of them share one key, and a batch where a third of the messages lost their envelope would otherwise send that
     third to a single join task.
     """
-    if existing_errors is None and existing_texts is None:
+    if existing_errors is None:
         return errors
-    positioned = F.col("kafka_offset") >= 0
+    positioned = F.coalesce(F.col(identity[2]) >= 0, F.lit(False))
     # distinct: many stored copies of one position would meet in one join task
-    known = None if existing_errors is None else existing_errors.filter(positioned).select(*ERROR_KEYS).distinct()
-    rebuilt = errors.filter(~F.coalesce(positioned, F.lit(False)))
-    if existing_texts is not None:
-        rebuilt = anti_join_existing(rebuilt, existing_texts.select(*REBUILT_KEYS).distinct(), REBUILT_KEYS)
-    return anti_join_existing(errors.filter(positioned), known, ERROR_KEYS).unionByName(rebuilt)
+    known = existing_errors.filter(F.col(ERROR_KEYS[2]) >= 0).select(
+        *[F.col(k).alias(i) for k, i in zip(ERROR_KEYS, identity)]).distinct()
+    return anti_join_existing(errors.filter(positioned), known, identity).unionByName(errors.filter(~positioned))
 
 
 def restrict_to_keys(existing: DataFrame | None, candidates: DataFrame, keys: Sequence[str]) -> DataFrame | None:
@@ -173,7 +167,7 @@ def restrict_to_keys(existing: DataFrame | None, candidates: DataFrame, keys: Se
     if existing is None:
         return None
     keys = list(keys)
-    p = _free_prefix(existing, "_c")
+    p = free_prefix(existing, "_c")
     right = candidates.selectExpr(*[f"{quote_path(k)} AS {p}{i}" for i, k in enumerate(keys)])
     cond = F.expr(" AND ".join(f"{quote_path(k)} = {p}{i}" for i, k in enumerate(keys)))
     return existing.join(F.broadcast(right), cond, "left_semi")

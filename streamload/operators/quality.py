@@ -18,6 +18,8 @@ from ..spec import JSON_PARSE_FAILURE, NULL_PRIMARY_KEY
 from .parse import ENVELOPE, PARSE_FAILED, SOURCE_STRUCT
 
 ERROR_REASON = "error_reason"
+#: Where a rebuilt error row came from, beside its rebuilt envelope (topic, partition, offset of the message).
+IDENTITY = ("src_topic", "src_partition", "src_offset")
 
 
 def error_columns(partition_column: str) -> list[str]:
@@ -38,15 +40,24 @@ def error_reason(keys: Sequence[str], parse_failed: str | None = PARSE_FAILED) -
 
 def to_error_rows(df: DataFrame, reason: Column | str, partition_column: str, *,
                   data_columns: Sequence[str] = (), topic: str = "",
-                  as_of: _dt.datetime | None = None, reserialize: bool = False) -> DataFrame:
+                  as_of: _dt.datetime | None = None, reserialize: bool = False, identity: bool = False) -> DataFrame:
     """Project rows into the 7-column error schema.
 
     The original text and source position come from the ``_src`` struct.  If
     a hook dropped it, or ``reserialize`` is asked for, the reference's
     fallback is used: JSON rebuilt from ``data_columns``, the configured
     topic, partition/offset -1 and the batch clock as timestamp.
+
+    With ``identity`` the position of the message is kept in three more columns
+    (``IDENTITY``), so a rebuilt row can still be told from others of the same
+    text; they are NULL where a hook dropped ``_src``.
     """
     reason_col = F.lit(reason) if isinstance(reason, str) else reason
+    ids = []
+    if identity:
+        known = SOURCE_STRUCT in df.columns
+        ids = [F.expr(f"CAST({f'{SOURCE_STRUCT}.{c}' if known else 'NULL'} AS {kind}) AS {name}")
+               for name, c, kind in zip(IDENTITY, ("topic", "kafka_partition", "kafka_offset"), ("STRING", "INT", "BIGINT"))]
     if SOURCE_STRUCT in df.columns and not reserialize:
         env = [F.expr(f"{SOURCE_STRUCT}.{c} AS {c}") for c in ENVELOPE]
     else:
@@ -58,7 +69,7 @@ def to_error_rows(df: DataFrame, reason: Column | str, partition_column: str, *,
             F.lit(-1).cast("long").alias("kafka_offset"),
             ts.alias("kafka_timestamp"),
         ]
-    return df.select(*env, reason_col.alias(ERROR_REASON), F.col(quote_path(partition_column)))
+    return df.select(*env, reason_col.alias(ERROR_REASON), *ids, F.col(quote_path(partition_column)))
 
 
 def split_bad_records(tagged: DataFrame, partition_column: str, *, reason_column: str = ERROR_REASON,
@@ -68,7 +79,8 @@ def split_bad_records(tagged: DataFrame, partition_column: str, *, reason_column
     """Split a frame tagged by :func:`error_reason` into (good, bad).
 
     Good keeps every column but the tag and ``parse_failed``; bad is in the
-    error schema.  Parse failures always keep their original envelope.
+    error schema.  Parse failures always keep their original envelope.  With
+    ``reserialize`` bad also has the ``IDENTITY`` columns.
     """
     reason = F.col(reason_column)
     drop = [c for c in (reason_column, PARSE_FAILED) if c in tagged.columns]
@@ -78,12 +90,12 @@ def split_bad_records(tagged: DataFrame, partition_column: str, *, reason_column
         # Parse failures keep their text; only null-key rows are rebuilt.
         parse_bad = bad_rows.filter(reason == JSON_PARSE_FAILURE)
         key_bad = bad_rows.filter(reason != JSON_PARSE_FAILURE)
-        bad = to_error_rows(parse_bad, reason, partition_column).unionByName(
+        bad = to_error_rows(parse_bad, reason, partition_column, identity=True).unionByName(
             to_error_rows(key_bad, reason, partition_column, data_columns=data_columns, topic=topic,
-                          as_of=as_of, reserialize=True))
+                          as_of=as_of, reserialize=True, identity=True))
     else:
         bad = to_error_rows(bad_rows, reason, partition_column, data_columns=data_columns, topic=topic,
-                            as_of=as_of)
+                            as_of=as_of, identity=reserialize)
     return good, bad
 
 

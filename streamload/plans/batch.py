@@ -7,6 +7,9 @@ Shape of a non-empty batch::
                                                  │        └─ bad  ───────────────────────► anti join ► WRITE errors
                                                  └─► (audit) offsets per partition ─────────────────► WRITE audit
 
+A ledger (``ledger_path``) notes each of these steps, and a batch that runs again
+leaves out those that are done (:mod:`streamload.operators.ledger`).
+
 Two write jobs (plus the audit write when configured) after one job that
 fills the persisted batch.  That first job also answers "is the batch
 empty?" and measures an upper bound of the batch keys' size, which decides
@@ -22,6 +25,7 @@ from __future__ import annotations
 import datetime as _dt
 import time
 import uuid
+from collections.abc import Callable
 from dataclasses import asdict, dataclass, field
 from typing import Any, NamedTuple
 
@@ -32,16 +36,18 @@ from pyspark.sql import types as T
 
 from ..functions.columns import any_null, ident, load_date, lookback_values, quote_path, resolve_as_of
 from ..operators.audit import append_audit, audit_rows, batch_offsets
-from ..operators.dedup import (ERROR_KEYS, REBUILT_KEYS, anti_join_errors, anti_join_existing, check_key_types,
-                               dedup_within_batch, existing_keys, restrict_to_keys)
+from ..operators.dedup import (ERROR_KEYS, anti_join_errors, anti_join_existing, check_key_types,
+                               dedup_within_batch, existing_keys, free_prefix, restrict_to_keys)
 from ..operators.hooks import apply_flattener, apply_transformer
+from ..operators.ledger import ATTEMPT, AUDITED, BEGUN, DATA, ERRORS, BatchLog, committed_attempts, committed_rows
 from ..operators.parse import (ENVELOPE, PARSE_FAILED, SOURCE_STRUCT, flatten_columns, flattener_input,
-                               parse_messages)
-from ..operators.quality import ERROR_REASON, error_reason, split_bad_records, to_error_rows
+                               parse_messages, project_envelope)
+from ..operators.quality import ERROR_REASON, IDENTITY, error_reason, split_bad_records, to_error_rows
 from ..operators.rules import apply_rules, rules_condition
 from ..sinks.files import append_parquet, append_table
-from ..sources.target import read_stored, read_target
+from ..sources.target import read_rows, read_stored, read_target
 from ..spec import JSON_PARSE_FAILURE, NULL_PRIMARY_KEY, PipelineSpec
+from ..workspace import fresh_dir
 
 
 @dataclass
@@ -74,6 +80,7 @@ class BatchMetrics:
     load_date: str | None = None
     as_of: _dt.datetime | None = None
     dedup_applied: bool = True
+    resumed_from: str | None = None  # the step that an earlier attempt at the batch had reached
     seconds: float = 0.0
 
     @property
@@ -201,14 +208,44 @@ def transform_batch(parsed: DataFrame, spec: PipelineSpec, as_of: _dt.datetime |
     good, key_bad = split_bad_records(tagged, part, data_columns=data_cols, topic=spec.topic, as_of=as_of,
                                       reserialize=spec.reserialize_null_key_rows)
     parse_bad = to_error_rows(parsed.filter(F.col(PARSE_FAILED)).select(F.col(SOURCE_STRUCT), ld),
-                              JSON_PARSE_FAILURE, part)
+                              JSON_PARSE_FAILURE, part, identity=spec.reserialize_null_key_rows)
     return BatchResult(good, parse_bad.unionByName(key_bad), obs, tagged=tagged, parsed=parsed, cached=cached)
 
 
-def lookback_rows(spark, path: str, spec: PipelineSpec, as_of: _dt.datetime, columns) -> DataFrame | None:
-    """``columns`` of a path dataset inside the lookback window, listing only those partitions."""
+_ATTEMPT_FIELD = T.StructType([T.StructField(ATTEMPT, T.StringType(), True)])
+_IDENTITY_FIELDS = T.StructType([T.StructField(n, t, True) for n, t in
+                                 zip(IDENTITY, (T.StringType(), T.IntegerType(), T.LongType()))])
+
+
+def lookback_rows(spark, path: str, spec: PipelineSpec, as_of: _dt.datetime, columns, *,
+                  optional: T.StructType | None = None) -> DataFrame | None:
+    """``columns`` of a path dataset inside the lookback window, listing only those partitions.
+
+    Of atomic batches, the rows of committed attempts.
+    """
     values = None if spec.lookback_days is None else lookback_values(as_of, spec.lookback_days, spec.date_format)
-    return read_stored(spark, path, columns, spec.partition_column, values)
+    if not spec.atomic:
+        return read_stored(spark, path, columns, spec.partition_column, values, optional=optional)
+    attempts = committed_attempts(spark, spec.ledger_path)
+    more = T.StructType([*(optional.fields if optional is not None else ()), *_ATTEMPT_FIELD.fields])
+    return committed_rows(read_stored(spark, path, columns, spec.partition_column, values, optional=more), attempts)
+
+
+def read_committed(spark, spec: PipelineSpec, what: str = "data") -> DataFrame | None:
+    """The target's rows (``what="errors"``: the error rows) as readers should see them: whole batches only.
+
+    Rows without an attempt, from before there was a ledger, are seen too.  The ledger is read before the rows.
+    """
+    if what not in ("data", "errors"):
+        raise ValueError("what must be 'data' or 'errors'")
+    path = spec.target.path if what == "data" else spec.error_path
+    attempts = committed_attempts(spark, spec.ledger_path) if spec.ledger_path else None
+    seen = read_rows(spark, path, spec.partition_column)
+    if seen is None:
+        return None
+    fields = [f for f in seen.schema.fields if f.name not in (ATTEMPT, spec.partition_column)]
+    part = T.StructField(spec.partition_column, T.StringType(), True)
+    return committed_rows(spark.read.schema(T.StructType([*fields, *_ATTEMPT_FIELD.fields, part])).parquet(path), attempts)
 
 
 def dedup_against_target(good: DataFrame, spec: PipelineSpec, as_of: _dt.datetime,
@@ -377,20 +414,17 @@ def error_rows_plan(bad: DataFrame, spec: PipelineSpec, as_of: _dt.datetime,
                     candidates: DataFrame | None = None) -> tuple[DataFrame, Observation]:
     """PIP-2 bad branch: optional idempotency anti join on the source position (JN-4).
 
-    ``candidates`` (the batch's error positions, of measured size) restrict
-    the stored errors by a broadcast semi join first, as for the target.
+    The position is the envelope's, or for rebuilt rows the one kept beside it.  ``candidates`` (the batch's error
+    positions, of measured size) restrict the stored errors by a broadcast semi join first, as for the target.
     """
     out = bad
     if spec.idempotent_errors and spec.error_path:
-        # rows rebuilt from columns have no position: they are known by what they say
-        rebuilt = spec.reserialize_null_key_rows or spec.transformer is not None or spec.flattener is not None
-        columns = [*ERROR_KEYS, *REBUILT_KEYS] if rebuilt else ERROR_KEYS
-        stored = lookback_rows(bad.sparkSession, spec.error_path, spec, as_of, columns)
-        known = None if stored is None else stored.filter("kafka_offset >= 0").select(*ERROR_KEYS)
+        stored = lookback_rows(bad.sparkSession, spec.error_path, spec, as_of, ERROR_KEYS, optional=_IDENTITY_FIELDS)
+        known = None if stored is None else stored.select(
+            *[F.coalesce(i, k).alias(k) for k, i in zip(ERROR_KEYS, IDENTITY)]).filter("kafka_offset >= 0")
         if candidates is not None:
             known = restrict_to_keys(known, candidates, ERROR_KEYS)
-        texts = stored.filter("kafka_offset < 0").select(*REBUILT_KEYS) if rebuilt and stored is not None else None
-        out = anti_join_errors(bad, known, texts)
+        out = anti_join_errors(bad, known, IDENTITY if IDENTITY[2] in bad.columns else ERROR_KEYS)
     o = _obs("bad_written")
     return out.observe(o, F.expr("count(1) AS n")), o
 
@@ -414,60 +448,96 @@ def write_good(df: DataFrame, spec: PipelineSpec) -> None:
 
 
 def process_batch(raw: DataFrame, batch_id: int, spec: PipelineSpec, *, persist: bool = True,
-                  reprocess: bool = False, as_of: _dt.datetime | None = None, run_id: str = "") -> BatchMetrics:
+                  reprocess: bool = False, as_of: _dt.datetime | None = None, run_id: str = "", resume: bool = True,
+                  on_step: Callable[[str], None] | None = None) -> BatchMetrics:
     """PIP-2: one (micro-)batch of Kafka-shaped rows -> target + error path (+ audit).
 
     ``run_id`` tells runs apart whose batch ids start again at 0 (a stream's query id, a backfill's own id): in the
-    audit a batch is known by both.
+    audit and in the ledger a batch is known by both.
 
     ``dedup_mode="reprocess"`` runs the target anti join only when
-    ``reprocess`` is true (AUD-4); ``"always"`` runs it on every batch.
+    ``reprocess`` is true, or when the ledger says that the batch had begun before (AUD-4); ``"always"`` runs it on
+    every batch.  ``resume=False`` spares the look into the ledger where the batch cannot have begun before.
+    ``on_step`` is called after each step of the batch, before the ledger notes it.
     """
     t0 = time.perf_counter()
     as_of = resolve_as_of(as_of if as_of is not None else spec.as_of)
     spark = raw.sparkSession
-    dedup = spec.dedup_mode == "always" or reprocess
     if not persist and raw.isEmpty():  # AGG-2: a LIMIT 1 job; nothing else runs for an empty batch
         return BatchMetrics(batch_id, as_of=as_of, seconds=time.perf_counter() - t0)
-    parsed = parse_batch(raw, spec)
-    result = transform_batch(parsed, spec, as_of, observe=not persist, persist=persist)
+    log = BatchLog(spark, spec, run_id, batch_id, resume=resume, on_step=on_step)
+    if log.has(AUDITED):
+        return BatchMetrics(batch_id, as_of=as_of, resumed_from=AUDITED, seconds=time.perf_counter() - t0)
+    result = transform_batch(parse_batch(raw, spec), spec, as_of, observe=not persist, persist=persist)
     try:
-        candidates = error_candidates = stats = None
+        stats = None
         if persist:
             # AGG-2, the counts and the cache fill in one job; the measured sizes decide the semi joins.
             stats = batch_stats(result, spec)
             if stats.n_in == 0:
                 return BatchMetrics(batch_id, as_of=as_of, seconds=time.perf_counter() - t0)
-            limit = broadcast_threshold(spark)
-            restrict = spec.restrict_existing
-            if restrict and dedup and stats.key_bytes is not None and 0 < stats.key_bytes <= limit:
-                candidates = candidate_keys(result, spec)
-            if restrict and stats.error_bytes is not None and 0 < stats.error_bytes <= limit:
-                error_candidates = error_positions(result)
-        good, good_obs = good_rows_plan(result.good, spec, as_of, dedup=dedup, candidates=candidates)
-        write_good(good, spec)
-        n_bad_written = 0
-        # A batch measured to have no bad record skips the error branch (its read and its job).
-        clean = stats is not None and stats.n_parse_failure + stats.n_null_key == 0
-        if spec.capture_errors and spec.error_path and not clean:
-            bad, bad_obs = error_rows_plan(result.bad, spec, as_of, error_candidates)
-            append_parquet(bad, spec.error_path, spec.partition_column, files=spec.files_per_write)
-            n_bad_written = observed(bad_obs, "n") or 0
-        m = _metrics(batch_id, result, good_obs, as_of, spec, stats)
-        m.n_bad_written = n_bad_written
-        m.dedup_applied = dedup
+        m = load_batch(result, batch_id, spec, as_of, stats, log, reprocess=reprocess)
         if spec.audit_path or spec.audit_table:
-            rows = audit_rows(batch_offsets(result.cached), _audit_counts(m), app=spec.app_name, batch_id=batch_id,
-                              recorded_at=as_of, run_id=run_id)
-            append_audit(rows, spec.audit_path, table=spec.audit_table)  # of a batch that is run again, the reader takes the last rows
+            append_batch_audit(batch_offsets(result.cached), m, spec, run_id)
+        log.record(AUDITED, m.n_written, m.n_bad_written)
     finally:
         if persist:
             result.cached.unpersist()
-    m.load_date = _format_date(as_of, spec.date_format)
     m.seconds = time.perf_counter() - t0
     return m
 
 
+def load_batch(result: BatchResult, batch_id: int, spec: PipelineSpec, as_of: _dt.datetime, stats: BatchStats | None,
+               log: BatchLog, *, reprocess: bool = False) -> BatchMetrics:
+    """Append the good rows and the error rows of a transformed batch, leaving out what the ledger says is done."""
+    spark = result.good.sparkSession
+    dedup = spec.dedup_mode == "always" or reprocess or (log.repeated and not spec.atomic)
+    candidates = error_candidates = None
+    if stats is not None:
+        limit = broadcast_threshold(spark)
+        restrict = spec.restrict_existing
+        if restrict and dedup and stats.key_bytes is not None and 0 < stats.key_bytes <= limit:
+            candidates = candidate_keys(result, spec)
+        if restrict and stats.error_bytes is not None and 0 < stats.error_bytes <= limit:
+            error_candidates = error_positions(result)
+    if not log.has(DATA):
+        log.record(BEGUN)
+    attempt = F.lit(log.attempt).alias(ATTEMPT)
+    good_obs: dict[str, Observation] | None = None
+    if not log.has(DATA):
+        good, good_obs = good_rows_plan(result.good, spec, as_of, dedup=dedup, candidates=candidates)
+        write_good(good.select("*", attempt) if spec.atomic else good, spec)
+    m = _metrics(batch_id, result, good_obs, as_of, spec, stats, log.found.n_written if good_obs is None else None)
+    m.dedup_applied = dedup
+    m.load_date = _format_date(as_of, spec.date_format)
+    m.resumed_from = None if log.found is None else log.found.step
+    if not log.has(DATA):
+        log.record(DATA, m.n_written)
+    # A batch measured to have no bad record skips the error branch (its read and its job).
+    clean = stats is not None and stats.n_parse_failure + stats.n_null_key == 0
+    if log.has(ERRORS):
+        m.n_bad_written = log.found.n_bad_written
+    else:
+        if spec.capture_errors and spec.error_path and not clean:
+            bad, bad_obs = error_rows_plan(result.bad, spec, as_of, error_candidates)
+            append_parquet(bad.select("*", attempt) if spec.atomic else bad, spec.error_path, spec.partition_column,
+                           files=spec.files_per_write)
+            m.n_bad_written = observed(bad_obs, "n") or 0
+        log.record(ERRORS, m.n_written, m.n_bad_written)
+    return m
+
+
+def append_batch_audit(offsets: DataFrame, m: BatchMetrics, spec: PipelineSpec, run_id: str) -> None:
+    """The batch's audit rows (AUD-1); of a batch that is run again, the reader takes the last ones."""
+    rows = audit_rows(offsets, _audit_counts(m), app=spec.app_name, batch_id=m.batch_id, recorded_at=m.as_of, run_id=run_id)
+    append_audit(rows, spec.audit_path, table=spec.audit_table)
+
+
+#: Counts of slices that add up to the batch's.
+SUMMED = ("n_in", "n_parse_failure", "n_null_key", "n_hook_removed", "n_filtered", "n_duplicate_in_batch",
+          "n_duplicate_target", "n_written", "n_bad_written")
+
+
 def _format_date(as_of: _dt.datetime, fmt: str) -> str:
     """The batch's load-date text for the metrics record, formatted like the data column."""
     return lookback_values(as_of, 0, fmt)[0]
@@ -504,9 +574,16 @@ def _recount(result: BatchResult, spec: PipelineSpec) -> dict[str, int]:
     return out
 
 
-def _metrics(batch_id: int, result: BatchResult, good_obs: dict[str, Observation], as_of: _dt.datetime,
-             spec: PipelineSpec, stats: BatchStats | None = None) -> BatchMetrics:
+def _metrics(batch_id: int, result: BatchResult, good_obs: dict[str, Observation] | None, as_of: _dt.datetime,
+             spec: PipelineSpec, stats: BatchStats | None = None, n_written: int | None = None) -> BatchMetrics:
+    """The counts of a batch whose good rows have been written; ``n_written`` where an earlier attempt wrote them."""
     m = BatchMetrics(batch_id, as_of=as_of)
+    if good_obs is None:
+        c = _recount(result, spec)
+        m.n_in, m.n_parse_failure, m.n_null_key, m.n_written = c["n_in"], c["n_parse_failure"], c["n_null_key"], n_written or 0
+        if stats is not None:
+            m.n_in, m.n_parse_failure = stats.n_in, stats.n_parse_failure
+        return _differences(m, result, c["n_flat"], c["n_rules"], c["n_batch"])
     written = observed(good_obs["written"], "n")
     n_batch = observed(good_obs["batch_dedup"], "n") if written is not None else None
     if stats is not None:
@@ -530,6 +607,10 @@ def _metrics(batch_id: int, result: BatchResult, good_obs: dict[str, Observation
         m.n_null_key, n_flat = observed(k, "n_null_key"), observed(k, "n_flat")
         n_rules = observed(good_obs["rules"], "n")
         m.n_written = written
+    return _differences(m, result, n_flat, n_rules, n_batch)
+
+
+def _differences(m: BatchMetrics, result: BatchResult, n_flat: int, n_rules: int, n_batch: int) -> BatchMetrics:
     if result.parsed is not None:
         m.n_hook_removed = m.n_in - m.n_parse_failure - n_flat
     else:
@@ -546,20 +627,84 @@ def run_batch(raw: DataFrame, spec: PipelineSpec, *, batch_id: int = 0, run_id:
     return process_batch(raw, batch_id, spec, run_id=run_id or uuid.uuid4().hex, **kw)
 
 
-def run_slices(raw: DataFrame, spec: PipelineSpec, slices: int, *, run_id: str | None = None, **kw) -> list[BatchMetrics]:
-    """PIP-3 for a range too large to persist at once: ascending offset ranges, one batch each, all of them loaded.
+def run_slices(raw: DataFrame, spec: PipelineSpec, slices: int, *, run_id: str | None = None,
+               as_of: _dt.datetime | None = None, reprocess: bool = False,
+               on_step: Callable[[str], None] | None = None) -> list[BatchMetrics]:
+    """PIP-3 for a range too large to persist at once: one batch per slice of the keys.
 
-    The ranges come from one aggregation over the offsets.  A key that an earlier slice has written is found in the
-    target, so slices after the first always compare with it.
+    A slice is a remainder of the hash of the primary keys, so all copies of a key are in one slice, wherever they lie in
+    the source: in-batch dedup keeps the row that it would keep in one batch over everything, and no slice need look for
+    what another has written.  Rows without a key or a parse are errors, dealt by position and text.  Every row is in a
+    slice, with or without an offset.
+
+    The messages are parsed once (with hooks, once for the rows and once for the parse failures) and staged by slice in the
+    session's shared folder; each slice reads its own folder.  The clock is the same for all slices.  The audit gets one row
+    for the whole range, after the last slice, since offsets are done only then.  With a ledger, a run that is started again
+    with its ``run_id`` leaves out the slices that are done.
     """
+    if slices < 1:
+        raise ValueError("slices must be at least 1")
     run_id = run_id or uuid.uuid4().hex
-    offset = F.col("kafka_offset" if "kafka_offset" in raw.columns else "offset")
-    cuts = raw.agg(F.percentile_approx(offset, [k / slices for k in range(1, slices)], 10_000)).first()[0] if slices > 1 else []
-    bounds = [None, *sorted(set(cuts or [])), None]
+    as_of = resolve_as_of(as_of if as_of is not None else spec.as_of)
+    staged = stage_slices(transform_batch(parse_batch(raw, spec), spec, as_of, observe=False), spec, slices, as_of)
     out = []
-    for k, (low, high) in enumerate(zip(bounds, bounds[1:])):
-        part = raw if low is None else raw.filter(offset > low)
-        part = part if high is None else part.filter(offset <= high)
-        again = {"reprocess": True} if k else {}
-        out.append(process_batch(part, k, spec, run_id=run_id, **{**kw, **again}))
+    for k in range(slices):
+        t0 = time.perf_counter()
+        log = BatchLog(raw.sparkSession, spec, run_id, k, on_step=on_step)
+        part = staged(k)
+        stats = batch_stats(part, spec)
+        if part.parsed is not None:  # the staged failures; what the hooks removed is in no slice
+            stats = stats._replace(n_in=stats.n_in + stats.n_flat)
+        m = load_batch(part, k, spec, as_of, stats, log, reprocess=reprocess) if stats.n_in else BatchMetrics(k, as_of=as_of)
+        if k < slices - 1 and not log.has(AUDITED):
+            log.record(AUDITED, m.n_written, m.n_bad_written)
+        m.seconds = time.perf_counter() - t0
+        out.append(m)
+    if spec.transformer is not None or spec.flattener is not None:
+        out[0].n_hook_removed = raw.count() - sum(m.n_in for m in out)
+        out[0].n_in += out[0].n_hook_removed
+    if not log.has(AUDITED):
+        if spec.audit_path or spec.audit_table:
+            total = BatchMetrics(slices - 1, as_of=as_of, **{c: sum(getattr(m, c) for m in out) for c in SUMMED})
+            append_batch_audit(batch_offsets(project_envelope(raw)), total, spec, run_id)
+        log.record(AUDITED, out[-1].n_written, out[-1].n_bad_written)
     return out
+
+
+def stage_slices(result: BatchResult, spec: PipelineSpec, slices: int, as_of: _dt.datetime) -> Callable[[int], BatchResult]:
+    """Write a transformed batch by slice of its keys; gives the batch of one slice, read from there."""
+    root = fresh_dir(result.good.sparkSession, "slices")
+    keys = list(spec.primary_keys)
+
+    def write(df: DataFrame, columns, name: str) -> tuple[str, T.StructType, str]:
+        slice_of = free_prefix(df, "_slice")
+        hashed = df.withColumn(slice_of, F.pmod(F.xxhash64(*columns), F.lit(slices)).cast("int"))
+        hashed.write.partitionBy(slice_of).parquet(f"{root}/{name}")
+        return f"{root}/{name}", df.schema, slice_of
+
+    def read(written: tuple[str, T.StructType, str], k: int) -> DataFrame:
+        path, schema, slice_of = written
+        whole = T.StructType([*schema.fields, T.StructField(slice_of, T.IntegerType())])
+        return result.good.sparkSession.read.schema(whole).parquet(path).filter(F.col(slice_of) == k).drop(slice_of)
+
+    tagged = _slim(result.tagged, spec) if result.parsed is None else result.tagged
+    nulls = any_null(keys)
+    place = [F.col(f"{SOURCE_STRUCT}.{c}") for c in ERROR_KEYS] if SOURCE_STRUCT in tagged.columns else []
+    rows = write(tagged, [F.when(~nulls, F.xxhash64(*[F.col(quote_path(c)) for c in keys])), *[F.when(nulls, c) for c in place]], "rows")
+    failures = None
+    if result.parsed is not None:
+        parsed = result.parsed.filter(F.col(PARSE_FAILED)).select(SOURCE_STRUCT, PARSE_FAILED)
+        failures = write(parsed, [f"{SOURCE_STRUCT}.{c}" for c in (*ERROR_KEYS, "json_raw")], "failures")
+    data = [c for c in tagged.columns if c not in (SOURCE_STRUCT, ERROR_REASON, PARSE_FAILED, spec.partition_column)]
+
+    def batch(k: int) -> BatchResult:
+        part = read(rows, k)
+        good, bad = split_bad_records(part, spec.partition_column, data_columns=data, topic=spec.topic, as_of=as_of,
+                                      reserialize=spec.reserialize_null_key_rows)
+        if failures is None:
+            return BatchResult(good, bad, tagged=part)
+        failed = read(failures, k)
+        ld = load_date(as_of, spec.date_format).alias(spec.partition_column)
+        return BatchResult(good, to_error_rows(failed.select(F.col(SOURCE_STRUCT), ld), JSON_PARSE_FAILURE, spec.partition_column,
+                                               identity=spec.reserialize_null_key_rows).unionByName(bad), tagged=part, parsed=failed)
+    return batch

@@ -59,10 +59,11 @@ def read_target(spark: SparkSession, target: Target | str, *, schema: T.StructTy
         raise
 
 
-def read_stored(spark: SparkSession, path: str, columns, partition_column: str, values=None) -> DataFrame | None:
+def read_stored(spark: SparkSession, path: str, columns, partition_column: str, values=None, *,
+                optional: T.StructType | None = None) -> DataFrame | None:
     """``columns`` of a Parquet target as they are stored, plus the load date as STRING; ``None`` before the first write.
 
-    ``values`` limits the read to those load dates.  A column that the stored files do not have raises: reading it with
+    ``values`` limits the read to those load dates.  ``optional`` columns are NULL in files that lack them.  A column that the stored files do not have raises: reading it with
     an imposed schema would give NULL for every row, and an anti join would then match nothing.
     """
     def read(schema):
@@ -75,7 +76,8 @@ def read_stored(spark: SparkSession, path: str, columns, partition_column: str,
     missing = [c for c in columns if c not in stored]
     if missing:
         raise SpecError(f"{path} has no column(s) {', '.join(missing)}; it has {', '.join(stored)}")
-    return read(T.StructType([stored[c] for c in columns] + [T.StructField(partition_column, T.StringType(), True)]))
+    more = list(optional.fields) if optional is not None else []
+    return read(T.StructType([stored[c] for c in columns] + more + [T.StructField(partition_column, T.StringType(), True)]))
 
 
 def read_rows(spark: SparkSession, target: Target | str, partition_column: str = "audit_load_date"

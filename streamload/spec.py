@@ -171,6 +171,8 @@ class PipelineSpec:
     max_records_per_file: int | None = None
     audit_path: str | None = None
     audit_table: str | None = None  # a catalog table instead of a path
+    ledger_path: str | None = None  # steps of every batch, so that one that runs again is recognised
+    atomic: bool = False  # rows, error rows and audit rows of a batch are seen together, when its last ledger row is written
     app_name: str = "streamload"
     as_of: _dt.datetime | _dt.date | None = None  # fixed clock; None = now per batch
 
@@ -197,6 +199,10 @@ class PipelineSpec:
             raise SpecError("on_type_mismatch must be 'keep' or 'error'")
         if self.audit_path and self.audit_table:
             raise SpecError("audit rows go to audit_path or to audit_table, not to both")
+        if self.atomic and not self.ledger_path:
+            raise SpecError("atomic batches are published by a ledger: set ledger_path")
+        if self.atomic and self.target.is_table:
+            raise SpecError("atomic batches need a target path; a table's columns are its owner's")
         if self.dedup_mode not in ("always", "reprocess"):
             raise SpecError("dedup_mode must be 'always' or 'reprocess'")
         for r in self.rules:

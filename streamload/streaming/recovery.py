@@ -18,13 +18,16 @@ from ..operators.audit import latest_offsets, read_audit, starting_offsets_json
 
 
 def starting_offsets_from_audit(spark: SparkSession, audit_path: str | None, topic: str, *, app: str | None = None,
-                                partitions: int | None = None, audit_table: str | None = None) -> str | None:
+                                partitions: int | None = None, audit_table: str | None = None,
+                                ledger_path: str | None = None) -> str | None:
     """``startingOffsets`` JSON for ``topic`` from the audit, or None when nothing is audited.
 
     ``partitions`` (the topic's partition count) fills partitions never
     audited with ``-2`` (earliest), since Kafka needs every partition
     listed.  One row per partition reaches the driver.
 
+    ``ledger_path`` (of atomic batches) leaves out batches that were never committed.
+
     Where ``app`` and ``partitions`` are given, the newest dates are read first (a day, a week, a quarter), until every
     partition has been seen; only a partition silent for longer needs the whole dataset.
     """
@@ -33,11 +36,11 @@ def starting_offsets_from_audit(spark: SparkSession, audit_path: str | None, top
         today = resolve_as_of(None).date()
         for days in (1, 7, 90):
             dates = [(today - _dt.timedelta(days=k)).isoformat() for k in range(-1, days)]
-            recent = read_audit(spark, audit_path, app, dates, table=audit_table)
+            recent = read_audit(spark, audit_path, app, dates, table=audit_table, ledger_path=ledger_path)
             if recent is not None and latest_offsets(recent, topic, app).count() >= partitions:
                 audit = recent
                 break
-    audit = audit if audit is not None else read_audit(spark, audit_path, table=audit_table)
+    audit = audit if audit is not None else read_audit(spark, audit_path, table=audit_table, ledger_path=ledger_path)
     if audit is None:
         return None
     latest = latest_offsets(audit, topic, app)
