@@ -6,6 +6,7 @@ source stage, scales with the number of input partitions.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -48,20 +49,16 @@ def parse_json_records(df: DataFrame, schema: T.StructType | str, *, column: str
                        strict: bool = True, on_type_mismatch: str = "keep") -> DataFrame:
     """Add ``parsed`` (struct per ``schema``) and ``parse_failed`` (boolean).
 
-    ``from_json`` in PERMISSIVE mode keeps whatever leaves it could read, so
-    ``parsed IS NULL`` alone misses most broken input.  With ``strict`` the
-    rule is: NULL/blank input, or the parser recorded corrupt text *and* the
-    text is not one complete JSON object (``json_object_keys`` is NULL), or
-    anything but white space follows the first object (:func:`one_value`).  A
-    single mistyped leaf sets corrupt text too, but the object is complete,
-    so the row is kept with that leaf NULL.  ``json_object_keys`` only runs
-    on rows the first parse already flagged.
-
-    ``on_type_mismatch="error"`` is the documented reading of "does not
-    match the configured schema": any recorded corrupt text fails the row,
-    so a mistyped leaf (``"amt":"oops"``, an overflow, a scalar where an
-    object is mapped) becomes ``JSON_PARSE_FAILURE`` instead of a good row
-    with that leaf NULL.  It is a superset of the strict rule.
+    ``strict`` fails a row unless its text is one complete JSON object and nothing else.  ``from_json`` keeps whatever
+    leaves it could read and stops after the first value, so its result alone tells neither.  One parse tells both
+    (:func:`parse_enclosed`).  A mistyped leaf (``"amt":"oops"``, an overflow, a scalar where an object is mapped) is NULL
+    in a good row.
+
+    ``on_type_mismatch="error"`` is the documented reading of "does not match the configured schema": a mistyped leaf fails
+    the row too.  The parser says so only by the text it records as corrupt, which it does for a struct alone, so this
+    mode looks at the text again (:func:`one_value`).  Its failures are a superset of the strict rule's.
+
+    ``strict=False`` is the reference's rule: only a NULL struct (NULL, empty, blank text) fails.
     """
     if on_type_mismatch not in ("keep", "error"):
         raise ValueError("on_type_mismatch must be 'keep' or 'error'")
@@ -69,21 +66,40 @@ def parse_json_records(df: DataFrame, schema: T.StructType | str, *, column: str
         schema = T._parse_datatype_string(schema)
     if CORRUPT_FIELD in schema.fieldNames():
         raise ValueError(f"{CORRUPT_FIELD!r} is reserved")
+    if strict and on_type_mismatch == "keep":
+        return parse_enclosed(df, schema, column)
     with_bad = T.StructType(list(schema.fields) + [T.StructField(CORRUPT_FIELD, T.StringType(), True)])
     parsed = F.from_json(F.col(column), with_bad, {
         "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_FIELD})
     out = df.withColumn(PARSED, parsed)
-    suspect = F.col(f"{PARSED}.{CORRUPT_FIELD}").isNotNull()
+    failed = F.col(PARSED).isNull()
     if on_type_mismatch == "error":
-        failed = F.col(PARSED).isNull() | suspect | ~one_value(column)
-    elif strict:
-        failed = F.col(PARSED).isNull() | (suspect & F.json_object_keys(F.col(column)).isNull()) | ~one_value(column)
-    else:
-        # The reference's rule: only a NULL struct (NULL, empty, blank text).
-        failed = F.col(PARSED).isNull()
+        failed = failed | F.col(f"{PARSED}.{CORRUPT_FIELD}").isNotNull() | ~one_value(column)
     return out.withColumn(PARSE_FAILED, F.coalesce(failed, F.lit(True)))
 
 
+#: The field of the object put after each text; no message can know the name, it is another one in every process.
+END_FIELD = f"_end_{uuid.uuid4().hex}"
+
+
+def parse_enclosed(df: DataFrame, schema: T.StructType, column: str = "json_raw") -> DataFrame:
+    """Parse each text and see in the same pass whether it is one complete object.
+
+    The text is read as the first of two elements of an array whose second one is ours: ``[text,{"_end_…":1}]``.  Text that
+    stops early, goes on after its object or holds several gives no array, or not these two elements; text that closes the
+    array itself hides the second one.  A mistyped leaf leaves the other elements as they are.
+    """
+    item = T.StructType(list(schema.fields) + [T.StructField(END_FIELD, T.IntegerType(), True)])
+    text = F.concat(F.lit("["), F.col(column), F.lit(f',{{"{END_FIELD}":1}}]'))
+    items = "_items"
+    while items in df.columns:
+        items = "_" + items
+    out = df.withColumn(items, F.from_json(text, T.ArrayType(item)))
+    first, last = F.get(items, F.lit(0)), F.get(items, F.lit(1))
+    whole = (F.size(items) == 2) & first.isNotNull() & first[END_FIELD].isNull() & (last[END_FIELD] == 1)
+    return out.withColumns({PARSED: first.dropFields(END_FIELD), PARSE_FAILED: ~F.coalesce(whole, F.lit(False))}).drop(items)
+
+
 def one_value(column: str) -> Column:
     """Whether the text is one JSON value and nothing else.
 

@@ -65,6 +65,16 @@ def test_every_prefix_of_a_document_fails_and_the_whole_passes(spark):
     assert all(got[i] for i in range(1, len(doc))) and got[len(doc)] is False
 
 
+@pytest.mark.parametrize("doc", ['{"c":{"amt":"oops","id":[1,{"a":"]"}]},"event_id":"E1"}', '{"d":"nope","event_id":"}]"}', " {} "])
+def test_every_cut_of_a_mistyped_document_fails_and_so_does_more_text(spark, doc):
+    ends = ["", "]", "}", ",", ",{}", "{}", "]]", '"', ',"x":1', ',{"_end":1}]', "\n", " "]
+    rows = [(doc[:i], True) for i in range(len(doc)) if doc[:i].strip() != doc.strip()]
+    rows += [(doc + e, bool(e.strip())) for e in ends] + [(doc + "," + doc, True), ("[" + doc + "]", True), ("," + doc, True)]
+    df = spark.createDataFrame(rows, "json_raw string, want boolean")
+    got = parse_json_records(df, schema_from_mappings(MAP)).filter("parse_failed != want").collect()
+    assert got == []
+
+
 def test_lenient_mode_is_the_reference_rule(spark):
     df = spark.createDataFrame([("hello",), ("",)], "json_raw string")
     got = [r["parse_failed"] for r in parse_json_records(df, schema_from_mappings(MAP), strict=False).collect()]
