@@ -41,7 +41,7 @@ from .merkle import CRC, CRC_TABLE
 from .places import with_places
 
 #: Rows of members in the subtree of a shard's root, at most.
-SHARD_ROWS = 50_000
+SHARD_ROWS = 4_000
 #: Messages that the queue of a task holds in memory.
 QUEUE = 200_000
 #: Turns of one conversation that are named together.
