@@ -30,7 +30,8 @@ from streamload.operators import (anti_join_errors, anti_join_existing, apply_ru
                                   batch_offsets, chain, dedup_within_batch, derive_score, error_summary,
                                   existing_keys, flatten, latest_offsets, mask_columns, parse_messages,
                                   project_envelope, starting_offsets_json, threshold_flattener)
-from streamload.operators.audit import read_audit  # noqa: E402
+from streamload.operators.audit import compact_audit, read_audit  # noqa: E402
+from streamload.operators.key_index import build_key_index  # noqa: E402
 from streamload.operators.ledger import latest_entries, read_ledger  # noqa: E402
 from streamload.operators.quality import IDENTITY  # noqa: E402
 from streamload.operators.parse import with_load_date  # noqa: E402
@@ -42,7 +43,7 @@ from streamload.sources import (existing_rows_from_events, messages_from_events,
                                 read_target, write_replay)
 from streamload.sources.feed import EXAMPLE_AS_OF, event_spec  # noqa: E402
 from streamload.sources.target import read_rows  # noqa: E402
-from streamload.streaming import ProgressRecorder, run_stream  # noqa: E402
+from streamload.streaming import ProgressRecorder, ProgressTable, read_progress, run_stream  # noqa: E402
 from streamload.workspace import fresh_dir  # noqa: E402
 
 AS_OF = _dt.datetime.fromisoformat(EXAMPLE_AS_OF)
@@ -602,7 +603,76 @@ def q_backfill_sliced_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out[0].unionByName(out[1])
 
 
+def q_dedup_key_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JN-1: the anti join against a bucketed index of the stored keys, which each batch extends; loaded twice."""
+    target, errors = _seeded(spark, sf_dir, "indexed")
+    base = target.rsplit("/", 1)[0]
+    name = f"streamload_keys_{uuid.uuid4().hex[:8]}"
+    spec = event_spec(target, errors, key_index=name)
+    stored = read_rows(spark, target)
+    build_key_index(spark, name, stored, stored.schema, spec.primary_keys, spec.partition_column, buckets=8, path=f"{base}/keys")
+    try:
+        for batch in (0, 1):
+            process_batch(_msgs(spark, sf_dir), batch, spec)
+        indexed = spark.read.parquet(f"{base}/keys").groupBy("event_id").agg(F.count(F.lit(1)).alias("n_indexed"))
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+    return read_rows(spark, target).join(indexed, "event_id")
+
+
+def q_dedup_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JN-1: with more batch keys than may be broadcast, a Bloom filter of them drops stored keys before the exact join."""
+    target, errors = _seeded(spark, sf_dir, "sketch")
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(name)
+    try:
+        spark.conf.set(name, str(max(16_384, 4 * _t(spark, sf_dir, "events").count())))
+        for batch in (0, 1):
+            process_batch(_msgs(spark, sf_dir), batch, event_spec(target, errors))
+    finally:
+        spark.conf.set(name, old)
+    return read_rows(spark, target)
+
+
+def q_audit_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AUD-1, AUD-2: offsets of an audit whose closed days have been rewritten twice, with batches in between."""
+    target, errors = _seeded(spark, sf_dir, "packed")
+    audit = target.rsplit("/", 1)[0] + "/audit"
+    for day in range(4):
+        spec = event_spec(target, errors, audit_path=audit, app_name="events_loader", as_of=AS_OF + _dt.timedelta(days=day))
+        for half in (0, 1):
+            process_batch(_msgs(spark, sf_dir).filter(f"partition = {day} AND offset % 2 = {half}"), 2 * day + half, spec, run_id="run")
+        if day % 2:
+            compact_audit(spark, audit, (AS_OF + _dt.timedelta(days=day)).date())
+    return latest_offsets(read_audit(spark, audit), "events")
+
+
+def q_progress_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR-6: the listener's events of a stream, as they are stored: messages, batches without a gap, start and end."""
+    target, errors = _seeded(spark, sf_dir, "monitored")
+    root = target.rsplit("/", 1)[0]
+    write_replay(_msgs(spark, sf_dir), f"{root}/replay", files=_files(spark, sf_dir, "events"))
+    table = ProgressTable(spark, f"{root}/progress", queries=["monitored"])
+    spark.streams.addListener(table)
+    try:
+        q = run_stream(read_replay(spark, f"{root}/replay", max_files_per_trigger=3), event_spec(target, errors),
+                       checkpoint=f"{root}/checkpoint", trigger={"availableNow": True}, query_name="monitored", await_termination=True)
+        table.wait_for(q)
+    finally:
+        spark.streams.removeListener(table)
+        table.close()
+    rows = read_progress(spark, f"{root}/progress")
+    batches = F.when(F.col("num_input_rows") > 0, F.col("batch_id"))
+    return rows.groupBy("query").agg(
+        F.sum("num_input_rows").alias("n_in"), (F.max(batches) + 1 == F.countDistinct(batches)).alias("no_gap"),
+        F.count_if(F.col("event") == "started").alias("n_started"), F.count_if(F.col("event") == "terminated").alias("n_terminated"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "dedup_key_index": q_dedup_key_index,
+    "dedup_sketch": q_dedup_sketch,
+    "audit_compacted": q_audit_compacted,
+    "progress_table": q_progress_table,
     "restart_same_checkpoint": q_restart_same_checkpoint,
     "ledger_resume": q_ledger_resume,
     "commit_all_or_none": q_commit_all_or_none,
@@ -743,6 +813,12 @@ SELECT 'errors', kafka_partition || ':' || kafka_offset, CAST(kafka_partition >=
 UNION ALL SELECT 'audit', 'batch:0', 0 UNION ALL SELECT 'audit', 'batch:1', 1"""
 
 ORACLES: dict[str, str] = {
+    "dedup_key_index": _w(f"""SELECT a.*, i.n_indexed FROM (SELECT {G} FROM seed UNION ALL SELECT {G} FROM new_rows) a JOIN (
+  SELECT event_id, count(*) AS n_indexed FROM (SELECT DISTINCT event_id, audit_load_date FROM seed UNION ALL SELECT event_id, audit_load_date FROM new_rows)
+  GROUP BY event_id) i ON i.event_id = a.event_id"""),
+    "dedup_sketch": _TARGET_AFTER,
+    "audit_compacted": _w(_OFFSETS),
+    "progress_table": _w("SELECT 'monitored' AS query, (SELECT count(*) FROM env) AS n_in, true AS no_gap, 1 AS n_started, 1 AS n_terminated"),
     "restart_same_checkpoint": _w(f"SELECT {G}, form FROM (SELECT {G} FROM seed UNION ALL SELECT {G} FROM new_rows), "
                                   "(SELECT unnest(['reprocess, first batch', 'reprocess, ledger', 'always, ledger']) AS form)"),
     "ledger_resume": _w("SELECT 'data' AS kind, (SELECT count(*) FROM seed) + (SELECT count(*) FROM new_rows) AS n UNION ALL "

@@ -60,19 +60,19 @@ def read_audit(spark: SparkSession, path: str | None = None, app: str | None = N
     With ``app`` and ``dates`` only those folders are listed and read.  ``ledger_path`` leaves out batches that have
     begun and are not committed; the ledger is read after the audit, so it names every batch that the audit has.
     """
-    from ..sources.target import escape_partition_value, read_partitions, read_target
+    from ..sinks.compaction import dataset_folders
+    from ..sources.target import read_target
     if table is not None:
         df = read_target(spark, Target(table=table))
         if df is not None and app is not None and dates is not None:
             df = df.filter((F.col("app") == app) & F.col("audit_date").isin(list(dates)))
-    elif app is None or dates is None:
-        df = read_target(spark, path, schema=AUDIT_SCHEMA)
+        found = [df]
     else:
-        schema = T.StructType([f for f in AUDIT_SCHEMA.fields if f.name != "app"])
-        df = read_partitions(spark, f"{path.rstrip('/')}/app={escape_partition_value(app)}", "audit_date", dates, schema=schema)
-        df = None if df is None else df.withColumn("app", F.lit(app))
-    if df is None:
+        found = [_read_folder(spark, folder, app, dates) for folder in dataset_folders(spark, path)]
+    found = [df for df in found if df is not None]
+    if not found:
         return None
+    df = found[0] if len(found) == 1 else found[0].unionByName(found[1])
     if ledger_path is not None:
         from .ledger import AUDITED, latest_entries, read_ledger
         ledger = read_ledger(spark, ledger_path)
@@ -86,6 +86,21 @@ def read_audit(spark: SparkSession, path: str | None = None, app: str | None = N
                          for f in AUDIT_SCHEMA.fields])
 
 
+def _read_folder(spark: SparkSession, path: str, app: str | None, dates) -> DataFrame | None:
+    from ..sources.target import escape_partition_value, read_partitions, read_target
+    if app is None or dates is None:
+        return read_target(spark, path, schema=AUDIT_SCHEMA)
+    schema = T.StructType([f for f in AUDIT_SCHEMA.fields if f.name != "app"])
+    df = read_partitions(spark, f"{path.rstrip('/')}/app={escape_partition_value(app)}", "audit_date", dates, schema=schema)
+    return None if df is None else df.withColumn("app", F.lit(app))
+
+
+def compact_audit(spark: SparkSession, path: str, before: _dt.date) -> int | None:
+    """Rewrite the audit of the days before ``before`` to one file per app and day (a file per batch until then)."""
+    from ..sinks.compaction import compact
+    return compact(spark, path, AUDIT_SCHEMA, AUDIT_PARTITIONS, F.col("audit_date") < before.isoformat())
+
+
 def _envelope_cols(df: DataFrame) -> tuple[str, str, str]:
     if "_src" in df.columns:
         return "_src.topic", "_src.kafka_partition", "_src.kafka_offset"

@@ -39,11 +39,13 @@ from ..operators.audit import append_audit, audit_rows, batch_offsets
 from ..operators.dedup import (ERROR_KEYS, anti_join_errors, anti_join_existing, check_key_types,
                                dedup_within_batch, existing_keys, free_prefix, restrict_to_keys)
 from ..operators.hooks import apply_flattener, apply_transformer
+from ..operators.key_index import append_keys, indexed_keys
 from ..operators.ledger import ATTEMPT, AUDITED, BEGUN, DATA, ERRORS, BatchLog, committed_attempts, committed_rows
 from ..operators.parse import (ENVELOPE, PARSE_FAILED, SOURCE_STRUCT, flatten_columns, flattener_input,
                                parse_messages, project_envelope)
 from ..operators.quality import ERROR_REASON, IDENTITY, error_reason, split_bad_records, to_error_rows
 from ..operators.rules import apply_rules, rules_condition
+from ..operators.sketch import MAX_KEPT, KeySketch, build_sketch, share_kept, sketch_keys, sketch_maps
 from ..sinks.files import append_parquet, append_table
 from ..sources.target import read_rows, read_stored, read_target
 from ..spec import JSON_PARSE_FAILURE, NULL_PRIMARY_KEY, PipelineSpec
@@ -223,7 +225,7 @@ def lookback_rows(spark, path: str, spec: PipelineSpec, as_of: _dt.datetime, col
 
     Of atomic batches, the rows of committed attempts.
     """
-    values = None if spec.lookback_days is None else lookback_values(as_of, spec.lookback_days, spec.date_format)
+    values = _lookback(spec, as_of)
     if not spec.atomic:
         return read_stored(spark, path, columns, spec.partition_column, values, optional=optional)
     attempts = committed_attempts(spark, spec.ledger_path)
@@ -249,7 +251,8 @@ def read_committed(spark, spec: PipelineSpec, what: str = "data") -> DataFrame |
 
 
 def dedup_against_target(good: DataFrame, spec: PipelineSpec, as_of: _dt.datetime,
-                         candidates: DataFrame | None = None) -> DataFrame:
+                         candidates: DataFrame | None = None, *, sketch: KeySketch | None = None,
+                         use_index: bool = False) -> DataFrame:
     """JN-1 with FLT-10: anti join on the keys against the lookback window of the target.
 
     Catalog tables prune partitions through the catalog; Parquet paths are
@@ -257,9 +260,15 @@ def dedup_against_target(good: DataFrame, spec: PipelineSpec, as_of: _dt.datetim
     ``candidates`` (keys of the batch, of measured size) first restrict the
     existing keys by a broadcast semi join, so the lookback window is only
     scanned, never shuffled; the anti join then moves at most the batch's
-    own keys.
+    own keys.  Where they are too many for that, their ``sketch`` drops most
+    of the other keys before the shuffle.  ``use_index`` reads the keys from
+    the spec's key index instead, which lie as the join needs them.
     """
     spark = good.sparkSession
+    if use_index:
+        existing = indexed_keys(spark, spec.key_index, spec.primary_keys, spec.partition_column, _lookback(spec, as_of))
+        check_key_types(existing, good, spec.primary_keys)
+        return anti_join_existing(good, existing.distinct(), spec.primary_keys)
     if spec.target.is_table:
         existing = existing_keys(read_target(spark, spec.target), spec.primary_keys, spec.partition_column,
                                  spec.lookback_days, as_of, spec.date_format)
@@ -272,6 +281,8 @@ def dedup_against_target(good: DataFrame, spec: PipelineSpec, as_of: _dt.datetim
     check_key_types(existing, good, spec.primary_keys)
     if candidates is not None:
         existing = restrict_to_keys(existing, candidates, spec.primary_keys)
+    elif sketch is not None and all(_same_hash(existing.schema[k].dataType, good.schema[k].dataType) for k in spec.primary_keys):
+        existing = sketch_keys(existing, sketch, spec.primary_keys)
     # Many stored copies of one key (loads outside the lookback, replays) would all meet in one
     # join task, and AQE cannot split the build side of an anti join.  distinct() collapses them
     # map-side (partial aggregation), and its hash partitioning is the one the join needs.
@@ -279,6 +290,24 @@ def dedup_against_target(good: DataFrame, spec: PipelineSpec, as_of: _dt.datetim
     return anti_join_existing(good, existing, spec.primary_keys)
 
 
+def _lookback(spec: PipelineSpec, as_of: _dt.datetime) -> tuple[str, ...] | None:
+    return None if spec.lookback_days is None else lookback_values(as_of, spec.lookback_days, spec.date_format)
+
+
+def _same_hash(stored: T.DataType, batch: T.DataType) -> bool:
+    """Whether equal values of the two types have equal hashes: one type, and not a floating one."""
+    return stored == batch and not isinstance(stored, (T.FloatType, T.DoubleType))
+
+
+def index_batch_keys(good: DataFrame, spec: PipelineSpec, as_of: _dt.datetime) -> None:
+    """Add the batch's keys that the index lacks within the lookback, after the rows themselves are stored."""
+    part = spec.partition_column
+    keys = apply_rules(good, spec.rules).select(*[F.col(ident(k)) for k in spec.primary_keys]).distinct()
+    known = indexed_keys(good.sparkSession, spec.key_index, spec.primary_keys, part, _lookback(spec, as_of))
+    new = anti_join_existing(keys, known.distinct(), spec.primary_keys)
+    append_keys(new.withColumn(part, load_date(as_of, spec.date_format)), spec.key_index, spec.primary_keys, part)
+
+
 # Bytes per key row of a broadcast hash relation besides the
 # variable-length key data: null bits, one 8-byte slot per key column and
 # the hash map's entry overhead; variable-length values are padded to 8.
@@ -326,6 +355,7 @@ class BatchStats(NamedTuple):
     n_rules: int               # good rows that every rule keeps
     key_bytes: int | None      # bound of the good keys as a broadcast relation; None for key types not sized here
     error_bytes: int | None    # bound of the error rows' (topic, partition, offset) as one; None if a hook dropped them
+    n_good: int = 0            # rows that are no errors: as many keys at most
 
 
 def _position_bytes() -> Any:
@@ -353,6 +383,7 @@ def batch_stats(result: BatchResult, spec: PipelineSpec) -> BatchStats:
     row = tagged.agg(*aggs).collect()[0].asDict()  # a global aggregate is one row; no LIMIT job
     got = {k: None if v is None and k == "key_bytes" and width is None else int(v or 0) for k, v in row.items()}
     got.setdefault("error_bytes", None)
+    got["n_good"] = got["n_flat"] - got["n_null_key"] - got["n_parse_failure"]
     if result.parsed is None:
         return BatchStats(n_in=got["n_flat"], **got)
     failed = F.col(PARSE_FAILED)
@@ -396,7 +427,8 @@ def _narrow_source(good: DataFrame, spec: PipelineSpec) -> DataFrame:
 
 
 def good_rows_plan(good: DataFrame, spec: PipelineSpec, as_of: _dt.datetime, *, dedup: bool = True,
-                   candidates: DataFrame | None = None) -> tuple[DataFrame, dict[str, Observation]]:
+                   candidates: DataFrame | None = None, sketch: KeySketch | None = None,
+                   use_index: bool = False) -> tuple[DataFrame, dict[str, Observation]]:
     """PIP-2 good branch: rules -> in-batch dedup -> anti join, each stage observed."""
     obs = {k: _obs(k) for k in ("rules", "batch_dedup", "written")}
     good = _narrow_source(good, spec)
@@ -405,7 +437,7 @@ def good_rows_plan(good: DataFrame, spec: PipelineSpec, as_of: _dt.datetime, *,
         order = [c for c in spec.dedup_order if not c.startswith(SOURCE_STRUCT) or SOURCE_STRUCT in good.columns]
         ruled = dedup_within_batch(ruled, spec.primary_keys, order)
     ruled = ruled.observe(obs["batch_dedup"], F.expr("count(1) AS n"))
-    new = dedup_against_target(ruled, spec, as_of, candidates) if dedup else ruled
+    new = dedup_against_target(ruled, spec, as_of, candidates, sketch=sketch, use_index=use_index) if dedup else ruled
     out = new.drop(SOURCE_STRUCT) if SOURCE_STRUCT in new.columns else new
     return out.observe(obs["written"], F.expr("count(1) AS n")), obs
 
@@ -492,12 +524,17 @@ def load_batch(result: BatchResult, batch_id: int, spec: PipelineSpec, as_of: _d
     """Append the good rows and the error rows of a transformed batch, leaving out what the ledger says is done."""
     spark = result.good.sparkSession
     dedup = spec.dedup_mode == "always" or reprocess or (log.repeated and not spec.atomic)
-    candidates = error_candidates = None
+    # the index lacks what was stored just before a stop
+    use_index = bool(spec.key_index) and not reprocess and not log.repeated
+    candidates = error_candidates = sketch = None
     if stats is not None:
         limit = broadcast_threshold(spark)
         restrict = spec.restrict_existing
-        if restrict and dedup and stats.key_bytes is not None and 0 < stats.key_bytes <= limit:
-            candidates = candidate_keys(result, spec)
+        if restrict and dedup and not use_index and stats.key_bytes:
+            if stats.key_bytes <= limit:
+                candidates = candidate_keys(result, spec)
+            elif share_kept(stats.n_good, sketch_maps(limit)) <= MAX_KEPT:
+                sketch = build_sketch(candidate_keys(result, spec), spec.primary_keys, limit)
         if restrict and stats.error_bytes is not None and 0 < stats.error_bytes <= limit:
             error_candidates = error_positions(result)
     if not log.has(DATA):
@@ -505,7 +542,8 @@ def load_batch(result: BatchResult, batch_id: int, spec: PipelineSpec, as_of: _d
     attempt = F.lit(log.attempt).alias(ATTEMPT)
     good_obs: dict[str, Observation] | None = None
     if not log.has(DATA):
-        good, good_obs = good_rows_plan(result.good, spec, as_of, dedup=dedup, candidates=candidates)
+        good, good_obs = good_rows_plan(result.good, spec, as_of, dedup=dedup, candidates=candidates, sketch=sketch,
+                                        use_index=use_index)
         write_good(good.select("*", attempt) if spec.atomic else good, spec)
     m = _metrics(batch_id, result, good_obs, as_of, spec, stats, log.found.n_written if good_obs is None else None)
     m.dedup_applied = dedup
@@ -513,6 +551,8 @@ def load_batch(result: BatchResult, batch_id: int, spec: PipelineSpec, as_of: _d
     m.resumed_from = None if log.found is None else log.found.step
     if not log.has(DATA):
         log.record(DATA, m.n_written)
+    if spec.key_index and not log.has(ERRORS):
+        index_batch_keys(result.good, spec, as_of)
     # A batch measured to have no bad record skips the error branch (its read and its job).
     clean = stats is not None and stats.n_parse_failure + stats.n_null_key == 0
     if log.has(ERRORS):

@@ -171,6 +171,7 @@ class PipelineSpec:
     max_records_per_file: int | None = None
     audit_path: str | None = None
     audit_table: str | None = None  # a catalog table instead of a path
+    key_index: str | None = None  # a bucketed table of the stored keys, which the anti join reads instead of the target
     ledger_path: str | None = None  # steps of every batch, so that one that runs again is recognised
     atomic: bool = False  # rows, error rows and audit rows of a batch are seen together, when its last ledger row is written
     app_name: str = "streamload"
@@ -201,6 +202,8 @@ class PipelineSpec:
             raise SpecError("audit rows go to audit_path or to audit_table, not to both")
         if self.atomic and not self.ledger_path:
             raise SpecError("atomic batches are published by a ledger: set ledger_path")
+        if self.atomic and self.key_index:
+            raise SpecError("a key index would hold keys of attempts that were never committed")
         if self.atomic and self.target.is_table:
             raise SpecError("atomic batches need a target path; a table's columns are its owner's")
         if self.dedup_mode not in ("always", "reprocess"):
