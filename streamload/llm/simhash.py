@@ -3,12 +3,17 @@
 A fingerprint is 64 majority bits over the XXH64 hashes of word shingles.  Two fingerprints link at
 ``radius`` or fewer differing bits; the result is the component of each document.
 
-Distinct fingerprints are dealt to shards so that any two within the radius meet in at least one: of
-``radius + 1`` blocks of the 64 bits one agrees, and of ``radius + 1`` blocks of the remaining bits one agrees
-too, so a shard is a value of one of the (radius + 1)^2 pairs of blocks.  Each shard is a BK-tree: children are
-keyed by their integer Hamming distance to the parent, and a search follows only edges within the radius of
-the distance to the parent.  A shard above ``shard_limit`` is split into several trees, and each of its
-fingerprints is searched in all of them, so that nothing is dropped and no task holds it whole.
+Distinct fingerprints are dealt to shards, and each shard is a BK-tree that all of its fingerprints are searched in:
+children are keyed by their integer Hamming distance to the parent, and a search follows only edges within the radius of
+the distance to the parent.  A shard's tree is made where the queries of the shard arrive; it is not sent through the
+driver, which would then hold the fingerprints of all documents.
+
+Two fingerprints within the radius have at least one of ``radius + 1`` blocks of the 64 bits in common.  So a shard is a
+value of the first bits of one of the blocks, of as many bits as make a shard some ``SHARD`` fingerprints: none for a small
+table, which is one tree, one more whenever the table doubles.  The bits only say which trees are searched; which
+fingerprints link is decided in the trees.  When a block's bits are used up, or a value is hot (``HOT`` times the size), the
+shard is dealt again by the blocks of the other bits, of which one must agree as well; and what is still too large is cut
+into parts, of which each pair is a group of its own, one part searched in the tree of the other, so no task holds it whole.
 Only a spanning forest of each tree's links leaves a task; components come from label propagation with
 pointer jumping over those links, written to the shared folder round by round.
 
@@ -29,7 +34,9 @@ from pyspark.sql import functions as F
 
 from .common import map_batches, materialize, table, whole_text
 
-SHINGLE, RADIUS, SHARD_LIMIT = 3, 3, 50_000
+SHINGLE, RADIUS = 3, 3
+#: Fingerprints of a shard, on average; and how many times that makes it hot.
+SHARD, HOT = 1_024, 16
 _hash = partial(xxhash.xxh64_intdigest, seed=42)
 
 
@@ -130,7 +137,7 @@ def _spanning(queries: np.ndarray, values: np.ndarray, q_tree: np.ndarray, v_tre
             label[x] = label[label[x]]
             x = label[x]
         return x
-    block = max(64, 4_000_000 // int(sizes.max()))
+    block = max(64, 2_000_000 // int(sizes.max()))
     for k in range(0, len(queries), block):
         a, b = forest.search(queries[k:k + block], start[k:k + block], radius)
         a, b = q_name[k + a], v_name[b]
@@ -146,44 +153,84 @@ def _spanning(queries: np.ndarray, values: np.ndarray, q_tree: np.ndarray, v_tre
     return names[moved], names[top[moved]]
 
 
-def block_masks(radius: int) -> list[int]:
-    """Masks of the (radius + 1)^2 pairs of blocks; any two within the radius agree under one of them."""
-    parts = radius + 1
+def _mask(bits) -> int:
+    """The bits as a signed long."""
+    m = sum(1 << int(b) for b in bits)
+    return m - (1 << 64) if m >> 63 else m
+
+
+def block_masks(radius: int, bits: int) -> list[int]:
+    """Masks under one of which any two fingerprints within the radius agree: the first ``bits`` of each block."""
+    if bits == 0:
+        return [0]
+    return [_mask(block[:bits]) for block in np.array_split(np.arange(64), radius + 1)]
+
+
+def finer_masks(radius: int) -> list[list[int]]:
+    """For each block, the masks of it with each block of the other bits; two that agree on it agree under one of them."""
+    blocks = np.array_split(np.arange(64), radius + 1)
     out = []
-    for i in range(parts):
-        bits = np.array_split(np.arange(64), parts)
-        own = bits[i]
-        rest = np.concatenate([b for k, b in enumerate(bits) if k != i])
-        out += [sum(1 << int(b) for b in np.concatenate([own, sub])) for sub in np.array_split(rest, parts)]
+    for i, own in enumerate(blocks):
+        rest = np.concatenate([b for k, b in enumerate(blocks) if k != i])
+        out.append([_mask(np.concatenate([own, sub])) for sub in np.array_split(rest, radius + 1)])
     return out
 
 
-def links(nodes: DataFrame, radius: int = RADIUS, shard_limit: int = SHARD_LIMIT) -> DataFrame:
+def shard_bits(n: int, shard: int, radius: int) -> int:
+    """Bits of a block that make shards of some ``shard`` fingerprints out of ``n``, as far as a block goes."""
+    return min(max(0, (n - 1) // shard).bit_length(), 64 // (radius + 1))
+
+
+def links(nodes: DataFrame, radius: int = RADIUS, shard: int = SHARD) -> DataFrame:
     """A spanning set of links (u, v) between the distinct fingerprints in ``nodes.fp``."""
-    masks = [m - (1 << 64) if m >> 63 else m for m in block_masks(radius)]
-    shards = nodes.select("fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m)) for m in masks])).alias("t", "v"))
-    sizes = materialize(shards.groupBy("t", "v").agg(F.count("*").alias("n")).where(F.col("n") > 1), "simhash-shards")
-    total = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
-    rows = shards.join(sizes, ["t", "v"])
-    parts = F.ceil(F.col("n") / F.lit(shard_limit)).cast("int")
-    if total[1] <= shard_limit:
-        dealt = rows.select("t", "v", "fp", F.lit(0).alias("part"), F.lit(0).alias("own"))
+    limit = HOT * shard
+    masks = block_masks(radius, shard_bits(nodes.count(), shard, radius))
+    fp = F.col("fp")
+    rows = nodes.select("fp", F.posexplode(F.array(*[fp.bitwiseAND(F.lit(m)) for m in masks])).alias("t", "v")) \
+        .withColumn("s", F.lit(-1))
+    sizes = materialize(_sizes(rows), "simhash-shards")
+    hot = sizes.where(F.col("n") > limit)
+    total, largest = _totals(sizes)
+    dealt = rows.join(sizes, ["t", "v", "s"])
+    if largest > limit:
+        # of a hot shard (a table of one shard has none): by its whole block and a block of the rest
+        sub = F.array(*[F.array(*[fp.bitwiseAND(F.lit(m)) for m in under]) for under in finer_masks(radius)])
+        again = rows.join(hot.drop("n"), ["t", "v", "s"]).select("fp", "t", F.posexplode(F.get(sub, F.col("t"))).alias("s", "v"))
+        again_sizes = materialize(_sizes(again), "simhash-hot-shards")
+        more, largest = _totals(again_sizes)
+        total += more
+        dealt = dealt.where(F.col("n") <= limit).unionByName(again.join(again_sizes, ["t", "v", "s"]))
+    one = F.lit(0).cast("int")
+    if largest > limit:
+        parts = F.ceil(F.col("n") / F.lit(limit)).cast("int")
+        own = F.pmod(F.xxhash64("fp"), parts).cast("int")
+        dealt = dealt.withColumn("own", own).withColumn("other", F.explode(F.sequence(one, parts - 1))).select(
+            "t", "v", "s", "fp", "own", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
+        total *= -(-largest // limit)
     else:
-        dealt = rows.select("t", "v", "fp", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"),
-                            F.pmod(F.xxhash64("fp"), parts).cast("int").alias("own"))
-    n_buckets = int(total[0]) // 100_000 + 1
-    dealt = dealt.withColumn("bucket", F.pmod(F.xxhash64("t", "v", "part"), F.lit(n_buckets)))
+        dealt = dealt.select("t", "v", "s", "fp", one.alias("own"), one.alias("low"), one.alias("high"))
+    n_buckets = int(total) // 50_000 + 1
+    dealt = dealt.withColumn("bucket", F.pmod(F.xxhash64("t", "v", "s", "low", "high"), F.lit(n_buckets)))
 
     def run(group: pa.Table) -> pa.Table:
-        t, v, fp, part, own = (group.column(c).to_numpy() for c in ("t", "v", "fp", "part", "own"))
-        tree = np.unique(np.rec.fromarrays([t, v, part]), return_inverse=True)[1]
-        fp, mine = fp.view(np.uint64), own == part
-        has = np.isin(tree, tree[mine])
-        u, w = _spanning(fp[has], fp[mine], tree[has], tree[mine], radius)
+        t, v, s, fp, own, low, high = (group.column(c).to_numpy() for c in ("t", "v", "s", "fp", "own", "low", "high"))
+        tree = np.unique(np.rec.fromarrays([t, v, s, low, high]), return_inverse=True)[1]
+        fp, queries, members = fp.view(np.uint64), own == low, own == high
+        has = queries & np.isin(tree, tree[members])
+        u, w = _spanning(fp[has], fp[members], tree[has], tree[members], radius)
         return pa.table({"u": u.view(np.int64), "v": w.view(np.int64)})
     return dealt.groupBy("bucket").applyInArrow(run, "u long, v long")
 
 
+def _sizes(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("t", "v", "s").agg(F.count("*").alias("n")).where(F.col("n") > 1)
+
+
+def _totals(sizes: DataFrame) -> tuple[int, int]:
+    row = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).collect()[0]
+    return int(row[0]), int(row[1])
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, label): the smallest node reachable, for every node that has an edge."""
     both = edges.union(edges.select("v", "u")).toDF("u", "v").distinct()
@@ -203,14 +250,13 @@ def components(edges: DataFrame) -> DataFrame:
         label = after.select("node", "label")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS,
-                    shard_limit: int = SHARD_LIMIT) -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, shard: int = SHARD) -> DataFrame:
     """doc_id, key, fp, component_id and keeper (the key of the row that names the component) for each row."""
     fps = materialize(fingerprints(docs, shingle), "simhash-fingerprints")
     # one row per fingerprint before anything else: exact copies end here
     least = F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "key")))
     nodes = materialize(fps.groupBy("fp").agg(least.alias("least"), F.min("key").alias("any_key")), "simhash-nodes")
-    label = components(links(nodes, radius, shard_limit))
+    label = components(links(nodes, radius, shard))
     named = nodes.join(label, nodes["fp"] == label["node"], "left") \
         .select("fp", "least", "any_key", F.coalesce("label", "fp").alias("label"))
     top = named.groupBy("label").agg(F.min("least").alias("least"), F.min("any_key").alias("any_key"))
@@ -226,10 +272,23 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: the document that names a component stays, the others of its group go."""
+    """Pipeline stage: one row of each group stays, the others go.
+
+    It is a row of the smallest doc_id; in a group without ids, of the least text hash.  Of several rows with that id and
+    text (repeated rows, copies without an id) the least by all columns stays.  Null and empty texts are one group.
+    """
     found = near_duplicates(docs)
-    stays = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("key") == F.col("keeper"))) \
-        .select(F.col("doc_id").alias("__llm_id"), F.col("key").alias("__llm_key")).distinct()
+    stays = materialize(found.where(F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("key") == F.col("keeper")))
+                        .groupBy(F.col("doc_id").alias("__llm_id"), F.col("key").alias("__llm_key"))
+                        .agg(F.count(F.lit(1)).alias("__llm_n")), "simhash-stays")
     keyed = docs.withColumn("__llm_hash", F.xxhash64(whole_text(docs)))
-    return keyed.join(stays.hint("shuffle_hash"), keyed["doc_id"].eqNullSafe(F.col("__llm_id"))
-                      & (F.col("__llm_hash") == F.col("__llm_key")), "left_semi").select(*docs.columns)
+    same = keyed["doc_id"].eqNullSafe(F.col("__llm_id")) & (F.col("__llm_hash") == F.col("__llm_key"))
+    alone = keyed.join(stays.where("__llm_n = 1").hint("shuffle_hash"), same, "left_semi").select(*docs.columns)
+    repeated = stays.where("__llm_n > 1")
+    if repeated.isEmpty():
+        return alone
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    kinds = {f.dataType.typeName() for f in docs.schema.fields}
+    least = F.min_by(row, F.to_json(row)) if kinds & {"map", "variant"} else F.min(row)
+    one = keyed.join(repeated, same, "left_semi").groupBy("doc_id", "__llm_hash").agg(least.alias("__llm_row"))
+    return alone.unionByName(one.select(*[F.col("__llm_row").getField(c).alias(c) for c in docs.columns]))

@@ -186,33 +186,81 @@ def test_bk_forest_finds_every_neighbour(spark):
     assert got == want
 
 
-def test_simhash_split_shards(spark):
-    """Chains of fingerprints over shards that are split give the same components."""
+def brute_components(fps):
+    """Smallest member of the component of every fingerprint, by comparing all."""
+    import numpy as np
+    values = np.array(sorted(fps), dtype=np.uint64)
+    label = np.arange(len(values))
+    near = [np.flatnonzero(np.bitwise_count(values ^ v) <= 3) for v in values]
+    while True:
+        new = np.array([label[n].min() for n in near])
+        new = new[new]
+        if (new == label).all():
+            return {int(v): int(values[k]) for v, k in zip(values, label)}
+        label = new
+
+
+@pytest.mark.parametrize("shard", [100_000, 200, 12])
+def test_simhash_of_thousands_of_near_fingerprints(spark, shard, monkeypatch):
+    """A cluster whose fingerprints agree in most blocks, a chain across all bits and strangers: one tree, shards, hot shards
+    and shards cut into parts find the same components as comparing all."""
     r = random.Random(5)
-    fps, x = {0}, 0
-    for _ in range(200):
-        x ^= sum(1 << b for b in r.sample(range(64), 3))
+    base = r.getrandbits(64)
+    fps = {base ^ sum(1 << b for b in r.sample(range(24), r.randint(2, 6))) for _ in range(4000)}
+    x = r.getrandbits(64)
+    for _ in range(300):
+        x ^= sum(1 << b for b in r.sample(range(64), r.randint(1, 3)))
         fps.add(x)
-    fps |= {r.getrandbits(64) for _ in range(100)}
-    signed = sorted(f - (1 << 64) if f >> 63 else f for f in fps)
+    fps |= {r.getrandbits(64) for _ in range(400)}
+    signed = {f - (1 << 64) if f >> 63 else f: f for f in fps}
     nodes = spark.createDataFrame([(f,) for f in signed], "fp long")
-    found = {}
-    for limit in (50_000, 7):
-        label = dict(tuple(r) for r in simhash.components(simhash.links(nodes, 3, limit)).collect())
-        found[limit] = {f: label.get(f, f) for f in signed}
-    assert found[7] == found[50_000]
-    chain = [f for f in signed if found[7][f] == found[7][0]]
-    assert len(chain) >= 190
+    edges = simhash.links(nodes, 3, shard)
+    label = dict(tuple(x) for x in simhash.components(edges).collect())
+    got, want = {}, {}
+    for f, v in signed.items():
+        got.setdefault(label.get(f, f), set()).add(v)
+    for v, top in brute_components(fps).items():
+        want.setdefault(top, set()).add(v)
+    assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
+    assert len(fps) > 3500 and len(want) < 500
+
+
+def test_simhash_links_come_from_searches_of_trees(spark):
+    """On the small table the trees are large, and two linked fingerprints seldom share what dealt them to one shard."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    nodes = simhash.fingerprints(docs).select("fp").distinct()
+    n = nodes.count()
+    assert simhash.block_masks(3, simhash.shard_bits(n, simhash.SHARD, 3)) == [0]  # one tree of all
+    assert simhash.shard_bits(10_000, simhash.SHARD, 3) == 4 and simhash.shard_bits(10**12, simhash.SHARD, 3) == 16
+    assert simhash.links(nodes).count() > 0
+
+
+def test_simhash_stage_keeps_one_row_of_each_group(spark):
+    a, b = prose(21, 300), prose(22, 200)
+    rows = [(None, a, "en", "s1", 1), (None, a, "en", "s1", 1), (None, a, "en", "s2", 1), (4, b, "en", "x", 2), (4, b, "en", "x", 2),
+            (7, b, "en", "y", 3), (None, None, None, None, None), (None, "", None, None, None), (9, prose(23, 50), "en", None, 4)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    want = [(None, "", None, None, None), (None, a, "en", "s1", 1), (4, b, "en", "x", 2), (9, rows[-1][1], "en", None, 4)]
+    got = [tuple(x) for x in simhash.simhash_stage(spark, df, "").collect()]
+    empties = [x for x in got if not x[1]]
+    assert len(empties) == 1
+    assert sorted((x for x in got if x[1]), key=repr) == sorted(want[1:], key=repr)
+    with_map = df.withColumn("__llm_n", F.create_map(F.lit("k"), F.col("source")))
+    assert simhash.simhash_stage(spark, with_map, "").count() == len(want)
+    assert simhash.simhash_stage(spark, df.limit(0), "").count() == 0
 
 
 def test_block_masks_meet():
     r = random.Random(1)
-    masks = simhash.block_masks(3)
-    assert len(masks) == 16
-    for _ in range(2000):
+    for _ in range(500):
         x = r.getrandbits(64)
         y = x ^ sum(1 << b for b in r.sample(range(64), r.randint(0, 3)))
-        assert any(x & m == y & m for m in masks)
+        for bits in (1, 7, 16):
+            agree = [t for t, m in enumerate(simhash.block_masks(3, bits)) if not (x ^ y) & m & (2**64 - 1)]
+            assert agree
+        assert any(not (x ^ y) & m & (2**64 - 1) for t in agree for m in simhash.finer_masks(3)[t])
+    assert len(simhash.block_masks(3, 5)) == 4 and sorted(map(len, simhash.finer_masks(3))) == [4] * 4
+    assert all(bin(m & (2**64 - 1)).count("1") == 28 for under in simhash.finer_masks(3) for m in under)
 
 
 def check_packing(out, rows, window=2048):
