@@ -5,6 +5,7 @@ import os
 import random
 import subprocess
 import sys
+from collections import Counter
 
 import brute
 import duckdb
@@ -226,13 +227,20 @@ def test_simhash_of_thousands_of_near_fingerprints(spark, shard, monkeypatch):
 
 
 def test_simhash_links_come_from_searches_of_trees(spark):
-    """On the small table the trees are large, and two linked fingerprints seldom share what dealt them to one shard."""
-    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    nodes = simhash.fingerprints(docs).select("fp").distinct()
-    n = nodes.count()
-    assert simhash.block_masks(3, simhash.shard_bits(n, simhash.SHARD, 3)) == [0]  # one tree of all
+    """What deals fingerprints to shards decides little: of the pairs in a shard, the trees reject all but very few."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    nodes = simhash.fingerprints(docs).select("fp").distinct().cache()
+    fps = [r.fp & (2**64 - 1) for r in nodes.collect()]
+    bits = simhash.shard_bits(len(fps), simhash.SHARD, 3)
+    together = 0
+    for m in simhash.block_masks(3, bits):
+        sizes = Counter(f & m & (2**64 - 1) for f in fps).values()
+        assert max(sizes) > simhash.SHARD / 4
+        together += sum(n * (n - 1) // 2 for n in sizes)
+    found = simhash.links(nodes).count()
+    assert 0 < found < together / 10_000
+    assert simhash.shard_bits(900, simhash.SHARD, 3) == 0 and simhash.block_masks(3, 0) == [0]
     assert simhash.shard_bits(10_000, simhash.SHARD, 3) == 4 and simhash.shard_bits(10**12, simhash.SHARD, 3) == 16
-    assert simhash.links(nodes).count() > 0
 
 
 def test_simhash_stage_keeps_one_row_of_each_group(spark):
