@@ -1,13 +1,20 @@
 """Personal data by patterns and by information-theoretic sanitisation, in DataFrame functions only (operator 8).
 
 Base spans are e-mail addresses, IP addresses, card and phone numbers.  A protected entity is the text of such a
-span.  Words near an entity are its context; the corpus tells how strongly a word reveals the entity:
-``pmi(t; e) = log2(n(t, e) * N / (n(t) * n(e)))`` in documents, against the entity's information content
-``ic(e) = log2(N / n(e))``.  A word with ``pmi >= disclosure * ic`` that was seen near the entity in ``support``
-different contexts gets a span of kind ``term``.  (Copies of one text share their context, and so reveal nothing.)
+span without case (e-mail) or without all but its digits (card, phone).  The corpus tells how strongly a word reveals an
+entity, by the documents that hold both: ``pmi(t; e) = log2(n(t, e) * N / (n(t) * n(e)))``, against the entity's
+information content ``ic(e) = log2(N / n(e))``; all counts are of whole documents.  A word with
+``pmi >= disclosure * ic`` is revealing, and each of its occurrences in every document that holds the entity gets a span of
+kind ``term``.
 
-Only spans and contexts are shuffled, never texts.  Document frequencies are counted map-side first and then
-only kept for words that occur in a context.
+Copies of a text say nothing about its words.  So a word counts for an entity only if it is in ``support`` documents or
+more, and if both what stands before it and what stands after it (``AROUND`` words) differ in ``support`` places or more and
+in at least half as many as there are documents.  The words of copies, exact or near, stand between the same ones; those
+beside a word that was changed, on one side.
+
+What moves is little.  Only entities in ``support`` documents can have a term, so these are counted first, and only the
+documents that hold one of them are taken apart into words; a table without such entities ends there.  The vocabulary of
+all documents is counted for the candidates alone.  What is written in between are hashes and places, no text.
 
 The patterns are written with possessive repeats and start only where a run starts (or where the match before
 ended), which gives the same leftmost matches without backtracking over long runs.
@@ -31,7 +38,9 @@ PATTERNS = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-CONTEXT_CHARS, SUPPORT, DISCLOSURE, MIN_TERM = 48, 3, 0.8, 3
+SUPPORT, DISCLOSURE, MIN_TERM, AROUND = 3, 0.8, 3, 3
+#: Candidate terms and entities that are sent to all tasks (16 bytes each); with more, they are joined.
+MAX_BROADCAST = 100_000
 _SPANS = "array<struct<start:int,rank:int,end:int,value:string>>"
 
 
@@ -128,63 +137,91 @@ def _term(value: Column) -> Column:
     return F.lower(F.regexp_replace(value, r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", ""))
 
 
-def contexts(with_spans: DataFrame) -> DataFrame:
-    """One row per span and word wholly inside ``CONTEXT_CHARS`` code points on either side of it.
+def _small(df: DataFrame, n: int) -> DataFrame:
+    return F.broadcast(df) if n <= MAX_BROADCAST else df
 
-    Personal data of any kind is blanked first, so that only other words are terms.
-    """
-    found = with_spans.where(F.size("spans") > 0)
+
+def _document(doc_id: str = "doc_id") -> Column:
+    """A name of the row's document that is never null; with the text's hash it tells documents apart."""
+    return F.coalesce(F.concat(F.lit("="), F.col(doc_id).cast("string")), F.lit("-"))
+
+
+def _entity(span: Column) -> Column:
+    """The hash of what a span names, without case and separators."""
+    value, rank = span["value"], span["rank"]
+    digits = rank.isin(KINDS.index("card"), KINDS.index("phone"))
+    return F.xxhash64(rank, F.when(digits, _digits(value)).otherwise(F.lower(value)))
+
+
+def words_of_holders(docs: DataFrame, holding: DataFrame) -> DataFrame:
+    """doc, key, term, before, after (hashes of the word and of the words around it), start, end of every word of the
+    documents in ``holding``; personal data of any kind is blanked first, so only other words are terms."""
+    keyed = docs.select("doc_id", "text", _document().alias("doc"), F.xxhash64(whole_text(docs)).alias("key"))
+    held = keyed.join(holding.select("doc", "key").distinct(), ["doc", "key"], "left_semi")
+    found = base_spans(held.select(F.col("doc").alias("doc_id"), "text")).dropDuplicates(["doc_id", "key"])
     for kind in range(len(PATTERNS)):
         found = found.withColumn("text", _blanked(F.col("text"), F.filter("spans", _of_kind(kind))))
-
-    def around(text: Column, s: Column) -> Column:
-        at = F.greatest(s["start"] - CONTEXT_CHARS, F.lit(0))
-        # a word that the edge of the context cuts is blanked on the left, cut off on the right
-        left = _let(F.substring(text, at + 1, s["start"] - at), lambda x: _let(
-            F.when(at > 0, F.length(F.regexp_extract(x, r"^[^\x20\x09-\x0D]*", 0))).otherwise(F.lit(0)),
-            lambda cut: F.concat(F.repeat(F.lit(" "), cut), F.substring(x, cut + 1, F.length(x)))))
-        right = _let(F.substring(text, s["end"] + 1, F.lit(CONTEXT_CHARS)), lambda x: F.when(
-            F.length(x) == CONTEXT_CHARS, F.regexp_replace(x, r"[^\x20\x09-\x0D]*$", "")).otherwise(x))
-        return _let(left, lambda a: _let(right, lambda b: F.struct(
-            s["value"].alias("entity"), F.xxhash64(_term(a), _term(b)).alias("context"),
-            F.concat(_words_at(a, at), _words_at(b, s["end"])).alias("words"))))
-    near = found.select("doc_id", "key", _let(F.col("text"), lambda t: F.transform(
-        "spans", lambda s: around(t, s))).alias("near")) \
-        .select("doc_id", "key", F.explode("near").alias("n")) \
-        .select("doc_id", "key", "n.entity", "n.context", F.explode("n.words").alias("w"))
-    return near.select("doc_id", "key", "entity", "context", _term(F.col("w.value")).alias("term"),
-                       F.col("w.start").alias("start"), F.col("w.end").alias("end")) \
-        .where((F.length("term") >= MIN_TERM) & F.col("term").rlike(r"\p{L}"))
-
-
-def revealing_terms(docs: DataFrame, near: DataFrame, support: int = SUPPORT, disclosure: float = DISCLOSURE) -> DataFrame:
-    """(entity, term) whose pointwise mutual information reaches the disclosure threshold."""
-    doc = F.struct("doc_id", "key")
-    joint = near.groupBy("entity", "term").agg(F.countDistinct(doc).alias("n_te"), F.countDistinct("context").alias("seen")) \
-        .where(F.col("seen") >= support)
-    entities = near.groupBy("entity").agg(F.countDistinct(doc).alias("n_e"))
+    words = found.select(F.col("doc_id").alias("doc"), "key", _words_at(F.col("text"), F.lit(0)).alias("words"))
+    words = words.select("doc", "key", F.transform("words", lambda w: F.struct(
+        _term(w["value"]).alias("term"), w["start"].alias("start"), w["end"].alias("end"))).alias("words"))
+    def near(steps, i):
+        return F.xxhash64(*[F.coalesce(F.get(F.col("words"), i + k)["term"], F.lit("\u0000")) for k in steps])
+    words = words.select("doc", "key", F.explode(F.transform("words", lambda w, i: F.struct(
+        w["term"].alias("term"), near(range(-AROUND, 0), i).alias("before"), near(range(1, AROUND + 1), i).alias("after"),
+        w["start"].alias("start"), w["end"].alias("end")))).alias("w"))
+    return words.where((F.length("w.term") >= MIN_TERM) & F.col("w.term").rlike(r"\p{L}")) \
+        .select("doc", "key", F.xxhash64("w.term").alias("term"), "w.before", "w.after", "w.start", "w.end")
+
+
+def revealing_terms(docs: DataFrame, holding: DataFrame, words: DataFrame, support: int, disclosure: float) -> DataFrame | None:
+    """(entity, term) whose pointwise mutual information reaches the disclosure threshold; None if no pair is a candidate.
+
+    ``holding`` has doc, key, entity and n_e; ``words`` comes from :func:`words_of_holders`.
+    """
+    place = F.struct("doc", "key")
+    seen = words.select("doc", "key", "term", "before", "after").distinct().join(holding, ["doc", "key"])
+    joint = seen.groupBy("entity", "n_e", "term").agg(
+        F.countDistinct(place).alias("n_te"), F.least(F.countDistinct("before"), F.countDistinct("after")).alias("seen")) \
+        .where((F.col("n_te") >= support) & (F.col("seen") >= support) & (2 * F.col("seen") >= F.col("n_te")))
+    joint = materialize(joint, "private-joint")
     candidates = joint.select("term").distinct()
+    n = candidates.count()
+    if not n:
+        return None
     text = whole_text(docs)
-    every = docs.select(F.explode(F.array_distinct(F.transform(F.split(text, BLANKS), _term))).alias("term"))
-    frequency = every.groupBy(F.xxhash64("term").alias("h")).agg(F.count("*").alias("n_t"))
-    total = docs.agg(F.count("*").alias("n"))
-    known = candidates.select("term", F.xxhash64("term").alias("h")).join(frequency, "h").select("term", "n_t")
-    pmi = F.log2(F.col("n_te") * F.col("n") / (F.col("n_t") * F.col("n_e")))
-    return joint.join(entities, "entity").join(known, "term").crossJoin(F.broadcast(total)) \
-        .where((F.col("n") > F.col("n_e")) & (pmi >= disclosure * F.log2(F.col("n") / F.col("n_e")))).select("entity", "term")
+    every = docs.select(_document().alias("doc"), F.xxhash64(text).alias("key"), F.explode(F.array_distinct(F.transform(
+        F.split(text, BLANKS), lambda w: F.xxhash64(_term(w))))).alias("term"))
+    frequency = every.join(_small(candidates, n), "term").groupBy("term").agg(F.countDistinct(place).alias("n_t"))
+    total = docs.select(_document().alias("doc"), F.xxhash64(text).alias("key")).distinct().count()
+    pmi = F.log2(F.col("n_te") * F.lit(float(total)) / (F.col("n_t") * F.col("n_e")))
+    return joint.join(_small(frequency, n), "term").where(
+        (F.col("n_e") < total) & (pmi >= disclosure * F.log2(F.lit(float(total)) / F.col("n_e")))).select("entity", "term")
 
 
 def find_private(docs: DataFrame, support: int = SUPPORT, disclosure: float = DISCLOSURE) -> DataFrame:
     """doc_id, key, base (spans of the base kinds) and spans (with the method's terms), one row per input row."""
-    found = base_spans(docs)
-    found = materialize(found.withColumn("text", F.when(F.size("spans") > 0, F.col("text"))), "private-spans")
+    found = base_spans(docs).select("doc_id", "key", F.transform("spans", lambda s: F.struct(
+        s["start"].alias("start"), s["rank"].alias("rank"), s["end"].alias("end"), _entity(s).alias("entity"))).alias("spans"))
+    found = materialize(found, "private-spans")
     spans = found.select("doc_id", "key", F.transform("spans", lambda s: F.struct(
         s["start"].alias("start"), s["rank"].alias("rank"), s["end"].alias("end"))).alias("base"))
-    near = materialize(contexts(found).dropDuplicates(["doc_id", "key", "entity", "term", "start"]), "private-contexts")
-    terms = near.join(revealing_terms(docs, near, support, disclosure), ["entity", "term"])
-    by_doc = terms.groupBy(F.col("doc_id").alias("t_doc"), F.col("key").alias("t_key")).agg(
-        F.collect_set(F.struct("start", F.lit(KINDS.index("term")).alias("rank"), "end")).alias("terms"))
-    return spans.join(by_doc, spans["doc_id"].eqNullSafe(F.col("t_doc")) & (spans["key"] == F.col("t_key")), "left").select(
+    alone = spans.select("doc_id", "key", "base", F.col("base").alias("spans"))
+    holders = found.select(_document().alias("doc"), "key", F.explode(F.array_distinct(F.transform(
+        "spans", lambda s: s["entity"]))).alias("entity")).distinct()
+    entities = materialize(holders.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e")).where(F.col("n_e") >= support), "private-entities")
+    n = entities.count()
+    if not n:
+        return alone
+    holding = materialize(holders.join(_small(entities, n), "entity"), "private-holding")
+    words = materialize(words_of_holders(docs, holding), "private-words")
+    revealing = revealing_terms(docs, holding, words, support, disclosure)
+    if revealing is None:
+        return alone
+    pairs = holding.join(revealing, "entity").select("doc", "key", "term").distinct()
+    by_doc = words.join(pairs, ["doc", "key", "term"]).groupBy(F.col("doc").alias("t_doc"), F.col("key").alias("t_key")).agg(
+        F.collect_list(F.struct("start", F.lit(KINDS.index("term")).alias("rank"), "end")).alias("terms"))
+    return spans.withColumn("t_name", _document()).join(
+        by_doc, (F.col("t_name") == F.col("t_doc")) & (F.col("key") == F.col("t_key")), "left").select(
         "doc_id", "key", "base", F.sort_array(F.when(F.col("terms").isNull(), F.col("base"))
                                               .otherwise(F.concat("base", "terms"))).alias("spans"))
 

@@ -140,3 +140,49 @@ def best_distance(pattern, text):
             new.append(min(row[j] + 1, new[j - 1] + 1, row[j - 1] + (c != d)))
         row = new
     return min(row)
+
+
+def private_terms(rows, support=3, disclosure=0.8, min_term=3):
+    """{(doc_id, text): term spans} of (doc_id, text) rows, by counting every word of every document."""
+    import math
+    from collections import defaultdict
+
+    import regex
+
+    def term(word):
+        return regex.sub(r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", "", word).lower()
+
+    def entity(rank, value):
+        return (rank, "".join(c for c in value if c in "0123456789") if rank in (2, 3) else value.lower())
+    holds, words, vocabulary = defaultdict(set), {}, defaultdict(set)
+    docs = {(d, t or "") for d, t in rows}
+    for doc in docs:
+        text = doc[1]
+        blanked = list(text)
+        for start, rank, end in personal(text):
+            holds[entity(rank, text[start:end])].add(doc)
+            blanked[start:end] = " " * (end - start)
+        found = [(m.start(), m.end(), term(m[0])) for m in regex.finditer(r"[^\x20\x09-\x0D]+", "".join(blanked))]
+        terms = [None] * 3 + [x[2] for x in found] + [None] * 3
+        words[doc] = [(a, b, t, tuple(terms[k:k + 3]), tuple(terms[k + 4:k + 7])) for k, (a, b, t) in enumerate(found)
+                      if len(t) >= min_term and regex.search(r"\p{L}", t)]
+        for w in regex.split(r"[\x20\x09-\x0D]+", text):
+            vocabulary[term(w)].add(doc)
+    out = defaultdict(set)
+    for e, where in holds.items():
+        if len(where) < support:
+            continue
+        by_term = defaultdict(lambda: (set(), set(), set()))
+        for doc in where:
+            for _, _, t, *around in words[doc]:
+                for found, x in zip(by_term[t], (doc, *around)):
+                    found.add(x)
+        for t, (seen_in, before, after) in by_term.items():
+            seen = min(len(before), len(after))
+            if len(seen_in) < support or seen < support or 2 * seen < len(seen_in) or len(where) == len(docs):
+                continue
+            pmi = math.log2(len(seen_in) * len(docs) / (len(vocabulary[t]) * len(where)))
+            if pmi >= disclosure * math.log2(len(docs) / len(where)) - 1e-12:
+                for doc in where:
+                    out[doc] |= {(a, 4, b) for a, b, x, *_ in words[doc] if x == t}
+    return out

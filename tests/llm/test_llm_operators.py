@@ -386,6 +386,48 @@ def test_private_terms_by_information(spark):
     assert "[EMAIL]" in r and "[TERM]" in r and "kim@" not in r and "Zorbulax" not in r
 
 
+def private_corpus(seed):
+    """Documents of few words with addresses in several spellings, exact and near copies, repeated rows and null ids."""
+    r = random.Random(seed)
+    vocabulary = [f"w{k}" for k in range(60)] + ["Zorbulax", "(Qonto)", "éclair", "x1", "..."]
+    people = ["kim@Mail.example.com", "KIM@mail.EXAMPLE.com", "10.0.0.7", "+49 30 1234567", "+4930-1234-567", "bo@x.org",
+              "4111 1111 1111 1111", "4111-1111-1111-1111"]
+    rows = []
+    for k in range(90):
+        words = [r.choice(vocabulary) for _ in range(r.randint(3, 40))]
+        if r.random() < 0.4:
+            who = r.choice(people)
+            words.insert(r.randrange(len(words)), who)
+            if "im@" in who or "IM@" in who:
+                words.insert(r.randrange(len(words)), "Zorbulax,")
+        rows.append((k if k % 13 else None, " ".join(words)))
+    family = prose(77, 40).split()
+    for k in range(12):
+        family[r.randrange(40)] = "edit"
+        rows.append((200 + k, " ".join([*family, "fam@copy.net"])))
+    return rows + rows[:6] + [(500, None), (501, ""), (502, rows[3][1])]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_private_terms_against_brute_force(spark, seed):
+    rows = private_corpus(seed)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({
+        c: F.lit(None).cast("string") for c in ("entity", "term", "doc", "t_doc", "spans", "n_e", "words")}).repartition(4)
+    terms = brute.private_terms(rows, 3, 0.5)
+    want = sorted(((d, sorted([*map(tuple, brute.personal(t)), *terms.get((d, t or ""), ())])) for d, t in rows), key=repr)
+    got = sorted([(r.doc_id, [tuple(s) for s in r.spans]) for r in private_terms.find_private(docs, 3, 0.5).collect()], key=repr)
+    assert got == want
+    assert any(s[1] == 4 for _, spans in got for s in spans)
+
+
+def test_private_terms_ignore_the_words_of_copies(spark):
+    rows = [(k, f"{prose(31, 60)} me@one.net") for k in range(40)]  # exact copies
+    rows += [(100 + k, " ".join([*prose(32, 30).split(), f"v{k}", *prose(33, 30).split(), "you@two.net"])) for k in range(40)]  # near copies
+    rows += [(300 + k, prose(400 + k, 40)) for k in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert all(s.rank < 4 for r in private_terms.find_private(docs).collect() for s in r.spans)
+
+
 def test_decontamination(spark):
     r = random.Random(8)
     items = [(k, prose(500 + k, 25)) for k in range(6)] + [(7, None), (8, "tiny"), (9, "")]
