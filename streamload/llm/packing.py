@@ -3,8 +3,9 @@
 Each task tokenizes its documents and packs them as they come.  Whole windows of a long document are
 sequences of their own; the rest of it goes to the fill level h for which the sum of the squared numbers of
 open windows per level grows least.  The level array holds those numbers, so a placement looks at levels, not
-at windows.  When a task ends, the pieces in windows that are still open are cut and joined into full windows,
-and what remains into sequences of power-of-two length, which need no padding.  So no id is padding.
+at windows.  When a task ends, the fullest of the windows that are still open stay as the levels chose them, as many as all the
+open ids fill; the pieces of the others are cut to fill their gaps, and what remains goes into sequences of power-of-two
+length, which need no padding.  So no id is padding, and what the levels decided is undone only for the emptiest windows.
 
 Nothing is shuffled: packing is local to a task, a task holds only the ids of its open windows, and sequence
 ids come from the task's partition number, so that a task that is run again gives the same rows.
@@ -100,6 +101,7 @@ class SumOfSquaresPacker:
         self.window = window
         self.count = np.zeros(window + 1, np.int64)  # the level array
         self.open: list[list[list[Piece]]] = [[] for _ in range(window)]
+        self.chosen = 0  # ids that ended where the levels put them
 
     def level_for(self, size: int) -> int:
         """The level (0: a new window) to put ``size`` ids on; the fullest one among equals."""
@@ -116,26 +118,38 @@ class SumOfSquaresPacker:
         self.count[level] -= 1 if level else 0
         items.append(piece)
         if level + size == self.window:
+            self.chosen += self.window
             return items
         self.open[level + size].append(items)
         self.count[level + size] += 1
         return None
 
     def rest(self) -> Iterator[list[Piece]]:
-        """What is open at the end: full windows by cutting pieces, then power-of-two sequences."""
-        pieces = [p for stack in reversed(self.open) for items in stack for p in items]
-        left = sum(len(p[2]) // 4 for p in pieces)
-        out, room = [], 0
-        for doc, start, ids, total in pieces:
-            while ids:
-                if not room:
-                    room = self.window if left >= self.window else 1 << (left.bit_length() - 1)
-                take = min(room, len(ids) // 4)
-                out.append((doc, start, ids[:4 * take], total))
-                ids, start, room, left = ids[4 * take:], start + take, room - take, left - take
-                if not room:
-                    yield out
-                    out = []
+        """What is open at the end, without padding: as many windows as all of it fills stay as the levels chose them, the
+        fullest, and only the pieces of the others are cut, to fill their gaps; then power-of-two sequences."""
+        windows = [(level, items) for level in reversed(range(self.window)) for items in self.open[level]]
+        left = sum(level for level, _ in windows)
+        stay = left // self.window
+        self.chosen += sum(level for level, _ in windows[:stay])
+        supply = [p for _, items in windows[stay:] for p in items][::-1]
+
+        def take(room: int) -> list[Piece]:
+            out = []
+            while room:
+                doc, start, ids, total = supply.pop()
+                size = min(room, len(ids) // 4)
+                out.append((doc, start, ids[:4 * size], total))
+                if size < len(ids) // 4:
+                    supply.append((doc, start + size, ids[4 * size:], total))
+                room -= size
+            return out
+        for level, items in windows[:stay]:
+            yield items + take(self.window - level)
+        left %= self.window
+        while left:
+            room = 1 << (left.bit_length() - 1)
+            left -= room
+            yield take(room)
 
 
 COLUMNS = ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")

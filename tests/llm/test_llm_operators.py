@@ -318,6 +318,23 @@ def test_packing_levels_minimise_squares():
         packer.place((0, 0, b"\0" * 4 * size, size))
 
 
+@pytest.mark.parametrize("tasks", [1, 8, 64])
+def test_packing_is_by_the_levels(tasks):
+    """Nine tenths of what is placed stay where the levels put it, however small the tasks are, and no id is padding."""
+    r = random.Random(4)
+    sizes = [min(2047, int(r.lognormvariate(6, 1)) + 1) for _ in range(10_000)]
+    placed = chosen = 0
+    for k in range(tasks):
+        packer = packing.SumOfSquaresPacker()
+        full = [packer.place((i, 0, bytes(4 * n), n)) for i, n in enumerate(sizes[k::tasks])]
+        rest = list(packer.rest())
+        lengths = [sum(len(p[2]) // 4 for p in items) for items in [*filter(None, full), *rest]]
+        assert sum(lengths) == sum(sizes[k::tasks]) and all(n & (n - 1) == 0 for n in lengths)
+        assert sum(n < 2048 for n in lengths) <= 11
+        placed, chosen = placed + sum(lengths), chosen + packer.chosen
+    assert chosen >= 0.9 * placed
+
+
 @pytest.mark.parametrize("table", ["edge", "small"])
 def test_quality_rules(table, request):
     docs, rows = request.getfixturevalue(table)
