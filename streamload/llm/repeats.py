@@ -23,20 +23,22 @@ from pyspark.sql import functions as F
 from .common import materialize, sliding_min, whole_text
 
 CHUNK = 1 << 20
+#: Documents of a block, whatever they hold.
+BLOCK_ROWS = 2_000
 #: Bytes of text per bucket of anchors.
 ANCHOR_BYTES = 32 << 20
 _LAST = np.iinfo(np.int64).max
 
 
 def blocks(docs: DataFrame, block_bytes: int, copies_together: bool = False) -> tuple[DataFrame, int]:
-    """(block, doc_id, text) and the bytes of all texts.
+    """(block, doc_id, text) and the bytes of all texts; as many blocks as their bytes or their number ask for.
 
     ``copies_together`` deals equal texts to one block, or to several if they fill more than half a block: the few texts
     of so many copies are counted first, and Spark decides by their size how to join them.
     """
     text = whole_text(docs)
-    total = docs.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()[0]
-    n = F.lit(total // block_bytes + 1)
+    total, rows = docs.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0)), F.count(F.lit(1))).first()
+    n = F.lit(max(total // block_bytes, rows // BLOCK_ROWS) + 1)
     base = docs.select(docs["doc_id"], text.alias("text"))
     if not copies_together:
         return base.select(F.pmod(F.xxhash64("doc_id", "text"), n).cast("int").alias("block"), "doc_id", "text"), total

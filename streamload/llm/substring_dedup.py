@@ -143,6 +143,14 @@ def _extend(texts: pa.Table, repeated: pa.Table, shards: int) -> pa.Table:
     return pa.concat_tables([asked, sure]).combine_chunks()
 
 
+def _repeated(names: np.ndarray, a: np.ndarray) -> np.ndarray:
+    """Which pairs of name and anchors occur more than once."""
+    if not len(names):
+        return np.zeros(0, bool)
+    _, inverse, times = np.unique(np.column_stack([names, a]), axis=0, return_inverse=True, return_counts=True)
+    return times[inverse.ravel()] > 1
+
+
 def _last_level(group: pa.Table) -> pa.Table:
     """Windows that occur elsewhere, as ranges of starts (block, doc, start, stop)."""
     known, many, inner = (group.column(c).to_numpy() for c in ("known", "many", "inner"))
@@ -151,16 +159,18 @@ def _last_level(group: pa.Table) -> pa.Table:
     sizes = group.column("size").to_numpy()
     sure = known | many
     out = [(block[sure], doc[sure], start[sure], start[sure] + sizes[sure])]
-    # sixteen words: an anchor in one place ends here; the others are extended to 32 and 35
+    # sixteen words: an anchor in one place ends here; the others are extended to 32 words
     _, inverse, times = np.unique(a[~known], return_inverse=True, return_counts=True)
     more = np.flatnonzero(~known)[(times[inverse] > 1) | inner[~known]] if len(times) else np.zeros(0, np.int64)
     if len(more):
         wide = [np.frombuffer(x.as_py(), np.uint64) for x in group.column("names").take(pa.array(more))]
-        names = np.concatenate([pair(w[:-3], w[3:]) for w in wide])
+        names, ends = np.concatenate([w[:-3] for w in wide]), np.concatenate([w[3:] for w in wide])
         row = np.repeat(more, sizes[more])
         at = ranges(start[more].astype(np.int64), sizes[more].astype(np.int64))
-        _, inverse, times = np.unique(np.column_stack([names, a[row]]), axis=0, return_inverse=True, return_counts=True)
-        hit = (times[inverse.ravel()] > 1) & ~many[row]
+        # 32 words: a window whose first 32 stand nowhere else ends here; the others are extended to 35
+        again = _repeated(names, a[row])
+        names, ends, row, at = names[again], ends[again], row[again], at[again]
+        hit = _repeated(pair(names, ends), a[row]) & ~many[row]
         first, last = runs(row, hit, row)
         out.append((block[row[first]], doc[row[first]], at[first], at[last - 1] + 1))
     block, doc, start, stop = (np.concatenate(x) for x in zip(*out))
