@@ -175,13 +175,18 @@ def labelled_sample(labels: DataFrame, label: str, folds: int, held: int, max_ro
     return one.where(fold != held).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
 
 
+def one_per_id(rows: DataFrame, *columns: str) -> DataFrame:
+    """``columns`` of one row per doc_id, the least, however often the id is in the table: as many rows as ids."""
+    return rows.groupBy("doc_id").agg(F.min(F.struct(*columns)).alias("one")).select("one.*")
+
+
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int = 5, held: int = 0,
           max_train: int = MAX_TRAIN) -> RuleModel:
     """Fit on at most ``max_train`` labelled rows.  Their ids (bounded) are broadcast and only their statistics,
     a few numbers a row, come to the driver."""
     ids = labelled_sample(labels, label, folds, held, max_train)
-    rows = (docs.select("doc_id", whole_text(docs).alias("text")).join(F.broadcast(ids), "doc_id")
-            .select("y", text_statistics("text").alias("s")).select("y", "s.*").limit(2 * max_train).toPandas())
+    rows = one_per_id(docs.select("doc_id", whole_text(docs).alias("text")).join(F.broadcast(ids), "doc_id")
+                      .select("doc_id", "y", text_statistics("text").alias("s")), "y", "s").select("y", "s.*").toPandas()
     rows = rows.sort_values(list(rows.columns), ignore_index=True)
     return fit_rules(rows[list(STATISTICS)].to_numpy(float), rows["y"].to_numpy(float))
 
@@ -202,6 +207,10 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: documents that the classifier rejects go."""
+    """Pipeline stage: documents that the classifier rejects go.
+
+    Every row is judged by its text alone: repeated rows and rows without an id share the fate of their text.  Null and empty
+    texts are one text, with statistics of zero.  Without usable labels the score is the same for all, so all or none go.
+    """
     model = train(docs, table(spark, sf_dir, "labels"))
     return score_documents(docs, model, "__llm_score").where(F.col("__llm_score") >= THRESHOLD).select(*docs.columns)

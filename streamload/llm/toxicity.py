@@ -2,7 +2,11 @@
 
 Texts are folded: lower case, compatibility forms and accents removed, homoglyphs of other scripts and
 digits or signs that stand for letters inside a word mapped to Latin letters (l, i and 1 become one letter).
-The lexicon and its weights are log-odds of terms over a bounded sample of labelled documents; families of near
+A run of them at a word's end may be letters (``idio7``) or noise (``idiot$$``): the word is read without it in its place,
+and with it after the end of the text.  (A run of exclamation marks alone is noise.)
+The lexicon and its weights are log-odds of terms over a bounded sample of labelled documents (``MAX_TRAIN`` ids, those of
+the smallest hash, one row each).  The lexicon is what has the most evidence, ``MAX_TERMS`` terms and ``MAX_EXCEPTIONS``
+phrases at most; they are parameters of the fitted model, like its threshold of evidence, and drop no row.  Families of near
 copies (by min-hash bands) count once, so that copies of one document cannot make a term.  Phrases in which a lexicon
 word is harmless are exceptions.  One Aho-Corasick pass finds both; hits inside an exception phrase do not count.
 The score is a logistic function of the weighted hits, plain and normalised by length.
@@ -28,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import materialize, mix, pair, table, whole_text
-from .quality_classifier import labelled_sample
+from .quality_classifier import labelled_sample, one_per_id
 
 MAX_TRAIN, MAX_TERMS, MAX_EXCEPTIONS = 20_000, 2_000, 2_000
 THRESHOLD = 0.3
@@ -43,18 +47,21 @@ _SIGNS = dict(zip("0134578@$!", "oieastbasi"))
 
 _DROP = dict.fromkeys([*range(0x300, 0x370), 0x200B, 0x200C, 0x200D, 0x2060, 0xFEFF, 0xAD])
 _OTHER = {ord(k): v for k, v in _LOOKALIKES.items()} | _DROP
-_INSIDE = re.compile(r"(?<![0-9@$!])[0134578@$!]{1,3}(?=[a-z])")
+_INSIDE = re.compile(r"(?<![0-9@$!])[0134578@$!]+(?=[a-z])")
+_ENDING = re.compile(r"([^\W\d_]+)(?!!+(?:[^!0-9@$]|\Z))([0134578@$!]+)(?![^\W_]|[@$!])")
 _SIGN_TABLE = {ord(k): v for k, v in _SIGNS.items()}
 _WORD = re.compile(r"[^\W\d_]+")
 
 
 def fold(text: str) -> str:
-    """The folded words of a text, with one blank before, between and after them."""
+    """The folded words of a text, with one blank before, between and after them; last, the other reading of words that
+    end in signs."""
     text = text.lower()
     if not text.isascii():
         text = unicodedata.normalize("NFKD", text).translate(_OTHER)
-    text = _INSIDE.sub(lambda m: m[0].translate(_SIGN_TABLE), text).replace("l", "i")
-    return " " + " ".join(_WORD.findall(text)) + " "
+    text = _INSIDE.sub(lambda m: m[0].translate(_SIGN_TABLE), text)
+    ends = [word + signs.translate(_SIGN_TABLE) for word, signs in _ENDING.findall(text)]
+    return " " + " ".join(_WORD.findall(text) + ends).replace("l", "i") + " "
 
 
 @dataclass
@@ -146,8 +153,8 @@ def _families(bands: list[list[int]]) -> list[int]:
 def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> ToxicityModel:
     """Fit on at most ``max_train`` labelled documents of the training folds; terms are counted by Spark."""
     ids = labelled_sample(labels, "toxic", 4, 2, max_train)
-    sample = docs.select("doc_id", whole_text(docs).alias("text")).join(F.broadcast(ids), "doc_id").select("y", "text")
-    folded = sample.select("y", _folded_words("text").alias("f")).select("y", "f.bands", "f.words").limit(2 * max_train)
+    sample = one_per_id(docs.select("doc_id", whole_text(docs).alias("text")).join(F.broadcast(ids), "doc_id"), "y", "text")
+    folded = sample.select("y", _folded_words("text").alias("f")).select("y", "f.bands", "f.words")
     folded = materialize(folded, "toxicity-sample")
     bands = sorted(map(list, {tuple(r.bands) for r in folded.select("bands").collect()}))
     family = docs.sparkSession.createDataFrame(list(zip(bands, _families(bands))), "bands array<long>, sig long")
@@ -174,7 +181,7 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Tox
     harmless = _weighted(near, n1, n0).where((F.col("d0") >= 3) & (F.col("odds") < 0)) \
         .orderBy(F.desc("d0"), "term").limit(MAX_EXCEPTIONS).collect() if lexicon else []
     model = ToxicityModel(lexicon, tuple(r.term for r in harmless))
-    rows = sample.select("y", _features_of(model)("text").alias("f")).select("y", "f.*").limit(2 * max_train).toPandas()
+    rows = sample.select("y", _features_of(model)("text").alias("f")).select("y", "f.*").toPandas()
     rows = rows.sort_values(["y", "hits", "dense"], ignore_index=True)
     model.weights = _logistic(rows[["hits", "dense"]].to_numpy(float), rows["y"].to_numpy(float))
     return model
