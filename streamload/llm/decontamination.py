@@ -20,7 +20,6 @@ from collections.abc import Iterator
 import ahocorasick
 import pandas as pd
 import pyarrow as pa
-from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -128,16 +127,19 @@ def _blocks(benchmark: DataFrame, min_chars: int, block_chars: int) -> Iterator[
             yield usable
 
 
-_matchers: dict[int, Matcher] = {}
+class _SharedMatcher:
+    """The matcher of one block: made from the broadcast items when a task first asks for it, then kept for the task."""
 
+    def __init__(self, spark: SparkSession, items: list[tuple[int, str]], error_rate: float):
+        self.items, self.error_rate, self.made = spark.sparkContext.broadcast(items), error_rate, None
 
-def _matcher(shared: Broadcast, error_rate: float) -> Matcher:
-    """One automaton per worker process and block."""
-    key = id(shared.value)
-    if key not in _matchers:
-        _matchers.clear()
-        _matchers[key] = Matcher(shared.value, error_rate)
-    return _matchers[key]
+    def __getstate__(self):
+        return {"items": self.items, "error_rate": self.error_rate, "made": None}
+
+    def __call__(self) -> Matcher:
+        if self.made is None:
+            self.made = Matcher(self.items.value, self.error_rate)
+        return self.made
 
 
 def find_passages(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_RATE, min_chars: int = MIN_CHARS,
@@ -153,10 +155,8 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERR
     base = docs.select("doc_id", whole_text(docs).alias("text"))
     out = spark.createDataFrame([], schema)
     for items in _blocks(benchmark, min_chars, block_chars):
-        shared = spark.sparkContext.broadcast(items)
-
-        def run(batch: pa.RecordBatch, shared=shared) -> pa.RecordBatch:
-            matcher = _matcher(shared, error_rate)
+        def run(batch: pa.RecordBatch, shared=_SharedMatcher(spark, items, error_rate)) -> pa.RecordBatch:
+            matcher = shared()
             ids, rows = batch.column(0), []
             for k, text in enumerate(batch.column(1).to_pylist()):
                 rows += [(k, *m) for m in matcher.matches(normalise(text))]
@@ -169,11 +169,11 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERR
     return out
 
 
-def _holds(shared: Broadcast, error_rate: float):
+def _holds(shared: _SharedMatcher):
     """An Arrow function: does a text hold a passage of the block's items?"""
     @F.pandas_udf(T.BooleanType())
     def holds(texts: pd.Series) -> pd.Series:
-        matcher = _matcher(shared, error_rate)
+        matcher = shared()
         return texts.map(lambda t: next(matcher.matches(normalise(t)), None) is not None).astype(bool)
     return holds
 
@@ -182,7 +182,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, error_rate: float =
                       min_chars: int = MIN_CHARS, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """``docs`` without the documents that hold a passage of an item."""
     for items in _blocks(benchmark, min_chars, block_chars):
-        docs = docs.where(~_holds(docs.sparkSession.sparkContext.broadcast(items), error_rate)(whole_text(docs)))
+        docs = docs.where(~_holds(_SharedMatcher(docs.sparkSession, items, error_rate))(whole_text(docs)))
     return docs
 
 
@@ -191,5 +191,9 @@ def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: documents that hold a benchmark passage go."""
+    """Pipeline stage: documents that hold a benchmark passage go.
+
+    Every row is judged by its text alone, so repeated rows and rows without an id share the fate of their text; null and
+    empty texts hold nothing and stay.  Repeated or empty items change nothing.
+    """
     return drop_contaminated(docs, table(spark, sf_dir, "benchmark"))

@@ -81,7 +81,11 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: texts without their repeated lines; ``n_chars`` follows the text."""
+    """Pipeline stage: texts without their repeated lines; ``n_chars`` follows the text.
+
+    Every row stays, also one whose text is all removed (it is empty then); null stays null.  Rows of equal doc_id and text,
+    and copies without an id, are one document read several times: none of them removes the other's lines.
+    """
     out = dedup_lines(docs)
     new = {"text": F.when(F.col("text").isNotNull(), F.col("__llm_lines.text"))}
     if "n_chars" in docs.columns:

@@ -205,5 +205,8 @@ def op1_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: the pieces of the remaining documents."""
+    """Pipeline stage: the pieces of the remaining documents.
+
+    Every row is packed, repeated ones and ones without an id too; null and empty text are the end id alone.
+    """
     return pack(docs)

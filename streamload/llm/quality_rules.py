@@ -8,9 +8,9 @@ measure is the Jensen-Shannon distance (base 2, 0 to 1); short texts are not jud
 Per-document counts are written once, without texts; the references are one aggregation over them and have
 one row per known language and one for all others, which is why they may be broadcast.
 
-Defined results: null and empty text have no words and fail the base rules; rows of null or unknown language
-are compared with the reference of all languages; a language whose reference is empty is not judged; repeated
-rows are judged each on its own.
+Defined results: null and empty text have no words and fail the base rules; the characters of rows of null or unknown
+language are compared with those of all languages together, their words are not judged; a language whose reference is empty
+is not judged; repeated rows are judged each on its own.
 """
 
 from __future__ import annotations

@@ -563,7 +563,7 @@ def test_toxicity_folding_and_exceptions():
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_queries_with_sql(name, spark):
     con = duckdb.connect()
-    for t in ("documents", "labels", "benchmark"):
+    for t in ("documents", "labels", "benchmark", "pages", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     want = con.execute(ORACLE_SQL[name])
     cols = sorted(c[0] for c in want.description)
@@ -579,6 +579,8 @@ def test_every_query_runs_on_empty_tables(spark, empty, labels, workdir):
     empty.write.parquet(f"{root}/documents.parquet")
     spark.createDataFrame([], labels.schema).write.parquet(f"{root}/labels.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{root}/benchmark.parquet")
+    spark.createDataFrame([], "page_id long, url string, html string").write.parquet(f"{root}/pages.parquet")
+    spark.createDataFrame([], "conv_id long, turn long, role string, text string").write.parquet(f"{root}/conversations.parquet")
     for name, query in QUERIES.items():
         assert query(spark, root).count() == 0, name
 
