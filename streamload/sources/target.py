@@ -59,6 +59,13 @@ def read_target(spark: SparkSession, target: Target | str, *, schema: T.StructTy
         raise
 
 
+#: Columns of stored datasets that have been found and checked once: a micro-batch need not list and open files for them
+#: again.  A later file that lacks a key gives NULL, which the anti join's check of the keys raises on; one that stores it
+#: as another type fails in the scan.
+_CHECKED: dict[tuple, list[T.StructField]] = {}
+MAX_CHECKED = 1_000
+
+
 def read_stored(spark: SparkSession, path: str, columns, partition_column: str, values=None, *,
                 optional: T.StructType | None = None) -> DataFrame | None:
     """``columns`` of a Parquet target as they are stored, plus the load date as STRING; ``None`` before the first write.
@@ -69,15 +76,20 @@ def read_stored(spark: SparkSession, path: str, columns, partition_column: str,
     def read(schema):
         return read_target(spark, path, schema=schema) if values is None else \
             read_partitions(spark, path, partition_column, values, schema=schema)
-    seen = read(None)
-    if seen is None:
-        return None
-    stored = {f.name: f for f in seen.schema.fields}
-    missing = [c for c in columns if c not in stored]
-    if missing:
-        raise SpecError(f"{path} has no column(s) {', '.join(missing)}; it has {', '.join(stored)}")
+    key = (spark.sparkContext.applicationId, path, tuple(columns))
+    if key not in _CHECKED:
+        seen = read(None)
+        if seen is None:
+            return None
+        stored = {f.name: f for f in seen.schema.fields}
+        missing = [c for c in columns if c not in stored]
+        if missing:
+            raise SpecError(f"{path} has no column(s) {', '.join(missing)}; it has {', '.join(stored)}")
+        if len(_CHECKED) >= MAX_CHECKED:
+            _CHECKED.clear()
+        _CHECKED[key] = [stored[c] for c in columns]
     more = list(optional.fields) if optional is not None else []
-    return read(T.StructType([stored[c] for c in columns] + more + [T.StructField(partition_column, T.StringType(), True)]))
+    return read(T.StructType(_CHECKED[key] + more + [T.StructField(partition_column, T.StringType(), True)]))
 
 
 def read_rows(spark: SparkSession, target: Target | str, partition_column: str = "audit_load_date"
