@@ -189,10 +189,23 @@ def revealing_terms(docs: DataFrame, holding: DataFrame, words: DataFrame, suppo
     if not n:
         return None
     text = whole_text(docs)
-    every = docs.select(_document().alias("doc"), F.xxhash64(text).alias("key"), F.explode(F.array_distinct(F.transform(
-        F.split(text, BLANKS), lambda w: F.xxhash64(_term(w))))).alias("term"))
-    frequency = every.join(_small(candidates, n), "term").groupBy("term").agg(F.countDistinct(place).alias("n_t"))
-    total = docs.select(_document().alias("doc"), F.xxhash64(text).alias("key")).distinct().count()
+    named = docs.select(_document().alias("doc"), F.xxhash64(text).alias("key"), text.alias("text"))
+    rows = named.groupBy("doc", "key").agg(F.count(F.lit(1)).alias("rows"))
+    total = rows.count()
+    repeated = materialize(rows.where("rows > 1").select("doc", "key"), "private-repeated")
+
+    def counted(part: DataFrame, number: Column) -> DataFrame:
+        every = part.select("doc", "key", F.explode(F.array_distinct(F.transform(
+            F.split("text", BLANKS), lambda w: F.xxhash64(_term(w))))).alias("term"))
+        return every.join(_small(candidates, n), "term").groupBy("term").agg(number.alias("n_t"))
+    n_repeated = repeated.count()
+    if not n_repeated:  # a row is a document, so counts are added up before they move
+        frequency = counted(named, F.count(F.lit(1)))
+    else:
+        again = _small(repeated, n_repeated)
+        frequency = counted(named.join(again, ["doc", "key"], "left_anti"), F.count(F.lit(1))).unionByName(
+            counted(named.join(again, ["doc", "key"], "left_semi"), F.countDistinct(place))) \
+            .groupBy("term").agg(F.sum("n_t").alias("n_t"))
     pmi = F.log2(F.col("n_te") * F.lit(float(total)) / (F.col("n_t") * F.col("n_e")))
     return joint.join(_small(frequency, n), "term").where(
         (F.col("n_e") < total) & (pmi >= disclosure * F.log2(F.lit(float(total)) / F.col("n_e")))).select("entity", "term")
