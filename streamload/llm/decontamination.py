@@ -127,6 +127,12 @@ def _blocks(benchmark: DataFrame, min_chars: int, block_chars: int) -> Iterator[
             yield usable
 
 
+def unsearched(benchmark: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+    """The items that are not searched: null, or shorter than ``min_chars`` after normalisation."""
+    text = F.trim(F.regexp_replace(F.lower(F.coalesce("text", F.lit(""))), r"\s+", " "))
+    return benchmark.where(F.length(text) < min_chars)
+
+
 class _SharedMatcher:
     """The matcher of one block: made from the broadcast items when a task first asks for it, then kept for the task."""
 

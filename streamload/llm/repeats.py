@@ -117,7 +117,7 @@ def ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
 
 
-def _times(keys: np.ndarray, weight: np.ndarray) -> np.ndarray:
+def times(keys: np.ndarray, weight: np.ndarray) -> np.ndarray:
     """For each key: the summed weights of its equals."""
     order = np.argsort(keys, kind="stable")
     keys = keys[order]
@@ -127,26 +127,19 @@ def _times(keys: np.ndarray, weight: np.ndarray) -> np.ndarray:
     return out
 
 
-def repeated_anchors(found: DataFrame, total: int, anchor_bytes: int = ANCHOR_BYTES,
-                     parts: tuple[int, ...] = (0xFFFF_FFFF_FFFF_FFFF,),
-                     over: tuple[int, tuple[int, ...]] = (1 << 62, ())) -> DataFrame:
+def repeated_anchors(found: DataFrame, total: int, anchor_bytes: int = ANCHOR_BYTES, limit: int = 1 << 62) -> DataFrame:
     """(block, h, frequent) of the anchors that occur in several places; ``found`` has (block, h, n), once per block.
 
-    With ``parts``, two anchors are the same if they agree under one of these masks, all of which hold the upper 32 bits.
-    With ``over``, (limit, masks), ``frequent`` has a bit for each mask under which more than limit places are the same.
-    A block sends each key once, with the number of its places.  So an anchor has a row per block here; with ``parts``, a
-    row per block and different key (gram and sides), of a few numbers each.
+    ``frequent`` tells those of more than ``limit`` places.  A block sends each anchor once, with the number of its places,
+    so an anchor has a row per block here.
     """
     def run(group: pa.Table) -> pa.Table:
         h, block, n = (group.column(c).to_numpy() for c in ("h", "block", "n"))
-        again, frequent = np.zeros(len(h), bool), np.zeros(len(h), np.int32)
-        for mask in parts if len(h) else ():
-            again |= _times(h.view(np.uint64) & np.uint64(mask), n.astype(np.int64)) > 1
-        for k, mask in enumerate(over[1] if len(h) else ()):
-            frequent |= (_times(h.view(np.uint64) & np.uint64(mask), n.astype(np.int64)) > over[0]).astype(np.int32) << k
-        return pa.table({"block": block[again], "h": h[again], "frequent": frequent[again]})
+        seen = times(h.view(np.uint64), n.astype(np.int64)) if len(h) else np.zeros(0, np.int64)
+        again = seen > 1
+        return pa.table({"block": block[again], "h": h[again], "frequent": (seen > limit)[again]})
     bucket = F.pmod(F.shiftrightunsigned("h", 32), F.lit(total // anchor_bytes + 1)).cast("int")
-    return found.withColumn("bucket", bucket).groupBy("bucket").applyInArrow(run, "block int, h long, frequent int")
+    return found.withColumn("bucket", bucket).groupBy("bucket").applyInArrow(run, "block int, h long, frequent boolean")
 
 
 def among(values: np.ndarray, known: np.ndarray) -> np.ndarray:

@@ -77,7 +77,7 @@ _ROWS = "bucket int, known boolean, many boolean, inner boolean, a long, block i
 def _extend(texts: pa.Table, repeated: pa.Table, shards: int) -> pa.Table:
     """Candidate windows in runs of one pair of anchors, or alone, with the 32-word names that they need."""
     known = repeated.column("h").to_numpy().view(np.uint64)
-    frequent = np.sort(known[repeated.column("frequent").to_numpy() > 0])
+    frequent = np.sort(known[repeated.column("frequent").to_numpy(zero_copy_only=False)])
     known = np.sort(known)
     more = WINDOW - LEVELS[2]
     cols: dict[str, list] = {k: [] for k in ("a", "deal", "doc", "start", "size", "names", "inner")}
@@ -197,7 +197,7 @@ def drop_repeated_windows(docs: DataFrame, frequent: int = FREQUENT) -> DataFram
     dealt, total = blocks(docs, BLOCK_BYTES)
     shards = total // SHARD_BYTES + 1
     found = per_block(dealt, _first_level, "block int, h long, n int")
-    again = repeated_anchors(found, total, ANCHOR_BYTES, over=(frequent, (0xFFFF_FFFF_FFFF_FFFF,)))
+    again = repeated_anchors(found, total, ANCHOR_BYTES, frequent)
     candidates = with_blocks(dealt, again, lambda t, r: _extend(t, r, shards), _ROWS)
     windows = candidates.groupBy("bucket").applyInArrow(_last_level, "block int, doc int, start int, stop int")
     kind = docs.schema["doc_id"].dataType.simpleString()

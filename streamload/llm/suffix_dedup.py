@@ -3,12 +3,16 @@
 A byte goes if a 50-byte string that covers it also starts in a document of smaller doc_id.
 
 Texts are first reduced to surroundings that can repeat (``repeats``), which are dealt by their anchor, so that
-equal 50-byte strings meet in one shard.  Windows of a frequent anchor are dealt by it and the 21 bytes on that side of it
-which lies wholly inside the window, and if those are frequent too, by their own 50 bytes: each of these is a function of
-the window's bytes alone, so equal strings still meet.  Counted are documents with a gram and its 21 bytes on either
-side: a document that has them several times counts once, and its equal windows (or those of rows of equal doc_id, or
-without one) are not merged in a block.  Apart from these, no key has more than ``FREQUENT`` surroundings, or one window a
-block.  Each shard sorts its suffixes by the difference cover {1, 2} modulo 3:
+equal 50-byte strings meet in one shard.  Anchors repeat if their gram stands elsewhere between the same 21 bytes on one side.
+
+Frequent grams (of more than some ``FREQUENT`` texts) are told beforehand, from one text in ``SAMPLE``: which grams are
+called frequent decides only how windows are dealt, never which are compared, so an estimate does.  A frequent gram is
+counted with the bytes before it and with those after it, as two keys, of each of which a block sends one; and its windows
+are dealt by it and the 21 bytes on that side of it which lies wholly inside the window, and if those are as frequent, by
+their own 50 bytes: each of these is a function of the window's bytes alone, so equal strings still meet.  If there are more
+than ``MAX_GRAMS`` frequent grams, all are treated so.  So no key has more than some ``FREQUENT`` texts' anchors or
+surroundings, or one key or window a block; only that a text has a window several times, or that rows of equal doc_id or
+without one have it, is not merged in a block.  Each shard sorts its suffixes by the difference cover {1, 2} modulo 3:
 
 1. the suffixes at positions 1 and 2 modulo 3 are sorted by triples of eight-byte characters, which names them;
 2. triples of names are sorted in turn (one recursion reaches 72 bytes, more than the 50 that matter);
@@ -32,9 +36,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import mix, sliding_min, table
-from .repeats import (among, anchors, blocks, chunks, later_copies, per_block, ranges, ranks, raw_texts, repeated_anchors, runs,
-                      spans_by_document, valid_windows, with_blocks)
+from .common import mix, sliding_min, table, whole_text
+from .repeats import (ANCHOR_BYTES, among, anchors, blocks, chunks, later_copies, per_block, ranges, ranks, raw_texts, runs,
+                      spans_by_document, times, valid_windows, with_blocks)
 
 WIDTH, GRAM = 50, 8
 #: Bytes of text per block and per shard, and units that numpy works on at once.
@@ -42,6 +46,8 @@ BLOCK_BYTES, SHARD_BYTES, CHUNK = 8 << 20, 3 << 20, 1 << 18
 #: Documents of one key beyond which its windows are dealt by more of their bytes: surroundings of them fill a shard.
 FREQUENT = SHARD_BYTES // (2 * WIDTH - GRAM)
 SIDE = (WIDTH - GRAM) // 2
+#: One text in how many tells the frequent grams, and how many of those are broadcast (8 bytes each) at most.
+SAMPLE, MAX_GRAMS = 64, 1_000_000
 #: What two anchors have in common whose windows are equal: the gram with the bytes before it, or with those after it.
 GRAM_MASK, BEFORE_MASK, AFTER_MASK = 0xFFFF_FFFF_0000_0000, 0xFFFF_FFFF_FFFF_0000, 0xFFFF_FFFF_0000_FFFF
 
@@ -81,17 +87,39 @@ def _hash(eight: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
-def _dealt(eight: np.ndarray, grams: np.ndarray, places: np.ndarray, least: np.ndarray, ok: np.ndarray, known: np.ndarray,
-           frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _is_frequent(keys: np.ndarray, grams_of: np.ndarray | None) -> np.ndarray:
+    """Are the keys' (or grams') grams among the frequent ones?  None: all are."""
+    return np.ones(len(keys), bool) if grams_of is None else among(keys & np.uint64(GRAM_MASK), grams_of)
+
+
+class _Known:
+    """What a block was told of its anchors: keys that repeat; of frequent grams those with one side, and the frequent ones."""
+
+    def __init__(self, repeated: pa.Table, grams_of: np.ndarray | None):
+        kind, h, frequent = (repeated.column(c).to_numpy() for c in ("kind", "h", "frequent"))
+        h = h.view(np.uint64)
+        self.grams_of = grams_of
+        self.whole, self.before, self.after = (np.sort(h[kind == k]) for k in range(3))
+        self.often_before, self.often_after = (np.sort(h[(kind == k) & frequent]) for k in (1, 2))
+
+    def __len__(self) -> int:
+        return len(self.whole) + len(self.before) + len(self.after)
+
+    def repeats(self, keys: np.ndarray) -> np.ndarray:
+        sides = among(keys & np.uint64(BEFORE_MASK), self.before) | among(keys & np.uint64(AFTER_MASK), self.after)
+        return np.where(_is_frequent(keys, self.grams_of), sides, among(keys, self.whole))
+
+
+def _dealt(eight: np.ndarray, grams: np.ndarray, places: np.ndarray, least: np.ndarray, ok: np.ndarray,
+           known: _Known) -> tuple[np.ndarray, np.ndarray]:
     """(hash that each window is dealt by, key of the run that it may be in); windows found not to repeat leave ``ok``.
 
-    ``places`` are all anchors; ``frequent`` tells of each known key if its gram is (1), with the bytes before it (2) or
-    after it (4).  All that decides is inside the window: the first place of its anchor, and the side with the more bytes.
+    ``places`` are all anchors.  All that decides is inside the window: the first place of its anchor, and the side with the
+    more bytes.
     """
     deal, run = least.copy(), least.copy()
-    grams_of = np.unique(known[frequent & 1 > 0] & np.uint64(GRAM_MASK))
     s = np.flatnonzero(ok)
-    s = s[among(least[s] & np.uint64(GRAM_MASK), grams_of)]
+    s = s[_is_frequent(least[s], known.grams_of)]
     if not len(s):
         return deal, run
     k = np.searchsorted(places, s)
@@ -99,15 +127,15 @@ def _dealt(eight: np.ndarray, grams: np.ndarray, places: np.ndarray, least: np.n
         k[behind] += 1
     at = places[k]
     keys = _keys(eight, grams, at)
-    again = among(keys, known)  # equal windows agree in the first place of their anchor too
+    again = known.repeats(keys)  # equal windows agree in the first place of their anchor too
     ok[s[~again]] = False
     s, at, keys = s[again], at[again], keys[again]
-    flags = frequent[np.searchsorted(known, keys)]
     padded = np.concatenate([np.zeros(SIDE, np.uint64), eight, np.zeros(2 * WIDTH, np.uint64)])
     left = at - s >= SIDE
     deal[s] = mix(grams[at] ^ _hash(padded, np.where(left, at, at + SIDE + GRAM), SIDE) ^ left.astype(np.uint64))
     run[s] = mix((2 * at + left).astype(np.uint64))
-    s = s[np.where(left, flags & 2, flags & 4) > 0]
+    s = s[np.where(left, among(keys & np.uint64(BEFORE_MASK), known.often_before),
+                   among(keys & np.uint64(AFTER_MASK), known.often_after))]
     deal[s] = _hash(padded, s + SIDE, WIDTH)
     run[s] = mix(~s.astype(np.uint64))
     return deal, run
@@ -118,9 +146,8 @@ def _without_copies(texts: pa.Table) -> list[bytes]:
     return [b"" if copy else text for text, copy in zip(raw_texts(texts), later_copies(texts))]
 
 
-def _first_level(texts: pa.Table) -> pa.Table:
-    """Keys of a block's anchors, and how many of its documents have each."""
-    raw = _without_copies(texts)
+def _anchor_keys(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(key, document) of every anchor of the texts, each pair once, in order."""
     seen, docs = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
     sizes = np.fromiter(map(len, raw), np.int64, len(raw))
     for a, b in chunks(sizes, CHUNK):
@@ -134,9 +161,69 @@ def _first_level(texts: pa.Table) -> pa.Table:
     order = np.lexsort((doc, h))
     h, doc = h[order], doc[order]
     once = np.concatenate(([True], (h[1:] != h[:-1]) | (doc[1:] != doc[:-1]))) if len(h) else np.zeros(0, bool)
-    h, times = np.unique(h[once], return_counts=True)
+    return h[once], doc[once]
+
+
+def _summed(h: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    names, inverse = np.unique(h, return_inverse=True)
+    return names, np.bincount(inverse, n, len(names)).astype(np.int64)
+
+
+def _first_level(texts: pa.Table, grams_of: np.ndarray | None) -> pa.Table:
+    """Keys of a block's anchors, and how many of its documents have each; frequent grams with the bytes on either side."""
+    h, n = np.unique(_anchor_keys(_without_copies(texts))[0], return_counts=True)
+    often = _is_frequent(h, grams_of)
+    kinds = [(h[~often], n[~often]), *(_summed(h[often] & np.uint64(m), n[often]) for m in (BEFORE_MASK, AFTER_MASK))]
     block = texts.column("block")[0].as_py()
-    return pa.table({"block": np.full(len(h), block, np.int32), "h": h.view(np.int64), "n": times.astype(np.int32)})
+    kind = np.repeat(np.arange(3, dtype=np.int32), [len(x) for x, _ in kinds])
+    h, n = (np.concatenate(x) for x in zip(*kinds))
+    return pa.table({"block": np.full(len(h), block, np.int32), "kind": kind, "h": h.view(np.int64), "n": n.astype(np.int32)})
+
+
+def _gram_counts(texts: pa.Table) -> pa.Table:
+    """Grams of a block's anchors, and how many of its different texts have each."""
+    h, doc = _anchor_keys([t.encode() for t in pc.unique(texts.column("text")).to_pylist()])
+    pairs = np.unique(np.column_stack([h & np.uint64(GRAM_MASK), doc.astype(np.uint64)]), axis=0) if len(h) else np.zeros((0, 2), np.uint64)
+    grams, n = np.unique(pairs[:, 0], return_counts=True)
+    return pa.table({"gram": grams.view(np.int64), "n": n.astype(np.int64)})
+
+
+def frequent_grams(docs: DataFrame, total: int, frequent: int, sample: int) -> np.ndarray | None:
+    """The grams (upper 32 bits of their hash) that are anchors in more than about ``frequent`` texts; None: too many to send.
+
+    A gram of more than ``frequent`` texts is in more than half of as many of the sampled ones as can be expected.
+    """
+    text = whole_text(docs)
+    some = docs.select(docs["doc_id"], text.alias("text")).where(F.pmod(F.xxhash64(text), F.lit(sample)) == 0)
+    n = total // sample // BLOCK_BYTES + 1
+    counts = per_block(some.withColumn("block", F.pmod(F.xxhash64(F.lit(1), "text"), F.lit(n)).cast("int")), _gram_counts, "gram long, n long")
+    found = counts.groupBy("gram").agg(F.sum("n").alias("n")).where(2 * sample * F.col("n") > frequent).select("gram")
+    rows = found.limit(MAX_GRAMS + 1).toPandas()["gram"].to_numpy(np.int64)
+    return None if len(rows) > MAX_GRAMS else np.sort(rows.view(np.uint64))
+
+
+def repeated_keys(found: DataFrame, total: int, frequent: int) -> DataFrame:
+    """(block, kind, h, frequent) of the keys that occur in several places; ``found`` has (block, kind, h, n), once per block.
+
+    Whole keys (kind 0) are dealt by their gram, and repeat if they agree with another one on either side; keys of one side
+    are dealt by themselves.
+    """
+    def run(group: pa.Table) -> pa.Table:
+        kind, h, block, n = (group.column(c).to_numpy() for c in ("kind", "h", "block", "n"))
+        h, n = h.view(np.uint64), n.astype(np.int64)
+        again, often = np.zeros(len(h), bool), np.zeros(len(h), bool)
+        whole = np.flatnonzero(kind == 0)
+        for mask in (BEFORE_MASK, AFTER_MASK) if len(whole) else ():
+            again[whole] |= times(h[whole] & np.uint64(mask), n[whole]) > 1
+        for k in (1, 2):
+            own = np.flatnonzero(kind == k)
+            if len(own):
+                seen = times(h[own], n[own])
+                again[own], often[own] = seen > 1, seen > frequent
+        return pa.table({"block": block[again], "kind": kind[again], "h": h[again].view(np.int64), "frequent": often[again]})
+    deal = F.when(F.col("kind") == 0, F.shiftrightunsigned("h", 32)).otherwise(F.xxhash64("kind", "h"))
+    return found.withColumn("bucket", F.pmod(deal, F.lit(total // ANCHOR_BYTES + 1)).cast("int")) \
+        .groupBy("bucket").applyInArrow(run, "block int, kind int, h long, frequent boolean")
 
 
 _ROWS = pa.schema([("bucket", pa.int32()), ("known", pa.bool_()), ("block", pa.int32()), ("doc", pa.int32()),
@@ -144,12 +231,9 @@ _ROWS = pa.schema([("bucket", pa.int32()), ("known", pa.bool_()), ("block", pa.i
 _DDL = "bucket int, known boolean, block int, doc int, start int, rank long, part binary"
 
 
-def _surroundings(texts: pa.Table, repeated: pa.Table, shards: int) -> pa.Table:
+def _surroundings(texts: pa.Table, repeated: pa.Table, shards: int, grams_of: np.ndarray | None) -> pa.Table:
     """Runs of windows of one repeated anchor, with the bytes that they cover."""
-    known, frequent = (repeated.column(c).to_numpy() for c in ("h", "frequent"))
-    known = known.view(np.uint64)
-    order = np.argsort(known)
-    known, frequent = known[order], frequent[order]
+    known = _Known(repeated, grams_of)
     raw = _without_copies(texts)
     sizes = np.fromiter(map(len, raw), np.int64, len(raw))
     cols: dict[str, list] = {k: [] for k in ("h", "doc", "start", "part")}
@@ -160,10 +244,10 @@ def _surroundings(texts: pa.Table, repeated: pa.Table, shards: int) -> pa.Table:
         valid, owner = valid_windows(sizes[first:last], WIDTH)
         least, places = anchors(grams, valid, WIDTH - GRAM + 1)
         open_at = np.full(len(grams), ~np.uint64(0))
-        at = places[among(_keys(eight, grams, places), known)]
+        at = places[known.repeats(_keys(eight, grams, places))]
         open_at[at] = grams[at]
         ok = valid & (least == sliding_min(open_at, WIDTH - GRAM + 1))
-        deal, run = _dealt(eight, grams, places, least, ok, known, frequent)
+        deal, run = _dealt(eight, grams, places, least, ok, known)
         a, b = runs(run, ok, owner)
         if not len(a):
             continue
@@ -316,15 +400,14 @@ def _without(texts: pa.Table, found: pa.Table) -> pa.Table:
                                        pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))})
 
 
-def drop_repeated_bytes(docs: DataFrame, frequent: int = FREQUENT) -> DataFrame:
+def drop_repeated_bytes(docs: DataFrame, frequent: int = FREQUENT, sample: int = SAMPLE) -> DataFrame:
     """doc_id, n_bytes, kept (the bytes that stay) and spans (maximal removed runs), one row per input row."""
     dealt, total = blocks(docs, BLOCK_BYTES, copies_together=True)
     shards = total // SHARD_BYTES + 1
-    found = per_block(dealt, _first_level, "block int, h long, n int")
-    # a key occurs elsewhere if its gram does with the same bytes before it or after it
-    again = repeated_anchors(found, total, parts=(BEFORE_MASK, AFTER_MASK),
-                             over=(frequent, (GRAM_MASK, BEFORE_MASK, AFTER_MASK)))
-    parts = with_blocks(dealt, again, lambda t, r: _surroundings(t, r, shards), _DDL)
+    grams = docs.sparkSession.sparkContext.broadcast(frequent_grams(docs, total, frequent, sample))
+    found = per_block(dealt, lambda t: _first_level(t, grams.value), "block int, kind int, h long, n int")
+    again = repeated_keys(found, total, frequent)
+    parts = with_blocks(dealt, again, lambda t, r: _surroundings(t, r, shards, grams.value), _DDL)
     windows = parts.groupBy("bucket").applyInArrow(_decide, "block int, doc int, start int, stop int")
     kind = docs.schema["doc_id"].dataType.simpleString()
     return with_blocks(dealt, windows, _without,

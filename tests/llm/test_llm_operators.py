@@ -80,32 +80,52 @@ def own_and_shared(n):
     return [(k, " ".join([prose(1000 + k, 30), shared[0], prose(5000 + k, 40), shared[1], prose(9000 + k, 30)])) for k in range(n)]
 
 
-@pytest.mark.parametrize("table", ["edge", "small", "shared"])
-def test_suffix_dedup_with_frequent_anchors(table, request, spark):
-    """All levels of dealing give the same result."""
+@pytest.mark.parametrize("table,grams", [("edge", 10**6), ("small", 10**6), ("shared", 10**6), ("shared", 0), ("edge", 0)])
+def test_suffix_dedup_with_frequent_anchors(table, grams, request, spark, monkeypatch):
+    """All levels of dealing give the same result, also where there are too many frequent grams to tell them."""
+    monkeypatch.setattr(suffix_dedup, "MAX_GRAMS", grams)
     rows = own_and_shared(30)
     docs, rows = request.getfixturevalue(table) if table != "shared" else (spark.createDataFrame(rows, "doc_id long, text string"), rows)
-    out = suffix_dedup.drop_repeated_bytes(docs, 2).select(
+    found = suffix_dedup.frequent_grams(docs, 1, 2, 1)
+    assert found is None if grams == 0 else len(found)
+    out = suffix_dedup.drop_repeated_bytes(docs, 2, 1).select(
         "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")), F.size("spans"), F.sha2("kept", 256))
     assert rows_of(out) == sorted(brute.substring_bytes(rows), key=repr)
 
 
 def test_suffix_dedup_bounds_what_one_key_deals(spark):
-    """The edges of a passage in every document, which differ in each, do not go to one shard."""
+    """The edges of a passage in every document, which differ in each, do not go to one shard, and their anchors, which
+    differ in each too, not to one bucket."""
     import numpy as np
     import pyarrow as pa
     n = 300
     rows = own_and_shared(n)
     texts = pa.table({"block": pa.array([0] * n, pa.int32()), "doc_id": [k for k, _ in rows], "text": [t for _, t in rows]})
-    found = spark.createDataFrame(suffix_dedup._first_level(texts).to_pandas(), "block int, h long, n int")
-    masks = (suffix_dedup.BEFORE_MASK, suffix_dedup.AFTER_MASK)
 
     def most(frequent):
-        again = repeats.repeated_anchors(found, 1, parts=masks, over=(frequent, (suffix_dedup.GRAM_MASK, *masks))).toArrow()
-        out = suffix_dedup._surroundings(texts, again, 1 << 20)
+        grams = suffix_dedup.frequent_grams(spark.createDataFrame(rows, "doc_id long, text string"), 1, frequent, 1)
+        first = suffix_dedup._first_level(texts, grams)
+        found = spark.createDataFrame(first.to_pandas(), "block int, kind int, h long, n int")
+        again = suffix_dedup.repeated_keys(found, 1, frequent).toArrow()
+        out = suffix_dedup._surroundings(texts, again, 1 << 20, grams)
         bucket = out.filter(pa.array(~out["known"].to_numpy()))["bucket"].to_numpy()
-        return np.unique(bucket, return_counts=True)[1].max()
-    assert most(8) <= 16 and most(n) > n // 2
+        kind, h = first["kind"].to_numpy(), first["h"].to_numpy().view(np.uint64)
+        whole = np.unique(h[kind == 0] >> np.uint64(32), return_counts=True)[1]
+        return np.unique(bucket, return_counts=True)[1].max(), whole.max()
+    surroundings, anchors = most(8)
+    assert surroundings <= 16 and anchors <= 8
+    surroundings, anchors = most(2 * n)
+    assert surroundings > n // 2 and anchors > n // 2
+
+
+def test_frequent_grams_are_told_from_a_sample(spark):
+    """A gram of every text is found in one text of eight; one of few texts is not."""
+    rows = [(k, f"{prose(3000 + k, 20)} the common words that all of these texts have in the middle {prose(7000 + k, 20)}") for k in range(800)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    every = set(suffix_dedup.frequent_grams(docs, 1, 400, 1).tolist())
+    some = set(suffix_dedup.frequent_grams(docs, 1, 400, 8).tolist())
+    assert every and every <= some
+    assert len(suffix_dedup.frequent_grams(docs, 1, 10_000, 8)) == 0
 
 
 def test_suffix_order_is_lexicographic():
@@ -146,7 +166,7 @@ def test_substring_dedup_bounds_what_one_key_deals(spark):
     found = spark.createDataFrame(substring_dedup._first_level(texts).to_pandas(), "block int, h long, n int")
 
     def most(frequent):
-        again = repeats.repeated_anchors(found, 1, over=(frequent, (0xFFFF_FFFF_FFFF_FFFF,))).toArrow()
+        again = repeats.repeated_anchors(found, 1, limit=frequent).toArrow()
         out = substring_dedup._extend(texts, again, 1 << 20)
         bucket = out.filter(pa.array(~out["known"].to_numpy()))["bucket"].to_numpy()
         return np.unique(bucket, return_counts=True)[1].max()
@@ -445,6 +465,11 @@ def test_private_terms_ignore_the_words_of_copies(spark):
     assert all(s.rank < 4 for r in private_terms.find_private(docs).collect() for s in r.spans)
 
 
+def test_items_that_are_not_searched_are_listed(spark):
+    items = spark.createDataFrame([(1, "x" * 24), (2, None), (3, " a  b "), (4, "y " * 12), (5, "z" * 23)], "item_id long, text string")
+    assert sorted(r.item_id for r in decontamination.unsearched(items).collect()) == [2, 3, 4, 5]
+
+
 def test_decontamination(spark):
     r = random.Random(8)
     items = [(k, prose(500 + k, 25)) for k in range(6)] + [(7, None), (8, "tiny"), (9, "")]
