@@ -49,7 +49,7 @@ MINOR = HEADINGS | frozenset("li dt th caption figcaption summary".split())
 PROSE = frozenset("p pre blockquote".split())
 LISTS = frozenset("ul ol dl table div section".split())
 DROPPED = frozenset("nav footer aside button select menu dialog template svg math canvas audio video object applet "
-                    "datalist".split())
+                    "datalist fieldset legend label output progress meter".split())
 FRAMES = frozenset("form header".split())
 DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar toolbar "
                           "form tablist".split())
@@ -64,7 +64,7 @@ UNLIKELY = frozenset("ad ads adv adsense adslot adbox adunit banner promo promot
                      "alert popup modal overlay newsletter subscribe subscription signup signin login register share sharing "
                      "social related recommended recommendations sidebar nav navbar navigation menu breadcrumb breadcrumbs "
                      "pagination pager footer header masthead toolbar widget skip copyright disclaimer".split())
-UNLIKELY_STARTS = ("advert", "sponsor", "sidebar", "navbar", "breadcrumb", "newsletter", "cookie")
+UNLIKELY_STARTS = ("adsby", "advert", "googlead", "sponsor", "sidebar", "navbar", "breadcrumb", "newsletter", "cookie")
 COMMENTS = frozenset("comment comments commentlist commentform commenters disqus reply replies respond responses "
                      "usercomments discussion".split())
 LIKELY = frozenset("article body content entry main page post text blog story".split())

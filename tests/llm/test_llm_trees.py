@@ -50,6 +50,10 @@ PAGES = [
     ("<div hidden><p>" + LONG_TEXT + "</p></div><article><p>seen</p><p style='display: none'>not</p></article>", "seen"),
     ("<article><blockquote>q</blockquote><pre>a\n  b</pre><table><tr><td>1<td>2</table><p>unfinished <a href=", "q\na b\n1\n2\nunfinished"),
     ("<script>never closed <p>x</p>", ""),
+    ("<article><p>kept</p><ins class=adsbygoogle>ad</ins><fieldset><label>Name</label></fieldset><label>Vote</label></article>", "kept"),
+    ("<div class='page'><div class='header-top'>brand</div><p>" + "Some words, and more. " * 6 + "</p><p>" + "Other words, as well. " * 6
+     + "</p><div class='related-posts'><p>" + "You may also like this, and that. " * 9 + "</p></div></div><div id=footer>(c)</div>",
+     ("Some words, and more. " * 6).strip() + "\n" + ("Other words, as well. " * 6).strip()),
     ("<div class=footer><p>only this</p></div>", "only this"),
 ]
 
