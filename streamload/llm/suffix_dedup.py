@@ -14,7 +14,8 @@ than ``MAX_GRAMS`` frequent grams, all are treated so.  So no key has more than
 surroundings, or one key or window a block; only that a text has a window several times, or that rows of equal doc_id or
 without one have it, is not merged in a block.  Each shard sorts its suffixes by the difference cover {1, 2} modulo 3:
 
-1. the suffixes at positions 1 and 2 modulo 3 are sorted by triples of eight-byte characters, which names them;
+1. the suffixes at positions 1 and 2 modulo 3 are sorted by triples of eight-byte characters (each first replaced by its
+   place among all, so that pairs of them are one number), which names them;
 2. triples of names are sorted in turn (one recursion reaches 72 bytes, more than the 50 that matter);
 3. the remaining suffixes are sorted by their first byte and the name of the next one, and merged into the
    others by the same comparison;
@@ -285,37 +286,39 @@ def _surroundings(texts: pa.Table, repeated: pa.Table, shards: int, grams_of: np
     return pa.concat_tables([asked, gone]).combine_chunks()
 
 
-def _names(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Order of the rows by their keys, and each row's name: equal keys have equal, larger keys larger names."""
-    order = np.lexsort(keys[::-1])
-    differs = np.zeros(len(order), bool)
-    for key in keys:
-        differs[1:] |= key[order[1:]] != key[order[:-1]]
-    name = np.empty(len(order), np.int64)
-    name[order] = np.cumsum(differs) + 1
-    return order, name
+def _names(key: np.ndarray) -> np.ndarray:
+    """Each row's name: equal keys have equal, larger keys larger names, from 1."""
+    order = np.argsort(key)
+    in_order = key[order]
+    name = np.empty(len(key), np.int64)
+    name[order] = np.cumsum(np.concatenate(([True], in_order[1:] != in_order[:-1])))[:len(key)]
+    return name
+
+
+def _triples(first: np.ndarray, second: np.ndarray, third: np.ndarray) -> np.ndarray:
+    """Names of triples of names: two passes, each over pairs that fit one number."""
+    return _names((_names((first << 32) | second) << 32) | third)
 
 
 def suffix_order(text: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     """The ``wanted`` positions in the order of their suffixes (to 72 bytes at least)."""
     n = len(text)
     padded = np.concatenate([text, np.zeros(80, np.uint8)])
-    eight = eight_bytes(padded)
+    word = _names(eight_bytes(padded))
     sample = np.flatnonzero(np.arange(n + 3) % 3)
-    _, name = _names(eight[sample], eight[sample + 8], eight[sample + 16])
+    name = _triples(word[sample], word[sample + 8], word[sample + 16])
     names = np.zeros(n + 128, np.int64)
     names[sample] = name
     if name.max() < len(sample):  # recurse on the names while some are equal
-        _, name = _names(name, names[sample + 24], names[sample + 48])
-        names[sample] = name
+        names[sample] = _triples(name, names[sample + 24], names[sample + 48])
     one, two, rest = (wanted[wanted % 3 == r] for r in (1, 2, 0))
-    one, two = one[np.argsort(names[one], kind="stable")], two[np.argsort(names[two], kind="stable")]
+    one, two = one[np.argsort(names[one])], two[np.argsort(names[two])]
     byte = padded.astype(np.int64)
     by_next = lambda p: (byte[p] << 40) | names[p + 1]
     by_second = lambda p: (byte[p] << 48) | (byte[p + 1] << 40) | names[p + 2]
-    rest = rest[np.argsort(by_next(rest), kind="stable")]
+    rest = rest[np.argsort(by_next(rest))]
     sampled = np.concatenate([one, two])
-    sampled = sampled[np.argsort(names[sampled], kind="stable")]
+    sampled = sampled[np.argsort(names[sampled])]
     place = (np.arange(len(rest)) + np.searchsorted(by_next(one), by_next(rest))
              + np.searchsorted(by_second(two), by_second(rest)))
     merged = np.empty(len(wanted), np.int64)
