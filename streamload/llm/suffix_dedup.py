@@ -23,7 +23,9 @@ without one have it, is not merged in a block.  Each shard sorts its suffixes by
 
 Equal texts are dealt to one block (many of them to several), where all but the smallest document's go as a whole.
 Equal surroundings inside a block, and then inside a shard, are one string with the least of their doc_ids, so a
-passage in a third of all documents is sorted once.
+passage in a third of all documents is sorted once.  On the small tables (sf0.01) copies of whole texts are 47 % of the
+bytes that go, and of the other windows 79 % are decided by equal surroundings of their block; the sort decides the rest,
+and every window that stays.
 
 Defined results: null and empty text have no bytes; texts under 50 bytes lose nothing; rows of equal doc_id do
 not remove each other's bytes; rows without doc_id count as larger than all others and equal among themselves.
