@@ -48,7 +48,7 @@ _SIGNS = dict(zip("0134578@$!", "oieastbasi"))
 _DROP = dict.fromkeys([*range(0x300, 0x370), 0x200B, 0x200C, 0x200D, 0x2060, 0xFEFF, 0xAD])
 _OTHER = {ord(k): v for k, v in _LOOKALIKES.items()} | _DROP
 _INSIDE = re.compile(r"(?<![0-9@$!])[0134578@$!]+(?=[a-z])")
-_ENDING = re.compile(r"([^\W\d_]+)(?!!+(?:[^!0-9@$]|\Z))([0134578@$!]+)(?![^\W_]|[@$!])")
+_SIGN_RUN = re.compile(r"[0134578@$!]+(?![^\W_]|[@$!])")
 _SIGN_TABLE = {ord(k): v for k, v in _SIGNS.items()}
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -60,8 +60,20 @@ def fold(text: str) -> str:
     if not text.isascii():
         text = unicodedata.normalize("NFKD", text).translate(_OTHER)
     text = _INSIDE.sub(lambda m: m[0].translate(_SIGN_TABLE), text)
-    ends = [word + signs.translate(_SIGN_TABLE) for word, signs in _ENDING.findall(text)]
-    return " " + " ".join(_WORD.findall(text) + ends).replace("l", "i") + " "
+    return " " + " ".join(_WORD.findall(text) + _endings(text)).replace("l", "i") + " "
+
+
+def _endings(text: str) -> list[str]:
+    """The words that end in signs, with these read as letters."""
+    out = []
+    for m in _SIGN_RUN.finditer(text):
+        start = at = m.start()
+        if m[0].count("!") < len(m[0]):
+            while start and text[start - 1].isalpha():
+                start -= 1
+            if start < at:
+                out.append(text[start:at] + m[0].translate(_SIGN_TABLE))
+    return out
 
 
 @dataclass
