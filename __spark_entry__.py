@@ -60,6 +60,11 @@ def _files(spark: SparkSession, sf_dir: str, name: str) -> int:
     return 8 * max(1, _t(spark, sf_dir, name).rdd.getNumPartitions())
 
 
+def _per_trigger(files: int, of_eight: int) -> int:
+    """Files of one micro-batch: of each eight that many, so a backlog is as many micro-batches at any size of the table."""
+    return -(-files * of_eight // 8)
+
+
 def _msgs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return messages_from_events(_t(spark, sf_dir, "events"))
 
@@ -469,9 +474,10 @@ def q_progress_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """STR-6: the recorder's totals over the micro-batches of a stream."""
     target, errors = _seeded(spark, sf_dir, "progress")
     root = target.rsplit("/", 1)[0]
-    write_replay(_msgs(spark, sf_dir), f"{root}/replay", files=_files(spark, sf_dir, "events"))
+    n = _files(spark, sf_dir, "events")
+    write_replay(_msgs(spark, sf_dir), f"{root}/replay", files=n)
     rec = ProgressRecorder()
-    run_stream(read_replay(spark, f"{root}/replay", max_files_per_trigger=2), event_spec(target, errors),
+    run_stream(read_replay(spark, f"{root}/replay", max_files_per_trigger=_per_trigger(n, 2)), event_spec(target, errors),
                checkpoint=f"{root}/checkpoint", trigger={"availableNow": True}, on_metrics=rec.add_metrics,
                await_termination=True)
     names = ["n_in", "n_parse_failure", "n_null_key", "n_filtered", "n_written", "n_bad_written"]

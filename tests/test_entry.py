@@ -55,6 +55,21 @@ def test_optional_modules():
     assert E._optional("streamload.workspace") is not None
 
 
+@pytest.mark.parametrize("name, batches", [("progress_totals", 4)])
+def test_a_backlog_is_as_many_batches_whatever_its_files(spark, workdir, monkeypatch, name, batches):
+    spark.sql("""SELECT id AS event_id, timestamp_ntz'2024-01-28' + make_interval(0, 0, 0, 0, CAST(id % 60 AS INT)) AS ts, id % 7 AS user_id,
+                 CASE WHEN id % 5 = 0 THEN 'error' ELSE 'view' END AS event_type, CAST(id AS DOUBLE) AS value, '{"k": 1}' AS props
+                 FROM range(240)""").write.parquet(f"{workdir}/events.parquet")
+    seen, real = [], E.run_stream
+
+    def counted(source, spec, *, on_metrics=None, **kw):
+        return real(source, spec, on_metrics=lambda m: (seen.append(m.n_in), on_metrics and on_metrics(m)), **kw)
+    monkeypatch.setattr(E, "run_stream", counted)
+    monkeypatch.setattr(E, "_files", lambda *a: 24)
+    assert E.queries()[name](spark, workdir).count() > 0
+    assert len(seen) == batches and sum(seen) == E._msgs(spark, workdir).count()
+
+
 @pytest.mark.parametrize("name", sorted(E.QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF001)
