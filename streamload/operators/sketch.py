@@ -1,8 +1,8 @@
 """A Bloom filter of the batch's keys, for batches whose keys are too many to be broadcast (JN-1).
 
 Above the broadcast bound the lookback keys would all be shuffled to the anti join, although most of them cannot match.
-A sketch of the batch's keys has a size that does not depend on how many there are: two bitmaps, one for each of two hashes,
-that together take no more than the bound.  It is built by Spark's bitmap aggregates, one row per 32,768 bits, broadcast, and
+A sketch of the batch's keys has a bounded size, however many there are: two bitmaps, one for each of two hashes, that
+together take no more than the bound, and no more than the keys need.  It is built by Spark's bitmap aggregates, one row per 32,768 bits, broadcast, and
 every stored key whose bits are not both set is dropped in the scan's own stage.  A key that is dropped is certainly not in
 the batch; one that stays by accident is settled by the exact join that follows.
 """
@@ -21,15 +21,24 @@ from .dedup import free_prefix
 
 # Fixed value: bits of one bitmap of Spark's bitmap functions.
 BITMAP_BITS = 32_768
+#: Bits of one hash for each key: some 1 in 270 foreign keys pass. More would be sent and broadcast for little.
+BITS_PER_KEY = 16
 #: A sketch that would keep more than this share of foreign keys is not worth its pass.
 MAX_KEPT = 0.5
 
 
 class KeySketch(NamedTuple):
-    """Bitmaps by number: those of the first hash from 0, those of the second from ``n_maps``."""
+    """Bitmaps by number: those of the first hash from 0, those of the second from ``n_maps``.
 
-    maps: DataFrame  # _map long, _bits binary
-    n_maps: int      # of one hash
+    Each hash has its own frame: a lookup reads the batch for its own bits, and fetches no others.
+    """
+
+    by_hash: tuple[DataFrame, DataFrame]  # for each hash: _map long, _bits binary
+    n_maps: int                           # of one hash
+
+    @property
+    def maps(self) -> DataFrame:
+        return self.by_hash[0].unionByName(self.by_hash[1])
 
 
 def sketch_maps(limit_bytes: int) -> int:
@@ -50,24 +59,30 @@ def _bits(keys: Sequence[str], n_maps: int) -> list[Column]:
     return [F.pmod(F.xxhash64(F.lit(i), *columns), F.lit(size)) + F.lit(i * size) for i in (0, 1)]
 
 
-def build_sketch(batch_keys: DataFrame, keys: Sequence[str], limit_bytes: int) -> KeySketch | None:
-    """The sketch of the batch's keys; None where the bound leaves no room for one."""
+def build_sketch(batch_keys: DataFrame, keys: Sequence[str], limit_bytes: int, n_keys: int | None = None) -> KeySketch | None:
+    """The sketch of the batch's keys; None where the bound leaves no room for one.
+
+    ``n_keys``, the number of the keys or more, makes it no larger than they need.
+    """
     n_maps = sketch_maps(limit_bytes)
     if not n_maps:
         return None
+    if n_keys is not None:
+        n_maps = min(n_maps, 1 << math.ceil(math.log2(max(1.0, n_keys * BITS_PER_KEY / BITMAP_BITS))))
     # Spark's bitmap functions count values and bitmaps from 1
-    bit = batch_keys.select(F.explode(F.array(*[b + 1 for b in _bits(keys, n_maps)])).alias("_bit"))
-    maps = bit.groupBy((F.bitmap_bucket_number("_bit") - 1).alias("_map")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("_bit")).alias("_bits"))
-    return KeySketch(maps, n_maps)
+    def maps(bit: Column) -> DataFrame:
+        return batch_keys.select((bit + 1).alias("_bit")).groupBy((F.bitmap_bucket_number("_bit") - 1).alias("_map")).agg(
+            F.bitmap_construct_agg(F.bitmap_bit_position("_bit")).alias("_bits"))
+    first, second = _bits(keys, n_maps)
+    return KeySketch((maps(first), maps(second)), n_maps)
 
 
 def sketch_keys(existing: DataFrame, sketch: KeySketch, keys: Sequence[str]) -> DataFrame:
     """The rows of ``existing`` whose key may be in the batch: two lookups in the broadcast bitmaps."""
     out = existing
-    for bit in _bits(keys, sketch.n_maps):
+    for bit, maps in zip(_bits(keys, sketch.n_maps), sketch.by_hash):
         p = free_prefix(out, "_s")
-        found = sketch.maps.select(F.col("_map").alias(f"{p}map"), F.col("_bits").alias(f"{p}bits"))
+        found = maps.select(F.col("_map").alias(f"{p}map"), F.col("_bits").alias(f"{p}bits"))
         # n_maps bitmaps of 4 kB for each hash: at most the bound they were made for
         joined = out.withColumn(f"{p}at", bit).join(F.broadcast(found), F.expr(f"{p}at DIV {BITMAP_BITS} = {p}map"))
         byte = F.expr(f"conv(hex(substring({p}bits, CAST({p}at % {BITMAP_BITS} DIV 8 + 1 AS INT), 1)), 16, 10)").cast("int")

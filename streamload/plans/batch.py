@@ -534,7 +534,7 @@ def load_batch(result: BatchResult, batch_id: int, spec: PipelineSpec, as_of: _d
             if stats.key_bytes <= limit:
                 candidates = candidate_keys(result, spec)
             elif share_kept(stats.n_good, sketch_maps(limit)) <= MAX_KEPT:
-                sketch = build_sketch(candidate_keys(result, spec), spec.primary_keys, limit)
+                sketch = build_sketch(candidate_keys(result, spec), spec.primary_keys, limit, stats.n_good)
         if restrict and stats.error_bytes is not None and 0 < stats.error_bytes <= limit:
             error_candidates = error_positions(result)
     if not log.has(DATA):

@@ -131,6 +131,21 @@ def test_a_sketch_loses_no_key_and_drops_most_others(spark):
     assert share_kept(10 * BITMAP_BITS, 1) > 0.99
 
 
+def test_each_hash_of_a_sketch_has_its_own_maps_and_no_more_than_the_keys_need(spark):
+    batch = spark.range(30_000).selectExpr("CAST(id * 11 AS STRING) AS a")
+    stored = spark.range(100_000).selectExpr("CAST(id AS STRING) AS a")
+    sketch = build_sketch(batch, ["a"], 10 << 20, 30_000)
+    assert sketch.n_maps == 16
+    for i, maps in enumerate(sketch.by_hash):
+        numbers = sorted(r["_map"] for r in maps.collect())
+        assert numbers == list(range(i * 16, (i + 1) * 16))
+        assert "Generate" not in maps._jdf.queryExecution().optimizedPlan().toString()
+    kept = sketch_keys(stored, sketch, ["a"])
+    assert kept.join(batch, "a", "left_semi").count() == 9_091
+    assert kept.count() - 9_091 <= 1.5 * share_kept(30_000, 16) * 90_909 + 20
+    assert build_sketch(batch, ["a"], 20_000, 30_000).n_maps == 2 and build_sketch(batch, ["a"], 10 << 20, 0).n_maps == 1
+
+
 def test_batches_above_the_bound_use_the_sketch_and_store_the_same(spark, msgs, threshold, workdir, monkeypatch):
     from streamload.plans import batch as module
     used = []
