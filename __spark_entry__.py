@@ -347,11 +347,12 @@ def q_stream_available_now(spark: SparkSession, sf_dir: str) -> DataFrame:
     """STR-1..4, STR-6, STR-7: replay files -> availableNow stream of several micro-batches."""
     target, errors = _seeded(spark, sf_dir, "stream")
     root = target.rsplit("/", 1)[0]
-    write_replay(_msgs(spark, sf_dir), f"{root}/replay", files=_files(spark, sf_dir, "events"))
+    n = _files(spark, sf_dir, "events")
+    write_replay(_msgs(spark, sf_dir), f"{root}/replay", files=n)
     rec = ProgressRecorder()
     spark.streams.addListener(rec)
     try:
-        q = run_stream(read_replay(spark, f"{root}/replay", max_files_per_trigger=2), event_spec(target, errors),
+        q = run_stream(read_replay(spark, f"{root}/replay", max_files_per_trigger=_per_trigger(n, 2)), event_spec(target, errors),
                        checkpoint=f"{root}/checkpoint", trigger={"availableNow": True},
                        on_metrics=rec.add_metrics)
         q.awaitTermination()
