@@ -658,11 +658,12 @@ def q_progress_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """STR-6: the listener's events of a stream, as they are stored: messages, batches without a gap, start and end."""
     target, errors = _seeded(spark, sf_dir, "monitored")
     root = target.rsplit("/", 1)[0]
-    write_replay(_msgs(spark, sf_dir), f"{root}/replay", files=_files(spark, sf_dir, "events"))
+    n = _files(spark, sf_dir, "events")
+    write_replay(_msgs(spark, sf_dir), f"{root}/replay", files=n)
     table = ProgressTable(spark, f"{root}/progress", queries=["monitored"])
     spark.streams.addListener(table)
     try:
-        q = run_stream(read_replay(spark, f"{root}/replay", max_files_per_trigger=3), event_spec(target, errors),
+        q = run_stream(read_replay(spark, f"{root}/replay", max_files_per_trigger=_per_trigger(n, 3)), event_spec(target, errors),
                        checkpoint=f"{root}/checkpoint", trigger={"availableNow": True}, query_name="monitored", await_termination=True)
         table.wait_for(q)
     finally:

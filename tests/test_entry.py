@@ -55,7 +55,7 @@ def test_optional_modules():
     assert E._optional("streamload.workspace") is not None
 
 
-@pytest.mark.parametrize("name, batches", [("progress_totals", 4), ("stream_available_now", 4)])
+@pytest.mark.parametrize("name, batches", [("progress_totals", 4), ("stream_available_now", 4), ("progress_table", 3)])
 def test_a_backlog_is_as_many_batches_whatever_its_files(spark, workdir, monkeypatch, name, batches):
     spark.sql("""SELECT id AS event_id, timestamp_ntz'2024-01-28' + make_interval(0, 0, 0, 0, CAST(id % 60 AS INT)) AS ts, id % 7 AS user_id,
                  CASE WHEN id % 5 = 0 THEN 'error' ELSE 'view' END AS event_type, CAST(id AS DOUBLE) AS value, '{"k": 1}' AS props
